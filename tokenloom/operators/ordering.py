@@ -179,6 +179,13 @@ def split_head(examples: DataFrame, dev_ratio: float = DEV_RATIO, shuffle: bool
     return _head_cut(examples, keys, wanted, ("dev", "train"))
 
 
+def split_by_position(df: DataFrame, dev_ratio: float = DEV_RATIO) -> DataFrame:
+    """Add ``split`` to rows that already carry ``pos``, with the cut of ``split_head``."""
+    rows = df.agg(F.count(F.lit(1)).alias("n"))
+    wanted = rows.select(F.rint(F.col("n") * F.lit(float(dev_ratio))).cast("bigint")).scalar()
+    return df.withColumn("split", F.when(F.col("pos") < wanted, "dev").otherwise("train"))
+
+
 def split_fraction(df: DataFrame, test_size: float = TEST_FRACTION, seed: int = 0,
                    keys: Sequence[str] = ("sent_id",)) -> DataFrame:
     """Add ``split``: ``ceil(n * test_size)`` random rows are test, the rest train."""

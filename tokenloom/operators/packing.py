@@ -130,12 +130,18 @@ def pack_none(df: DataFrame) -> DataFrame:
 
 def pack(df: DataFrame, trim: int | None = None, block: int | None = None,
          eos: int = EOS_ID) -> DataFrame:
-    """Choose the packing: ``block`` wins over ``trim``; without either, none."""
+    """Choose the packing: ``block`` wins over ``trim``; without either, none.
+
+    Always gives ``examples(file, doc_id, ex_idx, ids)``; with ``block`` the chunk number
+    of the file takes the place of ``doc_id``.
+    """
     if block is not None:
-        return chunk_block(df, block)
-    if trim is not None:
+        examples = chunk_block(df, block).withColumnRenamed("chunk_idx", "doc_id")
+    elif trim is not None:
         return pack_trim(df, trim, eos)
-    return pack_none(df)
+    else:
+        examples = pack_none(df)
+    return examples.withColumn("ex_idx", F.lit(0)).select("file", "doc_id", "ex_idx", "ids")
 
 
 def _check_length(name: str, value: int) -> None:

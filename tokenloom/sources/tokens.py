@@ -60,12 +60,15 @@ def write_token_lists(df: DataFrame, path: str, keyword: str = KEYWORD) -> str:
     return target
 
 
-def write_split(df: DataFrame, path: str, name: str = "") -> str:
+def write_split(df: DataFrame, path: str, name: str = "",
+                order_by: Sequence[str] | None = None) -> str:
     """Write dev and train examples from one pass over the data.
 
-    The outputs are ``split=dev<name>`` and ``split=train<name>``.
+    The outputs are ``split=dev<name>`` and ``split=train<name>``. With ``order_by`` their
+    part files, read in name order, give the rows in that order.
     """
-    df.select(
-        F.concat("split", F.lit(name)).alias("split"), F.to_json("ids").alias("value")
-    ).write.partitionBy("split").text(path)
+    labelled = df.withColumn("split", F.concat("split", F.lit(name)))
+    if order_by:
+        labelled = labelled.orderBy("split", *order_by)
+    labelled.select("split", F.to_json("ids").alias("value")).write.partitionBy("split").text(path)
     return path
