@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from ..constants import NER_LABELS
-from .inputs import DOCS_PER_FILE, TAGS
-from .queries import BLOCK, SHORT_TRIM
+from ..constants import NER_LABELS, VOCAB_SIZE
+from .inputs import DOCS_PER_FILE, TAGS, TRAINED_SIZE
+from .queries import BLOCK, SHORT_TRIM, WORDPIECE_SIZE
 
 # Building blocks
 
@@ -30,9 +30,9 @@ seg AS (
   SELECT file, doc_id, j, count(*) AS len, list(id ORDER BY i) AS ids FROM seg_tok GROUP BY ALL)"""
 
 
-def examples(trim: int = 512) -> str:
+def examples(trim: int = 512, enc: str = ENC) -> str:
     """Greedy packing, one segment per recursion step."""
-    return f"""{ENC}, {TOK}, {SEG},
+    return f"""{enc}, {TOK}, {SEG},
 walk AS (
   SELECT doc_id, j, 0::BIGINT AS ex, CASE WHEN len > {trim} THEN 1 ELSE 0 END::BIGINT AS open,
     CASE WHEN len > {trim} THEN 0 ELSE len END::BIGINT AS cur
@@ -183,23 +183,26 @@ def mask(values: str, width: str) -> str:
     return pad(ones, width, "0")
 
 
-def replaced(chosen: str) -> str:
+def replaced(chosen: str, vocab: int = VOCAB_SIZE) -> str:
     """Columns input_ids and labels, where ``chosen`` is a test on x and k, from 1."""
     h = "md5('0:' || key || ':' || (k - 1))"
     return f"""array_to_string(list_transform(ids, lambda x, k: CASE WHEN NOT ({chosen}) THEN x
       WHEN substr({h}, 9, 8) < 'cccccccd' THEN 4
-      WHEN substr({h}, 9, 8) < 'e6666666' THEN ('0x' || substr({h}, 17, 8))::BIGINT % 49152
+      WHEN substr({h}, 9, 8) < 'e6666666' THEN ('0x' || substr({h}, 17, 8))::BIGINT % {vocab}
       ELSE x END), ' ') AS input_ids,
     array_to_string(list_transform(ids, lambda x, k: CASE WHEN {chosen} THEN x ELSE -100 END), ' ')
       AS labels"""
 
 
-KEYED = f"{EX}, keyed AS (SELECT *, file || ':' || doc_id || ':' || ex_idx AS key FROM ex)"
+KEY = "keyed AS (SELECT *, file || ':' || doc_id || ':' || ex_idx AS key FROM ex)"
+KEYED = f"{EX}, {KEY}"
 
-WHOLE_WORDS = f"""{KEYED},
-etok AS (SELECT key, len(ids) AS size, unnest(ids) AS x, generate_subscripts(ids, 1) - 1 AS i FROM keyed),
+
+def whole_words(start: str) -> str:
+    """The positions hit per example; ``start`` tests whether a word begins at token x."""
+    return f"""etok AS (SELECT key, len(ids) AS size, unnest(ids) AS x, generate_subscripts(ids, 1) - 1 AS i FROM keyed),
 flag AS (
-  SELECT *, CASE WHEN i = 0 OR x < 5 OR x % 3 <> 0 OR lag(x) OVER (PARTITION BY key ORDER BY i) < 5
+  SELECT *, CASE WHEN i = 0 OR x < 5 OR {start} OR lag(x) OVER (PARTITION BY key ORDER BY i) < 5
     THEN 1 ELSE 0 END AS fresh FROM etok),
 word AS (
   SELECT key, any_value(size) AS size, min(i) AS start, count(*) AS len FROM (
@@ -219,6 +222,118 @@ hits AS (
   SELECT key, flatten(list(range(start, start + len))) AS hit FROM taken WHERE hit GROUP BY key)"""
 
 
+# Training one merge at a time. A word is a string with the character id + 1 per token, so a
+# merge is a replace. Pieces that are only to be encoded take part with count 0.
+
+def _pieces_of(text: str) -> str:
+    return f"""regexp_extract_all(regexp_replace({text}, '(\\s)(\\s\\S)', '\\1' || chr(57344) || '\\2', 'g'),
+    '''s|''t|''re|''ve|''m|''ll|''d| ?\\p{{L}}+| ?\\p{{N}}+| ?[^\\s\\p{{L}}\\p{{N}}{_MARK}]+|\\s+')"""
+
+
+def _loop(start: str, base: str, size: int) -> str:
+    return f"""loop AS (
+  SELECT 0::BIGINT AS step, unit, word, n::BIGINT AS n, NULL::VARCHAR AS pair FROM {start}
+  UNION ALL
+  SELECT l.step + 1, l.unit, replace(l.word, b.pair, chr(({base} + l.step + 1)::INT)), l.n, b.pair
+  FROM loop l, (
+    SELECT pair FROM (
+      SELECT n, unnest(list_transform(range(1, len(c)), lambda k: c[k] || c[k + 1])) AS pair
+      FROM (SELECT n, string_split(word, '') AS c FROM loop WHERE n > 0))
+    GROUP BY pair HAVING sum(n) >= 2 ORDER BY sum(n) DESC, pair LIMIT 1) b
+  WHERE {base} + l.step < {size}),
+merges AS MATERIALIZED (
+  SELECT DISTINCT step - 1 AS rank, unicode(substr(pair, 1, 1)) - 1 AS l,
+    unicode(substr(pair, 2, 1)) - 1 AS r FROM loop WHERE step > 0)"""
+
+
+BASE_VOCAB = f"""symbols AS MATERIALIZED (
+  SELECT i - 1 AS id, ['<s>', '<pad>', '</s>', '<unk>', '<mask>'][i] AS token FROM range(1, 6) r(i)
+  UNION ALL
+  SELECT {BYTE_ID}, CASE WHEN b BETWEEN 33 AND 126 OR b BETWEEN 161 AND 172 OR b >= 174
+    THEN chr(b::INT) ELSE chr((256 + {BYTE_ID} - 193)::INT) END FROM range(256) r(b))"""
+
+# The tokens by id, and the vocabulary after the last merge.
+GROWN = """grown AS (
+  SELECT 0::BIGINT AS step, (SELECT list(token ORDER BY id) FROM symbols) AS tokens
+  UNION ALL
+  SELECT g.step + 1, list_append(g.tokens, g.tokens[m.l + 1] || replace(g.tokens[m.r + 1], '##', ''))
+  FROM grown g JOIN merges m ON m.rank = g.step),
+final AS (SELECT tokens FROM grown ORDER BY step DESC LIMIT 1)"""
+
+LINES = """line AS (
+  SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS j
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))"""
+
+
+def trained(units: str) -> str:
+    """Train on the documents' pieces; ``units`` selects other pieces to encode."""
+    return f"""{PIECES},
+units AS (
+  SELECT piece, n FROM hist UNION ALL
+  SELECT piece, 0 FROM ({units}) WHERE piece NOT IN (SELECT piece FROM hist) GROUP BY piece),
+start AS MATERIALIZED (
+  SELECT piece AS unit, array_to_string(list_transform({byte_ids('piece')}, lambda x: chr((x + 1)::INT)), '')
+    AS word, n FROM units),
+{_loop('start', '261', TRAINED_SIZE)},
+dict AS (
+  SELECT unit AS piece, list_transform(string_split(word, ''), lambda c: unicode(c)::BIGINT - 1) AS ids
+  FROM loop WHERE step = (SELECT max(step) FROM loop))"""
+
+
+LINE_PIECES = f"SELECT unnest({_pieces_of('line')}) AS piece FROM line"
+
+TRAINED_ENC = f"""{LINES}, {trained(LINE_PIECES)},
+line_piece AS (
+  SELECT doc_id, j, unnest(p) AS piece, generate_subscripts(p, 1) AS k
+  FROM (SELECT doc_id, j, {_pieces_of('line')} AS p FROM line)),
+line_ids AS (
+  SELECT doc_id, j, flatten(list(d.ids ORDER BY k)) AS ids
+  FROM line_piece p JOIN dict d ON d.piece = p.piece GROUP BY ALL),
+enc AS (
+  SELECT s.source AS file, l.doc_id, flatten(list(
+    list_concat([0::BIGINT], coalesce(i.ids, []), [2::BIGINT]) ORDER BY l.j)) AS ids
+  FROM line l JOIN documents s ON s.doc_id = l.doc_id
+    LEFT JOIN line_ids i ON i.doc_id = l.doc_id AND i.j = l.j GROUP BY ALL)"""
+
+WORD_PIECES = f"SELECT unnest({_pieces_of(chr(39) + ' ' + chr(39) + ' || token')}) AS piece FROM words WHERE token <> ''"
+
+TRAINED_ALIGNED = f"""{TAGGED}, {trained(WORD_PIECES)},
+word_piece AS (
+  SELECT sent_id, pos, label, unnest(p) AS piece, generate_subscripts(p, 1) AS k
+  FROM (SELECT *, {_pieces_of("' ' || token")} AS p FROM labelled WHERE token <> '')),
+piece_ids AS (
+  SELECT sent_id, pos, k, d.ids, list_transform(d.ids, lambda x, q:
+    CASE WHEN q = 1 AND k = 1 THEN label ELSE -100 END) AS labels
+  FROM word_piece p JOIN dict d ON d.piece = p.piece),
+joined AS (
+  SELECT sent_id, flatten(list(ids ORDER BY pos, k)) AS ids, flatten(list(labels ORDER BY pos, k)) AS labels
+  FROM piece_ids GROUP BY sent_id),
+aligned AS (
+  SELECT d.doc_id AS sent_id,
+    list_concat([0::BIGINT], list_slice(coalesce(s.ids, []), 1, 254), [2::BIGINT]) AS ids,
+    list_concat([-100::BIGINT], list_slice(coalesce(s.labels, []), 1, 254), [-100::BIGINT]) AS labels
+  FROM documents d LEFT JOIN joined s ON s.sent_id = d.doc_id)"""
+
+# WordPiece: a line is one unit; the alphabet follows the corpus.
+WORDPIECE = f"""{LINES}, {BASE_VOCAB.replace("symbols AS", "byte_symbols AS")},
+chars AS MATERIALIZED (
+  SELECT line, n, unnest(string_split(line, '')) AS c, generate_subscripts(string_split(line, ''), 1) AS k
+  FROM (SELECT line, count(*) AS n FROM line WHERE line <> '' GROUP BY line)),
+symbols AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY part, place, token) - 1 AS id, token FROM (
+    SELECT 1 AS part, id AS place, token FROM byte_symbols WHERE id < 5
+    UNION ALL
+    SELECT 2, 0, token FROM (
+      SELECT token FROM byte_symbols WHERE id >= 5 UNION SELECT c FROM chars)
+    UNION ALL
+    SELECT DISTINCT 3, 0, '##' || c FROM chars WHERE k > 1)),
+start AS MATERIALIZED (
+  SELECT line AS unit, any_value(n) AS n, string_agg(chr((s.id + 1)::INT), '' ORDER BY k) AS word
+  FROM chars JOIN symbols s ON s.token = CASE WHEN k > 1 THEN '##' || c ELSE c END
+    AND (k > 1 OR s.id >= 5) GROUP BY line),
+{_loop('start', '(SELECT count(*) FROM symbols)', WORDPIECE_SIZE)}, {GROWN}"""
+
+
 def query(ctes: str, select: str) -> str:
     return f"WITH RECURSIVE {ctes}\n{select}"
 
@@ -277,6 +392,16 @@ ORACLES: dict[str, str] = {
           SELECT n, unnest(list_transform(range(1, len(ids)), lambda k:
             {'l': ids[k], 'r': ids[k + 1]})) AS p FROM spelled)
         GROUP BY ALL) WHERE n >= 2"""),
+    "bpe_train": query(trained("SELECT NULL AS piece WHERE false"), """
+      SELECT rank, l::BIGINT AS "left", r::BIGINT AS "right", 261 + rank AS new_id FROM merges"""),
+    "write_tokenizer": query(
+      f"""{trained("SELECT NULL AS piece WHERE false")}, {BASE_VOCAB}, {GROWN}""",
+      "SELECT generate_subscripts(tokens, 1) - 1 AS id, unnest(tokens) AS token FROM final"),
+    "wordpiece_train": query(
+      WORDPIECE, "SELECT generate_subscripts(tokens, 1) - 1 AS id, unnest(tokens) AS token FROM final"),
+    "encode": query(TRAINED_ENC, "SELECT doc_id, array_to_string(ids, ' ') AS ids FROM enc"),
+    "align_labels": query(TRAINED_ALIGNED, """SELECT sent_id, array_to_string(ids, ' ') AS input_ids,
+      array_to_string(labels, ' ') AS labels FROM aligned"""),
     "encode_bytes": f"""SELECT doc_id, array_to_string(flatten(list_transform(
         string_split(text, chr(10)), lambda l: list_concat([0::BIGINT], {byte_ids('l')}, [2::BIGINT]))), ' ') AS ids
       FROM documents""",
@@ -310,8 +435,9 @@ ORACLES: dict[str, str] = {
       FROM documents""",
     "top_k": """SELECT * FROM (
         SELECT file, word, n, row_number() OVER (PARTITION BY file ORDER BY n DESC, word) AS "rank"
-        FROM (SELECT source AS file, unnest(string_split(replace(text, chr(10), ' '), ' ')) AS word,
-            count(*) AS n FROM documents GROUP BY ALL)) WHERE "rank" <= 3""",
+        FROM (SELECT file, word, count(*) AS n FROM (
+            SELECT source AS file, unnest(string_split(replace(text, chr(10), ' '), ' ')) AS word
+            FROM documents) GROUP BY ALL)) WHERE "rank" <= 3""",
     "batch_pad": query(padded(FILE_POS), f"""SELECT batch_id, "row",
       {pad('ids', 'width', '1')} AS input_ids, {mask('ids', 'width')} AS attention_mask FROM wide"""),
     "clm_labels": query(padded(HASH_POS), f"""SELECT batch_id, "row",
@@ -319,7 +445,12 @@ ORACLES: dict[str, str] = {
       {pad('ids', 'width', '-100')} AS labels FROM wide"""),
     "mlm_mask": query(KEYED, f"""SELECT file, doc_id, ex_idx, {replaced(
       "x >= 5 AND substr(md5('0:' || key || ':' || (k - 1)), 1, 8) < '26666666'")} FROM keyed"""),
-    "whole_word_mask": query(WHOLE_WORDS, f"""SELECT file, doc_id, ex_idx, {replaced(
+    "whole_word_mask_trained": query(
+      f"""{examples(512, TRAINED_ENC)}, {KEY}, {BASE_VOCAB}, {GROWN},
+      {whole_words("starts_with((SELECT tokens FROM final)[x + 1], 'Ġ')")}""",
+      f"""SELECT file, doc_id, ex_idx, {replaced("list_contains(hit, k - 1)", TRAINED_SIZE)} FROM (
+        SELECT e.*, coalesce(h.hit, []) AS hit FROM keyed e LEFT JOIN hits h ON h.key = e.key)"""),
+    "whole_word_mask": query(f"{KEYED}, {whole_words('x % 3 <> 0')}", f"""SELECT file, doc_id, ex_idx, {replaced(
       "list_contains(hit, k - 1)")} FROM (
         SELECT e.*, coalesce(h.hit, []) AS hit FROM keyed e LEFT JOIN hits h ON h.key = e.key)"""),
     "tokcls_pad": query(f"""{ALIGNED},

@@ -20,6 +20,7 @@ from . import inputs
 
 BLOCK = 128
 SHORT_TRIM = 16
+WORDPIECE_SIZE = 385
 MASK_KEYS = ("file", "doc_id", "ex_idx")
 
 
@@ -206,7 +207,7 @@ def bpe_train(spark, sf):
 
 def wordpiece_train(spark, sf):
     lines = inputs.documents(spark, sf).select(F.explode(F.split("text", "\n")).alias("text"))
-    return flat(bpe.wordpiece_train(lines, size=420).vocab)
+    return flat(bpe.wordpiece_train(lines, size=WORDPIECE_SIZE).vocab)
 
 
 def encode(spark, sf):
