@@ -34,12 +34,11 @@ def corpus(spark: SparkSession, sf: str) -> DataFrame:
     return documents(spark, sf).select(F.col("source").alias("file"), "doc_id", "text")
 
 
-def conversations(spark: SparkSession, sf: str) -> DataFrame:
-    """``(conv_id, text)`` with the turns joined by blank lines."""
-    turns = table(spark, sf, "conversations").groupBy("conv_id").agg(
-        F.sort_array(F.collect_list(F.struct("turn", "text"))).alias("t"))
-    text = F.array_join(F.transform("t", lambda t: t["text"]), "\n\n")
-    return turns.select("conv_id", text.alias("text"))
+def spaced_turns(spark: SparkSession, sf: str) -> DataFrame:
+    """``(conv_id, turn, text)`` with two or three newlines where the text has one."""
+    gap = F.when(F.col("turn") % 2 == 0, "\n\n").otherwise("\n\n\n")
+    return table(spark, sf, "conversations").select(
+        "conv_id", "turn", F.replace("text", F.lit("\n"), gap).alias("text"))
 
 
 def marked(spark: SparkSession, sf: str) -> DataFrame:

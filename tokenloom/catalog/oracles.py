@@ -364,8 +364,8 @@ ORACLES: dict[str, str] = {
       string_agg(ner, ' ' ORDER BY pos) AS ner FROM tagged GROUP BY sent_id"""),
     "append_sample_log": """SELECT replace(replace(text, chr(10), chr(9)), ' ', chr(9)) AS value
       FROM documents""",
-    "strip_blank": """SELECT conv_id, replace(string_agg(text, chr(10) || chr(10) ORDER BY turn),
-      chr(10) || chr(10), '') AS text FROM conversations GROUP BY conv_id""",
+    "strip_blank": """SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN replace(text, chr(10), '')
+      ELSE text END AS text FROM conversations""",
     "drop_source_columns": query(TAGGED, """SELECT sent_id,
       string_agg(label::VARCHAR, ' ' ORDER BY pos) AS labels FROM labelled GROUP BY sent_id"""),
     "map_label_names": query(TAGGED, """SELECT sent_id,

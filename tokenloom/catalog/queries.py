@@ -155,7 +155,7 @@ def append_sample_log(spark, sf):
 
 
 def strip_blank(spark, sf):
-    return inputs.conversations(spark, sf).withColumn("text", strip_blank_lines(F.col("text")))
+    return inputs.spaced_turns(spark, sf).withColumn("text", strip_blank_lines(F.col("text")))
 
 
 def drop_source_columns(spark, sf):

@@ -34,12 +34,10 @@ def vocab_tokens(tok: Tokenizer) -> list[str]:
 
 def merge_symbols(word: str, merges: dict[str, tuple[int, str]]) -> str:
     """Apply the merges to one piece, lowest rank first."""
-    while True:
-        found = [(*merges[p], p) for p in set(map(add, word, word[1:])) if p in merges]
-        if not found:
-            return word
-        _, merged, pair = min(found)
-        word = word.replace(pair, merged)
+    while found := set(map(add, word, word[1:])) & merges.keys():
+        pair = min(found, key=merges.__getitem__)
+        word = word.replace(pair, merges[pair][1])
+    return word
 
 
 def piece_encoder(tok: Tokenizer, specials: Sequence[str] = SPECIAL_TOKENS) -> Callable:

@@ -13,9 +13,9 @@ from ..functions.hashing import PREFIX_DIGITS, seeded_hash
 
 EXAMPLE_KEYS = ("file", "doc_id", "ex_idx")
 
-# A key is cut into 12 + 20 + 16 + 16 bits. As keys are unique within a group, no window
-# below sees more than 2**20 rows, however large or sparse a group is.
-SHIFTS = (12, 32, 48)
+# A 64-bit key is cut into 24 + 24 + 16 bits: ranges of 2**16 keys, and groups of 2**24
+# ranges. However large or sparse a file is, no window below sees more rows than that.
+RANGE_BITS, GROUP_BITS = 16, 24
 
 
 def _before(value: Column | str, within: Sequence[str], order: Sequence) -> Column:
@@ -24,145 +24,157 @@ def _before(value: Column | str, within: Sequence[str], order: Sequence) -> Colu
     return F.coalesce(F.sum(value).over(window), F.lit(0)).cast("bigint")
 
 
-def _bucket_offsets(sums: DataFrame, group: str) -> DataFrame:
-    """``(group, b0, start)``: what lies before each bucket of ``2**12`` keys."""
-    levels = [sums]
-    steps = [b - a for a, b in zip(SHIFTS, SHIFTS[1:])]
-    for i, step in enumerate(steps):
-        finer = levels[-1].withColumn(f"b{i + 1}", F.shiftright(f"b{i}", step))
-        levels[-1] = finer
-        levels.append(finer.groupBy(group, f"b{i + 1}").agg(F.sum("s").alias("s")))
-    top = len(steps)
-    starts = levels[top].select(
-        group, f"b{top}", _before("s", [group], [f"b{top}"]).alias("start")
+def _ranged(df: DataFrame, file: str, key: str) -> DataFrame:
+    """Add ``_range``, the key range of a row.
+
+    The grouping columns are made non-nullable: for nullable ones the joins below would add
+    their own null filters to each branch, and no branch could reuse another's shuffle.
+    """
+    return df.withColumn(file, F.coalesce(file, F.lit(""))).withColumn(
+        "_range", F.coalesce(F.shiftright(F.col(key).cast("bigint"), RANGE_BITS), F.lit(0))
     )
-    for i in reversed(range(top)):
-        parent = f"b{i + 1}"
-        inner = levels[i].withColumn("inner", _before("s", [group, parent], [f"b{i}"]))
-        starts = inner.join(starts, [group, parent]).select(
-            group, f"b{i}", (F.col("start") + F.col("inner")).alias("start")
-        )
-    return starts
 
 
-def with_offsets(df: DataFrame, group: str, key: str, value: Column, out: str) -> DataFrame:
-    """Add ``out``: the sum of ``value`` over the rows of the group with a smaller key.
+def _range_starts(ranged: DataFrame, file: str, value: Column) -> DataFrame:
+    """``(file, _range, n, start)``: what lies in each key range and before it in the file.
 
-    ``key`` is a bigint, unique within the group. Sums per key range are added up first,
-    level by level, so a group that holds most of the rows still spreads over many tasks.
+    The rows are read once, into one sum per range; the rest works on those sums.
     """
-    keyed = df.withColumn("b0", F.shiftright(F.col(key).cast("bigint"), SHIFTS[0]))
-    sums = keyed.groupBy(group, "b0").agg(F.sum(value).alias("s"))
-    within = keyed.withColumn(out, _before(value, [group, "b0"], [key]))
-    return (
-        within.join(_bucket_offsets(sums, group), [group, "b0"])
-        .withColumn(out, F.col(out) + F.col("start")).drop("b0", "start")
+    sums = ranged.groupBy(file, "_range").agg(F.sum(value).cast("bigint").alias("n"))
+    sums = sums.withColumn("n", F.coalesce("n", F.lit(0)))
+    sums = sums.withColumn("_group", F.shiftright("_range", GROUP_BITS))
+    groups = sums.groupBy(file, "_group").agg(F.sum("n").alias("m")).select(
+        file, "_group", _before("m", [file], ["_group"]).alias("base"))
+    inner = sums.withColumn("start", _before("n", [file, "_group"], ["_range"]))
+    return inner.join(groups, [file, "_group"]).select(
+        file, "_range", "n", (F.col("base") + F.col("start")).alias("start")
     )
 
 
-def document_starts(examples: DataFrame, keys: Sequence[str] = EXAMPLE_KEYS,
-                    file_order: Callable[[str], Column] = F.col) -> DataFrame:
-    """``(file, doc_id, n, start)``: where the examples of each document begin overall.
+def _overall_starts(ranged: DataFrame, file: str, file_order: Callable[[str], Column]) -> DataFrame:
+    """``(file, _range, n, start, total)`` over all files; one row per file is ordered."""
+    ranges = _range_starts(ranged, file, F.lit(1))
+    files = ranges.groupBy(file).agg(F.sum("n").alias("m"))
+    bases = files.select(
+        file,
+        _before("m", [], [file_order(file), file]).alias("base"),
+        F.sum("m").over(W.partitionBy()).alias("total"),
+    )
+    return ranges.join(bases, file).select(
+        file, "_range", "n", (F.col("base") + F.col("start")).alias("start"), "total"
+    )
 
-    Only counts per document are shuffled. Files are ordered by ``file_order``; that last
-    running sum has one row per file.
+
+def with_offsets(df: DataFrame, file: str, key: str, value: Column, out: str) -> DataFrame:
+    """Add ``out``: the sum of ``value`` over the rows of the file with a smaller key.
+
+    ``key`` is a bigint, unique within the file. Sums per key range are added up first, so
+    a file that holds most of the rows still spreads over many tasks, and the rows
+    themselves are shuffled once.
     """
-    file, doc, _ = keys
-    docs = examples.groupBy(file, doc).agg(F.count(F.lit(1)).alias("n"))
-    inside = with_offsets(docs, file, doc, F.col("n"), "inside")
-    files = docs.groupBy(file).agg(F.sum("n").alias("n"))
-    bases = files.select(file, _before("n", [], [file_order(file), file]).alias("base"))
-    return inside.join(bases, file).select(
-        file, doc, "n", (F.col("base") + F.col("inside")).alias("start")
+    ranged = _ranged(df, file, key)
+    within = ranged.withColumn(out, _before(value, [file, "_range"], [key]))
+    starts = _range_starts(ranged, file, value).select(file, "_range", "start")
+    return (
+        within.join(starts, [file, "_range"])
+        .withColumn(out, F.col(out) + F.col("start")).drop("_range", "start")
     )
 
 
 def file_positions(examples: DataFrame, keys: Sequence[str] = EXAMPLE_KEYS,
                    file_order: Callable[[str], Column] = F.col) -> DataFrame:
-    """Add ``pos``, 0-based, in file, document and example order.
-
-    The last key counts the examples of a document from 0.
-    """
+    """Add ``pos``, 0-based, in file, document and example order."""
     file, doc, index = keys
-    starts = document_starts(examples, keys, file_order).drop("n")
-    placed = examples.join(starts, [file, doc])
-    return placed.withColumn("pos", F.col("start") + F.col(index)).drop("start")
+    ranged = _ranged(examples, file, doc)
+    rank = F.row_number().over(W.partitionBy(file, "_range").orderBy(doc, index))
+    starts = _overall_starts(ranged, file, file_order).select(file, "_range", "start")
+    return (
+        ranged.withColumn("rank", rank).join(starts, [file, "_range"])
+        .withColumn("pos", F.col("start") + F.col("rank") - 1).drop("_range", "start", "rank")
+    )
 
 
 def _histogram(hashes: DataFrame) -> DataFrame:
-    """``(prefix, n, before)`` over at most 16**4 hash prefixes."""
+    """``(prefix, n, before, total)`` over at most 16**4 hash prefixes."""
     counts = hashes.groupBy("prefix").agg(F.count(F.lit(1)).alias("n"))
-    return counts.select("prefix", "n", _before("n", [], ["prefix"]).alias("before"))
-
+    return counts.select(
+        "prefix", "n", _before("n", [], ["prefix"]).alias("before"),
+        F.sum("n").over(W.partitionBy()).alias("total"),
+    )
 
-def shuffle_rows(df: DataFrame, keys: Sequence[str] = EXAMPLE_KEYS, seed: int = 0) -> DataFrame:
-    """Rows in an order fixed by the seed, with their ``pos``.
 
-    The keys identify a row. One range shuffle on the hash prefix both sorts the rows and
-    groups them for ranking; the counts per prefix are small enough to broadcast.
-    """
+def _hash_positions(df: DataFrame, keys: Sequence[str], seed: int) -> DataFrame:
+    """Add ``pos`` in seeded order, and ``total``."""
     hashed = df.withColumn("shuffle_key", seeded_hash(seed, *keys))
     hashed = hashed.withColumn("prefix", F.substring("shuffle_key", 1, PREFIX_DIGITS))
-    starts = _histogram(hashed.select("prefix")).select("prefix", "before")
+    starts = _histogram(hashed.select("prefix")).select("prefix", "before", "total")
     rank = F.row_number().over(W.partitionBy("prefix").orderBy("shuffle_key", *keys))
-    ranked = hashed.repartitionByRange("prefix").withColumn("rank", rank)
     return (
-        ranked.join(F.broadcast(starts), "prefix")
+        hashed.withColumn("rank", rank).join(F.broadcast(starts), "prefix")
         .withColumn("pos", F.col("before") + F.col("rank") - 1)
         .drop("prefix", "rank", "before", "shuffle_key")
     )
 
 
+def shuffle_rows(df: DataFrame, keys: Sequence[str] = EXAMPLE_KEYS, seed: int = 0) -> DataFrame:
+    """Add ``pos``, the place of each row in an order fixed by the seed.
+
+    The keys identify a row. Rows are ranked within their hash prefix, in parallel; the
+    counts per prefix, at most 65,536, are broadcast.
+    """
+    return _hash_positions(df, keys, seed).drop("total")
+
+
 def shuffle_files(examples: DataFrame, keys: Sequence[str] = EXAMPLE_KEYS,
                   seed: int = 0) -> DataFrame:
-    """Files in an order fixed by the seed, rows in their own order inside; adds ``pos``."""
-    placed = file_positions(examples, keys, lambda name: seeded_hash(seed, name))
-    return placed.orderBy("pos")
+    """Add ``pos``: files in an order fixed by the seed, rows in their own order inside."""
+    return file_positions(examples, keys, lambda name: seeded_hash(seed, name))
+
 
+def _cut_at(df: DataFrame, key: Column, buckets: DataFrame, bucket: Sequence[str],
+            names: tuple[str, str]) -> DataFrame:
+    """Label rows up to the ``wanted``-th one by comparing keys; the rows stay where they are.
 
-def _label_up_to(df: DataFrame, key: Column, last: DataFrame, names: tuple[str, str]) -> DataFrame:
-    """Rows up to the one key in ``last`` get the first name; with no key, none does."""
+    ``buckets(*bucket, n, before, wanted)`` tells in which bucket the cut falls, and only
+    the keys of that bucket are ranked.
+    """
+    edge = buckets.filter("before < wanted and wanted <= before + n").select(
+        F.struct(*bucket, (F.col("wanted") - F.col("before")).alias("wanted"))).scalar()
+    inside = df.filter(F.struct(*bucket) == F.struct(*[edge[b].alias(b) for b in bucket]))
+    rank = F.row_number().over(W.partitionBy(*bucket).orderBy("k"))
+    last = inside.select(*bucket, key.alias("k")).withColumn("rank", rank)
+    limit = last.filter(F.col("rank") == edge["wanted"]).select("k").scalar()
     first, rest = names
-    inside = F.coalesce(key <= last.scalar(), F.lit(False))
-    return df.withColumn("split", F.when(inside, first).otherwise(rest))
+    upto = F.coalesce(key <= limit, F.lit(False))
+    return df.withColumn("split", F.when(upto, first).otherwise(rest)).drop(*bucket)
 
 
 def _hash_cut(df: DataFrame, keys: Sequence[str], seed: int, wanted: Callable[[Column], Column],
               names: tuple[str, str]) -> DataFrame:
-    """Label the first ``wanted(n)`` rows of the seeded order, without sorting the rows.
-
-    A histogram of hash prefixes tells in which bucket the cut falls; only that bucket is
-    ranked. The rows themselves are compared with the key found and stay where they are.
-    """
-    key = F.struct(seeded_hash(seed, *keys).alias("h"), *keys)
-    hashes = df.select(key.alias("k")).withColumn("prefix", F.substring("k.h", 1, PREFIX_DIGITS))
-    everything = W.partitionBy()
-    edge = (
-        _histogram(hashes.select("prefix"))
-        .withColumn("wanted", wanted(F.sum("n").over(everything)).cast("bigint"))
-        .filter("before < wanted and wanted <= before + n")
-        .select("prefix", (F.col("wanted") - F.col("before")).alias("wanted"))
-    )
-    rank = F.row_number().over(W.partitionBy("prefix").orderBy("k"))
-    last = (
-        hashes.join(F.broadcast(edge), "prefix").withColumn("rank", rank)
-        .filter("rank = wanted").select("k")
-    )
-    return _label_up_to(df, key, last, names)
+    """Label the first ``wanted(n)`` rows of the seeded order."""
+    hash_ = seeded_hash(seed, *keys)
+    hashed = df.withColumn("_prefix", F.substring(hash_, 1, PREFIX_DIGITS))
+    buckets = _histogram(hashed.select(F.col("_prefix").alias("prefix"))).select(
+        F.col("prefix").alias("_prefix"), "n", "before",
+        wanted(F.col("total")).cast("bigint").alias("wanted"))
+    key = F.struct(hash_.alias("h"), *keys)
+    return _cut_at(hashed, key, buckets, ["_prefix"], names)
 
 
 def _head_cut(df: DataFrame, keys: Sequence[str], wanted: Callable[[Column], Column],
               names: tuple[str, str]) -> DataFrame:
-    """Label the first ``wanted(n)`` rows in file order, from counts per document."""
-    file, doc, index = keys
-    total = df.agg(F.count(F.lit(1)).alias("n")).select(wanted(F.col("n")).cast("bigint")).scalar()
-    last = (
-        document_starts(df, keys).withColumn("wanted", total)
-        .filter("start < wanted and wanted <= start + n")
-        .select(F.struct(file, doc, (F.col("wanted") - F.col("start") - 1).alias(index)))
-    )
-    key = F.struct(file, doc, F.col(index).cast("bigint").alias(index))
-    return _label_up_to(df, key, last, names)
+    """Label the first ``wanted(n)`` rows in file order."""
+    file, doc, _ = keys
+    ranged = _ranged(df, file, doc).withColumn("_file", F.col(file))
+    buckets = _overall_starts(ranged, file, F.col).select(
+        F.col(file).alias("_file"), "_range", "n", F.col("start").alias("before"),
+        wanted(F.col("total")).cast("bigint").alias("wanted"))
+    return _cut_at(ranged, F.struct(*keys), buckets, ["_file", "_range"], names)
+
+
+def _share(ratio: float) -> Callable[[Column], Column]:
+    """``round(n * ratio)``, halves to even."""
+    return lambda n: F.rint(n * F.lit(float(ratio)))
 
 
 def split_head(examples: DataFrame, dev_ratio: float = DEV_RATIO, shuffle: bool = False,
@@ -171,19 +183,17 @@ def split_head(examples: DataFrame, dev_ratio: float = DEV_RATIO, shuffle: bool
 
     Halves round to even. Rows lead in file order, or in the order of ``shuffle_rows``.
     """
-    def wanted(n: Column) -> Column:
-        return F.rint(n * F.lit(float(dev_ratio)))
-
     if shuffle:
-        return _hash_cut(examples, keys, seed, wanted, ("dev", "train"))
-    return _head_cut(examples, keys, wanted, ("dev", "train"))
+        return _hash_cut(examples, keys, seed, _share(dev_ratio), ("dev", "train"))
+    return _head_cut(examples, keys, _share(dev_ratio), ("dev", "train"))
 
 
-def split_by_position(df: DataFrame, dev_ratio: float = DEV_RATIO) -> DataFrame:
-    """Add ``split`` to rows that already carry ``pos``, with the cut of ``split_head``."""
-    rows = df.agg(F.count(F.lit(1)).alias("n"))
-    wanted = rows.select(F.rint(F.col("n") * F.lit(float(dev_ratio))).cast("bigint")).scalar()
-    return df.withColumn("split", F.when(F.col("pos") < wanted, "dev").otherwise("train"))
+def shuffle_and_split(examples: DataFrame, dev_ratio: float = DEV_RATIO, seed: int = 0,
+                      keys: Sequence[str] = EXAMPLE_KEYS) -> DataFrame:
+    """Add the ``pos`` of ``shuffle_rows`` and the ``split`` of ``split_head`` together."""
+    placed = _hash_positions(examples, keys, seed)
+    dev = F.col("pos") < _share(dev_ratio)(F.col("total"))
+    return placed.withColumn("split", F.when(dev, "dev").otherwise("train")).drop("total")
 
 
 def split_fraction(df: DataFrame, test_size: float = TEST_FRACTION, seed: int = 0,

@@ -95,8 +95,7 @@ def chunk_block(df: DataFrame, block: int, file: str = "file", key: str = "doc_i
     than ``block`` ids per side, are shuffled to their neighbours.
     """
     _check_length("block", block)
-    filled = df.select(file, key, ids).filter(F.size(ids) > 0)
-    placed = with_offsets(filled, file, key, F.size(ids), "at")
+    placed = with_offsets(df.select(file, key, ids), file, key, F.size(ids), "at")
     length = F.lit(block).cast("bigint")
 
     def parts(v: Column, at: Column) -> Column:
@@ -109,8 +108,11 @@ def chunk_block(df: DataFrame, block: int, file: str = "file", key: str = "doc_i
                 F.slice(v, (start + 1).cast("int"), (stop - start).cast("int")).alias("part"),
             )
 
-        last = at + F.size(v) - 1
-        return F.transform(F.sequence(F.expr(f"at div {block}L"), F.floor(last / block)), one)
+        def chunk_of(place: Column) -> Column:
+            return ((place - place % length) / length).cast("bigint")
+
+        chunks = F.sequence(chunk_of(at), chunk_of(at + F.size(v) - 1))
+        return F.transform(F.when(F.size(v) > 0, chunks), one)
 
     pieces = placed.select(file, F.inline(let(F.col(ids), lambda v: parts(v, F.col("at")))))
     whole = F.size("part") == block

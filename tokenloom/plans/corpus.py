@@ -11,7 +11,7 @@ from ..constants import DEV_RATIO, EOS_ID, MIN_FREQUENCY, VOCAB_SIZE
 from ..functions.text import strip_blank_lines
 from ..operators.bpe import Tokenizer, bpe_train, word_counts, wordpiece_train
 from ..operators.codec import encode
-from ..operators.ordering import EXAMPLE_KEYS, shuffle_rows, split_by_position, split_head
+from ..operators.ordering import EXAMPLE_KEYS, shuffle_and_split, split_head
 from ..operators.packing import pack
 from ..sources.files import select_files
 from ..sources.texts import read_jsonl_attr, read_tolerant
@@ -46,10 +46,10 @@ def encode_folder(spark: SparkSession, paths: str | Sequence[str], tok: Tokenize
 def make_examples(encoded: DataFrame, trim: int | None = None, block: int | None = None,
                   dev_ratio: float = DEV_RATIO, shuffle: bool = False, seed: int = 0,
                   eos: int = EOS_ID) -> DataFrame:
-    """``examples(file, doc_id, ex_idx, ids, split)``; shuffled ones come sorted, with ``pos``."""
+    """``examples(file, doc_id, ex_idx, ids, split)``; shuffled ones carry ``pos``."""
     examples = pack(encoded, trim, block, eos)
     if shuffle:
-        return split_by_position(shuffle_rows(examples, EXAMPLE_KEYS, seed), dev_ratio)
+        return shuffle_and_split(examples, dev_ratio, seed)
     return split_head(examples, dev_ratio)
 
 
