@@ -1,12 +1,13 @@
 """Files in and out."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from tokenloom.functions.text import strip_blank_lines
-from tokenloom.operators import bpe, packing
+from tokenloom.operators import bpe, codec, packing
 from tokenloom.plans.corpus import encode_folder, make_dataset, train_tokenizer
 from tokenloom.sources import files, texts, tokens
 from tokenloom.streaming.encode import encode_new_files
@@ -33,6 +34,30 @@ def test_order_survives_many_splits(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_encoded_parts_keep_line_order(spark, tmp_path):
+    """Many read tasks, many part files of uneven size, and many tasks again."""
+    rng = random.Random(3)
+    sizes = [rng.choice([1, 2, 40]) if i % 500 < 250 else 1 for i in range(1500)]
+    (tmp_path / "a.jsonl").write_text("".join(
+        json.dumps({"text": f"{i} " + "x" * sizes[i]}) + "\n" for i in range(1500)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "10")
+    try:
+        root = encode_folder(spark, str(tmp_path / "a.jsonl"), bpe.byte_tokenizer(spark), str(tmp_path))
+        lists = tokens.read_token_lists(spark, root)
+        assert lists.rdd.getNumPartitions() > 20
+        rows = codec.decode(lists, bpe.byte_tokenizer(spark)).orderBy("doc_id").collect()
+        assert len({r.doc_id for r in rows}) == 1500
+        assert [int(r.text.split()[0]) for r in rows] == list(range(1500))
+        (tmp_path / "m.json").write_text(json.dumps([[i] * (i % 7) for i in range(2000)]))
+        matrix = tokens.read_token_matrix(spark, str(tmp_path / "m.json"))
+        assert matrix.rdd.getNumPartitions() > 3
+        assert [r.ids for r in matrix.orderBy("doc_id").collect()] == [[i] * (i % 7) for i in range(2000)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_tolerant_read(spark, tmp_path):
     (tmp_path / "good.json").write_text(json.dumps({"sents": ["x", "y"], "other": 1}, indent=1))
     (tmp_path / "cut.json").write_text('{"sents": ["x", "y"')

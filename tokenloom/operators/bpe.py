@@ -15,13 +15,13 @@ from pyspark.sql import functions as F
 
 from ..constants import MIN_FREQUENCY, SPECIAL_TOKENS, VOCAB_SIZE, byte_alphabet
 from ..functions.text import pieces, to_byte_symbols, utf8_as_latin1
-from ..session import shared_dir
+from ..session import remove_path, scratch_path
 
 SURROGATES = 0xD800, 0x800  # first code point and number of those no string may hold
 ADJACENT = "(?s)(?=(..))"  # every overlapping pair of characters
 
 TOP_PAIRS = 1000  # best pairs the driver sees per round
-CHECKPOINT_ROUNDS = 8
+SETTLE_ROUNDS = 8
 MAX_ALPHABET = 300_000  # more characters than Unicode has assigned
 
 
@@ -138,16 +138,22 @@ def merge_batch(ranked: list[tuple[str, int]], complete: bool, room: int,
     return [pair for k, (pair, count) in enumerate(taken) if k == 0 or count > bound]
 
 
-def _settle(words: DataFrame, previous: DataFrame | None) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint and keep a copy in memory.
+class _Settled:
+    """The words as a table in the shared folder, with a copy in memory.
 
-    Words of one symbol hold no pair any more and are left out.
+    Writing it cuts the lineage, and lost executors only cost a new read. Words of one
+    symbol hold no pair any more and are left out.
     """
-    saved = words.filter(F.length("word") > 1).checkpoint()
-    saved = saved.persist(StorageLevel.MEMORY_AND_DISK)
-    if previous is not None:
-        previous.unpersist()
-    return saved
+
+    def __init__(self, words: DataFrame):
+        spark = words.sparkSession
+        self.path = scratch_path(spark, "words")
+        words.filter(F.length("word") > 1).write.parquet(self.path)
+        self.words = spark.read.parquet(self.path).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def drop(self) -> None:
+        self.words.unpersist()
+        remove_path(self.words.sparkSession, self.path)
 
 
 def learn_merges(words: DataFrame, tokens: list[str], size: int = VOCAB_SIZE,
@@ -159,7 +165,6 @@ def learn_merges(words: DataFrame, tokens: list[str], size: int = VOCAB_SIZE,
     and is dropped inside a joined token.
     """
     spark = words.sparkSession
-    shared_dir(spark)
     tokens = list(tokens)
     ids = {token: i for i, token in enumerate(tokens)}
     by_symbol = {symbol(i): i for i in range(len(tokens))}
@@ -170,29 +175,33 @@ def learn_merges(words: DataFrame, tokens: list[str], size: int = VOCAB_SIZE,
         return left + right.removeprefix(continuing)
 
     words = words.repartition(spark.sparkContext.defaultParallelism, "word")
-    base = words = _settle(words, None)
-    rounds = 0
-    while len(tokens) < size:
-        best = _pair_counts(words, min_frequency).orderBy(F.desc("n"), "pair").limit(TOP_PAIRS)
-        ranked = [(row.pair, row.n) for row in best.collect()]
-        if not ranked:
-            break
-        batch = merge_batch(ranked, len(ranked) < TOP_PAIRS, size - len(tokens),
-                            ids.__contains__, joined)
-        merged = F.col("word")
-        for pair in batch:
-            token = joined(pair)
-            if token not in ids:
-                ids[token] = len(tokens)
-                by_symbol[symbol(len(tokens))] = len(tokens)
-                tokens.append(token)
-            merges.append((len(merges), *(by_symbol[s] for s in pair), ids[token]))
-            merged = F.replace(merged, F.lit(pair), F.lit(symbol(ids[token])))
-        words = words.select(merged.alias("word"), "n")
-        rounds += 1
-        if rounds % CHECKPOINT_ROUNDS == 0:
-            base = words = _settle(words, base)
-    base.unpersist()
+    base = _Settled(words)
+    words, rounds = base.words, 0
+    try:
+        while len(tokens) < size:
+            best = _pair_counts(words, min_frequency).orderBy(F.desc("n"), "pair").limit(TOP_PAIRS)
+            ranked = [(row.pair, row.n) for row in best.collect()]
+            if not ranked:
+                break
+            batch = merge_batch(ranked, len(ranked) < TOP_PAIRS, size - len(tokens),
+                                ids.__contains__, joined)
+            merged = F.col("word")
+            for pair in batch:
+                token = joined(pair)
+                if token not in ids:
+                    ids[token] = len(tokens)
+                    by_symbol[symbol(len(tokens))] = len(tokens)
+                    tokens.append(token)
+                merges.append((len(merges), *(by_symbol[s] for s in pair), ids[token]))
+                merged = F.replace(merged, F.lit(pair), F.lit(symbol(ids[token])))
+            words = words.select(merged.alias("word"), "n")
+            rounds += 1
+            if rounds % SETTLE_ROUNDS == 0:
+                old, base = base, _Settled(words)
+                words = base.words
+                old.drop()
+    finally:
+        base.drop()
     return _tokenizer(spark, tokens, merges)
 
 

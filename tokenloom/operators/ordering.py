@@ -13,9 +13,10 @@ from ..functions.hashing import PREFIX_DIGITS, seeded_hash
 
 EXAMPLE_KEYS = ("file", "doc_id", "ex_idx")
 
-# A 64-bit key is cut into 24 + 24 + 16 bits: ranges of 2**16 keys, and groups of 2**24
-# ranges. However large or sparse a file is, no window below sees more rows than that.
-RANGE_BITS, GROUP_BITS = 16, 24
+# A 64-bit key is cut into 26 + 26 + 12 bits: ranges of 4,096 keys, and groups of 2**26
+# ranges. However large or sparse a file is, a window sees the rows of 4,096 keys, or at most
+# 2**26 sums.
+RANGE_BITS, GROUP_BITS = 12, 26
 
 
 def _before(value: Column | str, within: Sequence[str], order: Sequence) -> Column:

@@ -38,9 +38,12 @@ def encode_texts(corpus: DataFrame, tok: Tokenizer) -> DataFrame:
 
 def encode_folder(spark: SparkSession, paths: str | Sequence[str], tok: Tokenizer, out: str,
                   attr: str = "text", keyword: str = KEYWORD) -> str:
-    """Encode every JSON-lines file that is not itself an output; returns the output root."""
+    """Encode every JSON-lines file that is not itself an output; returns the output root.
+
+    One pass: nothing between the reader and the writer is shuffled.
+    """
     corpus = select_files(read_jsonl_attr(spark, paths, attr), include=".jsonl", exclude=keyword)
-    return write_token_lists(encode_texts(corpus, tok), out, keyword)
+    return write_token_lists(encode_texts(corpus, tok), out, keyword, in_order=True)
 
 
 def make_examples(encoded: DataFrame, trim: int | None = None, block: int | None = None,

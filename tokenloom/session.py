@@ -46,3 +46,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a table of our own below the shared folder."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    target.getFileSystem(conf).delete(target, True)

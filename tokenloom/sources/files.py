@@ -18,6 +18,23 @@ def file_label(df: DataFrame) -> Column:
     return F.col("file") if "file" in df.columns else F.col("_metadata.file_name")
 
 
+PLACE_BITS = 40  # a physical file may have up to 2**40 bytes; the part number stands above
+
+
+def line_position() -> Column:
+    """A bigint that rises with the line, and is unique, within a file.
+
+    It is the start of the split a line was read from plus the line's number in the task.
+    All splits of a file but the last have full size and therefore a task of their own, and
+    a line has at least one byte, so no line reaches the start of the next split. Files
+    that Spark wrote in several parts follow the part number.
+    """
+    part = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1)
+    number = F.coalesce(part.try_cast("bigint"), F.lit(0))
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return number * F.lit(1 << PLACE_BITS) + F.col("_metadata.file_block_start") + row
+
+
 def require_files(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
     """The paths as a list, after checking that each one holds a readable file.
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .files import file_label, require_files
+from .files import file_label, line_position, require_files
 
 
 def read_jsonl_attr(spark: SparkSession, paths: str | Sequence[str],
@@ -17,7 +17,7 @@ def read_jsonl_attr(spark: SparkSession, paths: str | Sequence[str],
 
     The declared schema holds the one wanted attribute, so the parser skips the rest. A
     line that is not JSON, or lacks the attribute, fails the job. ``doc_id`` rises with
-    the line number within a file: Spark numbers the splits of a file in order.
+    the line within a file.
     """
     schema = T.StructType([T.StructField(attr, T.StringType())])
     reader = spark.read.schema(schema).option("mode", "FAILFAST")
@@ -26,7 +26,7 @@ def read_jsonl_attr(spark: SparkSession, paths: str | Sequence[str],
     missing = F.raise_error(F.lit(f"a line has no attribute {attr!r}")).cast("string")
     return df.select(
         file_label(df).alias("file"),
-        F.monotonically_increasing_id().alias("doc_id"),
+        line_position().alias("doc_id"),
         F.coalesce(text, missing).alias("text"),
     )
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .files import file_label, require_files
+from .files import file_label, line_position, require_files
 
 KEYWORD = "encoded"
 
@@ -25,7 +25,7 @@ def read_token_lists(spark: SparkSession, paths: str | Sequence[str]) -> DataFra
     extra = [c for c in df.columns if c not in ("value", "file")]
     return df.select(
         file_label(df).alias("file"),
-        F.monotonically_increasing_id().alias("doc_id"),
+        line_position().alias("doc_id"),
         _parse_ids(F.col("value")).alias("ids"),
         *extra,
     )
@@ -38,25 +38,31 @@ def read_token_matrix(spark: SparkSession, paths: str | Sequence[str]) -> DataFr
     writer's spacing leaves together is split again below. ``doc_id`` follows file order.
     """
     df = spark.read.option("lineSep", "],").text(require_files(spark, paths))
-    records = df.select(file_label(df).alias("file"), "value").filter(~F.col("value").rlike(r"^\s*(\[\s*\])?\s*$"))
+    records = df.filter(~F.col("value").rlike(r"^\s*(\[\s*\])?\s*$"))
     body = F.regexp_replace("value", r"^[\s\[]+|[\s\]]+$", "")
-    lists = records.select("file", F.explode(F.split(body, r"\]\s*,\s*\[")).alias("items"))
+    lists = records.select(
+        file_label(df).alias("file"), "_metadata",
+        F.explode(F.split(body, r"\]\s*,\s*\[")).alias("items"),
+    )
     return lists.select(
         "file",
-        F.monotonically_increasing_id().alias("doc_id"),
+        line_position().alias("doc_id"),
         _parse_ids(F.concat(F.lit("["), F.col("items"), F.lit("]"))).alias("ids"),
     )
 
 
-def write_token_lists(df: DataFrame, path: str, keyword: str = KEYWORD) -> str:
+def write_token_lists(df: DataFrame, path: str, keyword: str = KEYWORD,
+                      in_order: bool = False) -> str:
     """Write ``encoded(file, doc_id, ids)``, one directory per input file, and return its root.
 
-    A range sort on (file, doc_id) spreads a large file over several tasks while its part
-    files, read in name order, still give the original line order.
+    The part files of a directory, taken by name, give the original line order. With
+    ``in_order`` the partitions already follow (file, doc_id), as they do after a plain
+    read, and nothing is shuffled; else a range sort spreads a large file over tasks.
     """
     target = f"{path.rstrip('/')}/{keyword}"
-    lines = df.orderBy("file", "doc_id").select("file", F.to_json("ids").alias("value"))
-    lines.write.partitionBy("file").text(target)
+    keys = ("file", "doc_id")
+    lines = df.sortWithinPartitions(*keys) if in_order else df.orderBy(*keys)
+    lines.select("file", F.to_json("ids").alias("value")).write.partitionBy("file").text(target)
     return target
 
 
