@@ -37,7 +37,10 @@ def pieces_with_specials(text: Column, add_prefix_space: bool = False,
     pre-tokenized by itself. Texts without any take the short way.
     """
     any_special = "|".join(re.escape(s) for s in sorted(specials, key=len, reverse=True))
-    segments = F.split(text, f"(?={any_special})|(?<={any_special})")
+    # A look at one character first spares most places the whole list of alternatives.
+    opening, closing = ("[" + "".join(map(re.escape, {s[k] for s in specials})) + "]" for k in (0, -1))
+    segments = F.split(
+        text, f"(?={opening})(?={any_special})|(?<={closing})(?<={any_special})")
     mixed = F.flatten(
         F.transform(
             F.filter(segments, lambda s: s != ""),

@@ -40,9 +40,12 @@ def merge_symbols(word: str, merges: dict[str, tuple[int, str]]) -> str:
     return word
 
 
-def piece_encoder(tok: Tokenizer, specials: Sequence[str] = SPECIAL_TOKENS) -> Callable:
+def piece_encoder(tok: Tokenizer, specials: Sequence[str] = SPECIAL_TOKENS,
+                  nested: bool = True) -> Callable:
     """A column function: array of pieces -> array of id arrays, one per piece.
 
+    Without ``nested`` the ids of a row are one flat array.
+
     Each Arrow batch is reduced to its distinct pieces before any of them is merged, and
     the ids are spread back by index arithmetic. Workers share the merges by broadcast.
     """
@@ -56,7 +59,7 @@ def piece_encoder(tok: Tokenizer, specials: Sequence[str] = SPECIAL_TOKENS) -> C
         {s: symbol(ids[s]) for s in specials},
     ))
 
-    @F.arrow_udf("array<array<int>>")
+    @F.arrow_udf("array<array<int>>" if nested else "array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         of_byte, merges, memo = tables.value
         memo = dict(memo)
@@ -71,13 +74,14 @@ def piece_encoder(tok: Tokenizer, specials: Sequence[str] = SPECIAL_TOKENS) -> C
                     if len(memo) < fixed:
                         memo[piece] = word
                 words.append(word)
-            yield _spread(lists, found.indices.to_numpy(zero_copy_only=False), words)
+            yield _spread(lists, found.indices.to_numpy(zero_copy_only=False), words, nested)
 
     return encode
 
 
-def _spread(lists: pa.ListArray, codes: np.ndarray, words: list[str]) -> pa.ListArray:
-    """Nested id lists for the pieces ``words[codes]``, grouped as in ``lists``."""
+def _spread(lists: pa.ListArray, codes: np.ndarray, words: list[str],
+            nested: bool) -> pa.ListArray:
+    """Id lists for the pieces ``words[codes]``, grouped as in ``lists``."""
     first, width = SURROGATES
     points = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4").astype(np.int32)
     values = np.where(points < first, points - 1, points - 1 - width)
@@ -86,12 +90,15 @@ def _spread(lists: pa.ListArray, codes: np.ndarray, words: list[str]) -> pa.List
     lens = sizes[codes]
     ends = np.cumsum(lens)
     source = np.repeat(starts[codes] - (ends - lens), lens) + np.arange(lens.sum())
-    inner = pa.ListArray.from_arrays(
-        pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(values[source], pa.int32())
-    )
+    items = pa.array(values[source], pa.int32())
+    stops = np.concatenate([[0], ends])
     per_row = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-    offsets = pa.array(np.concatenate([[0], np.cumsum(per_row)]), pa.int32())
-    return pa.ListArray.from_arrays(offsets, inner, mask=lists.is_null())
+    rows = np.concatenate([[0], np.cumsum(per_row)])
+    if nested:
+        items = pa.ListArray.from_arrays(pa.array(stops, pa.int32()), items)
+    else:
+        rows = stops[rows]
+    return pa.ListArray.from_arrays(pa.array(rows, pa.int32()), items, mask=lists.is_null())
 
 
 def encode(df: DataFrame, tok: Tokenizer, text: str = "text", out: str = "ids",
@@ -102,7 +109,7 @@ def encode(df: DataFrame, tok: Tokenizer, text: str = "text", out: str = "ids",
     Needs no shuffle: the JVM cuts the pieces and Arrow workers look them up.
     """
     cut = pieces_with_specials(F.col(text), add_prefix_space, specials)
-    return df.withColumn(out, F.flatten(piece_encoder(tok, specials)(cut)))
+    return df.withColumn(out, piece_encoder(tok, specials, nested=False)(cut))
 
 
 def _literal_list(items: Sequence[str]) -> Column:
