@@ -7,36 +7,39 @@ equal anchors, and a suffix array over anchors alone sees every repeated string.
 1. Gram hashes of all anchors are exchanged as packed columns, four bytes each beside the position.
    A bucket sorts its hashes; only anchors whose hash occurs in two documents go on.
 2. Their suffixes are cut at ``span`` bytes, with the ``span - GRAM`` bytes before the anchor. Equal
-   contexts of a run are one record with its smallest document. Runs are sorted, front-coded
+   contexts of a run are one record with all its places. Runs are sorted, front-coded
    (length shared with the record before, then the rest) and exchanged by gram hash.
 3. Each part merges its runs with a loser tree that carries common-prefix lengths: of two
    suffixes the one sharing more with the last winner is smaller, and bytes are compared only
    beyond a shared length. Neighbours that share a gram are resolved window by window.
-4. Contexts are joined back to their occurrences, the intervals to the texts.
+4. The windows to remove are joined to the texts.
 
-Very frequent grams (``HOT`` occurrences) do not enter a run: their windows are grouped as rows
-with partial aggregation, so no group meets in one task.
+Very frequent grams (``HOT`` occurrences) do not enter a run, so that what meets in a task is bounded:
+their windows are rows, grouped with partial aggregation and joined back.
 """
 
 from __future__ import annotations
 
 import math
+import struct
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, bounded_batches, mix64, renamed, settle
+from .common import as_bytes, bounded_batches, mix64, per_batch, renamed, settle
 
 SPAN = 50
-GRAM = 20
+GRAM = 16
 HOT = 20_000
-BUCKET_ANCHORS = 2_000_000
+BUCKET_ANCHORS = 1_000_000
 PART_RECORDS = 200_000
-FLUSH_BYTES = 24 << 20
+RUN_RECORDS = 100_000
+FLUSH_BYTES = 12 << 20
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -101,7 +104,7 @@ def _anchor_blobs(span: int, gram: int, bits: int):
         place = np.concatenate([x[2] for x in held]).astype(np.uint32)
         full = np.concatenate([x[3] for x in held])
         ids = np.array([x[0] for x in held], np.int64)
-        texts = np.array([x[1] for x in held], np.uint64)
+        texts = np.array([x[1] for x in held], np.int64)
         bucket = (full >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(full), np.int64)
         order = np.argsort(bucket, kind="stable")
         doc, place, full, bucket = doc[order], place[order], full[order], bucket[order]
@@ -118,11 +121,12 @@ def _anchor_blobs(span: int, gram: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            for doc_id, text in zip(batch.column("id").to_pylist(), as_bytes(batch.column("text")), strict=True):
+            for doc_id, text_hash, text in zip(batch.column("id").to_pylist(), batch.column("text_hash").to_pylist(),
+                                               as_bytes(batch.column("text")), strict=True):
                 if doc_id is None or text is None or len(text) < span:
                     continue
                 at, h = anchors(np.frombuffer(text, np.uint8), span, gram)
-                held.append((doc_id, xxhash.xxh3_64_intdigest(text), at, h))
+                held.append((doc_id, text_hash, at, h))
                 size += len(text)
                 if size >= FLUSH_BYTES:
                     yield flush(held)
@@ -168,26 +172,37 @@ def _repeated(hot: int):
     return run
 
 
-def front_code(records: list[tuple[bytes, bytes, int]]) -> bytes:
-    """Sorted ``(suffix, left, doc)`` records; each suffix as shared length and the rest."""
+_PLACE = "<qqI"  # id, text hash, position
+
+
+def unpack_places(places: bytes) -> Iterator[tuple[int, int, int]]:
+    return struct.iter_unpack(_PLACE, places)
+
+
+def front_code(records: list[tuple[bytes, bytes, list[tuple[int, int, int]]]]) -> bytes:
+    """Sorted ``(suffix, left, places)``; a suffix as shared length and the rest, a place as id, text hash, position."""
     out, before = [], b""
-    for suffix, left, doc in records:
+    for suffix, left, places in records:
         shared = _common(before, suffix)
-        out.append(bytes((shared, len(suffix) - shared, len(left))) + suffix[shared:] + left + doc.to_bytes(8, "little", signed=True))
+        out += bytes((shared, len(suffix) - shared, len(left))), suffix[shared:], left, len(places).to_bytes(4, "little")
+        out += (struct.pack(_PLACE, *p) for p in places)
         before = suffix
-    return b"".join(out)
+    return zlib.compress(b"".join(out), 1)
 
 
-def front_decode(run: bytes) -> Iterator[tuple[bytes, bytes, int, int]]:
-    """``(suffix, left, doc, length shared with the record before)``"""
+def front_decode(run: bytes) -> Iterator[tuple[bytes, bytes, bytes, int]]:
+    """``(suffix, left, packed places, length shared with the record before)``"""
+    run = zlib.decompress(run)
     at, suffix = 0, b""
     while at < len(run):
         shared, rest, left = run[at], run[at + 1], run[at + 2]
         at += 3
         suffix = suffix[:shared] + run[at:at + rest]
         at += rest
-        yield suffix, run[at:at + left], int.from_bytes(run[at + left:at + left + 8], "little", signed=True), shared
-        at += left + 8
+        places = at + left + 4
+        end = places + struct.calcsize(_PLACE) * int.from_bytes(run[at + left:places], "little")
+        yield suffix, run[at:at + left], run[places:end], shared
+        at = end
 
 
 def _common(a: bytes, b: bytes) -> int:
@@ -197,7 +212,7 @@ def _common(a: bytes, b: bytes) -> int:
     return n - ((int.from_bytes(a[:n]) ^ int.from_bytes(b[:n])).bit_length() + 7) // 8
 
 
-def merge_runs(runs: list[bytes]) -> Iterator[tuple[bytes, bytes, int, int]]:
+def merge_runs(runs: list[bytes]) -> Iterator[tuple[bytes, bytes, bytes, int]]:
     """Loser-tree merge of front-coded runs; yields records with the length shared with the last.
 
     Every head carries the length it shares with the last winner. The longer one is smaller;
@@ -233,8 +248,8 @@ def merge_runs(runs: list[bytes]) -> Iterator[tuple[bytes, bytes, int, int]]:
         winners[node], losers[node] = play(winners[2 * node], winners[2 * node + 1])
     top = winners[1] if width > 1 else 0
     while heads[top] is not None:
-        suffix, left, doc, _ = heads[top]
-        yield suffix, left, doc, shared[top]
+        suffix, left, places, _ = heads[top]
+        yield suffix, left, places, shared[top]
         heads[top] = following = next(sources[top], None)
         if following is not None:
             shared[top] = following[3]
@@ -272,88 +287,95 @@ def resolve(group: list[tuple[bytes, bytes, int, int]], span: int, gram: int) ->
     return masks
 
 
-def context_key(suffix: bytes, left: bytes) -> int:
-    h = xxhash.xxh3_64_intdigest(left + suffix, len(left))
-    return h - (1 << 64) if h >> 63 else h
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, bytes, np.ndarray, np.ndarray]]:
+    for batch in batches:
+        for doc, text_hash, text, places, hots in zip(
+                batch.column("id").to_pylist(), batch.column("text_hash").to_pylist(), as_bytes(batch.column("text")),
+                batch.column("places").to_pylist(), batch.column("hot").to_pylist(), strict=True):
+            at = np.concatenate([np.frombuffer(p, np.uint32) for p in places]).astype(np.int64)
+            yield doc, text_hash, text, at, np.concatenate([np.frombuffer(x, np.bool_) for x in hots])
 
 
-def _contexts(span: int, gram: int, parts: int):
-    """Texts with their candidate anchors -> sorted runs, occurrences, and windows of hot grams."""
-    schema = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("run", pa.binary()), ("key", pa.int64()),
-                        ("key2", pa.int64()), ("id", pa.int64()), ("text_hash", pa.int64()), ("place", pa.int64())])
+def _runs(span: int, gram: int, parts: int):
+    """Texts with their candidate anchors -> sorted, front-coded runs by part."""
+    schema = pa.schema([("part", pa.int32()), ("run", pa.binary())])
 
-    def flush(records: dict, rows: list) -> pa.RecordBatch:
+    def flush(records: dict) -> pa.RecordBatch:
         by_part: dict[int, list] = {}
-        for (suffix, left), doc in records.items():
-            by_part.setdefault(xxhash.xxh3_64_intdigest(suffix[:gram], 7) % parts, []).append((suffix, left, doc))
-        for part, own in by_part.items():
+        for (suffix, left), places in records.items():
+            by_part.setdefault(xxhash.xxh3_64_intdigest(suffix[:gram]) % parts, []).append((suffix, left, places))
+        for own in by_part.values():
             own.sort()
-            rows.append((0, part, front_code(own), None, None, None, None, None))
-        columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), schema, strict=True)] if rows else \
-            [pa.array([], f.type) for f in schema]
-        return pa.RecordBatch.from_arrays(columns, schema=schema)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(by_part.keys(), pa.int32()), pa.array(map(front_code, by_part.values()), pa.binary())], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        records: dict[tuple[bytes, bytes], int] = {}
-        rows: list[tuple] = []
+        records: dict[tuple[bytes, bytes], list] = {}
         size = 0
-        for batch in batches:
-            for doc, text_hash, text, places, hots in zip(
-                    batch.column("id").to_pylist(), batch.column("text_hash").to_pylist(), as_bytes(batch.column("text")),
-                    batch.column("places").to_pylist(), batch.column("hot").to_pylist(), strict=True):
-                if xxhash.xxh3_64_intdigest(text or b"") != text_hash % (1 << 64):
-                    continue  # another text under the same id
-                at = np.concatenate([np.frombuffer(p, np.uint32) for p in places]).astype(np.int64)
-                hot = np.concatenate([np.frombuffer(x, np.bool_) for x in hots])
-                for p in at[~hot].tolist():
-                    suffix, left = text[p:p + span], text[max(0, p - span + gram):p]
-                    if records.get((suffix, left), doc) >= doc:
-                        records[suffix, left] = doc
-                    rows.append((1, None, None, context_key(suffix, left), None, doc, text_hash, p))
-                if hot.any():
-                    wide = np.unique((at[hot][:, None] - np.arange(span - gram + 1)).ravel())
-                    for p in wide[(wide >= 0) & (wide <= len(text) - span)].tolist():
-                        window = text[p:p + span]
-                        rows.append((2, None, None, context_key(window, b""), context_key(window, b"2"), doc, text_hash, p))
-                size = len(rows)
-                if size >= 50_000:
-                    yield flush(records, rows)
-                    records, rows = {}, []
-        if rows:
-            yield flush(records, rows)
+        for doc, text_hash, text, at, hot in _candidates(batches):
+            for p in at[~hot].tolist():
+                records.setdefault((text[p:p + span], text[max(0, p - span + gram):p]), []).append((doc, text_hash, p))
+            size += len(at)
+            if size >= RUN_RECORDS:
+                yield flush(records)
+                records, size = {}, 0
+        if records:
+            yield flush(records)
+    return run
+
+
+def _hot_windows(span: int, gram: int):
+    """The windows over anchors of very frequent grams, as hashes of 128 bits."""
+    schema = pa.schema([("key", pa.binary()), ("id", pa.int64()), ("text_hash", pa.int64()), ("place", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for doc, text_hash, text, at, hot in _candidates(batches):
+            start = np.unique((at[hot][:, None] - np.arange(span - gram + 1)).ravel())
+            start = start[(start >= 0) & (start <= len(text) - span)].tolist()
+            if start:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([xxhash.xxh3_128_digest(text[p:p + span]) for p in start], pa.binary()),
+                     pa.array([doc] * len(start), pa.int64()), pa.array([text_hash] * len(start), pa.int64()),
+                     pa.array(start, pa.int64())], schema=schema)
     return run
 
 
 def _merged(span: int, gram: int):
-    schema = pa.schema([("key", pa.int64()), ("low", pa.int64()), ("mask", pa.int64())])
+    schema = pa.schema([("id", pa.int64()), ("text_hash", pa.int64()), ("window", pa.int64())])
+    every = (1 << (span - gram + 1)) - 1
 
     def run(table: pa.Table) -> pa.Table:
-        keys, lows, masks = [], [], []
+        ids, hashes, windows = [], [], []
 
         def close(group: list) -> None:
-            for (suffix, left, doc, _), mask in zip(group, resolve(group, span, gram), strict=True):
-                keys.append(context_key(suffix, left))
-                lows.append(doc)
-                masks.append(mask)
+            for (_, _, low, _), mask, places in zip(group, resolve(group, span, gram), held, strict=True):
+                for doc, text_hash, place in unpack_places(b"".join(places)):
+                    own = every if doc > low else mask
+                    if own:
+                        ids.append(doc)
+                        hashes.append(text_hash)
+                        windows.append(place << (span - gram + 1) | own)
 
         group: list = []
+        held: list[list[bytes]] = []
         same: dict[bytes, int] = {}
-        for suffix, left, doc, shared in merge_runs(table.column("run").to_pylist()):
+        for suffix, left, places, shared in merge_runs(table.column("run").to_pylist()):
+            low = min(p[0] for p in unpack_places(places))
             if shared < gram:
                 close(group)
-                group, same = [], {}
-            if not group or shared < len(suffix) or len(group[-1][0]) != len(suffix):
+                group, held, same = [], [], {}
+            elif shared < len(suffix) or len(group[-1][0]) != len(suffix):
                 same = {}
             if left in same:  # the same context from another run
                 at = same[left]
-                old = group[at]
-                if doc < old[2]:
-                    group[at] = (old[0], old[1], doc, old[3])
+                held[at].append(places)
+                group[at] = (*group[at][:2], min(low, group[at][2]), group[at][3])
                 continue
             same[left] = len(group)
-            group.append((suffix, left, doc, shared if group else 0))
+            group.append((suffix, left, low, shared if group else 0))
+            held.append([places])
         close(group)
-        return pa.table([pa.array(keys, pa.int64()), pa.array(lows, pa.int64()), pa.array(masks, pa.int64())], schema=schema)
+        return pa.table([pa.array(c, pa.int64()) for c in (ids, hashes, windows)], schema=schema)
     return run
 
 
@@ -371,71 +393,63 @@ def cover(intervals: np.ndarray) -> list[tuple[int, int]]:
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, gram: int = GRAM,
                    hot: int = HOT) -> DataFrame:
-    """``(id, text_hash, windows)`` for texts that have some: anchors with a mask of repeated window starts before them.
+    """``(id, text_hash, windows)`` for texts that have some: anchors, shifted, with a mask of repeated window starts before them.
 
     A byte is to go when a ``span``-byte string over it also starts in a row with a smaller id. Rows
     without an id or a text, and texts shorter than ``span`` bytes, have none and give none.
     """
-    spark = docs.sparkSession
-    bounded_batches(spark)
-    texts = renamed(docs, id=id_col, text=text_col).withColumn("id", F.col("id").cast("bigint"))
+    bounded_batches(docs.sparkSession)
+    texts = _hashed(docs, id_col, text_col)
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = min(24, max(0, math.ceil(math.log2(max(1, total * 2 / (span - gram + 2) / BUCKET_ANCHORS)))))
     buckets = texts.mapInArrow(_anchor_blobs(span, gram, bits), _BLOBS)
     found = buckets.repartition(1 << bits, "bucket").groupBy("bucket").applyInArrow(
         _repeated(hot), "id bigint, text_hash bigint, places binary, hot binary")
-    per_text = settle(found.groupBy("id", "text_hash").agg(F.collect_list("places").alias("places"), F.collect_list("hot").alias("hot")), "anchors")
-    n = per_text.agg(F.sum(F.aggregate("hot", F.lit(0).cast("bigint"), lambda a, x: a + F.octet_length(x)))).first()[0] or 0
-    parts = max(1, math.ceil(n / PART_RECORDS))
-    joined = texts.join(per_text.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id")).drop("_id")
-    rows = settle(joined.mapInArrow(
-        _contexts(span, gram, parts),
-        "kind int, part int, run binary, key bigint, key2 bigint, id bigint, text_hash bigint, place bigint"), "contexts")
-    merged = rows.where("kind = 0").select("part", "run").groupBy("part").applyInArrow(
-        _merged(span, gram), "key bigint, low bigint, mask bigint")
-    reach = span - gram
-    placed = rows.where("kind = 1").join(merged, "key") \
-        .where("id > low OR mask <> 0")
-    # Copies of a context in later documents: all of its windows. Its first document: those in the mask.
-    mask = F.when(F.col("id") > F.col("low"), (1 << (reach + 1)) - 1).otherwise(F.col("mask")).cast("bigint")
-    gone = placed.select("id", "text_hash", F.struct("place", mask.alias("mask")).alias("p"))
-    windows = rows.where("kind = 2").select("key", "key2", "id", "text_hash", "place")
-    lows = windows.groupBy("key", "key2").agg(F.min("id").alias("low"))
-    late = windows.join(lows, ["key", "key2"]).where("id > low").select(
-        "id", "text_hash", F.struct(F.col("place"), F.lit(1).cast("bigint").alias("mask")).alias("p"))
-    return gone.union(late).groupBy("id", "text_hash").agg(F.collect_list("p").alias("windows"))
-
-
-def _to_spans(place: np.ndarray, mask: np.ndarray, size: int, span: int) -> list[tuple[int, int]]:
-    """Windows ``(anchor, mask of starts before it)`` -> maximal byte runs within the text."""
-    starts = [place[(mask >> np.int64(j)) & np.int64(1) == 1] - j for j in range(int(mask.max()).bit_length())]
+    per_text = settle(found.groupBy("id", "text_hash").agg(
+        F.collect_list("places").alias("places"), F.collect_list("hot").alias("hot")), "anchors")
+
+    def length(column: str) -> Column:
+        return F.aggregate(column, F.lit(0).cast("bigint"), lambda a, x: a + F.octet_length(x))
+
+    frequent = F.exists("hot", lambda x: F.instr(F.hex(x), "01") > 0)
+    n, any_hot = per_text.agg(F.sum(length("hot")), F.max(frequent)).first()
+    joined = texts.join(per_text, ["id", "text_hash"])
+    merged = joined.mapInArrow(_runs(span, gram, max(1, math.ceil((n or 0) / PART_RECORDS))), "part int, run binary") \
+        .groupBy("part").applyInArrow(_merged(span, gram), "id bigint, text_hash bigint, window bigint")
+    if any_hot:
+        windows = settle(joined.mapInArrow(_hot_windows(span, gram), "key binary, id bigint, text_hash bigint, place bigint"), "windows")
+        lows = windows.groupBy("key").agg(F.min("id").alias("low"))
+        merged = merged.union(windows.join(lows, "key").where("id > low").select(
+            "id", "text_hash", (F.shiftleft("place", span - gram + 1) + 1).alias("window")))
+    return merged.groupBy("id", "text_hash").agg(F.collect_list("window").alias("windows"))
+
+
+def _hashed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(id, text_hash, text)``; the hash tells texts under one id apart."""
+    texts = renamed(docs, id=id_col, text=text_col)
+    return texts.select(F.col("id").cast("bigint").alias("id"), F.xxhash64("text").alias("text_hash"), "text")
+
+
+def _to_spans(windows: np.ndarray, size: int, span: int, gram: int) -> list[tuple[int, int]]:
+    """Anchors with masks of starts before them -> maximal byte runs within the text."""
+    bits = span - gram + 1
+    place = windows >> np.int64(bits)
+    starts = [place[(windows >> np.int64(j)) & np.int64(1) == 1] - j for j in range(bits)]
     start = np.unique(np.concatenate(starts))
     start = start[(start >= 0) & (start + span <= size)]
     return cover(np.stack([start, start + span], axis=1))
 
 
-def _removed(span: int):
-    schema = pa.schema([("id", pa.int64()), ("n_bytes", pa.int64()), ("spans", pa.list_(pa.int64())), ("kept", pa.binary())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, spans, kept = [], [], []
-            per_text = batch.column("per_text")
-            for i, text in enumerate(as_bytes(batch.column("text"))):
-                text = text or b""
-                runs = []
-                for found in per_text[i].values or ():
-                    if xxhash.xxh3_64_intdigest(text) == found["text_hash"].as_py() % (1 << 64):
-                        own = found["windows"].values
-                        runs = _to_spans(own.field("place").to_numpy(), own.field("mask").to_numpy(), len(text), span)
-                sizes.append(len(text))
-                spans.append([x for r in runs for x in r])
-                edges = [0, *spans[-1], len(text)]
-                kept.append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), *(pa.array(c, f.type) for c, f in zip((sizes, spans, kept), list(schema)[1:], strict=True))],
-                schema=schema)
-    return run
+def _split(batch: pa.RecordBatch, text: str, windows: str, span: int, gram: int) -> Iterator[tuple[bytes, list[int], bytes]]:
+    """Per row: the bytes, edges of the removed runs, the bytes kept."""
+    found = batch.column(windows)
+    for i, whole in enumerate(as_bytes(batch.column(text))):
+        whole = whole or b""
+        own = found[i].values
+        runs = _to_spans(own.to_numpy(), len(whole), span, gram) if own is not None else []
+        spans = [x for r in runs for x in r]
+        edges = [0, *spans, len(whole)]
+        yield whole, spans, b"".join(whole[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN,
@@ -447,12 +461,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts count as empty. Repeated rows of one id do not remove each other. A row without an id
     loses nothing and removes nothing. Other columns are ignored; an empty table gives none.
     """
-    windows = repeated_spans(docs, id_col, text_col, span, gram, hot).withColumnRenamed("id", "_id")
-    texts = renamed(docs, id=id_col, text=text_col).withColumn("id", F.col("id").cast("bigint"))
-    per_id = windows.groupBy("_id").agg(F.collect_list(F.struct("text_hash", "windows")).alias("per_text"))
-    joined = texts.join(per_id, F.col("id") == F.col("_id"), "left").drop("_id")
-    return joined.mapInArrow(_removed(span), "id bigint, n_bytes bigint, spans array<bigint>, kept binary") \
-        .withColumnRenamed("id", "doc_id")
+    windows = repeated_spans(docs, id_col, text_col, span, gram, hot)
+    schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("spans", pa.list_(pa.int64())), ("kept", pa.binary())])
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        whole, spans, kept = zip(*_split(batch, "text", "windows", span, gram))
+        return pa.RecordBatch.from_arrays(
+            [batch.column("id"), *(pa.array(c, f.type) for c, f in zip((map(len, whole), spans, kept), list(schema)[1:], strict=True))],
+            schema=schema)
+
+    return _hashed(docs, id_col, text_col).join(windows, ["id", "text_hash"], "left").mapInArrow(
+        per_batch(run), "doc_id bigint, n_bytes bigint, spans array<bigint>, kept binary")
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN,
@@ -462,27 +481,23 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Rules as in ``remove_repeats``. Characters cut in two are dropped, an integer column ``n_chars`` is
     counted anew where the text changed, and rows that lost their whole text go.
     """
-    windows = repeated_spans(docs, id_col, text_col, span, gram, hot).withColumnRenamed("id", "_id")
-    per_id = windows.groupBy("_id").agg(F.collect_list(F.struct("text_hash", "windows")).alias("_per_text"))
-    joined = docs.join(per_id, docs[id_col].cast("bigint") == F.col("_id"), "left").drop("_id")
+    windows = repeated_spans(docs, id_col, text_col, span, gram, hot).select(
+        F.col("id").alias("_id"), F.col("text_hash").alias("_text_hash"), F.col("windows").alias("_windows"))
+    joined = docs.join(windows, (docs[id_col].cast("bigint") == F.col("_id")) & (
+        F.xxhash64(docs[text_col]) == F.col("_text_hash")), "left").drop("_id", "_text_hash")
     names = docs.columns
-    strip = _removed(span)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            part = pa.RecordBatch.from_arrays(
-                [pa.nulls(batch.num_rows, pa.int64()), batch.column(text_col), batch.column("_per_text")], names=["id", "text", "per_text"])
-            done = next(strip([part]))
-            before = batch.column(text_col).to_pylist()
-            text = [b if b is None or not s else k.decode("utf-8", "ignore") for b, s, k in zip(
-                before, done.column("spans").to_pylist(), done.column("kept").to_pylist(), strict=True)]
-            columns = [batch.column(n) for n in names]
-            columns[names.index(text_col)] = pa.array(text, batch.column(text_col).type)
-            if "n_chars" in names and pa.types.is_integer(batch.column("n_chars").type):
-                at = names.index("n_chars")
-                columns[at] = pa.array([old if t is b or t is None else len(t) for old, t, b in zip(
-                    columns[at].to_pylist(), text, before, strict=True)], columns[at].type)
-            keep = pa.array([t != "" or b == "" for t, b in zip(text, before, strict=True)])
-            yield pa.RecordBatch.from_arrays(columns, names=names).filter(keep)
-
-    return joined.mapInArrow(run, docs.schema)
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        before = batch.column(text_col).to_pylist()
+        text = [b if not spans else kept.decode("utf-8", "ignore") for b, (_, spans, kept) in zip(
+            before, _split(batch, text_col, "_windows", span, gram), strict=True)]
+        columns = [batch.column(n) for n in names]
+        columns[names.index(text_col)] = pa.array(text, batch.column(text_col).type)
+        if "n_chars" in names and pa.types.is_integer(batch.column("n_chars").type):
+            at = names.index("n_chars")
+            columns[at] = pa.array([old if t is b else len(t) for old, t, b in zip(
+                columns[at].to_pylist(), text, before, strict=True)], columns[at].type)
+        keep = pa.array([t != "" or b == "" for t, b in zip(text, before, strict=True)])
+        return pa.RecordBatch.from_arrays(columns, names=names).filter(keep)
+
+    return joined.mapInArrow(per_batch(run), docs.schema)
