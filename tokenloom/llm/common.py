@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from ..session import remove_path, scratch_path
 
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
+BATCH_ROWS = 2000
 MEMO_ENTRIES = 1 << 20
 
 
@@ -32,7 +33,8 @@ def drop(spark: SparkSession, path: str) -> None:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Limit Arrow batches by bytes, so that batches of long texts stay small."""
+    """Limit Arrow batches by rows and bytes, so that batches of long texts stay small."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 

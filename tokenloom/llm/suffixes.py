@@ -5,7 +5,8 @@ Anchors are the positions that hold the smallest gram hash of some window, so eq
 equal anchors, and a suffix array over anchors alone sees every repeated string.
 
 1. Gram hashes of all anchors are exchanged as packed columns, four bytes each beside the position.
-   A bucket sorts its hashes; only anchors whose hash occurs in two documents go on.
+   A bucket sorts its hashes; only anchors whose hash occurs in two different texts go on, and
+   of equal texts only the one with the smallest id. Its later copies go whole.
 2. Their suffixes are cut at ``span`` bytes, with the ``span - GRAM`` bytes before the anchor. Equal
    contexts of a run are one record with all its places. Runs are sorted, front-coded
    (length shared with the record before, then the rest) and exchanged by gram hash.
@@ -28,18 +29,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import as_bytes, bounded_batches, mix64, per_batch, renamed, settle
 
 SPAN = 50
 GRAM = 16
-HOT = 20_000
-BUCKET_ANCHORS = 1_000_000
+HOT = 100_000
+BUCKET_ANCHORS = 400_000
 PART_RECORDS = 200_000
-RUN_RECORDS = 100_000
-FLUSH_BYTES = 12 << 20
+RUN_RECORDS = 150_000
+FLUSH_BYTES = 6 << 20
+HOT_BIT = np.uint32(1 << 31)  # of a place; a text has fewer bytes
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -137,8 +139,8 @@ def _anchor_blobs(span: int, gram: int, bits: int):
 
 
 def _repeated(hot: int):
-    """One bucket's blobs -> its anchors whose hash occurs in two documents."""
-    schema = pa.schema([("id", pa.int64()), ("text_hash", pa.int64()), ("places", pa.binary()), ("hot", pa.binary())])
+    """One bucket's blobs -> its anchors whose hash occurs in two texts, for the first document of each text."""
+    schema = pa.schema([("id", pa.int64()), ("text_hash", pa.int64()), ("places", pa.binary())])
 
     def run(table: pa.Table) -> pa.Table:
         docs, texts, which, places, hashes = [], [], [], [], []
@@ -153,55 +155,60 @@ def _repeated(hot: int):
             base += len(ids)
         docs, texts, which, places, hashes = map(np.concatenate, (docs, texts, which, places, hashes))
         order = np.argsort(hashes, kind="stable")
-        h, d = hashes[order], docs[which[order]]
+        # Equal texts have equal anchors, so a bucket sees all copies of what it holds.
+        _, text, copies = np.unique(texts, return_inverse=True, return_counts=True)
+        first = np.full(len(copies), np.iinfo(np.int64).max)
+        np.minimum.at(first, text, docs)
+        lead = docs == first[text]
+        h, d = hashes[order], text[which[order]]
         starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
         low, high = np.minimum.reduceat(d, starts), np.maximum.reduceat(d, starts)
         sizes = np.diff(np.append(starts, len(h)))
         repeated, frequent = np.repeat(low != high, sizes), np.repeat(sizes >= hot, sizes)
-        chosen = np.sort(order[repeated])
-        flag = np.zeros(len(h), bool)
-        flag[order] = frequent
+        chosen = np.sort(order[repeated & lead[which[order]]])
+        places[order[frequent]] |= HOT_BIT
         own = which[chosen]
         edges = np.flatnonzero(np.diff(own)) + 1
         rows = []
         for lo, hi in zip([0, *edges], [*edges, len(own)], strict=True):
             if hi > lo:
-                rows.append((int(docs[own[lo]]), int(texts[own[lo]]), places[chosen[lo:hi]].tobytes(), flag[chosen[lo:hi]].tobytes()))
+                rows.append((int(docs[own[lo]]), int(texts[own[lo]]), places[chosen[lo:hi]].tobytes()))
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows), schema, strict=True)] if rows else
                         [pa.array([], f.type) for f in schema], schema=schema)
     return run
 
 
-_PLACE = "<qqI"  # id, text hash, position
+def front_code(records: list[tuple[bytes, bytes, list[tuple[int, int]]]], docs: list[tuple[int, int]]) -> bytes:
+    """Sorted ``(suffix, left, places)`` as one compressed run.
 
-
-def unpack_places(places: bytes) -> Iterator[tuple[int, int, int]]:
-    return struct.iter_unpack(_PLACE, places)
-
-
-def front_code(records: list[tuple[bytes, bytes, list[tuple[int, int, int]]]]) -> bytes:
-    """Sorted ``(suffix, left, places)``; a suffix as shared length and the rest, a place as id, text hash, position."""
+    A suffix is the length shared with the one before and the rest; a place is a number into ``docs``,
+    pairs of id and text hash of which the run holds those it names, and a position.
+    """
+    number: dict[int, int] = {}
     out, before = [], b""
     for suffix, left, places in records:
         shared = _common(before, suffix)
-        out += bytes((shared, len(suffix) - shared, len(left))), suffix[shared:], left, len(places).to_bytes(4, "little")
-        out += (struct.pack(_PLACE, *p) for p in places)
+        out += bytes((shared, len(suffix) - shared, len(left))), suffix[shared:], left, struct.pack("<I", len(places))
+        out += (struct.pack("<II", number.setdefault(doc, len(number)), at) for doc, at in places)
         before = suffix
-    return zlib.compress(b"".join(out), 1)
+    table = [struct.pack("<I", len(number)), *(struct.pack("<qq", *docs[doc]) for doc in number)]
+    return zlib.compress(b"".join(table + out), 6)
 
 
-def front_decode(run: bytes) -> Iterator[tuple[bytes, bytes, bytes, int]]:
-    """``(suffix, left, packed places, length shared with the record before)``"""
+def front_decode(run: bytes) -> Iterator[tuple[bytes, bytes, list[tuple[int, int, int]], int]]:
+    """``(suffix, left, places, length shared with the record before)``; a place is id, text hash, position."""
     run = zlib.decompress(run)
-    at, suffix = 0, b""
+    at = 4 + 16 * int.from_bytes(run[:4], "little")
+    docs = list(struct.iter_unpack("<qq", run[4:at]))
+    suffix = b""
     while at < len(run):
         shared, rest, left = run[at], run[at + 1], run[at + 2]
         at += 3
         suffix = suffix[:shared] + run[at:at + rest]
         at += rest
         places = at + left + 4
-        end = places + struct.calcsize(_PLACE) * int.from_bytes(run[at + left:places], "little")
-        yield suffix, run[at:at + left], run[places:end], shared
+        end = places + 8 * int.from_bytes(run[at + left:places], "little")
+        yield suffix, run[at:at + left], [(*docs[d], p) for d, p in struct.iter_unpack("<II", run[places:end])], shared
         at = end
 
 
@@ -212,7 +219,7 @@ def _common(a: bytes, b: bytes) -> int:
     return n - ((int.from_bytes(a[:n]) ^ int.from_bytes(b[:n])).bit_length() + 7) // 8
 
 
-def merge_runs(runs: list[bytes]) -> Iterator[tuple[bytes, bytes, bytes, int]]:
+def merge_runs(runs: list[bytes]) -> Iterator[tuple[bytes, bytes, list, int]]:
     """Loser-tree merge of front-coded runs; yields records with the length shared with the last.
 
     Every head carries the length it shares with the last winner. The longer one is smaller;
@@ -289,54 +296,48 @@ def resolve(group: list[tuple[bytes, bytes, int, int]], span: int, gram: int) ->
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, bytes, np.ndarray, np.ndarray]]:
     for batch in batches:
-        for doc, text_hash, text, places, hots in zip(
-                batch.column("id").to_pylist(), batch.column("text_hash").to_pylist(), as_bytes(batch.column("text")),
-                batch.column("places").to_pylist(), batch.column("hot").to_pylist(), strict=True):
-            at = np.concatenate([np.frombuffer(p, np.uint32) for p in places]).astype(np.int64)
-            yield doc, text_hash, text, at, np.concatenate([np.frombuffer(x, np.bool_) for x in hots])
+        for doc, text_hash, text, places in zip(batch.column("id").to_pylist(), batch.column("text_hash").to_pylist(),
+                                                as_bytes(batch.column("text")), batch.column("places").to_pylist(), strict=True):
+            at = np.concatenate([np.frombuffer(p, np.uint32) for p in places])
+            yield doc, text_hash, text, (at & ~HOT_BIT).astype(np.int64), at >= HOT_BIT
 
 
-def _runs(span: int, gram: int, parts: int):
-    """Texts with their candidate anchors -> sorted, front-coded runs by part."""
-    schema = pa.schema([("part", pa.int32()), ("run", pa.binary())])
+def _contexts(span: int, gram: int, parts: int):
+    """Texts with their candidate anchors -> sorted, front-coded runs by part, and windows of very frequent grams."""
+    schema = pa.schema([("part", pa.int32()), ("run", pa.binary()), ("key", pa.binary()), ("id", pa.int64()),
+                        ("text_hash", pa.int64()), ("place", pa.int64())])
 
-    def flush(records: dict) -> pa.RecordBatch:
+    def rows(**columns) -> pa.RecordBatch:
+        n = len(next(iter(columns.values())))
+        return pa.RecordBatch.from_arrays([pa.array(columns.get(f.name) or [None] * n, f.type) for f in schema], schema=schema)
+
+    def flush(records: dict, docs: list) -> pa.RecordBatch:
         by_part: dict[int, list] = {}
         for (suffix, left), places in records.items():
             by_part.setdefault(xxhash.xxh3_64_intdigest(suffix[:gram]) % parts, []).append((suffix, left, places))
         for own in by_part.values():
             own.sort()
-        return pa.RecordBatch.from_arrays(
-            [pa.array(by_part.keys(), pa.int32()), pa.array(map(front_code, by_part.values()), pa.binary())], schema=schema)
+        return rows(part=list(by_part), run=[front_code(own, docs) for own in by_part.values()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         records: dict[tuple[bytes, bytes], list] = {}
+        docs: list[tuple[int, int]] = []
         size = 0
         for doc, text_hash, text, at, hot in _candidates(batches):
             for p in at[~hot].tolist():
-                records.setdefault((text[p:p + span], text[max(0, p - span + gram):p]), []).append((doc, text_hash, p))
+                records.setdefault((text[p:p + span], text[max(0, p - span + gram):p]), []).append((len(docs), p))
+            docs.append((doc, text_hash))
             size += len(at)
             if size >= RUN_RECORDS:
-                yield flush(records)
-                records, size = {}, 0
-        if records:
-            yield flush(records)
-    return run
-
-
-def _hot_windows(span: int, gram: int):
-    """The windows over anchors of very frequent grams, as hashes of 128 bits."""
-    schema = pa.schema([("key", pa.binary()), ("id", pa.int64()), ("text_hash", pa.int64()), ("place", pa.int64())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for doc, text_hash, text, at, hot in _candidates(batches):
+                yield flush(records, docs)
+                records, docs, size = {}, [], 0
             start = np.unique((at[hot][:, None] - np.arange(span - gram + 1)).ravel())
             start = start[(start >= 0) & (start <= len(text) - span)].tolist()
             if start:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([xxhash.xxh3_128_digest(text[p:p + span]) for p in start], pa.binary()),
-                     pa.array([doc] * len(start), pa.int64()), pa.array([text_hash] * len(start), pa.int64()),
-                     pa.array(start, pa.int64())], schema=schema)
+                yield rows(key=[xxhash.xxh3_128_digest(text[p:p + span]) for p in start], id=[doc] * len(start),
+                           text_hash=[text_hash] * len(start), place=start)
+        if records:
+            yield flush(records, docs)
     return run
 
 
@@ -349,7 +350,7 @@ def _merged(span: int, gram: int):
 
         def close(group: list) -> None:
             for (_, _, low, _), mask, places in zip(group, resolve(group, span, gram), held, strict=True):
-                for doc, text_hash, place in unpack_places(b"".join(places)):
+                for doc, text_hash, place in places:
                     own = every if doc > low else mask
                     if own:
                         ids.append(doc)
@@ -357,10 +358,10 @@ def _merged(span: int, gram: int):
                         windows.append(place << (span - gram + 1) | own)
 
         group: list = []
-        held: list[list[bytes]] = []
+        held: list[list[tuple[int, int, int]]] = []
         same: dict[bytes, int] = {}
         for suffix, left, places, shared in merge_runs(table.column("run").to_pylist()):
-            low = min(p[0] for p in unpack_places(places))
+            low = min(p[0] for p in places)
             if shared < gram:
                 close(group)
                 group, held, same = [], [], {}
@@ -368,12 +369,12 @@ def _merged(span: int, gram: int):
                 same = {}
             if left in same:  # the same context from another run
                 at = same[left]
-                held[at].append(places)
+                held[at] += places
                 group[at] = (*group[at][:2], min(low, group[at][2]), group[at][3])
                 continue
             same[left] = len(group)
             group.append((suffix, left, low, shared if group else 0))
-            held.append([places])
+            held.append(places)
         close(group)
         return pa.table([pa.array(c, pa.int64()) for c in (ids, hashes, windows)], schema=schema)
     return run
@@ -393,7 +394,10 @@ def cover(intervals: np.ndarray) -> list[tuple[int, int]]:
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, gram: int = GRAM,
                    hot: int = HOT) -> DataFrame:
-    """``(id, text_hash, windows)`` for texts that have some: anchors, shifted, with a mask of repeated window starts before them.
+    """``(text_hash, first, windows)`` for texts of which something is repeated.
+
+    ``first`` is the smallest id of the text, for which the windows hold: anchors, shifted, with a mask of
+    window starts before them. Rows of the text with larger ids are repeated as a whole.
 
     A byte is to go when a ``span``-byte string over it also starts in a row with a smaller id. Rows
     without an id or a text, and texts shorter than ``span`` bytes, have none and give none.
@@ -404,24 +408,28 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     bits = min(24, max(0, math.ceil(math.log2(max(1, total * 2 / (span - gram + 2) / BUCKET_ANCHORS)))))
     buckets = texts.mapInArrow(_anchor_blobs(span, gram, bits), _BLOBS)
     found = buckets.repartition(1 << bits, "bucket").groupBy("bucket").applyInArrow(
-        _repeated(hot), "id bigint, text_hash bigint, places binary, hot binary")
-    per_text = settle(found.groupBy("id", "text_hash").agg(
-        F.collect_list("places").alias("places"), F.collect_list("hot").alias("hot")), "anchors")
-
-    def length(column: str) -> Column:
-        return F.aggregate(column, F.lit(0).cast("bigint"), lambda a, x: a + F.octet_length(x))
-
-    frequent = F.exists("hot", lambda x: F.instr(F.hex(x), "01") > 0)
-    n, any_hot = per_text.agg(F.sum(length("hot")), F.max(frequent)).first()
-    joined = texts.join(per_text, ["id", "text_hash"])
-    merged = joined.mapInArrow(_runs(span, gram, max(1, math.ceil((n or 0) / PART_RECORDS))), "part int, run binary") \
-        .groupBy("part").applyInArrow(_merged(span, gram), "id bigint, text_hash bigint, window bigint")
+        _repeated(hot), "id bigint, text_hash bigint, places binary")
+    per_text = settle(found.groupBy("id", "text_hash").agg(F.collect_list("places").alias("places")), "anchors")
+    length = F.aggregate("places", F.lit(0).cast("bigint"), lambda n, x: n + F.octet_length(x))
+    # The last hexadecimal digits of a little-endian place hold the flag.
+    flagged = F.exists("places", lambda x: F.hex(x).rlike("^(?:.{8})*.{6}[89A-F]"))
+    n, any_hot = per_text.agg(F.sum(length / 4), F.max(flagged)).first()
+    rows = texts.join(per_text, ["id", "text_hash"]).mapInArrow(
+        _contexts(span, gram, max(1, math.ceil((n or 0) / PART_RECORDS))),
+        "part int, run binary, key binary, id bigint, text_hash bigint, place bigint")
+    if any_hot:  # both kinds of rows are read
+        rows = settle(rows, "contexts")
+    found = rows.where("part IS NOT NULL").select("part", "run").groupBy("part").applyInArrow(
+        _merged(span, gram), "id bigint, text_hash bigint, window bigint")
     if any_hot:
-        windows = settle(joined.mapInArrow(_hot_windows(span, gram), "key binary, id bigint, text_hash bigint, place bigint"), "windows")
+        windows = rows.where("part IS NULL").select("key", "id", "text_hash", "place")
         lows = windows.groupBy("key").agg(F.min("id").alias("low"))
-        merged = merged.union(windows.join(lows, "key").where("id > low").select(
+        found = found.union(windows.join(lows, "key").where("id > low").select(
             "id", "text_hash", (F.shiftleft("place", span - gram + 1) + 1).alias("window")))
-    return merged.groupBy("id", "text_hash").agg(F.collect_list("window").alias("windows"))
+    copied = texts.where((F.octet_length("text") >= span) & F.col("id").isNotNull()).groupBy("text_hash").agg(
+        F.min("id").alias("id"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    return found.union(copied.select("id", "text_hash", F.lit(None).cast("bigint"))).groupBy("text_hash").agg(
+        F.min("id").alias("first"), F.collect_list("window").alias("windows"))
 
 
 def _hashed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -440,13 +448,18 @@ def _to_spans(windows: np.ndarray, size: int, span: int, gram: int) -> list[tupl
     return cover(np.stack([start, start + span], axis=1))
 
 
-def _split(batch: pa.RecordBatch, text: str, windows: str, span: int, gram: int) -> Iterator[tuple[bytes, list[int], bytes]]:
+def _split(batch: pa.RecordBatch, id_: str, text: str, first: str, windows: str, span: int,
+           gram: int) -> Iterator[tuple[bytes, list[int], bytes]]:
     """Per row: the bytes, edges of the removed runs, the bytes kept."""
     found = batch.column(windows)
-    for i, whole in enumerate(as_bytes(batch.column(text))):
-        whole = whole or b""
-        own = found[i].values
-        runs = _to_spans(own.to_numpy(), len(whole), span, gram) if own is not None else []
+    for i, (doc, low, whole) in enumerate(zip(
+            batch.column(id_).to_pylist(), batch.column(first).to_pylist(), as_bytes(batch.column(text)), strict=True)):
+        whole, runs = whole or b"", []
+        if doc is not None and low is not None and len(whole) >= span:
+            if doc > low:
+                runs = [(0, len(whole))]
+            elif len(own := found[i].values):
+                runs = _to_spans(own.to_numpy(), len(whole), span, gram)
         spans = [x for r in runs for x in r]
         edges = [0, *spans, len(whole)]
         yield whole, spans, b"".join(whole[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
@@ -465,12 +478,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("spans", pa.list_(pa.int64())), ("kept", pa.binary())])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        whole, spans, kept = zip(*_split(batch, "text", "windows", span, gram))
+        whole, spans, kept = zip(*_split(batch, "id", "text", "first", "windows", span, gram))
         return pa.RecordBatch.from_arrays(
             [batch.column("id"), *(pa.array(c, f.type) for c, f in zip((map(len, whole), spans, kept), list(schema)[1:], strict=True))],
             schema=schema)
 
-    return _hashed(docs, id_col, text_col).join(windows, ["id", "text_hash"], "left").mapInArrow(
+    return _hashed(docs, id_col, text_col).join(windows, "text_hash", "left").mapInArrow(
         per_batch(run), "doc_id bigint, n_bytes bigint, spans array<bigint>, kept binary")
 
 
@@ -481,16 +494,15 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Rules as in ``remove_repeats``. Characters cut in two are dropped, an integer column ``n_chars`` is
     counted anew where the text changed, and rows that lost their whole text go.
     """
-    windows = repeated_spans(docs, id_col, text_col, span, gram, hot).select(
-        F.col("id").alias("_id"), F.col("text_hash").alias("_text_hash"), F.col("windows").alias("_windows"))
-    joined = docs.join(windows, (docs[id_col].cast("bigint") == F.col("_id")) & (
-        F.xxhash64(docs[text_col]) == F.col("_text_hash")), "left").drop("_id", "_text_hash")
+    found = repeated_spans(docs, id_col, text_col, span, gram, hot).select(
+        F.col("text_hash").alias("_text_hash"), F.col("first").alias("_first"), F.col("windows").alias("_windows"))
+    joined = docs.join(found, F.xxhash64(docs[text_col]) == F.col("_text_hash"), "left").drop("_text_hash")
     names = docs.columns
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         before = batch.column(text_col).to_pylist()
         text = [b if not spans else kept.decode("utf-8", "ignore") for b, (_, spans, kept) in zip(
-            before, _split(batch, text_col, "_windows", span, gram), strict=True)]
+            before, _split(batch, id_col, text_col, "_first", "_windows", span, gram), strict=True)]
         columns = [batch.column(n) for n in names]
         columns[names.index(text_col)] = pa.array(text, batch.column(text_col).type)
         if "n_chars" in names and pa.types.is_integer(batch.column("n_chars").type):
