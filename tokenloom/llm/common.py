@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -47,12 +49,34 @@ def as_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
+def trim() -> None:
+    """Give freed memory back, so that idle Python workers stay small."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def tidy(fn: Callable):
+    """An Arrow function over batches, or over one group, that trims when it is done."""
+    def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fn(rows)
+        trim()
+
+    def group(table: pa.Table) -> pa.Table:
+        out = fn(table)
+        trim()
+        return out
+
+    return lambda rows: group(rows) if isinstance(rows, pa.Table) else batches(rows)
+
+
 def per_batch(fn: Callable[[pa.RecordBatch], pa.RecordBatch]):
     """An Arrow function that maps one batch at a time."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 yield fn(batch)
+        trim()
     return run
 
 

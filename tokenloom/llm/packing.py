@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MEMO_ENTRIES, bounded_batches, renamed, settle
+from .common import MEMO_ENTRIES, bounded_batches, renamed, settle, tidy
 
 LENGTH = 2048
 CELL_PIECES = 200_000
@@ -143,7 +143,7 @@ def token_pieces(docs: DataFrame, path: str, length: int = LENGTH, final: int =
     bounded_batches(docs.sparkSession)
     kind = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids array<int>" * with_ids
     texts = renamed(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    return texts.mapInArrow(_pieces(path, length, final, with_ids), kind)
+    return texts.mapInArrow(tidy(_pieces(path, length, final, with_ids)), kind)
 
 
 def pack(pieces: DataFrame, capacity: int = LENGTH, cell_pieces: int = CELL_PIECES) -> DataFrame:

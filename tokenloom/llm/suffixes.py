@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, bounded_batches, mix64, per_batch, renamed, settle
+from .common import as_bytes, bounded_batches, mix64, per_batch, renamed, settle, tidy
 
 SPAN = 50
 GRAM = 16
@@ -406,21 +406,21 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = _hashed(docs, id_col, text_col)
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = min(24, max(0, math.ceil(math.log2(max(1, total * 2 / (span - gram + 2) / BUCKET_ANCHORS)))))
-    buckets = texts.mapInArrow(_anchor_blobs(span, gram, bits), _BLOBS)
+    buckets = texts.mapInArrow(tidy(_anchor_blobs(span, gram, bits)), _BLOBS)
     found = buckets.repartition(1 << bits, "bucket").groupBy("bucket").applyInArrow(
-        _repeated(hot), "id bigint, text_hash bigint, places binary")
+        tidy(_repeated(hot)), "id bigint, text_hash bigint, places binary")
     per_text = settle(found.groupBy("id", "text_hash").agg(F.collect_list("places").alias("places")), "anchors")
     length = F.aggregate("places", F.lit(0).cast("bigint"), lambda n, x: n + F.octet_length(x))
     # The last hexadecimal digits of a little-endian place hold the flag.
     flagged = F.exists("places", lambda x: F.hex(x).rlike("^(?:.{8})*.{6}[89A-F]"))
     n, any_hot = per_text.agg(F.sum(length / 4), F.max(flagged)).first()
     rows = texts.join(per_text, ["id", "text_hash"]).mapInArrow(
-        _contexts(span, gram, max(1, math.ceil((n or 0) / PART_RECORDS))),
+        tidy(_contexts(span, gram, max(1, math.ceil((n or 0) / PART_RECORDS)))),
         "part int, run binary, key binary, id bigint, text_hash bigint, place bigint")
     if any_hot:  # both kinds of rows are read
         rows = settle(rows, "contexts")
     found = rows.where("part IS NOT NULL").select("part", "run").groupBy("part").applyInArrow(
-        _merged(span, gram), "id bigint, text_hash bigint, window bigint")
+        tidy(_merged(span, gram)), "id bigint, text_hash bigint, window bigint")
     if any_hot:
         windows = rows.where("part IS NULL").select("key", "id", "text_hash", "place")
         lows = windows.groupBy("key").agg(F.min("id").alias("low"))
