@@ -1,7 +1,7 @@
 """URL filter by a tree of path templates, in DataFrame functions.
 
-Each host has a tree over the segments of its paths. Segments with a digit are variable and become a wildcard. Level
-by level, branches whose labels do not differ from all of their node's by more than ``Z`` standard
+Each host has a tree over the segments of its paths. Segments with a digit are variable and become a wildcard. At
+each node, branches whose labels do not differ from all of their node's by more than ``Z`` standard
 errors are statistically alike and merge into one wildcard branch; telling branches stay. A template, host and
 merged path, is judged by the labelled share to block, smoothed towards the same path over all hosts, which
 is smoothed towards the share over all pages. Templates at or above ``REJECT`` are blocked.
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .common import renamed, settle
 
 DEPTH = 6
-Z = 3.0
+Z = 2.0
 PRIOR = 2.0
 REJECT = 0.5
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -47,24 +47,23 @@ def templates(paths: DataFrame) -> DataFrame:
     """
     segments = F.slice(F.split(F.col("path"), "/"), 2, DEPTH + 1)
     variable = F.transform(segments, lambda s: F.when(s.rlike("[0-9]"), "*").otherwise(s))
-    depth = F.size(variable)
-    current = paths.withColumn("segments", variable).withColumn("depth", depth).withColumn("template", F.lit(""))
-    for level in range(1, DEPTH + 1):
-        segment = F.get("segments", F.lit(level - 1))
-        node = current.withColumn("segment", F.when(F.col("depth") >= level, segment))
-        branches = node.where("segment IS NOT NULL").groupBy("host", "template", "segment").agg(
-            F.sum("labelled").alias("l"), F.sum("blocked").alias("b"))
-        nodes = branches.groupBy("host", "template").agg(F.sum("l").alias("nl"), F.sum("b").alias("nb"))
-        share = F.col("nb") / F.col("nl")
-        error = F.sqrt(share * (1 - share) / F.col("l"))
-        telling = branches.join(nodes, ["host", "template"]).where("l > 0") \
-            .where(F.abs(F.col("b") / F.col("l") - share) > Z * error) \
-            .select("host", "template", "segment", F.col("segment").alias("kept"))
-        name = F.when(F.col("segment").isNull(), "").otherwise(F.concat(F.lit("/"), F.coalesce("kept", F.lit("*"))))
-        current = node.join(telling, ["host", "template", "segment"], "left") \
-            .withColumn("template", F.concat("template", name)).drop("segment", "kept")
-    deeper = F.when(F.col("depth") > DEPTH, "/**").otherwise("")
-    return current.select("host", "path", "n", "labelled", "blocked", F.concat("template", deeper).alias("template"))
+    current = settle(paths.withColumn("segments", variable), "paths")
+    level = F.posexplode(F.slice("segments", 1, DEPTH)).alias("level", "segment")
+    branch = current.select("host", "path", "segments", "labelled", "blocked", level) \
+        .withColumn("node", F.array_join(F.slice("segments", F.lit(1), F.col("level")), "/"))
+    branches = settle(branch.groupBy("host", "level", "node", "segment").agg(
+        F.sum("labelled").alias("l"), F.sum("blocked").alias("b")), "branches")
+    nodes = branches.groupBy("host", "level", "node").agg(F.sum("l").alias("nl"), F.sum("b").alias("nb"))
+    share = F.col("nb") / F.col("nl")
+    telling = branches.join(nodes, ["host", "level", "node"]).where(
+        (F.col("l") > 0) & (F.abs(F.col("b") / F.col("l") - share) > Z * F.sqrt(share * (1 - share) / F.col("l")))) \
+        .select("host", "level", "node", "segment", F.col("segment").alias("kept"))
+    named = branch.join(telling, ["host", "level", "node", "segment"], "left").groupBy("host", "path").agg(
+        F.array_sort(F.collect_list(F.struct("level", F.coalesce("kept", F.lit("*")).alias("name")))).alias("names"))
+    joined = F.array_join(F.transform("names", lambda x: F.concat(F.lit("/"), x["name"])), "")
+    deeper = F.when(F.size("segments") > DEPTH, "/**").otherwise("")
+    return current.join(named, ["host", "path"], "left").select(
+        "host", "path", "n", "labelled", "blocked", F.concat(F.coalesce(joined, F.lit("")), deeper).alias("template"))
 
 
 def judge_pages(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "page_id", url_col: str = "url") -> DataFrame:
