@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import remove_path, scratch_path
@@ -16,6 +16,7 @@ from ..session import remove_path, scratch_path
 BATCH_BYTES = 8 << 20
 BATCH_ROWS = 2000
 MEMO_ENTRIES = 1 << 20
+BROADCAST_IDS = 1_000_000
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:
@@ -101,8 +102,14 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def mask_of(condition: Column) -> Column:
-    return F.coalesce(condition, F.lit(False))
+def having(df: DataFrame, key: str, ids: DataFrame, name: str) -> DataFrame:
+    """Rows of ``df`` whose ``key`` is among ``ids`` (one column of its name).
+
+    The ids are written and counted; up to ``BROADCAST_IDS`` are broadcast, so that the rows stay where they are, more are joined.
+    """
+    wanted = settle(ids.distinct(), name)
+    few = wanted.count() <= BROADCAST_IDS
+    return df.join(F.broadcast(wanted) if few else wanted, key, "left_semi")
 
 
 def _state(edges: DataFrame) -> tuple:

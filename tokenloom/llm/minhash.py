@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, as_bytes, bounded_batches, components, drop, mix64, per_batch, renamed, settle, settled
+from .common import Memo, as_bytes, bounded_batches, components, drop, having, mix64, per_batch, renamed, settle, settled
 
 ROWS = 5
 BANDS = 38
@@ -132,6 +132,8 @@ def _verified(pairs: DataFrame, reps: DataFrame, sets: DataFrame, percent: int)
     likely = both.where(
         (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
         & (_differing("sa", "sb") <= sketch_limit(percent))).select("a", "b")
+    likely = settle(likely, "likely")
+    sets = having(sets, "id", likely.select(F.explode(F.array("a", "b")).alias("id")), "compared")
     full = likely.join(sets.select(F.col("id").alias("b"), F.col("items").alias("ib")), "b") \
         .join(sets.select(F.col("id").alias("a"), F.col("items").alias("ia")), "a")
     common = F.size(F.array_intersect("ia", "ib"))
@@ -156,9 +158,8 @@ def links_and_members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     hubs = keyed.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")) \
         .where("hub <> last").select("key", "hub")
     members = settle(keyed.join(hubs, "key"), "buckets")
-    wanted = members.select("id").distinct()
-    sets = settle(texts.join(wanted, "id", "left_semi").dropDuplicates(["id"]).mapInArrow(
-        _sets(width), "id bigint, items array<bigint>"), "sets")
+    sets = settle(having(texts, "id", members.select("id"), "candidates").mapInArrow(
+        _sets(width), "id bigint, items array<bigint>").dropDuplicates(["id"]), "sets")
 
     pairs = members.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     links = settle(_verified(pairs, reps, sets, percent), "links")
