@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from ..session import remove_path, scratch_path
 
-BATCH_BYTES = 8 << 20
-BATCH_ROWS = 2000
-MEMO_ENTRIES = 1 << 20
+BATCH_BYTES = 4 << 20
+BATCH_ROWS = 1000
+MMAP_THRESHOLD = -3  # of the C library's mallopt
+MEMO_ENTRIES = 1 << 18
 BROADCAST_IDS = 1_000_000
 
 
@@ -50,9 +51,15 @@ def as_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
+def lean() -> None:
+    """Let large arrays go back to the system when they are freed, those of Arrow too."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").mallopt(MMAP_THRESHOLD, 1 << 19)
+
+
 def trim() -> None:
     """Give freed memory back, so that idle Python workers stay small."""
-    pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
@@ -60,10 +67,12 @@ def trim() -> None:
 def tidy(fn: Callable):
     """An Arrow function over batches, or over one group, that trims when it is done."""
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         yield from fn(rows)
         trim()
 
     def group(table: pa.Table) -> pa.Table:
+        lean()
         out = fn(table)
         trim()
         return out
@@ -74,6 +83,7 @@ def tidy(fn: Callable):
 def per_batch(fn: Callable[[pa.RecordBatch], pa.RecordBatch]):
     """An Arrow function that maps one batch at a time."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for batch in batches:
             if batch.num_rows:
                 yield fn(batch)

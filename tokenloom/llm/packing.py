@@ -64,7 +64,7 @@ class WordEncoder:
     most differ from a known word in signs only.
     """
 
-    def __init__(self, path: str, limit: int = MEMO_ENTRIES // 2) -> None:
+    def __init__(self, path: str, limit: int = 2 * MEMO_ENTRIES) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 

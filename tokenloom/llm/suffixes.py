@@ -37,10 +37,10 @@ from .common import as_bytes, bounded_batches, mix64, per_batch, renamed, settle
 SPAN = 50
 GRAM = 16
 HOT = 100_000
-BUCKET_ANCHORS = 400_000
-PART_RECORDS = 200_000
-RUN_RECORDS = 150_000
-FLUSH_BYTES = 6 << 20
+BUCKET_ANCHORS = 250_000
+PART_RECORDS = 100_000
+RUN_RECORDS = 100_000
+FLUSH_BYTES = 4 << 20
 HOT_BIT = np.uint32(1 << 31)  # of a place; a text has fewer bytes
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
