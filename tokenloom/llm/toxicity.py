@@ -66,7 +66,7 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, allowed: Column, rows: i
     texts = renamed(docs, id=id_col, text=text_col)
     present = marked.join(texts.select("id").distinct(), "id", "left_semi")
     counts = {r.y: r["count"] for r in present.groupBy("y").count().collect()}
-    bound = F.lit(0.0)
+    bound = F.lit(1.0)
     for y, n in counts.items():
         bound = F.when(F.col("y") == y, F.lit(min(1.0, rows / 2 / n))).otherwise(bound)
     share = F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 20)) / float(1 << 20)
