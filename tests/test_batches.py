@@ -78,3 +78,10 @@ def test_short_example_gets_one_word(spark):
 def test_masking_plan_hashes_each_token_once(spark):
     plan = batches.mlm_mask(frame(spark, [[7]]), 9, KEYS)._jdf.queryExecution().optimizedPlan()
     assert plan.toString().count("md5(") == 1
+
+
+def test_whole_words_of_long_examples_reach_the_rate(spark):
+    ids = [6 if i % 4 == 0 else 7 + i % 500 for i in range(8000)]
+    r = batches.whole_word_mask(frame(spark, [ids]), 1000, KEYS, lambda i: i == 6).first()
+    chosen = sum(x != -100 for x in r.labels)
+    assert 1197 <= chosen <= 1200

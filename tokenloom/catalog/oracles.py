@@ -210,7 +210,7 @@ word AS (
   WHERE x >= 5 GROUP BY key, g),
 visit AS (
   SELECT *, row_number() OVER (PARTITION BY key ORDER BY md5('0:' || key || ':w:' || start), start) AS v,
-    least(greatest(round_even(size * 0.15::DOUBLE, 0), 1), 512)::BIGINT AS budget FROM word),
+    greatest(round_even(size * 0.15::DOUBLE, 0), 1)::BIGINT AS budget FROM word),
 taken AS (
   SELECT key, v, start, len, (len <= budget) AS hit, CASE WHEN len <= budget THEN len ELSE 0 END AS used
   FROM visit WHERE v = 1

@@ -37,27 +37,6 @@ NER_LABELS = {
     "O": 14,
 }
 
-# Part-of-speech label ids.
-POS_LABELS = {
-    "ADJ": 0,
-    "ADP": 1,
-    "PUNCT": 2,
-    "ADV": 3,
-    "AUX": 4,
-    "SYM": 5,
-    "INTJ": 6,
-    "CCONJ": 7,
-    "X": 8,
-    "NOUN": 9,
-    "DET": 10,
-    "PROPN": 11,
-    "NUM": 12,
-    "VERB": 13,
-    "PART": 14,
-    "PRON": 15,
-    "SCONJ": 16,
-}
-
 # Fixed value: the public GPT-2 piece pattern. (?U) makes \s mean Unicode white space.
 PIECE_PATTERN = (
     r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"

@@ -13,7 +13,6 @@ from ..functions.columns import bounds_from_ends, let, positions_where
 from ..functions.hashing import below, hash_int, seeded_hash
 
 MASKED_SHARE, RANDOM_SHARE = 0.8, 0.1  # of the chosen tokens; the others keep their id
-WORD_BUDGET = 512  # most tokens that whole-word masking chooses in one example
 
 
 def pad_to(values: Column, width: Column | int, fill: int) -> Column:
@@ -114,7 +113,7 @@ def mlm_mask(df: DataFrame, vocab_size: int, keys: Sequence[str], p: float = MAS
 
 def _chosen_words(ids: Column, starts: Callable[[Column], Column], key: Column, p: float,
                   seed: int, specials: int) -> Column:
-    """Positions covered by the chosen words.
+    """For each token whether a chosen word covers it.
 
     A special token stands alone and is never chosen. The other words are visited in
     hash order and taken while they fit the budget.
@@ -143,10 +142,17 @@ def _chosen_words(ids: Column, starts: Callable[[Column], Column], key: Column,
         empty = F.struct(F.lit(0).alias("n"), F.array().alias("taken")).cast(kind)
         return F.aggregate(let(ids, words), empty, step, lambda acc: acc["taken"])
 
-    taken = let(F.least(share, F.lit(WORD_BUDGET)), take)
-    return F.flatten(F.transform(
-        taken, lambda w: F.sequence(w["start"], w["start"] + w["len"] - 1)
-    ))
+    def flags(spans: Column) -> Column:
+        def end(i: Column) -> Column:
+            last = F.get(spans, i)
+            return F.coalesce(last["start"] + last["len"], F.lit(0))
+
+        runs = F.transform(spans, lambda w, i: F.concat(
+            F.array_repeat(F.lit(False), w["start"] - end(i - 1)), F.array_repeat(F.lit(True), w["len"])))
+        rest = F.array_repeat(F.lit(False), F.size(ids) - end(F.size(spans) - 1))
+        return F.concat(F.flatten(runs), rest)
+
+    return let(F.sort_array(let(share, take)), flags)
 
 
 def whole_word_mask(df: DataFrame, vocab_size: int, keys: Sequence[str],
@@ -158,10 +164,10 @@ def whole_word_mask(df: DataFrame, vocab_size: int, keys: Sequence[str],
     ``starts`` tells from a token id whether a word begins there; position 0 always does.
     """
     key = F.concat_ws(":", *[F.col(k).cast("string") for k in keys])
-    hits = _chosen_words(F.col(ids), starts, key, p, seed, specials)
+    chosen = _chosen_words(F.col(ids), starts, key, p, seed, specials)
     # The explode keeps the optimizer from computing the word choice again per token.
-    bound = df.select(*df.columns, F.explode(F.array(hits)).alias("_hits"))
+    bound = df.select(*df.columns, F.explode(F.array(chosen)).alias("_hits"))
     masked = _masked(
-        bound, lambda x, i, h: F.array_contains(F.col("_hits"), i), keys, ids, vocab_size, seed
+        bound, lambda x, i, h: F.get("_hits", i), keys, ids, vocab_size, seed
     )
     return masked.drop("_hits")

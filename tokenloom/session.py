@@ -28,11 +28,13 @@ def build_session(app: str = "tokenloom", cores: str = "*", partitions: int = 8,
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: spark.checkpoint.dir.
 
-    Only where that setting is missing, as in tests, is a temporary folder used.
+    Where that setting is missing, a temporary folder serves local sessions; a cluster must set it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if configured is None and current is None:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tokenloom-")
     if current is None:
         spark.sparkContext.setCheckpointDir(configured)
