@@ -487,8 +487,9 @@ ORACLES: dict[str, str] = {
           -ln((('0x' || substr(md5('0:' || draw || ':' || prev || ':' || next), 1, 8))::BIGINT + 1)
             / 4294967296.0::DOUBLE) / weight, next) AS r
         FROM weighted, range(3) d(draw)) WHERE r = 1"""),
-    "repeated_ngrams": query(GRAMS, """SELECT doc_id, a || ' ' || b || ' ' || c AS gram, count(*) AS n
-      FROM gram WHERE c IS NOT NULL GROUP BY doc_id, a, b, c HAVING count(*) > 1"""),
+    "repeated_ngrams": query(GRAMS, """SELECT d.source AS file, g.doc_id, a || ' ' || b || ' ' || c AS gram, count(*) AS n
+      FROM gram g JOIN documents d ON d.doc_id = g.doc_id
+      WHERE c IS NOT NULL GROUP BY d.source, g.doc_id, a, b, c HAVING count(*) > 1"""),
     "corpus_counts": query(EX, """SELECT file, count(*) AS docs, sum(s)::BIGINT AS sentences,
         sum(e)::BIGINT AS examples FROM (
           SELECT d.source AS file, len(string_split(text, chr(10))) AS s, coalesce(e.n, 0) AS e

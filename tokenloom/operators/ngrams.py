@@ -73,9 +73,9 @@ def sample_next(df: DataFrame, n: int = 3, temp: float = 0.75, seed: int = 0,
 
 
 def repeated_ngrams(df: DataFrame, n: int = 3, key: str = "doc_id", ids: str = "ids") -> DataFrame:
-    """``(doc_id, gram, n)``: n-grams that a document holds more than once.
+    """``([file,] doc_id, gram, n)``: n-grams that a document holds more than once.
 
-    A document is one row, so its n-grams are sorted and counted in place: no shuffle.
+    Keys are unique within a file, so a column ``file`` stays. A document is one row, so its n-grams are sorted and counted in place: no shuffle.
     """
     def counted(sorted_: Column) -> Column:
         def last_of_run(i: Column) -> Column:
@@ -92,4 +92,4 @@ def repeated_ngrams(df: DataFrame, n: int = 3, key: str = "doc_id", ids: str = "
         return F.sort_array(F.slice(slices, 1, F.greatest(F.size(v) - n + 1, F.lit(0))))
 
     found = let(let(F.col(ids), grams), counted)
-    return df.select(key, F.inline(found))
+    return df.select(*(c for c in ("file", key) if c in df.columns), F.inline(found))
