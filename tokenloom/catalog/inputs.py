@@ -75,10 +75,13 @@ def sentence_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def tagged(spark: SparkSession, sf: str) -> DataFrame:
-    """``tagged(sent_id, token, ner)``: first lines, with tags picked by hash."""
-    words = F.split(F.substring_index("text", "\n", 1), " ")
+    """``tagged(sent_id, token, ner)``: one sentence per line, with tags picked by hash.
+
+    ``sent_id`` is the document's id and the number of the line.
+    """
     names = F.array(*map(F.lit, TAGS))
-    sents = documents(spark, sf).select(F.col("doc_id").alias("sent_id"), words.alias("token"))
+    lines = documents(spark, sf).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "words"))
+    sents = lines.select(F.concat_ws(":", "doc_id", "line").alias("sent_id"), F.split("words", " ").alias("token"))
 
     def tag(i: Column) -> Column:
         return F.get(names, (hash_int(F.md5(F.concat_ws(":", "sent_id", i)), 0) % 16).cast("int"))

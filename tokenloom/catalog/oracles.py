@@ -61,9 +61,11 @@ _TAG_LIST = "[" + ", ".join(f"'{t}'" for t in TAGS) + "]"
 _LABEL_MAP = "MAP {" + ", ".join(f"'{k}': {v}" for k, v in NER_LABELS.items()) + "}"
 _NAME_LIST = "[" + ", ".join(f"'{k}'" for k in NER_LABELS) + "]"
 
-WORDS = """words AS (
-  SELECT doc_id AS sent_id, unnest(w) AS token, generate_subscripts(w, 1) - 1 AS pos FROM (
-    SELECT doc_id, string_split(string_split(text, chr(10))[1], ' ') AS w FROM documents))"""
+WORDS = """sentence AS (
+  SELECT doc_id || ':' || (generate_subscripts(lines, 1) - 1) AS sent_id, string_split(unnest(lines), ' ') AS w
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents)),
+words AS (
+  SELECT sent_id, unnest(w) AS token, generate_subscripts(w, 1) - 1 AS pos FROM sentence)"""
 
 TAGGED = f"""{WORDS},
 tagged AS (
@@ -132,14 +134,14 @@ ALIGNED = f"""{TAGGED},
 spelled AS (
   SELECT sent_id, pos, label, {byte_ids("' ' || token")} AS ids FROM labelled WHERE token <> ''),
 aligned AS (
-  SELECT d.doc_id AS sent_id,
+  SELECT d.sent_id,
     list_concat([0::BIGINT], coalesce(any_value(s.ids), []), [2::BIGINT]) AS ids,
     list_concat([-100::BIGINT], coalesce(any_value(s.labels), []), [-100::BIGINT]) AS labels
-  FROM documents d LEFT JOIN (
+  FROM sentence d LEFT JOIN (
     SELECT sent_id, flatten(list(ids ORDER BY pos)) AS ids,
       flatten(list(list_transform(ids, lambda x, k: CASE WHEN k = 1 THEN label ELSE -100 END)
         ORDER BY pos)) AS labels
-    FROM spelled GROUP BY sent_id) s ON s.sent_id = d.doc_id GROUP BY d.doc_id)"""
+    FROM spelled GROUP BY sent_id) s ON s.sent_id = d.sent_id GROUP BY d.sent_id)"""
 
 MATRIX = f"""{ENC},
 numbered AS (
@@ -309,10 +311,10 @@ joined AS (
   SELECT sent_id, flatten(list(ids ORDER BY pos, k)) AS ids, flatten(list(labels ORDER BY pos, k)) AS labels
   FROM piece_ids GROUP BY sent_id),
 aligned AS (
-  SELECT d.doc_id AS sent_id,
+  SELECT d.sent_id,
     list_concat([0::BIGINT], list_slice(coalesce(s.ids, []), 1, 254), [2::BIGINT]) AS ids,
     list_concat([-100::BIGINT], list_slice(coalesce(s.labels, []), 1, 254), [-100::BIGINT]) AS labels
-  FROM documents d LEFT JOIN joined s ON s.sent_id = d.doc_id)"""
+  FROM sentence d LEFT JOIN joined s ON s.sent_id = d.sent_id)"""
 
 # WordPiece: a line is one unit; the alphabet follows the corpus.
 WORDPIECE = f"""{LINES}, {BASE_VOCAB.replace("symbols AS", "byte_symbols AS")},
@@ -429,10 +431,10 @@ ORACLES: dict[str, str] = {
     "split_head_shuffled": query(EX, f"""SELECT file, doc_id, ex_idx,
         CASE WHEN pos < round_even(n * 0.01::DOUBLE, 0) THEN 'dev' ELSE 'train' END AS split
       FROM (SELECT *, {HASH_POS} AS pos, count(*) OVER () AS n FROM ex)"""),
-    "split_fraction": """SELECT doc_id AS sent_id,
-        CASE WHEN row_number() OVER (ORDER BY md5('0:' || doc_id), doc_id)
+    "split_fraction": query(WORDS, """SELECT sent_id,
+        CASE WHEN row_number() OVER (ORDER BY md5('0:' || sent_id), sent_id)
           <= ceil(count(*) OVER () * 0.1::DOUBLE) THEN 'test' ELSE 'train' END AS split
-      FROM documents""",
+      FROM sentence"""),
     "top_k": """SELECT * FROM (
         SELECT file, word, n, row_number() OVER (PARTITION BY file ORDER BY n DESC, word) AS "rank"
         FROM (SELECT file, word, count(*) AS n FROM (
