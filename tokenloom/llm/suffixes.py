@@ -38,6 +38,7 @@ SPAN = 50
 GRAM = 16
 HOT = 100_000
 BUCKET_ANCHORS = 250_000
+GROUP_ANCHORS = 2_000_000
 PART_RECORDS = 100_000
 RUN_RECORDS = 100_000
 FLUSH_BYTES = 4 << 20
@@ -138,9 +139,12 @@ def _anchor_blobs(span: int, gram: int, bits: int):
     return run
 
 
-def _repeated(hot: int):
-    """One bucket's blobs -> its anchors whose hash occurs in two texts, for the first document of each text."""
-    schema = pa.schema([("id", pa.int64()), ("text_hash", pa.int64()), ("places", pa.binary())])
+def _repeated(hot: int, groups: int):
+    """One bucket's blobs -> its anchors whose hash occurs in two texts, for the first document of each text.
+
+    They go back packed, one row per group of texts.
+    """
+    schema = pa.schema([("texts_group", pa.int32())] + [(n, pa.binary()) for n in ("docs", "texts", "counts", "places")])
 
     def run(table: pa.Table) -> pa.Table:
         docs, texts, which, places, hashes = [], [], [], [], []
@@ -167,17 +171,69 @@ def _repeated(hot: int):
         repeated, frequent = np.repeat(low != high, sizes), np.repeat(sizes >= hot, sizes)
         chosen = np.sort(order[repeated & lead[which[order]]])
         places[order[frequent]] |= HOT_BIT
-        own = which[chosen]
-        edges = np.flatnonzero(np.diff(own)) + 1
+        target = texts[which[chosen]] % groups
+        order = np.argsort(target, kind="stable")
+        chosen, target = chosen[order], target[order]
+        edges = np.flatnonzero(np.diff(target)) + 1
         rows = []
-        for lo, hi in zip([0, *edges], [*edges, len(own)], strict=True):
+        for lo, hi in zip([0, *edges], [*edges, len(chosen)], strict=True):
             if hi > lo:
-                rows.append((int(docs[own[lo]]), int(texts[own[lo]]), places[chosen[lo:hi]].tobytes()))
+                own, counts = np.unique(which[chosen[lo:hi]], return_counts=True)
+                rows.append((int(target[lo]), _planes(docs[own]), _planes(texts[own]), _planes(counts.astype(np.uint32)),
+                             _planes(places[chosen[lo:hi]])))
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows), schema, strict=True)] if rows else
                         [pa.array([], f.type) for f in schema], schema=schema)
     return run
 
 
+def _runs_of(ids: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order that brings equal ``(id, text hash)`` together, and where each begins in it."""
+    order = np.lexsort((hashes, ids))
+    a, b = ids[order], hashes[order]
+    return order, np.flatnonzero(np.concatenate([[len(a) > 0], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])[:len(a)])
+
+
+def _gathered(table: pa.Table) -> pa.Table:
+    """The packed anchors of one group of texts, from all buckets -> one row per text."""
+    ids, texts, places = [], [], []
+    for row in table.to_pylist():
+        counts = _unplanes(row["counts"], np.uint32)
+        ids.append(np.repeat(_unplanes(row["docs"], np.int64), counts))
+        texts.append(np.repeat(_unplanes(row["texts"], np.int64), counts))
+        places.append(_unplanes(row["places"], np.uint32))
+    ids, texts, places = map(np.concatenate, (ids, texts, places))
+    order, starts = _runs_of(ids, texts)
+    at = places[order]
+    parts = np.split(at, starts[1:])
+    return pa.table({
+        "id": pa.array(ids[order][starts], pa.int64()), "text_hash": pa.array(texts[order][starts], pa.int64()),
+        "places": pa.array([p.tobytes() for p in parts], pa.binary()),
+        "hot": pa.array([bool((p >= HOT_BIT).any()) for p in parts], pa.bool_())})
+
+
+def _by_text(ids: np.ndarray, hashes: np.ndarray, windows: np.ndarray) -> list[pa.Array]:
+    """Columns ``id, text_hash, windows`` with one row per text."""
+    order, starts = _runs_of(ids, hashes)
+    offsets = pa.array(np.append(starts, len(ids)), pa.int32())
+    return [pa.array(ids[order][starts], pa.int64()), pa.array(hashes[order][starts], pa.int64()),
+            pa.ListArray.from_arrays(offsets, pa.array(windows[order], pa.int64()))]
+
+
+_BY_TEXT = pa.schema([("id", pa.int64()), ("text_hash", pa.int64()), ("windows", pa.list_(pa.int64()))])
+_PLACE = np.dtype([("id", "<i8"), ("text_hash", "<i8"), ("place", "<i8")])
+
+
+def _late(span: int, gram: int):
+    """Windows of frequent grams with the smallest id that has them -> the places in later documents, by text."""
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        held = [np.frombuffer(x, _PLACE) for x in as_bytes(batch.column("held"))]
+        later = [h[h["id"] > low] for h, low in zip(held, batch.column("least").to_pylist(), strict=True)]
+        found = np.concatenate(later)
+        window = (found["place"] << np.int64(span - gram + 1)) + np.int64(1)
+        return pa.RecordBatch.from_arrays(_by_text(found["id"], found["text_hash"], window), schema=_BY_TEXT)
+    return per_batch(run)
+
+
 def front_code(records: list[tuple[bytes, bytes, list[tuple[int, int]]]], docs: list[tuple[int, int]]) -> bytes:
     """Sorted ``(suffix, left, places)`` as one compressed run.
 
@@ -298,14 +354,17 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, b
     for batch in batches:
         for doc, text_hash, text, places in zip(batch.column("id").to_pylist(), batch.column("text_hash").to_pylist(),
                                                 as_bytes(batch.column("text")), batch.column("places").to_pylist(), strict=True):
-            at = np.concatenate([np.frombuffer(p, np.uint32) for p in places])
+            at = np.frombuffer(places, np.uint32)
             yield doc, text_hash, text, (at & ~HOT_BIT).astype(np.int64), at >= HOT_BIT
 
 
 def _contexts(span: int, gram: int, parts: int):
-    """Texts with their candidate anchors -> sorted, front-coded runs by part, and windows of very frequent grams."""
-    schema = pa.schema([("part", pa.int32()), ("run", pa.binary()), ("key", pa.binary()), ("id", pa.int64()),
-                        ("text_hash", pa.int64()), ("place", pa.int64())])
+    """Texts with their candidate anchors -> sorted, front-coded runs by part, and windows of very frequent grams.
+
+    Equal windows of a batch are one row, with the smallest and largest id and all places.
+    """
+    schema = pa.schema([("part", pa.int32()), ("run", pa.binary()), ("key", pa.binary()), ("low", pa.int64()),
+                        ("high", pa.int64()), ("held", pa.binary())])
 
     def rows(**columns) -> pa.RecordBatch:
         n = len(next(iter(columns.values())))
@@ -319,10 +378,16 @@ def _contexts(span: int, gram: int, parts: int):
             own.sort()
         return rows(part=list(by_part), run=[front_code(own, docs) for own in by_part.values()])
 
+    def flush_windows(windows: dict) -> pa.RecordBatch:
+        held = [np.array(places, _PLACE) for places in windows.values()]
+        return rows(key=list(windows), low=[int(h["id"].min()) for h in held], high=[int(h["id"].max()) for h in held],
+                    held=[h.tobytes() for h in held])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         records: dict[tuple[bytes, bytes], list] = {}
+        windows: dict[bytes, list[tuple[int, int, int]]] = {}
         docs: list[tuple[int, int]] = []
-        size = 0
+        size = held = 0
         for doc, text_hash, text, at, hot in _candidates(batches):
             for p in at[~hot].tolist():
                 records.setdefault((text[p:p + span], text[max(0, p - span + gram):p]), []).append((len(docs), p))
@@ -333,16 +398,20 @@ def _contexts(span: int, gram: int, parts: int):
                 records, docs, size = {}, [], 0
             start = np.unique((at[hot][:, None] - np.arange(span - gram + 1)).ravel())
             start = start[(start >= 0) & (start <= len(text) - span)].tolist()
-            if start:
-                yield rows(key=[xxhash.xxh3_128_digest(text[p:p + span]) for p in start], id=[doc] * len(start),
-                           text_hash=[text_hash] * len(start), place=start)
+            for p in start:
+                windows.setdefault(xxhash.xxh3_128_digest(text[p:p + span]), []).append((doc, text_hash, p))
+            held += len(start)
+            if held >= RUN_RECORDS:
+                yield flush_windows(windows)
+                windows, held = {}, 0
         if records:
             yield flush(records, docs)
+        if windows:
+            yield flush_windows(windows)
     return run
 
 
 def _merged(span: int, gram: int):
-    schema = pa.schema([("id", pa.int64()), ("text_hash", pa.int64()), ("window", pa.int64())])
     every = (1 << (span - gram + 1)) - 1
 
     def run(table: pa.Table) -> pa.Table:
@@ -376,7 +445,7 @@ def _merged(span: int, gram: int):
             group.append((suffix, left, low, shared if group else 0))
             held.append(places)
         close(group)
-        return pa.table([pa.array(c, pa.int64()) for c in (ids, hashes, windows)], schema=schema)
+        return pa.table(_by_text(*(np.array(c, np.int64) for c in (ids, hashes, windows))), schema=_BY_TEXT)
     return run
 
 
@@ -405,31 +474,31 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     bounded_batches(docs.sparkSession)
     texts = _hashed(docs, id_col, text_col)
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = min(24, max(0, math.ceil(math.log2(max(1, total * 2 / (span - gram + 2) / BUCKET_ANCHORS)))))
+    expected = total * 2 / (span - gram + 2)
+    bits = min(24, max(0, math.ceil(math.log2(max(1, expected / BUCKET_ANCHORS)))))
     buckets = texts.mapInArrow(tidy(_anchor_blobs(span, gram, bits)), _BLOBS)
-    found = buckets.repartition(1 << bits, "bucket").groupBy("bucket").applyInArrow(
-        tidy(_repeated(hot)), "id bigint, text_hash bigint, places binary")
-    per_text = settle(found.groupBy("id", "text_hash").agg(F.collect_list("places").alias("places")), "anchors")
-    length = F.aggregate("places", F.lit(0).cast("bigint"), lambda n, x: n + F.octet_length(x))
-    # The last hexadecimal digits of a little-endian place hold the flag.
-    flagged = F.exists("places", lambda x: F.hex(x).rlike("^(?:.{8})*.{6}[89A-F]"))
-    n, any_hot = per_text.agg(F.sum(length / 4), F.max(flagged)).first()
+    packed = buckets.repartition(1 << bits, "bucket").groupBy("bucket").applyInArrow(
+        tidy(_repeated(hot, max(1, math.ceil(expected / GROUP_ANCHORS)))),
+        "texts_group int, docs binary, texts binary, counts binary, places binary")
+    per_text = settle(packed.groupBy("texts_group").applyInArrow(
+        tidy(_gathered), "id bigint, text_hash bigint, places binary, hot boolean"), "anchors")
+    n, any_hot = per_text.agg(F.sum(F.octet_length("places") / 4), F.max("hot")).first()
     rows = texts.join(per_text, ["id", "text_hash"]).mapInArrow(
         tidy(_contexts(span, gram, max(1, math.ceil((n or 0) / PART_RECORDS)))),
-        "part int, run binary, key binary, id bigint, text_hash bigint, place bigint")
+        "part int, run binary, key binary, low bigint, high bigint, held binary")
     if any_hot:  # both kinds of rows are read
         rows = settle(rows, "contexts")
-    found = rows.where("part IS NOT NULL").select("part", "run").groupBy("part").applyInArrow(
-        tidy(_merged(span, gram)), "id bigint, text_hash bigint, window bigint")
+    by_text = "id bigint, text_hash bigint, windows array<bigint>"
+    found = rows.where("part IS NOT NULL").select("part", "run").groupBy("part").applyInArrow(tidy(_merged(span, gram)), by_text)
     if any_hot:
-        windows = rows.where("part IS NULL").select("key", "id", "text_hash", "place")
-        lows = windows.groupBy("key").agg(F.min("id").alias("low"))
-        found = found.union(windows.join(lows, "key").where("id > low").select(
-            "id", "text_hash", (F.shiftleft("place", span - gram + 1) + 1).alias("window")))
+        windows = rows.where("part IS NULL").select("key", "low", "high", "held")
+        lows = windows.groupBy("key").agg(F.min("low").alias("least"), F.max("high").alias("most")) \
+            .where("least < most").select("key", "least")
+        found = found.union(windows.join(lows, "key").where("high > least").mapInArrow(_late(span, gram), by_text))
     copied = texts.where((F.octet_length("text") >= span) & F.col("id").isNotNull()).groupBy("text_hash").agg(
         F.min("id").alias("id"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    return found.union(copied.select("id", "text_hash", F.lit(None).cast("bigint"))).groupBy("text_hash").agg(
-        F.min("id").alias("first"), F.collect_list("window").alias("windows"))
+    return found.union(copied.select("id", "text_hash", F.lit(None).cast("array<bigint>"))).groupBy("text_hash").agg(
+        F.min("id").alias("first"), F.flatten(F.collect_list("windows")).alias("windows"))
 
 
 def _hashed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
