@@ -144,8 +144,6 @@ def _repeated(hot: int, groups: int):
 
     They go back packed, one row per group of texts.
     """
-    schema = pa.schema([("texts_group", pa.int32())] + [(n, pa.binary()) for n in ("docs", "texts", "counts", "places")])
-
     def run(table: pa.Table) -> pa.Table:
         docs, texts, which, places, hashes = [], [], [], [], []
         base = 0
@@ -171,18 +169,7 @@ def _repeated(hot: int, groups: int):
         repeated, frequent = np.repeat(low != high, sizes), np.repeat(sizes >= hot, sizes)
         chosen = np.sort(order[repeated & lead[which[order]]])
         places[order[frequent]] |= HOT_BIT
-        target = texts[which[chosen]] % groups
-        order = np.argsort(target, kind="stable")
-        chosen, target = chosen[order], target[order]
-        edges = np.flatnonzero(np.diff(target)) + 1
-        rows = []
-        for lo, hi in zip([0, *edges], [*edges, len(chosen)], strict=True):
-            if hi > lo:
-                own, counts = np.unique(which[chosen[lo:hi]], return_counts=True)
-                rows.append((int(target[lo]), _planes(docs[own]), _planes(texts[own]), _planes(counts.astype(np.uint32)),
-                             _planes(places[chosen[lo:hi]])))
-        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows), schema, strict=True)] if rows else
-                        [pa.array([], f.type) for f in schema], schema=schema)
+        return _packed(docs[which[chosen]], texts[which[chosen]], places[chosen], groups)
     return run
 
 
@@ -193,24 +180,55 @@ def _runs_of(ids: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return order, np.flatnonzero(np.concatenate([[len(a) > 0], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])[:len(a)])
 
 
-def _gathered(table: pa.Table) -> pa.Table:
-    """The packed anchors of one group of texts, from all buckets -> one row per text."""
-    ids, texts, places = [], [], []
+_PACKED = "texts_group int, docs binary, texts binary, counts binary, found binary"
+
+
+def _packed(ids: np.ndarray, hashes: np.ndarray, values: np.ndarray, groups: int) -> pa.Table:
+    """Values by text -> one row per group of texts, as packed columns; a text belongs to the group of its hash."""
+    target = hashes % groups
+    order = np.lexsort((hashes, ids, target))
+    ids, hashes, values = ids[order], hashes[order], values[order]
+    starts = np.flatnonzero(np.concatenate([[len(ids) > 0], (np.diff(ids) != 0) | (np.diff(hashes) != 0)])[:len(ids)])
+    ends = np.append(starts[1:], len(ids)).astype(np.int64)
+    target = target[order][starts]
+    edges = np.flatnonzero(np.diff(target)) + 1
+    rows = []
+    for lo, hi in zip([0, *edges], [*edges, len(starts)], strict=True):
+        if hi > lo:
+            own = starts[lo:hi]
+            rows.append((int(target[lo]), _planes(ids[own]), _planes(hashes[own]),
+                         _planes((ends[lo:hi] - own).astype(np.uint32)), _planes(values[own[0]:ends[hi - 1]])))
+    schema = pa.schema([("texts_group", pa.int32())] + [(n, pa.binary()) for n in ("docs", "texts", "counts", "found")])
+    return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 5, schema, strict=True)], schema=schema)
+
+
+def _unpacked(table: pa.Table, kind) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The rows of one group -> id, text hash and value, one of each per value."""
+    parts = []
     for row in table.to_pylist():
         counts = _unplanes(row["counts"], np.uint32)
-        ids.append(np.repeat(_unplanes(row["docs"], np.int64), counts))
-        texts.append(np.repeat(_unplanes(row["texts"], np.int64), counts))
-        places.append(_unplanes(row["places"], np.uint32))
-    ids, texts, places = map(np.concatenate, (ids, texts, places))
+        parts.append((np.repeat(_unplanes(row["docs"], np.int64), counts), np.repeat(_unplanes(row["texts"], np.int64), counts),
+                      _unplanes(row["found"], kind)))
+    ids, hashes, values = (np.concatenate(c) for c in zip(*parts, strict=True))
+    return ids, hashes, values
+
+
+def _gathered(table: pa.Table) -> pa.Table:
+    """The packed anchors of one group of texts, from all buckets -> one row per text."""
+    ids, texts, places = _unpacked(table, np.uint32)
     order, starts = _runs_of(ids, texts)
-    at = places[order]
-    parts = np.split(at, starts[1:])
+    parts = np.split(places[order], starts[1:])
     return pa.table({
         "id": pa.array(ids[order][starts], pa.int64()), "text_hash": pa.array(texts[order][starts], pa.int64()),
         "places": pa.array([p.tobytes() for p in parts], pa.binary()),
         "hot": pa.array([bool((p >= HOT_BIT).any()) for p in parts], pa.bool_())})
 
 
+def _gathered_windows(table: pa.Table) -> pa.Table:
+    """The packed windows of one group of texts, from all parts -> one row per text."""
+    return pa.table(_by_text(*_unpacked(table, np.int64)), schema=_BY_TEXT)
+
+
 def _by_text(ids: np.ndarray, hashes: np.ndarray, windows: np.ndarray) -> list[pa.Array]:
     """Columns ``id, text_hash, windows`` with one row per text."""
     order, starts = _runs_of(ids, hashes)
@@ -411,7 +429,7 @@ def _contexts(span: int, gram: int, parts: int):
     return run
 
 
-def _merged(span: int, gram: int):
+def _merged(span: int, gram: int, groups: int):
     every = (1 << (span - gram + 1)) - 1
 
     def run(table: pa.Table) -> pa.Table:
@@ -445,7 +463,7 @@ def _merged(span: int, gram: int):
             group.append((suffix, left, low, shared if group else 0))
             held.append(places)
         close(group)
-        return pa.table(_by_text(*(np.array(c, np.int64) for c in (ids, hashes, windows))), schema=_BY_TEXT)
+        return _packed(*(np.array(c, np.int64) for c in (ids, hashes, windows)), groups)
     return run
 
 
@@ -477,9 +495,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     expected = total * 2 / (span - gram + 2)
     bits = min(24, max(0, math.ceil(math.log2(max(1, expected / BUCKET_ANCHORS)))))
     buckets = texts.mapInArrow(tidy(_anchor_blobs(span, gram, bits)), _BLOBS)
-    packed = buckets.repartition(1 << bits, "bucket").groupBy("bucket").applyInArrow(
-        tidy(_repeated(hot, max(1, math.ceil(expected / GROUP_ANCHORS)))),
-        "texts_group int, docs binary, texts binary, counts binary, places binary")
+    groups = max(1, math.ceil(expected / GROUP_ANCHORS))
+    packed = buckets.repartition(1 << bits, "bucket").groupBy("bucket").applyInArrow(tidy(_repeated(hot, groups)), _PACKED)
     per_text = settle(packed.groupBy("texts_group").applyInArrow(
         tidy(_gathered), "id bigint, text_hash bigint, places binary, hot boolean"), "anchors")
     n, any_hot = per_text.agg(F.sum(F.octet_length("places") / 4), F.max("hot")).first()
@@ -489,7 +506,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if any_hot:  # both kinds of rows are read
         rows = settle(rows, "contexts")
     by_text = "id bigint, text_hash bigint, windows array<bigint>"
-    found = rows.where("part IS NOT NULL").select("part", "run").groupBy("part").applyInArrow(tidy(_merged(span, gram)), by_text)
+    packed = rows.where("part IS NOT NULL").select("part", "run").groupBy("part").applyInArrow(
+        tidy(_merged(span, gram, groups)), _PACKED)
+    found = packed.groupBy("texts_group").applyInArrow(tidy(_gathered_windows), by_text)
     if any_hot:
         windows = rows.where("part IS NULL").select("key", "low", "high", "held")
         lows = windows.groupBy("key").agg(F.min("low").alias("least"), F.max("high").alias("most")) \
