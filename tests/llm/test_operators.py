@@ -191,6 +191,37 @@ def test_pivots_against_brute_force(spark):
     assert pivots.near_vectors(empty).count() == 0
 
 
+def linked_rows(spark, x, **options):
+    """``(found, want)``: links of each row, from the operator and by brute force."""
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in pivots.near_vectors(frame, **options).collect()}
+    y = x / np.linalg.norm(x, axis=1)[:, None]
+    return np.array([got[i] for i in range(len(x))]), (y @ y.T >= 0.9).sum(axis=1) - 1
+
+
+def around(rng, centres, cosine):
+    """A random vector at about this cosine from each centre."""
+    noise = rng.normal(size=centres.shape)
+    unit = centres / np.linalg.norm(centres, axis=1)[:, None]
+    noise -= (noise * unit).sum(axis=1)[:, None] * unit
+    return cosine * unit + np.sqrt(1 - cosine ** 2) * noise / np.linalg.norm(noise, axis=1)[:, None]
+
+
+@pytest.mark.parametrize("cosine", [0.95, 0.88])
+def test_pivots_hold_a_dense_group(spark, cosine):
+    """A third of the rows in one group, at this cosine from each other."""
+    rng = np.random.default_rng(2)
+    group = around(rng, np.repeat(rng.normal(size=(1, 64)), 1000, axis=0), np.sqrt(cosine))
+    found, want = linked_rows(spark, np.vstack([group, rng.normal(size=(2000, 64))]))
+    assert (found <= want).all() and found.sum() >= 0.95 * want.sum() > 0
+
+
+def test_few_pivots_make_one_list(spark):
+    rng = np.random.default_rng(3)
+    found, want = linked_rows(spark, around(rng, np.ones((700, 64)), np.sqrt(0.9)))
+    assert (found == want).all() and want.sum() > 0
+
+
 def test_simhash(spark, awkward, none):
     rows = simhash.edited_fingerprints(awkward.where("doc_id is not null").dropDuplicates(["doc_id"])).orderBy("doc_id").collect()
     ids = sorted({(d, t or "") for d, t, *_ in AWKWARD if d is not None})

@@ -2,7 +2,8 @@
 
 A vector is described by its nearest pivots in order. Every pair of its first ``NEAR`` pivots is an
 inverted list, so two vectors of one list share two pivots at least; they are counted in the first
-list they share, and verified by cosine in double precision. Pivots are a bounded sample; every
+list they share, and verified by cosine in double precision. Pivots are a bounded sample without neighbours,
+so that a dense group has one pivot, which all of it shares, and not a share of them; every
 vector is indexed. Equal vectors are one entry with a multiplicity. Long lists are cut into blocks and compared
 block by block as matrix products: a block pair returns link counts and a spanning forest,
 never its pairs.
@@ -26,7 +27,8 @@ NEAR = 5
 SHARED = 2
 BLOCK = 512
 MAX_PIVOTS = 1024
-PAIRS = 50_000
+CANDIDATES = 4  # for each pivot
+PLACE = 16  # bits of a pivot's number within a key
 
 
 def _valid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -45,25 +47,55 @@ def _valid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [batch.column("id"), pa.array(digests, pa.binary()), pa.array(packed, pa.binary())], names=["id", "digest", "vector"])
 
 
+def spread(candidates: np.ndarray, size: int, threshold: float) -> np.ndarray:
+    """The first ``size`` candidates that are not within twice the linking angle of one before them.
+
+    Members of one group of links lie within that angle of its pivot, however many of the rows they are.
+    """
+    unit = candidates / np.sqrt((candidates ** 2).sum(axis=1))[:, None]
+    cap = 2 * threshold * threshold - 1 if threshold > 0 else -1.0
+    nearest, chosen = np.full(len(unit), -np.inf), []
+    for i, v in enumerate(unit):
+        if len(chosen) < size and nearest[i] < cap:
+            chosen.append(i)
+            np.maximum(nearest, unit @ v, out=nearest)
+    return candidates[chosen]
+
+
 def _described(pivots: np.ndarray, near: int):
-    """``(id, copies, vector, keys)``: hashes of all pairs among the ordered nearest pivots."""
+    """``(id, copies, vector, near, keys)``: the nearest pivots, and all pairs among them.
+
+    Where there are no more pivots than that, all vectors would share all pairs: they are one list, of key 0.
+    """
     norms = np.sqrt((pivots ** 2).sum(axis=1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = []
+            nearest, keys = [], []
             for blob in batch.column("vector").to_pylist():
                 v = np.frombuffer(blob, np.float64)
-                order = np.argsort(-(pivots @ v) / norms, kind="stable")[:near].tolist() if len(v) == pivots.shape[1] else []
-                keys.append(sorted(min(a, b) * len(pivots) + max(a, b) for a, b in combinations(order, 2)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.list_(pa.int64()))], names=[*batch.schema.names, "keys"])
+                own = len(v) == pivots.shape[1]
+                order = np.argsort(-(pivots @ v) / norms, kind="stable")[:near].tolist() if own and len(pivots) > near else []
+                nearest.append(sorted(order))
+                keys.append([a << PLACE | b for a, b in combinations(nearest[-1], 2)] if order else [0] * own)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nearest, pa.list_(pa.int32())), pa.array(keys, pa.list_(pa.int64()))],
+                                             names=[*batch.schema.names, "near", "keys"])
     return run
 
 
 def _rows(table: pa.Table) -> tuple[np.ndarray, ...]:
     x = np.stack([np.frombuffer(b, np.float64) for b in table.column("vector").to_pylist()])
-    keys = np.stack([np.array(k, np.int64) for k in table.column("keys").to_pylist()])
-    return table.column("id").to_numpy(), table.column("copies").to_numpy(), x / np.sqrt((x * x).sum(axis=1))[:, None], keys
+    near = np.stack([np.array(k, np.int64) for k in table.column("near").to_pylist()])
+    return table.column("id").to_numpy(), table.column("copies").to_numpy(), x / np.sqrt((x * x).sum(axis=1))[:, None], near
+
+
+def _met(near: np.ndarray, key: int) -> np.ndarray:
+    """For each row of the list the pivots (0 or 1) by which it meets another in an earlier list: those before the second, the first apart."""
+    one, two = key >> PLACE & (1 << PLACE) - 1, key & (1 << PLACE) - 1
+    used, place = np.unique(near, return_inverse=True)
+    member = np.zeros((len(near), len(used)), np.float32)
+    np.put_along_axis(member, place.reshape(near.shape), 1, axis=1)
+    return member[:, (used < two) & (used != one)]
 
 
 def _compared(threshold: float):
@@ -71,22 +103,18 @@ def _compared(threshold: float):
     schema = pa.schema([("id", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
 
     def run(table: pa.Table) -> pa.Table:
-        ids, copies, x, keys = _rows(table)
+        ids, copies, x, near = _rows(table)
         key, a, b = (table.column(c)[0].as_py() for c in ("key", "a", "b"))
         block = table.column("block").to_numpy()
         left, right = np.flatnonzero(block == a), np.flatnonzero(block == b)
-        i, j = np.nonzero(x[left] @ x[right].T >= threshold)
+        linked = x[left] @ x[right].T >= threshold
+        if linked.any() and near.shape[1]:  # a pair counts in the first list that it shares
+            met = _met(near, key)
+            linked &= met[left] @ met[right].T == 0
+        i, j = np.nonzero(linked)
         i, j = left[i], right[j]
         if a == b:
             i, j = i[i < j], j[i < j]
-        first = []
-        for at in range(0, len(i), PAIRS):  # a pair counts in the first list that it shares
-            p, q = keys[i[at:at + PAIRS]], keys[j[at:at + PAIRS]]
-            shared = np.where((p[:, :, None] == q[:, None, :]).any(axis=2), p, np.iinfo(np.int64).max)
-            first.append(shared.min(axis=1) == key)
-        if first:
-            keep = np.concatenate(first)
-            i, j = i[keep], j[keep]
         links = np.bincount(i, copies[j], len(ids)) + np.bincount(j, copies[i], len(ids))
         roots = ids.copy()
         while len(i):
@@ -108,7 +136,8 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     Links are pairs with a cosine of ``threshold`` or more that share two of their ``near`` nearest
     pivots. Null, empty and zero vectors and those with null or non-finite components link with nothing. Vectors of a
     length other than the pivots' link with their equals only. Rows without an id have no component. The
-    pivots are the at most ``max_pivots`` vectors of smallest hash, about the square root of their number.
+    pivots are at most ``max_pivots`` vectors of small hash, about the square root of their number, none within twice
+    the linking angle of another. Vectors that leave few such pivots share long lists, which are compared whole.
     """
     spark = vectors.sparkSession
     bounded_batches(spark)
@@ -121,17 +150,17 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     size = min(max_pivots, max(16, 1 << math.ceil(math.log2(max(1, n)) / 2)))
     links = None
     if length is not None:
-        sample = unique.where(F.octet_length("vector") == length.n).orderBy("digest").limit(size).select("vector").collect()
-        pivots = np.stack([np.frombuffer(r.vector, np.float64) for r in sample])
+        sample = unique.where(F.octet_length("vector") == length.n).orderBy("digest").limit(CANDIDATES * size).select("vector").collect()
+        pivots = spread(np.stack([np.frombuffer(r.vector, np.float64) for r in sample]), size, threshold)
         described = settle(unique.select("id", "copies", "vector").mapInArrow(
-            tidy(_described(pivots, near)), "id bigint, copies bigint, vector binary, keys array<bigint>"), "permutations")
+            tidy(_described(pivots, near)), "id bigint, copies bigint, vector binary, near array<int>, keys array<bigint>"), "permutations")
         keyed = described.select("id", F.explode("keys").alias("key"))
         sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1") \
             .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-        listed = described.select("*", F.explode("keys").alias("key")).join(sizes, "key") \
+        listed = described.select("id", "copies", "vector", "near", F.explode("keys").alias("key")).join(sizes, "key") \
             .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
         pairs = listed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-            "key", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block", "id", "copies", "vector", "keys")
+            "key", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block", "id", "copies", "vector", "near")
         links = settle(pairs.groupBy("key", "a", "b").applyInArrow(tidy(_compared(threshold)), "id bigint, links bigint, root bigint"), "links")
     if links is None:
         links = spark.createDataFrame([], "id bigint, links bigint, root bigint")
