@@ -216,6 +216,34 @@ def test_pivots_hold_a_dense_group(spark, cosine):
     assert (found <= want).all() and found.sum() >= 0.95 * want.sum() > 0
 
 
+def test_pivots_hold_at_full_number():
+    """Unrelated pairs just above the threshold, by the keys that they share among 1,024 pivots."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    one = rng.normal(size=(1500, 64))
+    rows = np.vstack([one, around(rng, one, 0.905)])
+    batch = pa.RecordBatch.from_arrays([pa.array([v.tobytes() for v in rows], pa.binary())], names=["vector"])
+    described, = pivots._described({64: rng.normal(size=(pivots.MAX_PIVOTS, 64))}, pivots.NEAR)([batch])
+    keys = [set(k) for k in described.column("keys").to_pylist()]
+    assert np.mean([bool(a & b) for a, b in zip(keys[:1500], keys[1500:], strict=True)]) >= 0.95
+
+
+def test_vectors_of_every_length_are_compared(spark):
+    rng = np.random.default_rng(5)
+    lengths = {64: 600, 32: 300, 8: 6, 3: 1}
+    parts = [np.vstack([x, around(rng, x, 0.95)]) for x in (rng.normal(size=(n, k)) for k, n in lengths.items())]
+    rows = [(i, v.tolist()) for i, v in enumerate(v for p in parts for v in p)]
+    got = {r.vec_id: r.n_links for r in pivots.near_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).collect()}
+    at = 0
+    for p in parts:
+        y = p / np.linalg.norm(p, axis=1)[:, None]
+        want = (y @ y.T >= 0.9).sum(axis=1) - 1
+        found = np.array([got[at + i] for i in range(len(p))])
+        at += len(p)
+        assert (found <= want).all() and found.sum() >= 0.95 * want.sum() > 0
+
+
 def test_few_pivots_make_one_list(spark):
     rng = np.random.default_rng(3)
     found, want = linked_rows(spark, around(rng, np.ones((700, 64)), np.sqrt(0.9)))

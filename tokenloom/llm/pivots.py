@@ -23,12 +23,13 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, components, renamed, settle, tidy
 
-NEAR = 5
+NEAR = 5  # with 128 pivots; one more each time they double
 SHARED = 2
 BLOCK = 512
 MAX_PIVOTS = 1024
 CANDIDATES = 4  # for each pivot
-PLACE = 16  # bits of a pivot's number within a key
+WHOLE = 256  # as many vectors of one length are one list
+PLACE = 16  # bits of a pivot's number within a key, above them the number of components
 
 
 def _valid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -62,27 +63,53 @@ def spread(candidates: np.ndarray, size: int, threshold: float) -> np.ndarray:
     return candidates[chosen]
 
 
-def _described(pivots: np.ndarray, near: int):
-    """``(id, copies, vector, near, keys)``: the nearest pivots, and all pairs among them.
+def nearest(pivots: int, near: int = NEAR) -> int:
+    """How many pivots describe a vector: ``near`` with up to 128 of them, one more each time they double.
+
+    A pair at the same cosine shares fewer of its nearest pivots the denser they lie.
+    """
+    return near + max(0, math.ceil(math.log2(max(1, pivots))) - 7)
+
+
+def _described(by_length: dict[int, np.ndarray], near: int):
+    """``(id, copies, vector, near, keys)``: the nearest pivots of the vector's length, and all pairs among them.
 
     Where there are no more pivots than that, all vectors would share all pairs: they are one list, of key 0.
     """
-    norms = np.sqrt((pivots ** 2).sum(axis=1))
+    index = {n: (p, np.sqrt((p ** 2).sum(axis=1)), nearest(len(p), near)) for n, p in by_length.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nearest, keys = [], []
+            first, keys = [], []
             for blob in batch.column("vector").to_pylist():
                 v = np.frombuffer(blob, np.float64)
-                own = len(v) == pivots.shape[1]
-                order = np.argsort(-(pivots @ v) / norms, kind="stable")[:near].tolist() if own and len(pivots) > near else []
-                nearest.append(sorted(order))
-                keys.append([a << PLACE | b for a, b in combinations(nearest[-1], 2)] if order else [0] * own)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nearest, pa.list_(pa.int32())), pa.array(keys, pa.list_(pa.int64()))],
+                order, base = [], len(v) << 2 * PLACE
+                if len(v) in index:
+                    pivots, norms, k = index[len(v)]
+                    order = np.argsort(-(pivots @ v) / norms, kind="stable")[:k].tolist() if len(pivots) > k else []
+                first.append(sorted(order))
+                keys.append([base + (a << PLACE) + b for a, b in combinations(first[-1], 2)] if order else [base])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(first, pa.list_(pa.int32())), pa.array(keys, pa.list_(pa.int64()))],
                                              names=[*batch.schema.names, "near", "keys"])
     return run
 
 
+def _pivots(unique: DataFrame, threshold: float, max_pivots: int) -> dict[int, np.ndarray]:
+    """Pivots of each vector length with more than ``WHOLE`` vectors, from those of small hash."""
+    counts = unique.groupBy(F.octet_length("vector").alias("bytes")).count().where(F.col("count") > WHOLE).collect()
+    sizes = {r["bytes"]: min(max_pivots, max(16, 1 << math.ceil(math.log2(r["count"]) / 2))) for r in counts}
+    if not sizes:
+        return {}
+    shares = unique.sparkSession.createDataFrame(
+        [(r["bytes"], min(1.0, 1.25 * CANDIDATES * sizes[r["bytes"]] / r["count"])) for r in counts], "bytes int, share double")
+    hashed = F.conv(F.hex(F.substring("digest", 1, 4)), 16, 10).cast("bigint") / float(1 << 32)
+    sample = unique.withColumn("bytes", F.octet_length("vector")).join(F.broadcast(shares), "bytes").where(hashed < F.col("share"))
+    by_length: dict[int, list] = {n: [] for n in sizes}
+    for r in sorted(sample.select("bytes", "digest", "vector").collect(), key=lambda r: bytes(r.digest)):
+        by_length[r["bytes"]].append(np.frombuffer(r.vector, np.float64))
+    return {n // 8: spread(np.stack(own[:CANDIDATES * sizes[n]]), sizes[n], threshold) for n, own in by_length.items()}
+
+
 def _rows(table: pa.Table) -> tuple[np.ndarray, ...]:
     x = np.stack([np.frombuffer(b, np.float64) for b in table.column("vector").to_pylist()])
     near = np.stack([np.array(k, np.int64) for k in table.column("near").to_pylist()])
@@ -134,10 +161,11 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     """One row per vector: ``vec_id, n_links, component_id, kept``.
 
     Links are pairs with a cosine of ``threshold`` or more that share two of their ``near`` nearest
-    pivots. Null, empty and zero vectors and those with null or non-finite components link with nothing. Vectors of a
-    length other than the pivots' link with their equals only. Rows without an id have no component. The
-    pivots are at most ``max_pivots`` vectors of small hash, about the square root of their number, none within twice
-    the linking angle of another. Vectors that leave few such pivots share long lists, which are compared whole.
+    pivots (one more each time the pivots double beyond 128). Null, empty and zero vectors and those with
+    null or non-finite components link with nothing. Rows without an id have no component. Vectors of each
+    length have pivots of their own, or are one list where they are few. Pivots are at most ``max_pivots``
+    vectors of small hash for a length, about the square root of their number, none within twice the
+    linking angle of another. Vectors that leave few such pivots share long lists, which are compared whole.
     """
     spark = vectors.sparkSession
     bounded_batches(spark)
@@ -145,25 +173,17 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     packed = settle(rows.mapInArrow(tidy(_valid), "id bigint, digest binary, vector binary"), "vectors")
     unique = settle(packed.where("digest IS NOT NULL AND id IS NOT NULL").groupBy("digest").agg(
         F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("vector").alias("vector")), "unique")
-    n = unique.count()
-    length = unique.groupBy(F.octet_length("vector").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    size = min(max_pivots, max(16, 1 << math.ceil(math.log2(max(1, n)) / 2)))
-    links = None
-    if length is not None:
-        sample = unique.where(F.octet_length("vector") == length.n).orderBy("digest").limit(CANDIDATES * size).select("vector").collect()
-        pivots = spread(np.stack([np.frombuffer(r.vector, np.float64) for r in sample]), size, threshold)
-        described = settle(unique.select("id", "copies", "vector").mapInArrow(
-            tidy(_described(pivots, near)), "id bigint, copies bigint, vector binary, near array<int>, keys array<bigint>"), "permutations")
-        keyed = described.select("id", F.explode("keys").alias("key"))
-        sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1") \
-            .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-        listed = described.select("id", "copies", "vector", "near", F.explode("keys").alias("key")).join(sizes, "key") \
-            .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-        pairs = listed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-            "key", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block", "id", "copies", "vector", "near")
-        links = settle(pairs.groupBy("key", "a", "b").applyInArrow(tidy(_compared(threshold)), "id bigint, links bigint, root bigint"), "links")
-    if links is None:
-        links = spark.createDataFrame([], "id bigint, links bigint, root bigint")
+    by_length = _pivots(unique, threshold, max_pivots)
+    described = settle(unique.select("id", "copies", "vector").mapInArrow(
+        tidy(_described(by_length, near)), "id bigint, copies bigint, vector binary, near array<int>, keys array<bigint>"), "permutations")
+    keyed = described.select("id", F.explode("keys").alias("key"))
+    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1") \
+        .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    listed = described.select("id", "copies", "vector", "near", F.explode("keys").alias("key")).join(sizes, "key") \
+        .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    pairs = listed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "key", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block", "id", "copies", "vector", "near")
+    links = settle(pairs.groupBy("key", "a", "b").applyInArrow(tidy(_compared(threshold)), "id bigint, links bigint, root bigint"), "links")
     labels = components(links.where("id <> root").select(F.col("id").alias("u"), F.col("root").alias("v")), "labels")
     counted = links.groupBy("id").agg(F.sum("links").alias("links"))
     classes = unique.select("digest", "id", "copies").join(counted, "id", "left").join(labels, "id", "left").select(
