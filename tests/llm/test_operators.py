@@ -162,6 +162,16 @@ def test_byte_bpe_equals_tiktoken(spark, awkward, none, texts):
     assert bytebpe.encode_documents(none, queries.BYTE_RANKS, public_tokenizers.PATTERN).count() == 0
 
 
+def test_byte_bpe_outlives_its_memo(monkeypatch, texts):
+    monkeypatch.setattr(bytebpe, "MEMO", 5)
+    small = bytebpe.ByteCodec(queries.BYTE_RANKS, public_tokenizers.PATTERN)
+    for text in ["a b c", "a b d e", "c", *texts]:
+        assert small.decode(small.encode(text)) == text.encode()
+    monkeypatch.undo()
+    large = bytebpe.ByteCodec(queries.BYTE_RANKS, public_tokenizers.PATTERN)
+    assert [small.encode(t) for t in texts] == [large.encode(t) for t in texts]
+
+
 def test_urls(spark):
     rows = [(1, "https://A.example.org/es/1?x"), (2, "http://example.org/en/12"), (3, "http://example.org/en/2"), (4, None),
             (5, "no scheme"), (6, "ftp://Ä.X.com/de/"), (7, "http://com/fr/a#/b"), (8, "http://notexample.net"), (8, "http://notexample.net"),

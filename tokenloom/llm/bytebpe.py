@@ -88,8 +88,6 @@ class ByteCodec:
         self.memo: dict[str, bytes] = {}
 
     def _learn(self, missing: list[str]) -> None:
-        if len(self.memo) + len(missing) > MEMO:
-            self.memo.clear()
         unseen = []
         for word in missing:
             rank = self.ranks.get(word.encode())  # a whole token is taken as it is
@@ -103,7 +101,11 @@ class ByteCodec:
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         words = self.cut(text or "")
-        if missing := [w for w in set(words) if w not in self.memo]:
+        distinct = set(words)
+        if missing := [w for w in distinct if w not in self.memo]:
+            if len(self.memo) + len(missing) > MEMO:  # all words of the text are looked up, also those known before
+                self.memo.clear()
+                missing = list(distinct)
             self._learn(missing)
         return b"".join(map(self.memo.__getitem__, words))
 
