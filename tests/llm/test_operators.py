@@ -274,6 +274,12 @@ def test_simhash(spark, awkward, none):
     assert found == {(0, 1, 1), (1, 0, 1), (0, 2, 3), (2, 0, 3)}
 
 
+def test_simhash_keeps_repeated_rows(spark):
+    rows = AWKWARD + 3 * [(8, "two words", None, None), (None, BASE, None, None), (4, None, None, None)]
+    got = simhash.edited_fingerprints(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted((r.doc_id or 0, r.n_chars) for r in got) == sorted((d or 0, len(t or "")) for d, t, *_ in rows)
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))

@@ -79,8 +79,9 @@ def neighbours(queries: DataFrame, prints: DataFrame, radius: int = 3, blocks: i
 
 
 def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(id, text, next_id, next_text)``: the following row by id, then text; after the last, the first.
+    """``(id, text, next_id, next_text, repeat)``: the following row by id, then text; after the last, the first.
 
+    ``repeat`` numbers the rows of one id and text.
     Rows are dealt to at most 65,536 ranges of ids; the first row of each range also goes to the
     range before it, so no window holds more than a range and the texts are shuffled once.
     """
@@ -101,7 +102,8 @@ def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     placed = doubled.withColumn("range", F.when(F.col("copy"), F.col("earlier")).otherwise(F.col("range")))
     window = "OVER (PARTITION BY range ORDER BY copy, id NULLS FIRST, tie)"
     return placed.withColumn("next_id", F.expr(f"lead(id) {window}")).withColumn("next_text", F.expr(f"lead(text) {window}")) \
-        .where("NOT copy").select("id", "text", "next_id", "next_text")
+        .withColumn("repeat", F.expr("row_number() OVER (PARTITION BY range, copy, id, tie ORDER BY tie)")) \
+        .where("NOT copy").select("id", "text", "next_id", "next_text", "repeat")
 
 
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -113,11 +115,11 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     k = F.expr("length(text) div 4")
     rows = with_next(docs, id_col, text_col).select(
-        "id", "text", "next_id", F.xxhash64("next_text").alias("next_hash"), F.length("text").cast("bigint").alias("n_chars"),
+        "id", "text", "next_id", "repeat", F.xxhash64("next_text").alias("next_hash"), F.length("text").cast("bigint").alias("n_chars"),
         F.concat(F.expr("substring(text, 1, length(text) - length(text) div 4)"), F.substring("next_text", F.lit(1), k)).alias("edited"))
-    keys = ["id", "next_id", "n_chars", "edited_sha256", "text_hash", "next_hash"]
+    keys = ["id", "repeat", "next_id", "n_chars", "edited_sha256", "text_hash", "next_hash"]
     both = rows.select(
-        "id", "next_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), F.xxhash64("text").alias("text_hash"), "next_hash",
+        "id", "repeat", "next_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), F.xxhash64("text").alias("text_hash"), "next_hash",
         F.explode(F.array(F.struct(F.lit(0).alias("kind"), F.col("text").alias("body")),
                           F.struct(F.lit(1).alias("kind"), F.col("edited").alias("body")))).alias("b")).select(*keys, "b.*")
     votes = fingerprints(both, [*keys, "kind"], "body")
