@@ -124,6 +124,13 @@ def test_packing_equals_the_library(spark, awkward, none, texts):
     assert len(places) <= -(-sum(r.length for r in rows) // 64) + 1
 
 
+def test_word_encoder_outlives_its_memo(texts):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    small, large = packing.WordEncoder(path, limit=5), packing.WordEncoder(path)
+    for text in ["a b c", "a b d e f g", "c", *texts]:
+        assert small(text) == large(text)
+
+
 def test_token_counts_equal_the_library(texts):
     from tokenizers import Tokenizer, models, pre_tokenizers
 

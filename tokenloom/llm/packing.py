@@ -83,9 +83,6 @@ class WordEncoder:
             yield from ((p, ids[4 * a:4 * b]) for p, a, b in zip(chunk, cuts[:-1], cuts[1:], strict=True))
 
     def _learn(self, missing: set[str]) -> None:
-        if len(self.words) + len(missing) > self.limit:
-            self.words.clear()
-            self.parts.clear()
         cut = {w: _ASCII_PIECES.findall(w.lower()) if w.isascii() and "<|" not in w else (w,) for w in missing}
         self.parts.update(self._library(list({p for ps in cut.values() for p in ps} - self.parts.keys())))
         part = self.parts.__getitem__
@@ -97,9 +94,11 @@ class WordEncoder:
         wanted = set().union(*split)
         missing = wanted - self.words.keys()
         if missing:
+            if len(self.words) + len(missing) > self.limit:  # all words of the batch are looked up, also those known before
+                self.words.clear()
+                self.parts.clear()
+                missing = wanted
             self._learn(missing)
-            if len(self.words) < len(wanted):
-                self._learn(wanted - self.words.keys())
         word = self.words.__getitem__
         for words in split:
             yield b"".join(map(word, words))
