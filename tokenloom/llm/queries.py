@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import bytebpe, minhash, packing, pivots, sharding, simhash, suffixes, tokens, toxicity, urls
+from . import (
+    bytebpe, codes, licences, minhash, oracles, packing, pivots, resampling, sharding, simhash, suffixes, tokens, toxicity, urls,
+)
 
 SHARDS = 8
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
@@ -69,7 +71,20 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
         F.col("_sentence").alias("worst_sentence"), F.col("_sentence_score").alias("worst_score"))
 
 
+def op11_codes(spark: SparkSession, sf: str) -> DataFrame:
+    return codes.vector_codes(table(spark, sf, "embeddings"))
+
+
+def op12_licences(spark: SparkSession, sf: str) -> DataFrame:
+    return licences.scan(table(spark, sf, "documents"))
+
+
+def op13_resampling(spark: SparkSession, sf: str) -> DataFrame:
+    drawn = resampling.resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_minhash, op2_packing, op3_token_counts, op4_sharding, op5_byte_bpe, op6_urls, op7_pivots, op8_suffixes,
-    op9_simhash, op10_toxicity)}
-ORACLES: dict[str, str] = {}
+    op9_simhash, op10_toxicity, op11_codes, op12_licences, op13_resampling)}
+ORACLES: dict[str, str] = {"op11_codes": oracles.vector_codes(), "op13_resampling": oracles.resampling()}
