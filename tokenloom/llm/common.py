@@ -127,7 +127,14 @@ def _state(edges: DataFrame) -> tuple:
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
-    """``(u, v)`` links -> ``(id, component)``, the smallest id reachable, for every linked id.
+    """As ``linked_components``, without the path."""
+    return linked_components(edges, name)[0]
+
+
+def linked_components(edges: DataFrame, name: str = "components") -> tuple[DataFrame, str]:
+    """``(u, v)`` links -> ``(id, component)``, the smallest id reachable, for every linked id, and the path of the table.
+
+    Ids may be of any type that can be ordered.
 
     Alternating large-star and small-star steps: a step moves every neighbour to the smallest
     one, so long chains halve and no step holds a vertex's neighbours in one place. Minima are
@@ -162,4 +169,4 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
             break
         state = new_state
     star_edges = current.select(F.col("u").alias("id"), F.col("v").alias("component"))
-    return star_edges.union(star_edges.select(F.col("component").alias("id"), "component").distinct())
+    return star_edges.union(star_edges.select(F.col("component").alias("id"), "component").distinct()), path

@@ -6,10 +6,18 @@ sketch: a sample flips one bit, so the population count of the XOR of two sketch
 in how many samples two sets differ. Candidates whose estimate is far below the threshold are
 dropped; the others are compared on full sets.
 
-A bucket may hold very many texts, so its pairs are never listed. Each bucket compares all its
-texts with a hub; links merge components; texts outside the component of the first hub become
-hubs in later rounds, a few more per bucket in each round, until every pair of a bucket has a
-hub in it or lies within one component. No pair is left out.
+A bucket may hold very many texts, so its pairs are never listed:
+
+1. Each bucket compares its texts with one hub, the text that shares most buckets. Links merge components.
+2. In buckets that still hold several components, texts meet by an exact prefix filter. Shingles are ordered from
+   the rarest; two sets that reach the threshold share one of the first few of each, how few following from both
+   sizes. So a list of texts is kept per shingle and pair of size classes, and pages of one template, which differ
+   in rare shingles, meet in none. Each list compares its texts with a hub of its own, and links merge components.
+3. What still differs within a list is compared pair by pair, except for pairs within the list's largest component
+   and pairs refuted before.
+
+A class of equal sets is a node ``(smallest id, digest of the set)``, so different texts under one id stay apart, and
+the smallest node of a component has its smallest id. Tables of the steps are removed when the next one is written.
 """
 
 from __future__ import annotations
@@ -22,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, as_bytes, bounded_batches, components, drop, having, mix64, per_batch, renamed, settle, settled
+from .common import Memo, as_bytes, bounded_batches, drop, having, linked_components, mix64, per_batch, renamed, settle, settled
 
 ROWS = 5
 BANDS = 38
@@ -30,7 +38,7 @@ SAMPLES = ROWS * BANDS
 SKETCH_BITS = 512
 MARGIN = 0.2
 BLOCK = 2048
-SLOT_GROWTH = 8
+SIZE_CLASS = 1.05  # ratio between the bounds of a size class
 
 _rng = np.random.default_rng(20240229)
 _A = _rng.integers(0, 1 << 32, SAMPLES, dtype=np.uint32) | np.uint32(1)
@@ -109,13 +117,26 @@ def _signatures(width: int):
 
 
 def _sets(width: int):
-    schema = pa.schema([("id", pa.int64()), ("items", pa.list_(pa.int64()))])
+    schema = pa.schema([("digest", pa.binary()), ("items", pa.list_(pa.int64()))])
     memo = Memo(lambda w: xxhash.xxh3_64_intdigest(w))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = [shingle_set(text, width, memo).view(np.int64) for text in as_bytes(batch.column("text"))]
+        sets = [shingle_set(text, width, memo) for text in as_bytes(batch.column("text"))]
         return pa.RecordBatch.from_arrays(
-            [batch.column("id"), pa.array(sets, pa.list_(pa.int64()))], schema=schema)
+            [pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
+             pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], schema=schema)
+    return per_batch(run)
+
+
+def _digests(width: int):
+    """``(id, text_hash, digest)`` of the rows; a text without shingles has no digest."""
+    memo = Memo(lambda w: xxhash.xxh3_64_intdigest(w))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [shingle_set(text, width, memo) for text in as_bytes(batch.column("text"))]
+        digests = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
+        return pa.RecordBatch.from_arrays(
+            [batch.column("id"), batch.column("text_hash"), pa.array(digests, pa.binary())], names=["id", "text_hash", "digest"])
     return per_batch(run)
 
 
@@ -124,26 +145,85 @@ def _differing(a: str, b: str) -> Column:
     return sum(words[1:], words[0])
 
 
-def _verified(pairs: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``(a, b)`` -> links ``(u, v)``: sizes, then sketches, then full sets."""
-    side = reps.select("id", "n", "sketch")
-    with_a = pairs.join(side.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), "a")
-    both = with_a.join(side.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")), "b")
-    likely = both.where(
-        (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-        & (_differing("sa", "sb") <= sketch_limit(percent))).select("a", "b")
-    likely = settle(likely, "likely")
-    sets = having(sets, "id", likely.select(F.explode(F.array("a", "b")).alias("id")), "compared")
-    full = likely.join(sets.select(F.col("id").alias("b"), F.col("items").alias("ib")), "b") \
-        .join(sets.select(F.col("id").alias("a"), F.col("items").alias("ia")), "a")
-    common = F.size(F.array_intersect("ia", "ib"))
-    return full.select("a", "b", common.alias("c"), (F.size("ia") + F.size("ib")).alias("s")) \
-        .where(F.expr(f"c * 100L >= {percent}L * (s - c)")).select(F.col("a").alias("u"), F.col("b").alias("v"))
+class _Graph:
+    """The links found so far, as components, and how pairs are verified."""
+
+    def __init__(self, reps: DataFrame, sets: DataFrame, percent: int) -> None:
+        self.spark = reps.sparkSession
+        self.side, self.sets, self.percent = reps.select("node", "n", "sketch"), sets, percent
+        self.links: list[DataFrame] = []
+        self.labels: DataFrame | None = None
+        self.path: str | None = None
+
+    def verify(self, pairs: DataFrame) -> None:
+        """Pairs ``(a, b)`` of nodes, tried once each: sizes, then sketches, then full sets. Links merge components."""
+        own = self.side.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+        other = self.side.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+        likely, path = settled(pairs.join(own, "a").join(other, "b").where(
+            (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.percent)
+            & (_differing("sa", "sb") <= sketch_limit(self.percent))).select("a", "b"), "likely")
+        wanted = likely.select(F.explode(F.array("a.digest", "b.digest")).alias("digest"))
+        sets = having(self.sets, "digest", wanted, "compared")
+        full = likely.join(sets.select(F.col("digest").alias("db"), F.col("items").alias("ib")), F.col("b.digest") == F.col("db")) \
+            .join(sets.select(F.col("digest").alias("da"), F.col("items").alias("ia")), F.col("a.digest") == F.col("da"))
+        common = F.size(F.array_intersect("ia", "ib"))
+        links = settle(full.select("a", "b", common.alias("c"), (F.size("ia") + F.size("ib")).alias("s")).where(
+            F.expr(f"c * 100L >= {self.percent}L * (s - c)")).select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
+        drop(self.spark, path)
+        self.links.append(links)
+        edges = links if self.labels is None else links.union(self.labels.select(F.col("id").alias("u"), F.col("component").alias("v")))
+        old = self.path
+        self.labels, self.path = linked_components(edges, "labels")
+        if old:
+            drop(self.spark, old)
+
+    def labelled(self, rows: DataFrame) -> DataFrame:
+        """Add ``label``, the component of ``node``."""
+        found = self.labels.select(F.col("id").alias("node"), "component")
+        return rows.join(found, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
+
+
+def _with_hubs(lists: DataFrame, keys: list[str]) -> DataFrame:
+    """``(*keys, hub)`` of every list: the text of the highest score."""
+    return lists.groupBy(*keys).agg(F.max(F.struct("score", "node")).alias("top")).select(*keys, F.col("top.node").alias("hub"))
+
+
+def _ordered(a: Column, b: Column) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
+def size_class(n: Column) -> Column:
+    return F.floor(F.log(n.cast("double")) / math.log(SIZE_CLASS)).cast("int")
+
+
+def prefix_lists(texts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``(token, low, high, class, node, n, score, label)``: texts ``(node, score, label)`` by their rarest shingles.
+
+    Sets of sizes n and m that reach the threshold share at least ``percent (n + m) / (100 + percent)`` shingles, so, in one
+    order for all, one of the first ``n - that + 1`` of the one and of the other. A text stands in a list for each
+    shingle that may be needed for a partner of size class ``low`` or ``high``, the other of which is its own ``class``.
+    """
+    tokens = texts.join(sets, F.col("node.digest") == F.col("digest")).select("node", "score", "label", F.explode("items").alias("token"))
+    seen = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    ranked = tokens.join(seen, "token").groupBy("node", "score", "label").agg(
+        F.sort_array(F.collect_list(F.struct("df", "token"))).alias("ranked")) \
+        .withColumn("n", F.size("ranked").cast("bigint")).withColumn("class", size_class(F.col("n")))
+    least, most = F.ceil(F.col("n") * percent / 100), F.floor(F.col("n") * 100 / percent)
+    per_class = ranked.withColumn("least", least).withColumn(
+        "partner", F.explode(F.sequence(size_class(least) - 1, size_class(most) + 1)))
+    # One below the class's bound, so that rounding in the logarithm loses no size.
+    smallest = F.greatest(F.floor(F.pow(F.lit(SIZE_CLASS), F.col("partner"))) - 1, F.col("least"))
+    needed = F.ceil(percent * (F.col("n") + smallest) / (100 + percent))
+    length = (F.col("n") - needed + 1).cast("int")
+    return per_class.withColumn("length", length).where("length > 0").select(
+        F.least("class", "partner").alias("low"), F.greatest("class", "partner").alias("high"), "class", "node", "n", "score", "label",
+        F.explode(F.slice("ranked", F.lit(1), F.col("length"))).alias("t")).where("t.df > 1").select(
+        F.col("t.token").alias("token"), "low", "high", "class", "node", "n", "score", "label")
 
 
 def links_and_members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                      width: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
-    """Signatures ``(id, n, digest, component, ...)`` and links between different sets."""
+                      width: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame | None]:
+    """Signatures ``(id, n, digest, ...)`` and the components ``(id, component)`` of linked nodes."""
     spark = docs.sparkSession
     bounded_batches(spark)
     texts = renamed(docs, id=id_col, text=text_col).withColumn("id", F.col("id").cast("bigint"))
@@ -152,40 +232,68 @@ def links_and_members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     # A null id never stands for its group unless all ids are null.
     reps = settle(signed.where("n > 0 AND id IS NOT NULL").groupBy("digest").agg(
         F.min("id").alias("id"), F.first("n").alias("n"),
-        F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "reps")
-    # Different texts under one id would collide below; they are told apart by the digest's rank.
-    keyed = reps.select("id", F.explode("bands").alias("key"))
-    hubs = keyed.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")) \
-        .where("hub <> last").select("key", "hub")
-    members = settle(keyed.join(hubs, "key"), "buckets")
-    sets = settle(having(texts, "id", members.select("id"), "candidates").mapInArrow(
-        _sets(width), "id bigint, items array<bigint>").dropDuplicates(["id"]), "sets")
-
-    pairs = members.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    links = settle(_verified(pairs, reps, sets, percent), "links")
-    used = members.select("key", F.col("hub").alias("id")).distinct()
-    slots = SLOT_GROWTH
-    while True:
-        labels = components(links, "labels")
-        label = F.coalesce(F.col("component"), F.col("id"))
-        own = members.join(labels, "id", "left").select("key", "id", "hub", label.alias("label"))
-        heads = labels.select(F.col("id").alias("hub"), F.col("component").alias("head"))
-        outside = own.join(heads, "hub", "left") \
-            .where(F.col("label") != F.coalesce("head", "hub")) \
-            .join(used, ["key", "id"], "left_anti").select("key", "id", "label")
-        outside, path = settled(outside, "outside")
-        if outside.isEmpty():
-            drop(spark, path)
-            return signed, links
-        slot = F.pmod(F.xxhash64("id", F.lit(slots)), F.lit(slots))
-        chosen = settle(outside.groupBy("key", slot.alias("slot")).agg(
-            F.min(F.struct("id", "label")).alias("h")).select("key", F.col("h.id").alias("id"), F.col("h.label").alias("label")), "hubs")
-        tested = own.select("key", F.col("id").alias("b"), F.col("label").alias("lb")) \
-            .join(chosen.select("key", F.col("id").alias("a"), F.col("label").alias("la")), "key") \
-            .where("la <> lb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        links = settle(links.union(_verified(tested, reps, sets, percent)).distinct(), "links")
-        used = settle(used.union(chosen.select("key", "id")), "used")
-        slots *= SLOT_GROWTH
+        F.first("bands").alias("bands"), F.first("sketch").alias("sketch")).select(
+        F.struct("id", "digest").alias("node"), "n", "bands", "sketch"), "reps")
+    keyed = reps.select("node", F.explode("bands").alias("key"))
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1")
+    members, members_path = settled(keyed.join(shared, "key"), "buckets")
+    scores = members.groupBy("node").agg(F.sum((F.log2("texts") * 16).cast("bigint")).alias("score"))
+    scored, scored_path = settled(members.join(scores, "node").select("key", "node", "score"), "scored")
+    drop(spark, members_path)
+    sets = settle(having(texts, "id", scored.select("node.id"), "candidates").mapInArrow(
+        _sets(width), "digest binary, items array<bigint>").dropDuplicates(["digest"]), "sets")
+    graph = _Graph(reps, sets, percent)
+
+    hubs = _with_hubs(scored, ["key"])
+    tried, tried_path = settled(scored.join(hubs, "key").where("node <> hub").select(
+        *_ordered(F.col("node"), F.col("hub"))).distinct(), "tried")
+    graph.verify(tried)
+
+    # Texts that share a bucket with a text of another component, neither of them its hub.
+    own, own_path = settled(graph.labelled(scored.join(hubs, "key").where("node <> hub")), "own")
+    open_ = own.groupBy("key").agg(F.min("label").alias("lowest"), F.max("label").alias("highest")).where("lowest <> highest")
+    left, left_path = settled(own.join(open_, "key", "left_semi").select("node", "score", "label").distinct(), "left")
+    drop(spark, own_path)
+    drop(spark, scored_path)
+    keys = ["token", "low", "high"]
+    entries, entries_path = settled(prefix_lists(left, sets, percent), "lists")
+    several = entries.groupBy(*keys).agg(F.min("label").alias("lowest"), F.max("label").alias("highest")).where("lowest <> highest")
+    lists, lists_path = settled(entries.join(several.select(*keys), keys, "left_semi"), "open-lists")
+    drop(spark, entries_path)
+    drop(spark, left_path)
+    heads = _with_hubs(lists, keys)
+    heads = heads.join(lists.select(*keys, F.col("node").alias("hub"), F.col("label").alias("head")), [*keys, "hub"])
+    more, more_path = settled(lists.join(heads, keys).where("label <> head").select(
+        *_ordered(F.col("node"), F.col("hub"))).distinct().join(tried, ["a", "b"], "left_anti"), "tried")
+    graph.verify(more)
+
+    # What is left: pairs of a list in two components, one of them not the list's largest.
+    rest, rest_path = settled(graph.labelled(lists.drop("label")), "rest")
+    by_label = rest.groupBy(*keys, "label").agg(F.count(F.lit(1)).alias("texts"))
+    major = by_label.groupBy(*keys).agg(F.max_by("label", F.struct("texts", "label")).alias("major"), F.count(F.lit(1)).alias("labels")) \
+        .where("labels > 1").select(*keys, "major")
+    marked = rest.join(major, keys)
+    minor = marked.where("label <> major").select(*keys, *(F.col(c).alias(f"{c}_a") for c in ("node", "n", "class", "label")))
+    # The two are of the classes ``low`` and ``high``; of two minor ones the smaller node comes first.
+    met = minor.join(marked, keys).where(
+        (F.col("label") != F.col("label_a")) & (F.col("class") + F.col("class_a") == F.col("low") + F.col("high"))
+        & (F.least("n", "n_a") * 100 >= F.greatest("n", "n_a") * percent)
+        & ((F.col("label") == F.col("major")) | (F.col("node_a") < F.col("node"))))
+    last, last_path = settled(met.select(*_ordered(F.col("node"), F.col("node_a"))).distinct()
+                              .join(tried.union(more), ["a", "b"], "left_anti"), "tried")
+    graph.verify(last)
+    for path in (tried_path, more_path, last_path, lists_path, rest_path):
+        drop(spark, path)
+    return signed, graph.labels
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Signatures, and ``(digest, component)`` of each class of equal sets, a component being its smallest node."""
+    signed, labels = links_and_members(docs, id_col, text_col, width, percent)
+    nodes = signed.where("n > 0 AND id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("id")).select(
+        F.struct("id", "digest").alias("node"))
+    named = nodes.join(labels.select(F.col("id").alias("node"), "component"), "node", "left")
+    return signed.select("id", "n", "digest"), named.select("node.digest", F.coalesce("component", "node").alias("component"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -196,15 +304,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``component_id`` is the smallest id reachable; ``kept`` tells whether it is the row's own.
     Null, empty and blank texts have no shingles, form their own component and are kept. Equal
     sets are one class and never expanded to pairs. Repeated rows share their id and so their
-    component, and rows of one id must hold one text (others take the id's first class). A
+    component. Different texts under one id are linked and labelled by themselves. A
     row without an id takes part only as a copy: it gets the component of its set's class, or
     null, and is kept only where there is none. Other columns are ignored; an empty table gives none.
     """
-    signed, links = links_and_members(docs, id_col, text_col, width, percent)
-    classes = signed.where("n > 0 AND id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("rep"))
-    labels = components(links, "labels").select(F.col("id").alias("rep"), "component")
-    named = classes.join(labels, "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
-    out = signed.select("id", "n", "digest").join(named, "digest", "left")
+    rows, classes = _classes(docs, id_col, text_col, width, percent)
+    out = rows.join(classes.select("digest", F.col("component.id").alias("component")), "digest", "left")
     component = F.coalesce("component", "id")
     return out.select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"),
@@ -215,16 +320,26 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` with one of each near-duplicate group left; all columns stay.
 
-    Rows that repeat an id count as copies and one of them stays. Rows without an id stay.
+    Of rows with one id and one text, or texts of one group, one stays; different texts under one id that are in no
+    group together all stay. Rows without an id stay.
     """
-    found = near_duplicates(docs, id_col, text_col, width, percent)
-    ids = settle(found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("copies")), "kept")
+    rows, classes = _classes(docs, id_col, text_col, width, percent)
+    heads = classes.where(F.col("component.digest") == F.col("digest")).select("digest", F.col("component.id").alias("head"))
+    found = rows.where("id IS NOT NULL").join(heads, "digest", "left")
+    stays = F.col("digest").isNull() | F.coalesce(F.col("id") == F.col("head"), F.lit(False))
+    ids = settle(found.groupBy("id").agg(F.count(F.lit(1)).alias("rows"), F.max(stays).alias("stays")).where("stays"), "kept")
     key = docs[id_col].cast("bigint")
-    once = ids.where("copies = 1").select(F.col("doc_id").alias("_kept_id"))
-    often = ids.where("copies > 1").select(F.col("doc_id").alias("_kept_id"))
-    single = docs.join(once, key == F.col("_kept_id"), "left_semi")
-    if often.isEmpty():
+    single = docs.join(ids.where("rows = 1").select(F.col("id").alias("_kept_id")), key == F.col("_kept_id"), "left_semi")
+    if ids.where("rows > 1").isEmpty():
         return single.union(docs.where(key.isNull()))
-    repeated = docs.join(often, key == F.col("_kept_id"), "left_semi").dropDuplicates([id_col])
-    return single.union(repeated).union(docs.where(key.isNull()))
+    often = ids.where("rows > 1").select(F.col("id").alias("_kept_id"))
+    # An id with several rows: one row for each of its classes that stays, found by the hash of the text.
+    repeated = docs.join(often, key == F.col("_kept_id"), "left_semi")
+    text_hash = F.md5(F.coalesce(F.col(text_col), F.lit("")))
+    hashed = repeated.select(key.alias("id"), F.col(text_col).alias("text"), text_hash.alias("text_hash")) \
+        .dropDuplicates(["id", "text_hash"]).mapInArrow(_digests(width), "id bigint, text_hash string, digest binary")
+    chosen = hashed.join(heads, "digest", "left").where(stays).groupBy("id", "digest").agg(F.min("text_hash").alias("_kept_hash")) \
+        .select(F.col("id").alias("_kept_id"), "_kept_hash")
+    matching = repeated.join(chosen, (key == F.col("_kept_id")) & (text_hash == F.col("_kept_hash")), "left_semi")
+    one = matching.withColumn("_text_hash", text_hash).dropDuplicates([id_col, "_text_hash"]).drop("_text_hash")
+    return single.union(one).union(docs.where(key.isNull()))
