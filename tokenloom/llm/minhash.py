@@ -197,11 +197,12 @@ def size_class(n: Column) -> Column:
 
 
 def prefix_lists(texts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``(token, low, high, class, node, n, score, label)``: texts ``(node, score, label)`` by their rarest shingles.
+    """``(token, low, high, class, at, node, n, score, label)``: texts ``(node, score, label)`` by their rarest shingles.
 
     Sets of sizes n and m that reach the threshold share at least ``percent (n + m) / (100 + percent)`` shingles, so, in one
     order for all, one of the first ``n - that + 1`` of the one and of the other. A text stands in a list for each
     shingle that may be needed for a partner of size class ``low`` or ``high``, the other of which is its own ``class``.
+    ``at`` is the shingle's place in that order, from 0.
     """
     tokens = texts.join(sets, F.col("node.digest") == F.col("digest")).select("node", "score", "label", F.explode("items").alias("token"))
     seen = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
@@ -217,8 +218,8 @@ def prefix_lists(texts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     length = (F.col("n") - needed + 1).cast("int")
     return per_class.withColumn("length", length).where("length > 0").select(
         F.least("class", "partner").alias("low"), F.greatest("class", "partner").alias("high"), "class", "node", "n", "score", "label",
-        F.explode(F.slice("ranked", F.lit(1), F.col("length"))).alias("t")).where("t.df > 1").select(
-        F.col("t.token").alias("token"), "low", "high", "class", "node", "n", "score", "label")
+        F.posexplode(F.slice("ranked", F.lit(1), F.col("length"))).alias("at", "t")).where("t.df > 1").select(
+        F.col("t.token").alias("token"), "low", "high", "class", "at", "node", "n", "score", "label")
 
 
 def links_and_members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -273,11 +274,14 @@ def links_and_members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     major = by_label.groupBy(*keys).agg(F.max_by("label", F.struct("texts", "label")).alias("major"), F.count(F.lit(1)).alias("labels")) \
         .where("labels > 1").select(*keys, "major")
     marked = rest.join(major, keys)
-    minor = marked.where("label <> major").select(*keys, *(F.col(c).alias(f"{c}_a") for c in ("node", "n", "class", "label")))
-    # The two are of the classes ``low`` and ``high``; of two minor ones the smaller node comes first.
+    minor = marked.where("label <> major").select(*keys, *(F.col(c).alias(f"{c}_a") for c in ("node", "n", "class", "at", "label")))
+    # The two are of the classes ``low`` and ``high``, and a first common shingle at these places leaves room for as many
+    # as their own sizes need; of two minor ones the smaller node comes first.
+    needed = F.ceil(percent * (F.col("n") + F.col("n_a")) / (100 + percent))
     met = minor.join(marked, keys).where(
         (F.col("label") != F.col("label_a")) & (F.col("class") + F.col("class_a") == F.col("low") + F.col("high"))
         & (F.least("n", "n_a") * 100 >= F.greatest("n", "n_a") * percent)
+        & (F.least(F.col("n") - F.col("at"), F.col("n_a") - F.col("at_a")) >= needed)
         & ((F.col("label") == F.col("major")) | (F.col("node_a") < F.col("node"))))
     last, last_path = settled(met.select(*_ordered(F.col("node"), F.col("node_a"))).distinct()
                               .join(tried.union(more), ["a", "b"], "left_anti"), "tried")
