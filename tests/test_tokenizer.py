@@ -122,6 +122,45 @@ def test_batched_merges_equal_one_at_a_time():
         assert got == want, seed
 
 
+def test_two_thousand_merges_match(spark):
+    """One count of all pairs, and the library's vocabulary."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    size, report = len(bpe.base_tokens()) + 2000, {}
+    mine = bpe.learn_merges(bpe.byte_words(bpe.word_counts(docs)), bpe.base_tokens(), size, report=report)
+    lib = library([r.text for r in docs.select("text").collect()], size)
+    assert {r.token: r.id for r in mine.vocab.collect()} == lib.get_vocab()
+    assert report["counts"] == 1 and report["rounds"] < 1000
+
+
+@pytest.mark.parametrize("listed,settled", [(3, 4), (12, 7)])
+def test_short_lists_and_rewritten_words_change_nothing(spark, listed, settled, monkeypatch):
+    """Counting anew whenever the list runs out, and writing the words anew, keep the merges."""
+    import random
+
+    rng = random.Random(listed)
+    texts = [" ".join("".join(rng.choices("abc", k=rng.randint(1, 7))) for _ in range(60))]
+    words = bpe.word_counts(spark.createDataFrame([(t,) for t in texts], "text string")).cache()
+    monkeypatch.setattr(bpe, "LISTED_PAIRS", listed)
+    monkeypatch.setattr(bpe, "SETTLE_MERGES", settled)
+    report = {}
+    mine = bpe.learn_merges(bpe.byte_words(words), bpe.base_tokens(), 295, report=report)
+    assert {r.token: r.id for r in mine.vocab.collect()} == library(texts, 295).get_vocab()
+    assert report["counts"] > 1
+
+
+def test_a_round_touches_only_words_with_a_merged_pair(spark):
+    """Gains and losses are those of the words that hold the pair."""
+    a, b, c, d, x, y = map(bpe.symbol, range(6))
+    state = bpe.Words(spark.createDataFrame([(a + b + c, 5), (c + b + a, 7), (a + b + a + b, 2), (a, 9)], "word string, n bigint"))
+    try:
+        assert state.merge([(a + b, x)]) == {a + b: -9, b + c: -5, b + a: -2, x + c: 5, x + x: 2}
+        assert state.merge([(x + c, y)]) == {x + c: -5}
+        assert sorted(map(tuple, state.merged().collect())) == sorted([(y, 5), (c + b + a, 7), (x + x, 2)])
+        assert state._spelled(y) == a + b + c and d not in state.spelling
+    finally:
+        state.drop()
+
+
 @pytest.mark.parametrize("prefix", [True, False])
 def test_encoding_matches(corpus, texts, both, prefix):
     mine, lib = both

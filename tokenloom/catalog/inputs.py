@@ -15,7 +15,7 @@ from ..operators.packing import pack_trim
 from ..session import table
 
 WORD_IDS = VOCAB_SIZE - 5
-TRAINED_SIZE = 320
+TRAINED_SIZE = 512
 DOCS_PER_FILE = 1280
 TAGS = [*NER_LABELS, "B-MISC"]  # the last one is not in the label dictionary
 

@@ -20,7 +20,7 @@ from . import inputs
 
 BLOCK = 128
 SHORT_TRIM = 16
-WORDPIECE_SIZE = 385
+WORDPIECE_SIZE = 448
 MASK_KEYS = ("file", "doc_id", "ex_idx")
 
 

@@ -1,14 +1,24 @@
-"""Vocabulary training as rounds of Spark aggregations.
+"""Vocabulary training as rounds of small Spark jobs.
 
-A word is kept as a string with one character per token id, so that a merge is a plain
-``replace`` inside the JVM and the order of pairs by id is the order of strings.
+A word is kept as a string with one character per token id, so that the order of pairs by id
+is the order of strings and a pair is found in a word by plain substring search.
+
+Pairs are counted once. A merge only lowers the counts of pairs that exist already, and pairs
+with its own new symbol are new, so a list of the best pairs is corrected by what the merged
+words lost and gained, and stays exact for all pairs above the count at which it was cut off.
+Only when the best pair falls to that count is everything counted again.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections import Counter
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from heapq import nsmallest
+from operator import add, or_
 
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +30,9 @@ from ..session import remove_path, scratch_path
 SURROGATES = 0xD800, 0x800  # first code point and number of those no string may hold
 ADJACENT = "(?s)(?=(..))"  # every overlapping pair of characters
 
-TOP_PAIRS = 1000  # best pairs the driver sees per round
-SETTLE_ROUNDS = 8
+TOP_PAIRS = 1000  # best pairs a round chooses from
+LISTED_PAIRS = 50_000  # best pairs the driver holds after a count
+SETTLE_MERGES = 512  # merges after which the words are written anew
 MAX_ALPHABET = 300_000  # more characters than Unicode has assigned
 
 
@@ -138,73 +149,178 @@ def merge_batch(ranked: list[tuple[str, int]], complete: bool, room: int,
     return [pair for k, (pair, count) in enumerate(taken) if k == 0 or count > bound]
 
 
-class _Settled:
-    """The words as a table in the shared folder, with a copy in memory.
+def merge_symbols(word: str, merges: dict[str, tuple[int, str]]) -> str:
+    """Apply the merges to one piece, lowest rank first."""
+    while found := set(map(add, word, word[1:])) & merges.keys():
+        pair = min(found, key=merges.__getitem__)
+        word = word.replace(pair, merges[pair][1])
+    return word
+
+
+class Words:
+    """The words as a table in the shared folder, with a copy in memory, and the merges since it was written.
 
     Writing it cuts the lineage, and lost executors only cost a new read. Words of one
-    symbol hold no pair any more and are left out.
+    symbol hold no pair any more and are left out. A word of the table can hold a pair, after the
+    merges, only if it holds the two symbols as they were spelled in the table; that substring
+    is the index by which the words of a merge are found.
     """
 
     def __init__(self, words: DataFrame):
-        spark = words.sparkSession
-        self.path = scratch_path(spark, "words")
+        self.spark = words.sparkSession
+        self.path = scratch_path(self.spark, "words")
         words.filter(F.length("word") > 1).write.parquet(self.path)
-        self.words = spark.read.parquet(self.path).persist(StorageLevel.MEMORY_AND_DISK)
+        self.table = self.spark.read.parquet(self.path).persist(StorageLevel.MEMORY_AND_DISK)
+        self.merges: dict[str, tuple[int, str]] = {}
+        self.spelling: dict[str, str] = {}
 
     def drop(self) -> None:
-        self.words.unpersist()
-        remove_path(self.words.sparkSession, self.path)
+        self.table.unpersist()
+        remove_path(self.spark, self.path)
+
+    def _spelled(self, symbols: str) -> str:
+        return "".join(self.spelling.get(s, s) for s in symbols)
+
+    def merge_only(self, batch: Sequence[tuple[str, str]]) -> None:
+        for pair, made in batch:
+            self.merges[pair] = (len(self.merges), made)
+
+    def merge(self, batch: Sequence[tuple[str, str]]) -> dict[str, int]:
+        """Merge ``(pair, symbol)`` and return what the count of each pair gained or lost.
+
+        Only words with a merged pair are touched. Pairs next to a merged one change, so there are
+        at most a few times as many as tokens.
+        """
+        before = dict(self.merges)
+        holds = reduce(or_, (F.contains("word", F.lit(self._spelled(pair))) for pair, _ in batch))
+        for pair, made in batch:
+            self.merges[pair] = (len(self.merges), made)
+            self.spelling[made] = self._spelled(pair)
+        after = dict(self.merges)
+
+        @F.arrow_udf("array<struct<pair: string, d: int>>")
+        def changes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for words in batches:
+                out = []
+                for word in words.to_pylist():
+                    old = merge_symbols(word, before)
+                    new = merge_symbols(old, after)
+                    delta = Counter(map(add, new, new[1:]))
+                    delta.subtract(map(add, old, old[1:]))
+                    out.append([{"pair": pair, "d": d} for pair, d in delta.items() if d])
+                yield pa.array(out, pa.list_(pa.struct([("pair", pa.string()), ("d", pa.int32())])))
+
+        lost = (
+            self.table.filter(holds).select("n", F.explode(changes("word")).alias("c"))
+            .groupBy("c.pair").agg(F.sum(F.col("n") * F.col("c.d")).alias("n")).filter("n <> 0")
+        )
+        return {row.pair: row.n for row in lost.collect()}
+
+    def merged(self) -> DataFrame:
+        """The words after the merges."""
+        merges = dict(self.merges)
+
+        @F.arrow_udf("string")
+        def apply(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for words in batches:
+                yield pa.array([merge_symbols(word, merges) for word in words.to_pylist()], pa.string())
+
+        return self.table.select(apply("word").alias("word"), "n")
+
+
+class PairList:
+    """Exact counts of all pairs above ``floor``, best first."""
+
+    def __init__(self, words: DataFrame, min_frequency: int):
+        best = _pair_counts(words, min_frequency).orderBy(F.desc("n"), "pair").limit(LISTED_PAIRS)
+        self.counts = {row.pair: row.n for row in best.collect()}
+        full = len(self.counts) == LISTED_PAIRS
+        self.floor = min(self.counts.values()) if full else min_frequency - 1
+
+    def correct(self, changes: dict[str, int], made: set[str]) -> None:
+        """Pairs of a ``made`` symbol are new; others, unless listed, were and stay at or below the floor."""
+        for pair, change in changes.items():
+            if pair in self.counts or not made.isdisjoint(pair):
+                self.counts[pair] = self.counts.get(pair, 0) + change
+            if self.counts.get(pair, 0) <= self.floor:
+                self.counts.pop(pair, None)
+
+    def best(self) -> list[tuple[str, int]]:
+        above = ((pair, n) for pair, n in self.counts.items() if n > self.floor)
+        return nsmallest(TOP_PAIRS, above, key=lambda item: (-item[1], item[0]))
 
 
 def learn_merges(words: DataFrame, tokens: list[str], size: int = VOCAB_SIZE,
-                 min_frequency: int = MIN_FREQUENCY, continuing: str = "") -> Tokenizer:
+                 min_frequency: int = MIN_FREQUENCY, continuing: str = "",
+                 report: dict | None = None) -> Tokenizer:
     """Merge the most frequent pair until ``size`` tokens exist or no pair is frequent enough.
 
-    Ties go to the smaller id pair. Only the best pairs of a round reach the driver; the
-    words stay distributed. ``continuing`` is the prefix that marks non-initial symbols
-    and is dropped inside a joined token.
+    Ties go to the smaller id pair. Only the best pairs and the changes of a round reach the
+    driver; the words stay distributed. ``continuing`` is the prefix that marks non-initial
+    symbols and is dropped inside a joined token. ``report`` gets the numbers of ``rounds``
+    and full ``counts``.
     """
     spark = words.sparkSession
     tokens = list(tokens)
     ids = {token: i for i, token in enumerate(tokens)}
     by_symbol = {symbol(i): i for i in range(len(tokens))}
     merges: list[tuple[int, int, int, int]] = []
+    done = {"rounds": 0, "counts": 0} if report is None else report
+    done.update(rounds=0, counts=0)
 
     def joined(pair: str) -> str:
         left, right = (tokens[by_symbol[s]] for s in pair)
         return left + right.removeprefix(continuing)
 
-    words = words.repartition(spark.sparkContext.defaultParallelism, "word")
-    base = _Settled(words)
-    words, rounds = base.words, 0
+    state = Words(words.repartition(spark.sparkContext.defaultParallelism, "word"))
+    listed: PairList | None = None
     try:
         while len(tokens) < size:
-            best = _pair_counts(words, min_frequency).orderBy(F.desc("n"), "pair").limit(TOP_PAIRS)
-            ranked = [(row.pair, row.n) for row in best.collect()]
+            ranked = listed.best() if listed else []
             if not ranked:
-                break
-            batch = merge_batch(ranked, len(ranked) < TOP_PAIRS, size - len(tokens),
-                                ids.__contains__, joined)
-            merged = F.col("word")
+                if listed and listed.floor < min_frequency:
+                    break
+                if state.merges:
+                    state = _rewritten(state)
+                listed = PairList(state.table, min_frequency)
+                done["counts"] += 1
+                if not (ranked := listed.best()):
+                    if listed.floor < min_frequency:
+                        break
+                    # More pairs than are listed share the floor as their count: take the first of them.
+                    ranked = [min(listed.counts.items(), key=lambda item: (-item[1], item[0]))]
+            complete = len(ranked) < TOP_PAIRS and listed.floor < min_frequency
+            batch = merge_batch(ranked, complete, size - len(tokens), ids.__contains__, joined)
+            named, repeated = [], False
             for pair in batch:
                 token = joined(pair)
-                if token not in ids:
+                if token in ids:
+                    repeated = True
+                else:
                     ids[token] = len(tokens)
                     by_symbol[symbol(len(tokens))] = len(tokens)
                     tokens.append(token)
                 merges.append((len(merges), *(by_symbol[s] for s in pair), ids[token]))
-                merged = F.replace(merged, F.lit(pair), F.lit(symbol(ids[token])))
-            words = words.select(merged.alias("word"), "n")
-            rounds += 1
-            if rounds % SETTLE_ROUNDS == 0:
-                old, base = base, _Settled(words)
-                words = base.words
-                old.drop()
+                named.append((pair, symbol(ids[token])))
+            done["rounds"] += 1
+            if repeated:  # pairs of a token that was there before may grow: count anew
+                state.merge_only(named)
+                state, listed = _rewritten(state), None
+                continue
+            listed.correct(state.merge(named), {made for _, made in named})
+            if len(state.merges) >= SETTLE_MERGES:
+                state = _rewritten(state)
     finally:
-        base.drop()
+        state.drop()
     return _tokenizer(spark, tokens, merges)
 
 
+def _rewritten(state: Words) -> Words:
+    fresh = Words(state.merged())
+    state.drop()
+    return fresh
+
+
 def _tokenizer(spark: SparkSession, tokens: list[str], merges: list[tuple]) -> Tokenizer:
     return Tokenizer(
         spark.createDataFrame(list(enumerate(tokens)), "id int, token string"),
@@ -233,11 +349,15 @@ def wordpiece_train(texts: DataFrame, text: str = "text", size: int = VOCAB_SIZE
     """
     units = texts.groupBy(F.col(text).alias("unit")).agg(F.count(F.lit(1)).alias("n"))
     units = units.filter(F.length("unit") > 0)
-    # The corpus is read twice, for the alphabet and for the units; both are aggregates.
+    # The corpus is read twice, for the alphabet and for the units; both are aggregates. A text
+    # sends each of its characters once.
+    inside = F.array_distinct(F.split(F.expr(f"substring(`{text}`, 2)"), ""))
+    each = F.explode(F.array_union(
+        F.array(F.struct(F.substring(F.col(text), 1, 1).alias("char"), F.lit(0).alias("last"))),
+        F.transform(inside, lambda c: F.struct(c.alias("char"), F.lit(1).alias("last")))))
     chars = (
-        texts.select(F.posexplode(F.split(F.col(text), "")).alias("pos", "char"))
-        .filter(F.length("char") > 0)
-        .groupBy("char").agg(F.max("pos").alias("last"))
+        texts.filter(F.length(text) > 0).select(each.alias("c")).select("c.*")
+        .filter(F.length("char") > 0).groupBy("char").agg(F.max("last").alias("last"))
     )
     seen = chars.limit(MAX_ALPHABET + 1).collect()
     if len(seen) > MAX_ALPHABET:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
-from operator import add
 
 import numpy as np
 import pandas as pd
@@ -14,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..constants import SPECIAL_TOKENS, byte_alphabet
 from ..functions.text import from_byte_symbols, pieces_with_specials
-from .bpe import SURROGATES, Tokenizer, symbol
+from .bpe import SURROGATES, Tokenizer, merge_symbols, symbol
 
 MAX_VOCAB = 1_000_000  # proven bound on what is broadcast: one entry per token or merge
 MEMO_PIECES = 500_000  # pieces a worker remembers; more are encoded again
@@ -32,14 +31,6 @@ def vocab_tokens(tok: Tokenizer) -> list[str]:
     return [row.token for row in sorted(_bounded(tok.vocab), key=lambda row: row.id)]
 
 
-def merge_symbols(word: str, merges: dict[str, tuple[int, str]]) -> str:
-    """Apply the merges to one piece, lowest rank first."""
-    while found := set(map(add, word, word[1:])) & merges.keys():
-        pair = min(found, key=merges.__getitem__)
-        word = word.replace(pair, merges[pair][1])
-    return word
-
-
 def piece_encoder(tok: Tokenizer, specials: Sequence[str] = SPECIAL_TOKENS,
                   nested: bool = True) -> Callable:
     """A column function: array of pieces -> array of id arrays, one per piece.
