@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tokenloom.functions.text import strip_blank_lines
-from tokenloom.operators import bpe, codec, packing
+from tokenloom.operators import bpe, codec, ordering, packing
 from tokenloom.plans.corpus import encode_folder, make_dataset, train_tokenizer
 from tokenloom.sources import files, texts, tokens
 from tokenloom.streaming.encode import encode_new_files
@@ -34,6 +34,63 @@ def test_order_survives_many_splits(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+@pytest.fixture
+def split_sizes(spark):
+    """Several sizes of splits, small files packed many to a task and large ones cut."""
+    def each():
+        for size, cost in ((700, 10), (5000, 1), (1 << 27, 1 << 22)):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+            spark.conf.set("spark.sql.files.openCostInBytes", str(cost))
+            yield size
+    yield each
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_keys_are_line_numbers(spark, tmp_path, split_sizes):
+    """0, 1, 2, ... in each file under every split size, with files of very different lengths in one task."""
+    rng = random.Random(8)
+    bodies = {f"f{k}": [f"{i}" + "x" * rng.choice([0, 3, 400]) for i in range(rng.choice([1, 2, 30, 300]))] for k in range(12)}
+    for folder in ("jsonl", "lists", "matrix", "tags"):
+        (tmp_path / folder).mkdir()
+    for name, body in bodies.items():
+        (tmp_path / "jsonl" / f"{name}.jsonl").write_text("".join(json.dumps({"text": t}) + "\n" for t in body))
+        ids = [[len(t)] * (len(t) % 4) for t in body]
+        (tmp_path / "lists" / f"{name}.jsonl").write_text("\n".join(map(json.dumps, ids)))
+        (tmp_path / "matrix" / f"{name}.json").write_text(json.dumps(ids, indent=rng.choice([None, 1])) + "\n" * rng.choice([0, 900]))
+        (tmp_path / "tags" / f"{name}.jsonl").write_text("".join(
+            json.dumps({"token": [t], "ner": ["O"]}) + "\n" for t in body))
+    splits = set()
+    for _ in split_sizes():
+        corpus = texts.read_jsonl_attr(spark, str(tmp_path / "jsonl"))
+        splits.add(corpus.rdd.getNumPartitions())
+        read = {(r.file, r.doc_id): r.text for r in corpus.collect()}
+        assert read == {(f"{n}.jsonl", i): t for n, body in bodies.items() for i, t in enumerate(body)}
+        lists = tokens.read_token_lists(spark, [str(tmp_path / "lists" / "f1*"), str(tmp_path / "lists" / "f[02-9].jsonl")])
+        want = {(f"{n}.jsonl", i): [len(t)] * (len(t) % 4) for n, body in bodies.items() for i, t in enumerate(body)}
+        assert {(r.file, r.doc_id): r.ids for r in lists.collect()} == want
+        matrix = {(r.file, r.doc_id): r.ids for r in tokens.read_token_matrix(spark, str(tmp_path / "matrix")).collect()}
+        assert matrix == {(f.replace("jsonl", "json"), i): ids for (f, i), ids in want.items()}
+        tagged = texts.read_labelled(spark, str(tmp_path / "tags"))
+        assert [r.token[0] for r in tagged.orderBy("sent_id").collect()] == [t for n in sorted(bodies) for t in bodies[n]]
+        assert {r.sent_id for r in tagged.collect()} == set(range(sum(map(len, bodies.values()))))
+    assert len(splits) > 1
+
+
+def test_the_same_rows_are_test_rows_under_every_split_size(spark, tmp_path, split_sizes):
+    (tmp_path / "t.jsonl").write_text("".join(
+        json.dumps({"token": [f"w{i}"] * (i % 90), "ner": ["O"] * (i % 90)}) + "\n" for i in range(400)))
+    chosen = {tuple(sorted(r.sent_id for r in ordering.split_fraction(
+        texts.read_labelled(spark, str(tmp_path / "t.jsonl"))).where("split = 'test'").collect())) for _ in split_sizes()}
+    assert len(chosen) == 1 and len(chosen.pop()) == 40
+
+
+def test_labelled_lines_must_be_parallel(spark, tmp_path):
+    (tmp_path / "t.jsonl").write_text('{"token": ["a", "b"], "ner": ["O"]}\n')
+    with pytest.raises(Exception, match="no parallel lists"):
+        texts.read_labelled(spark, str(tmp_path / "t.jsonl")).collect()
+
+
 def test_encoded_parts_keep_line_order(spark, tmp_path):
     """Many read tasks, many part files of uneven size, and many tasks again."""
     rng = random.Random(3)

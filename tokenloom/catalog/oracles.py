@@ -341,7 +341,8 @@ def query(ctes: str, select: str) -> str:
 
 
 ORACLES: dict[str, str] = {
-    "read_jsonl_attr": "SELECT source AS file, text FROM documents",
+    "read_jsonl_attr": """SELECT source AS file, text,
+      row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS line FROM documents""",
     "read_json_list_attr": query(SENT_FILES, "SELECT * FROM placed"),
     "read_tolerant_sents": query(
         SENT_FILES, "SELECT * FROM placed WHERE left(md5(file), 1) >= '8'"),
@@ -352,7 +353,8 @@ ORACLES: dict[str, str] = {
           count(*) FILTER (left(md5(file), 1) >= '8') AS sentences FROM placed"""),
     "select_files": query(ENC, """SELECT file, len(ids) AS n FROM enc
       WHERE file LIKE '%src1%' AND file NOT LIKE '%src12%'"""),
-    "read_token_lists": query(ENC, "SELECT file, array_to_string(ids, ' ') AS ids FROM enc"),
+    "read_token_lists": query(ENC, """SELECT file, array_to_string(ids, ' ') AS ids,
+      row_number() OVER (PARTITION BY file ORDER BY doc_id) - 1 AS line FROM enc"""),
     "read_token_matrix": query(MATRIX, """SELECT file, array_to_string(ids, ' ') AS ids,
       row_number() OVER (PARTITION BY file ORDER BY doc_id) - 1 AS line FROM numbered"""),
     "pack_none": query(MATRIX, """SELECT file, array_to_string(ids, ' ') AS ids,
@@ -363,7 +365,8 @@ ORACLES: dict[str, str] = {
         THEN 'dev_trim' ELSE 'train_trim' END AS split, array_to_string(ids, ' ') AS ids
       FROM (SELECT ids, {FILE_POS} AS pos, count(*) OVER () AS n FROM ex)"""),
     "read_labelled": query(TAGGED, """SELECT string_agg(token, ' ' ORDER BY pos) AS token,
-      string_agg(ner, ' ' ORDER BY pos) AS ner FROM tagged GROUP BY sent_id"""),
+      string_agg(ner, ' ' ORDER BY pos) AS ner, row_number() OVER (ORDER BY sent_id) - 1 AS sent_id
+      FROM tagged GROUP BY sent_id"""),
     "append_sample_log": """SELECT replace(replace(text, chr(10), chr(9)), ' ', chr(9)) AS value
       FROM documents""",
     "strip_blank": """SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN replace(text, chr(10), '')

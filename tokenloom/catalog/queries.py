@@ -37,13 +37,13 @@ def flat(df: DataFrame) -> DataFrame:
 
 
 def _lines(df: DataFrame) -> DataFrame:
-    """Number the lines of each file in ``doc_id`` order."""
-    return ordering.with_offsets(df, "file", "doc_id", F.lit(1), "line").drop("doc_id")
+    return df.withColumnRenamed("doc_id", "line")
 
 
-def _write_jsonl(spark: SparkSession, df: DataFrame, *columns: str) -> str:
+def _write_jsonl(spark: SparkSession, df: DataFrame, key: str, *columns: str) -> str:
+    """JSON lines below one folder per file, in the order of ``key``."""
     path = scratch_path(spark, "jsonl")
-    df.select("file", F.to_json(F.struct(*columns)).alias("value")).write.partitionBy("file").text(path)
+    df.orderBy("file", key).select("file", F.to_json(F.struct(*columns)).alias("value")).write.partitionBy("file").text(path)
     return path
 
 
@@ -67,8 +67,8 @@ def _write_sents(spark: SparkSession, sf: str, damaged: bool) -> str:
 
 
 def read_jsonl_attr(spark, sf):
-    path = _write_jsonl(spark, inputs.corpus(spark, sf), "doc_id", "text")
-    return texts.read_jsonl_attr(spark, path).select("file", "text")
+    path = _write_jsonl(spark, inputs.corpus(spark, sf), "doc_id", "doc_id", "text")
+    return _lines(texts.read_jsonl_attr(spark, path))
 
 
 def read_json_list_attr(spark, sf):
@@ -101,7 +101,7 @@ def read_token_lists(spark, sf):
     ]
     # A common base path is not needed: each root is read with its own partition column.
     parts = [tokens.read_token_lists(spark, root) for root in roots]
-    return flat(parts[0].unionByName(parts[1]).select("file", "ids"))
+    return flat(_lines(parts[0].unionByName(parts[1])))
 
 
 def write_token_lists(spark, sf):
@@ -133,8 +133,8 @@ def write_split(spark, sf):
 
 def read_labelled(spark, sf):
     path = _write_jsonl(spark, inputs.tagged(spark, sf).withColumn("file", F.lit("tagged")),
-                        "token", "ner")
-    return flat(texts.read_labelled(spark, path).select("token", "ner"))
+                        "sent_id", "token", "ner")
+    return flat(texts.read_labelled(spark, path))
 
 
 def write_tokenizer(spark, sf):

@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 
 class NoInputFiles(ValueError):
     """A listed input has no file that Spark would read."""
@@ -18,21 +21,45 @@ def file_label(df: DataFrame) -> Column:
     return F.col("file") if "file" in df.columns else F.col("_metadata.file_name")
 
 
-PLACE_BITS = 40  # a physical file may have up to 2**40 bytes; the part number stands above
+MAX_SPLITS = 2_000_000  # proven bound on the table of line counts that is broadcast
+
 
+def numbered_lines(lines: DataFrame, counted: Column | None = None, per_file: bool = True) -> DataFrame:
+    """Add ``file``, ``line`` and ``first`` to lines straight from ``spark.read.text``.
 
-def line_position() -> Column:
-    """A bigint that rises with the line, and is unique, within a file.
+    ``line`` counts 0, 1, 2, ... in each file, or over all files without ``per_file``, however the files
+    are split and dealt over tasks. ``first`` tells the first line of a physical file. Files follow
+    each other by name, and those that Spark wrote in several parts by part number. With ``counted`` only lines
+    for which it holds count, and all lines without it must come at the end of a file.
 
-    It is the start of the split a line was read from plus the line's number in the task.
-    All splits of a file but the last have full size and therefore a task of their own, and
-    a line has at least one byte, so no line reaches the start of the next split. Files
-    that Spark wrote in several parts follow the part number.
+    The lines are read once to count them by split, as a narrow table that is written to the shared folder. A line's
+    number is the sum before its split plus its place in it, which is its place in the task less
+    that of the split's first line. The lines stay where they are. If a later read cuts the
+    files differently, the job fails.
     """
-    part = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1)
-    number = F.coalesce(part.try_cast("bigint"), F.lit(0))
-    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return number * F.lit(1 << PLACE_BITS) + F.col("_metadata.file_block_start") + row
+    spark = lines.sparkSession
+    held = F.lit(1) if counted is None else counted.cast("int")
+    placed = lines.select(
+        *[c for c in lines.columns if c != "file"], file_label(lines).alias("file"),
+        F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_row"))
+    splits = placed.withColumn("_held", held).groupBy("file", "_path", "_start").agg(
+        F.min("_row").alias("_first_row"), F.sum("_held").alias("_lines"))
+    part = F.regexp_extract(F.element_at(F.split("_path", "/"), -1), r"^part-(\d+)", 1).try_cast("bigint")
+    order = [F.coalesce(part, F.lit(0)), "_path", "_start"]
+    window = W.partitionBy("file").orderBy(*order) if per_file else W.orderBy("file", *order)
+    before = F.sum("_lines").over(window.rowsBetween(W.unboundedPreceding, -1))
+    path = scratch_path(spark, "line-counts")
+    splits.withColumn("_before", F.coalesce(before, F.lit(0))).drop("file", "_lines").write.parquet(path)
+    starts = spark.read.parquet(path)
+    if starts.count() > MAX_SPLITS:
+        raise ValueError(f"more than {MAX_SPLITS} splits; raise spark.sql.files.maxPartitionBytes")
+    joined = placed.join(F.broadcast(starts), ["_path", "_start"], "left")
+    gone = F.raise_error(F.lit("the files were split differently when their lines were counted")).cast("bigint")
+    line = F.coalesce("_before", gone) + F.col("_row") - F.col("_first_row")
+    return joined.withColumn("line", line).withColumn(
+        "first", (F.col("_start") == 0) & (F.col("_row") == F.col("_first_row"))
+    ).drop("_path", "_start", "_row", "_first_row", "_before")
 
 
 def require_files(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .files import file_label, line_position, require_files
+from .files import file_label, numbered_lines, require_files
 
 
 def read_jsonl_attr(spark: SparkSession, paths: str | Sequence[str],
@@ -16,19 +16,14 @@ def read_jsonl_attr(spark: SparkSession, paths: str | Sequence[str],
     """``corpus(file, doc_id, text)`` from one JSON object per line.
 
     The declared schema holds the one wanted attribute, so the parser skips the rest. A
-    line that is not JSON, or lacks the attribute, fails the job. ``doc_id`` rises with
-    the line within a file.
+    line that is not JSON, or lacks the attribute, fails the job. ``doc_id`` is the number
+    of the line in its file.
     """
     schema = T.StructType([T.StructField(attr, T.StringType())])
-    reader = spark.read.schema(schema).option("mode", "FAILFAST")
-    df = reader.json(require_files(spark, paths))
-    text = F.col(attr)
+    lines = numbered_lines(spark.read.text(require_files(spark, paths)))
     missing = F.raise_error(F.lit(f"a line has no attribute {attr!r}")).cast("string")
-    return df.select(
-        file_label(df).alias("file"),
-        line_position().alias("doc_id"),
-        F.coalesce(text, missing).alias("text"),
-    )
+    text = F.from_json("value", schema, {"mode": "FAILFAST"})[attr]
+    return lines.select("file", F.col("line").alias("doc_id"), F.coalesce(text, missing).alias("text"))
 
 
 def _whole_files(spark: SparkSession, paths: str | Sequence[str], attr: str) -> DataFrame:
@@ -69,12 +64,20 @@ def read_tolerant(spark: SparkSession, paths: str | Sequence[str],
 
 def read_labelled(spark: SparkSession, paths: str | Sequence[str], token_col: str = "token",
                   label_col: str = "ner") -> DataFrame:
-    """``tagged(sent_id, token, ner)`` from JSON lines with parallel lists."""
-    schema = f"`{token_col}` array<string>, `{label_col}` array<string>"
-    df = spark.read.schema(schema).option("mode", "FAILFAST").json(require_files(spark, paths))
-    return df.select(
-        F.monotonically_increasing_id().alias("sent_id"), F.col(token_col), F.col(label_col)
-    )
+    """``tagged(sent_id, token, ner)`` from JSON lines with parallel lists.
+
+    ``sent_id`` numbers the lines over all files. A line without both lists, or with lists of different lengths,
+    fails the job.
+    """
+    strings = T.ArrayType(T.StringType())
+    schema = T.StructType([T.StructField(token_col, strings), T.StructField(label_col, strings)])
+    lines = numbered_lines(spark.read.text(require_files(spark, paths)), per_file=False)
+    row = F.from_json("value", schema, {"mode": "FAILFAST"})
+    rows = lines.select(F.col("line").alias("sent_id"), row.alias("row")).select(
+        "sent_id", F.col("row")[token_col].alias(token_col), F.col("row")[label_col].alias(label_col))
+    uneven = F.raise_error(F.concat(F.lit("no parallel lists in line "), F.col("sent_id").cast("string")))
+    parallel = F.size(token_col) == F.size(label_col)
+    return rows.withColumn(label_col, F.when(parallel, F.col(label_col)).otherwise(uneven.cast("array<string>")))
 
 
 def append_sample_log(rows: DataFrame, path: str, column: str = "samples") -> None:

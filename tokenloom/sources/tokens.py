@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .files import file_label, line_position, require_files
+from .files import numbered_lines, require_files
 
 KEYWORD = "encoded"
 
@@ -19,36 +19,32 @@ def _parse_ids(value: Column) -> Column:
 def read_token_lists(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """``encoded(file, doc_id, ids)`` from one JSON int array per line.
 
-    Several paths are concatenated. Extra partition columns, such as ``split``, are kept.
+    ``doc_id`` is the number of the line in its file. Several paths are concatenated. Extra partition columns,
+    such as ``split``, are kept.
     """
     df = spark.read.text(require_files(spark, paths))
     extra = [c for c in df.columns if c not in ("value", "file")]
-    return df.select(
-        file_label(df).alias("file"),
-        line_position().alias("doc_id"),
-        _parse_ids(F.col("value")).alias("ids"),
-        *extra,
-    )
+    return numbered_lines(df).select(
+        "file", F.col("line").alias("doc_id"), _parse_ids(F.col("value")).alias("ids"), *extra)
 
 
 def read_token_matrix(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """``encoded(file, doc_id, ids)`` from files that hold one array of arrays each.
 
-    The file is split at ``],`` so that several tasks share a large one; what another
-    writer's spacing leaves together is split again below. ``doc_id`` follows file order.
+    The file is split at ``]``, so that several tasks share a large one. Each record then holds one list, but for
+    the signs that end the file. ``doc_id`` is the number of the list in its file.
     """
-    df = spark.read.option("lineSep", "],").text(require_files(spark, paths))
-    records = df.filter(~F.col("value").rlike(r"^\s*(\[\s*\])?\s*$"))
-    body = F.regexp_replace("value", r"^[\s\[]+|[\s\]]+$", "")
-    lists = records.select(
-        file_label(df).alias("file"), "_metadata",
-        F.explode(F.split(body, r"\]\s*,\s*\[")).alias("items"),
-    )
-    return lists.select(
-        "file",
-        line_position().alias("doc_id"),
-        _parse_ids(F.concat(F.lit("["), F.col("items"), F.lit("]"))).alias("ids"),
-    )
+    df = spark.read.option("lineSep", "]").text(require_files(spark, paths))
+    value = F.col("value")
+    lists = numbered_lines(df, value.contains("["))
+    # The first record of a file also opens the outer array; what follows the last list holds only its end.
+    opens = F.when(F.col("first"), value.rlike(r"^\s*\[\s*\[[^\[]*$")).otherwise(value.rlike(r"^\s*,\s*\[[^\[]*$"))
+    ends = value.rlike(r"^\s*$") | (F.col("first") & value.rlike(r"^\s*\[\s*$"))
+    wrong = F.raise_error(F.concat(F.lit("no array of arrays in file "), F.col("file"))).cast("boolean")
+    is_list = F.when(opens, True).when(ends, False).otherwise(wrong)
+    body = F.concat(F.lit("["), F.substring_index(value, "[", -1), F.lit("]"))
+    return lists.filter(is_list).select(
+        "file", F.col("line").alias("doc_id"), _parse_ids(body).alias("ids"))
 
 
 def write_token_lists(df: DataFrame, path: str, keyword: str = KEYWORD,
