@@ -223,3 +223,97 @@ def test_wordpiece_size_matches_library(spark, texts):
         special_tokens=list(SPECIAL_TOKENS)))
     mine = bpe.wordpiece_train(spark.createDataFrame([(t,) for t in plain], "text string"), size=390)
     assert {r.token for r in mine.vocab.collect()} == set(lib.get_vocab())
+
+
+UNITS = ["", "to be", "to be or not", "<s>to be</s> or<mask>", "x" * 101, "to be" * 20, "  to", "漢to", "##be", "to\nbe", None]
+
+
+@pytest.fixture(scope="module")
+def wordpiece(spark, texts):
+    rows = [("to be or not to be",)] * 4 + [("to be",)] * 2 + [("not be 漢 #x  bet",)] * 3
+    mine = bpe.wordpiece_train(spark.createDataFrame(rows, "text string"), size=300)
+    lib = Library(models.WordPiece(vocab={r.token: r.id for r in mine.vocab.collect()}, unk_token="<unk>"))
+    lib.add_special_tokens(list(SPECIAL_TOKENS))
+    return mine, lib
+
+
+def test_wordpiece_encoding_matches(spark, wordpiece):
+    mine, lib = wordpiece
+    df = spark.createDataFrame(list(enumerate(UNITS)), "k int, text string")
+    found = {r.k: r.ids for r in codec.encode(df, mine).collect()}
+    for k, text in enumerate(UNITS):
+        assert found[k] == (None if text is None else lib.encode(text, add_special_tokens=False).ids), text
+    assert any(3 in (ids or []) for ids in found.values())
+
+
+@pytest.mark.parametrize("skip", [True, False])
+def test_wordpiece_decoding_matches(spark, wordpiece, skip):
+    mine, lib = wordpiece[0], Library.from_str(wordpiece[1].to_str())
+    df = codec.encode(spark.createDataFrame(list(enumerate(UNITS[:4] + UNITS[6:7])), "k int, text string"), mine).drop("text")
+    known = {r.k: r.ids for r in df.collect()}
+    for style, decoder in (("tokens", None), ("words", decoders.WordPiece(cleanup=False))):
+        if decoder:
+            lib.decoder = decoder
+        if decoder:
+            lib.decoder = decoder
+        for r in codec.decode(df, mine, skip_special_tokens=skip, style=style).collect():
+            assert r.text == lib.decode(known[r.k], skip_special_tokens=skip)
+    for r in codec.decode(df, mine, skip_special_tokens=False).collect():
+        assert r.text == (UNITS[:4] + UNITS[6:7])[r.k]
+    with pytest.raises(ValueError):
+        codec.decode(df, mine, style="other")
+
+
+def test_longest_match_equals_the_library():
+    import random
+
+    from tokenloom.operators.wordpiece import LongestMatch
+
+    rng = random.Random(1)
+    for _ in range(100):
+        names = ["<unk>", *sorted({("##" if rng.random() < 0.6 else "") + "".join(rng.choices("ab#c", k=rng.randint(1, 5)))
+                                   for _ in range(rng.randint(1, 25))})]
+        lib = Library(models.WordPiece(vocab={t: i for i, t in enumerate(names)}, unk_token="<unk>"))
+        match = LongestMatch(names)
+        for _ in range(30):
+            text = "".join(rng.choices("abc#", k=rng.randint(0, 12)))
+            found = match(text)
+            assert ([0] if found is None else found) == lib.encode(text).ids
+
+
+def test_the_wrong_kind_is_an_error(spark, both, wordpiece):
+    with pytest.raises(ValueError, match="BPE tokenizer is needed"):
+        codec.piece_encoder(wordpiece[0])
+    with pytest.raises(ValueError, match="WordPiece tokenizer is needed"):
+        codec.wordpiece_encoder(both[0], 100, SPECIAL_TOKENS)
+
+
+def tables(tok):
+    """A WordPiece file holds no merges."""
+    merges = sorted(map(tuple, tok.merges.collect())) if tok.kind == "BPE" else None
+    return (sorted(map(tuple, tok.vocab.collect())), merges, tok.kind, tok.specials, tok.unknown, tok.prefix)
+
+
+@pytest.mark.parametrize("kind", ["BPE", "WordPiece"])
+def test_json_layout_round_trip(spark, both, wordpiece, tmp_path, kind):
+    """Our export loads in the library, and the library's own file reads back to the same tokenizer."""
+    mine = both[0] if kind == "BPE" else wordpiece[0]
+    path = tokenizer_files.write_tokenizer(mine, str(tmp_path / "tok"))
+    saved = tokenizer_files.read_tokenizer(spark, path)
+    assert tables(saved) == tables(mine) and saved.merges.count() == mine.merges.count()
+    assert tables(tokenizer_files.read_tokenizer_json(spark, f"{path}/tokenizer.json")) == tables(mine)
+    loaded = Library.from_str(next((tmp_path / "tok" / "tokenizer.json").glob("part-*")).read_text())
+    loaded.save(str(tmp_path / "library.json"))
+    assert tables(tokenizer_files.read_tokenizer_json(spark, str(tmp_path / "library.json"))) == tables(mine)
+
+
+def test_foreign_tokenizer_file(spark, corpus, texts):
+    """A public byte-level file encodes as the library does; other kinds are refused."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tok, lib = tokenizer_files.read_tokenizer_json(spark, path), Library.from_file(path)
+    for row in codec.encode(corpus, tok).select("doc_id", "ids").collect():
+        assert row.ids == lib.encode(texts[row.doc_id], add_special_tokens=False).ids, repr(texts[row.doc_id])
+    with pytest.raises(ValueError):
+        tokenizer_files.read_tokenizer_json(spark, public_tokenizers.path("word_bpe_49k.json"))

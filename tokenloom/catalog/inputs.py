@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from ..constants import NER_LABELS, VOCAB_SIZE
 from ..functions.hashing import hash_int, uniform
 from ..functions.labels import map_labels
-from ..operators.bpe import Tokenizer, bpe_train, word_counts
+from ..operators.bpe import Tokenizer, bpe_train, word_counts, wordpiece_train
 from ..operators.packing import pack_trim
 from ..session import table
 
 WORD_IDS = VOCAB_SIZE - 5
 TRAINED_SIZE = 512
+WORDPIECE_SIZE = 448
 DOCS_PER_FILE = 1280
 TAGS = [*NER_LABELS, "B-MISC"]  # the last one is not in the label dictionary
 
@@ -113,3 +114,16 @@ def trained(spark: SparkSession, sf: str) -> Tokenizer:
     return _trained(spark.sparkContext.applicationId, spark, sf)
 
 
+def lines(spark: SparkSession, sf: str) -> DataFrame:
+    """``(doc_id, line, text)``: every line of the documents."""
+    return documents(spark, sf).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text"))
+
+
+@lru_cache(maxsize=8)
+def _trained_wordpiece(app: str, spark: SparkSession, sf: str) -> Tokenizer:
+    return wordpiece_train(lines(spark, sf), size=WORDPIECE_SIZE)
+
+
+def trained_wordpiece(spark: SparkSession, sf: str) -> Tokenizer:
+    """A small vocabulary learned from all lines, once per application."""
+    return _trained_wordpiece(spark.sparkContext.applicationId, spark, sf)

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from ..constants import NER_LABELS, VOCAB_SIZE
-from .inputs import DOCS_PER_FILE, TAGS, TRAINED_SIZE
-from .queries import BLOCK, SHORT_TRIM, WORDPIECE_SIZE
+from .inputs import DOCS_PER_FILE, TAGS, TRAINED_SIZE, WORDPIECE_SIZE
+from .queries import BLOCK, SHORT_TRIM
 
 # Building blocks
 
@@ -335,6 +335,20 @@ start AS MATERIALIZED (
     AND (k > 1 OR s.id >= 5) GROUP BY line),
 {_loop('start', '(SELECT count(*) FROM symbols)', WORDPIECE_SIZE)}, {GROWN}"""
 
+# The longest token at each place of a line, one after the other.
+WALK = """names AS MATERIALIZED (
+  SELECT generate_subscripts(tokens, 1) - 1 AS id, unnest(tokens) AS token FROM final),
+longest AS (SELECT max(len(token)) AS most FROM names),
+walk AS (
+  SELECT DISTINCT line, 1::BIGINT AS place, []::BIGINT[] AS ids FROM line WHERE line <> ''
+  UNION ALL
+  SELECT line, place + max(k), list_append(ids, max_by(id, k)) FROM (
+    SELECT w.line, w.place, w.ids, k, v.id
+    FROM (SELECT *, unnest(range(1, least((SELECT most FROM longest), len(line) - place + 1) + 1)) AS k FROM walk
+          WHERE place <= len(line)) w
+    JOIN names v ON v.token = CASE WHEN w.place > 1 THEN '##' ELSE '' END || substr(w.line, w.place, w.k))
+  GROUP BY line, place, ids)"""
+
 
 def query(ctes: str, select: str) -> str:
     return f"WITH RECURSIVE {ctes}\n{select}"
@@ -404,6 +418,12 @@ ORACLES: dict[str, str] = {
       "SELECT generate_subscripts(tokens, 1) - 1 AS id, unnest(tokens) AS token FROM final"),
     "wordpiece_train": query(
       WORDPIECE, "SELECT generate_subscripts(tokens, 1) - 1 AS id, unnest(tokens) AS token FROM final"),
+    "encode_wordpiece": query(f"{WORDPIECE}, {WALK}", """
+      SELECT doc_id, j - 1 AS line, array_to_string(coalesce(ids, []), ' ') AS ids
+      FROM line LEFT JOIN (SELECT line, ids FROM walk WHERE place > len(line)) w ON w.line = line.line"""),
+    "decode_wordpiece": query(LINES, "SELECT doc_id, j - 1 AS line, line AS text FROM line"),
+    "read_tokenizer_json": query(trained("SELECT NULL AS piece WHERE false"), """
+      SELECT rank, l::BIGINT AS "left", r::BIGINT AS "right", 261 + rank AS new_id FROM merges"""),
     "encode": query(TRAINED_ENC, "SELECT doc_id, array_to_string(ids, ' ') AS ids FROM enc"),
     "align_labels": query(TRAINED_ALIGNED, """SELECT sent_id, array_to_string(ids, ' ') AS input_ids,
       array_to_string(labels, ' ') AS labels FROM aligned"""),

@@ -20,7 +20,7 @@ from . import inputs
 
 BLOCK = 128
 SHORT_TRIM = 16
-WORDPIECE_SIZE = 448
+WHOLE_LINES = 1 << 30  # no line is longer
 MASK_KEYS = ("file", "doc_id", "ex_idx")
 
 
@@ -206,8 +206,25 @@ def bpe_train(spark, sf):
 
 
 def wordpiece_train(spark, sf):
-    lines = inputs.documents(spark, sf).select(F.explode(F.split("text", "\n")).alias("text"))
-    return flat(bpe.wordpiece_train(lines, size=WORDPIECE_SIZE).vocab)
+    return flat(inputs.trained_wordpiece(spark, sf).vocab)
+
+
+def encode_wordpiece(spark, sf):
+    found = codec.encode(inputs.lines(spark, sf), inputs.trained_wordpiece(spark, sf), max_chars=WHOLE_LINES)
+    return flat(found.select("doc_id", "line", "ids"))
+
+
+def decode_wordpiece(spark, sf):
+    """Encode and decode; the line comes back."""
+    tok = inputs.trained_wordpiece(spark, sf)
+    found = codec.encode(inputs.lines(spark, sf), tok, max_chars=WHOLE_LINES).select("doc_id", "line", "ids")
+    return flat(codec.decode(found, tok).select("doc_id", "line", "text"))
+
+
+def read_tokenizer_json(spark, sf):
+    """The merges of a tokenizer written in the public layout and read again."""
+    path = tokenizer_files.write_tokenizer(inputs.trained(spark, sf), scratch_path(spark, "tok"))
+    return flat(tokenizer_files.read_tokenizer_json(spark, f"{path}/tokenizer.json").merges)
 
 
 def encode(spark, sf):
@@ -396,7 +413,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         read_tolerant_report, select_files, read_token_lists, read_token_matrix,
         write_token_lists, write_split, read_labelled, write_tokenizer, append_sample_log,
         strip_blank, drop_source_columns, map_label_names, argmax_label, drop_ignored,
-        format_pairs, word_counts, initial_vocab, pair_counts, bpe_train, wordpiece_train,
+        format_pairs, word_counts, initial_vocab, pair_counts, bpe_train, wordpiece_train, encode_wordpiece, decode_wordpiece, read_tokenizer_json,
         encode, encode_bytes, decode, split_at_eos, pack_trim, pack_trim_short, chunk_block,
         pack_none, shuffle_rows, shuffle_files, split_head, split_head_shuffled,
         split_fraction, top_k, batch_pad, clm_labels, mlm_mask, whole_word_mask,

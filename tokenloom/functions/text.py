@@ -29,27 +29,39 @@ def pieces(text: Column, add_prefix_space: bool = True) -> Column:
     return F.regexp_extract_all(text, F.lit(PIECE_PATTERN), F.lit(0))
 
 
+def _any_of(specials: Sequence[str]) -> str:
+    return "|".join(re.escape(s) for s in sorted(specials, key=len, reverse=True))
+
+
+def segments(text: Column, specials: Sequence[str] = SPECIAL_TOKENS) -> Column:
+    """A text cut before and after every literal special token; no empty segments."""
+    if not specials:
+        return F.filter(F.array(text), lambda s: s != "")
+    any_special = _any_of(specials)
+    # A look at one character first spares most places the whole list of alternatives.
+    opening, closing = ("[" + "".join(map(re.escape, {s[k] for s in specials})) + "]" for k in (0, -1))
+    cut = F.split(text, f"(?={opening})(?={any_special})|(?<={closing})(?<={any_special})")
+    return F.filter(cut, lambda s: s != "")
+
+
 def pieces_with_specials(text: Column, add_prefix_space: bool = False,
                          specials: Sequence[str] = SPECIAL_TOKENS) -> Column:
     """Pieces of a text in which literal special tokens stay whole.
 
-    The text is cut before and after every special token; each other segment is
-    pre-tokenized by itself. Texts without any take the short way.
+    Each segment between special tokens is pre-tokenized by itself. Texts without any
+    take the short way.
     """
-    any_special = "|".join(re.escape(s) for s in sorted(specials, key=len, reverse=True))
-    # A look at one character first spares most places the whole list of alternatives.
-    opening, closing = ("[" + "".join(map(re.escape, {s[k] for s in specials})) + "]" for k in (0, -1))
-    segments = F.split(
-        text, f"(?={opening})(?={any_special})|(?<={closing})(?<={any_special})")
+    if not specials:
+        return pieces(text, add_prefix_space)
     mixed = F.flatten(
         F.transform(
-            F.filter(segments, lambda s: s != ""),
+            segments(text, specials),
             lambda s: F.when(s.isin(*specials), F.array(s)).otherwise(
                 pieces(s, add_prefix_space)
             ),
         )
     )
-    return F.when(text.rlike(any_special), mixed).otherwise(pieces(text, add_prefix_space))
+    return F.when(text.rlike(_any_of(specials)), mixed).otherwise(pieces(text, add_prefix_space))
 
 
 def utf8_as_latin1(text: Column) -> Column:

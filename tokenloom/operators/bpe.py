@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 from heapq import nsmallest
 from operator import add, or_
@@ -23,7 +23,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import MIN_FREQUENCY, SPECIAL_TOKENS, VOCAB_SIZE, byte_alphabet
+from ..constants import MIN_FREQUENCY, SPECIAL_TOKENS, UNK_ID, VOCAB_SIZE, byte_alphabet
 from ..functions.text import pieces, to_byte_symbols, utf8_as_latin1
 from ..session import remove_path, scratch_path
 
@@ -36,12 +36,22 @@ SETTLE_MERGES = 512  # merges after which the words are written anew
 MAX_ALPHABET = 300_000  # more characters than Unicode has assigned
 
 
+BPE, WORDPIECE = "BPE", "WordPiece"
+
+
 @dataclass(frozen=True)
 class Tokenizer:
-    """``vocab(id, token)`` and ``merges(rank, left, right, new_id)``."""
+    """``vocab(id, token)`` and ``merges(rank, left, right, new_id)``, the kind of model, and its special tokens.
+
+    A WordPiece model encodes by its tokens alone; those inside a word begin with ``prefix``.
+    """
 
     vocab: DataFrame
     merges: DataFrame
+    kind: str = BPE
+    specials: tuple[str, ...] = SPECIAL_TOKENS
+    unknown: str = SPECIAL_TOKENS[UNK_ID]
+    prefix: str = "##"
 
 
 def symbol(token_id: int) -> str:
@@ -331,12 +341,13 @@ def _tokenizer(spark: SparkSession, tokens: list[str], merges: list[tuple]) -> T
 def bpe_train(words: DataFrame, size: int = VOCAB_SIZE, min_frequency: int = MIN_FREQUENCY,
               specials: Sequence[str] = SPECIAL_TOKENS) -> Tokenizer:
     """Byte-level BPE from a histogram ``words(piece, n)``."""
-    return learn_merges(byte_words(words, specials), base_tokens(specials), size, min_frequency)
+    tok = learn_merges(byte_words(words, specials), base_tokens(specials), size, min_frequency)
+    return replace(tok, specials=tuple(specials))
 
 
 def byte_tokenizer(spark: SparkSession, specials: Sequence[str] = SPECIAL_TOKENS) -> Tokenizer:
     """The vocabulary before any merge: one token per byte."""
-    return _tokenizer(spark, base_tokens(specials), [])
+    return replace(_tokenizer(spark, base_tokens(specials), []), specials=tuple(specials))
 
 
 def wordpiece_train(texts: DataFrame, text: str = "text", size: int = VOCAB_SIZE,
@@ -371,4 +382,5 @@ def wordpiece_train(texts: DataFrame, text: str = "text", size: int = VOCAB_SIZE
     rest = F.translate(F.expr("substring(unit, 2)"), "".join(inner),
                        "".join(symbol(ids[prefix + c]) for c in inner))
     words = units.select(F.concat(first, rest).alias("word"), "n")
-    return learn_merges(words, tokens, size, min_frequency, continuing=prefix)
+    tok = learn_merges(words, tokens, size, min_frequency, continuing=prefix)
+    return replace(tok, kind=WORDPIECE, specials=tuple(specials), prefix=prefix)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -11,11 +12,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import SPECIAL_TOKENS, byte_alphabet
-from ..functions.text import from_byte_symbols, pieces_with_specials
-from .bpe import SURROGATES, Tokenizer, merge_symbols, symbol
+from ..constants import byte_alphabet
+from ..functions.text import from_byte_symbols, pieces_with_specials, segments
+from .bpe import BPE, SURROGATES, WORDPIECE, Tokenizer, merge_symbols, symbol
+from .wordpiece import LongestMatch
 
 MAX_VOCAB = 1_000_000  # proven bound on what is broadcast: one entry per token or merge
+MAX_UNIT_CHARS = 100  # of a WordPiece unit, as in the usual models
 MEMO_PIECES = 500_000  # pieces a worker remembers; more are encoded again
 
 
@@ -31,29 +34,28 @@ def vocab_tokens(tok: Tokenizer) -> list[str]:
     return [row.token for row in sorted(_bounded(tok.vocab), key=lambda row: row.id)]
 
 
-def piece_encoder(tok: Tokenizer, specials: Sequence[str] = SPECIAL_TOKENS,
-                  nested: bool = True) -> Callable:
-    """A column function: array of pieces -> array of id arrays, one per piece.
+def _checked(tok: Tokenizer, kind: str) -> list[str]:
+    """The tokens in id order, after a look at the kind and the ids."""
+    if tok.kind != kind:
+        raise ValueError(f"a {kind} tokenizer is needed, not {tok.kind}")
+    rows = sorted((row.id, row.token) for row in _bounded(tok.vocab))
+    if [i for i, _ in rows] != list(range(len(rows))):
+        raise ValueError("token ids must be 0, 1, 2, ...")
+    return [token for _, token in rows]
+
 
-    Without ``nested`` the ids of a row are one flat array.
+def _encoder(spark, shared: tuple, start: Callable, nested: bool) -> Callable:
+    """A column function: array of pieces -> array of id arrays, one per piece.
 
-    Each Arrow batch is reduced to its distinct pieces before any of them is merged, and
-    the ids are spread back by index arithmetic. Workers share the merges by broadcast.
+    ``start`` makes, from the broadcast ``shared``, what is known from the outset and the function for another piece. Each
+    Arrow batch is reduced to its distinct pieces before any of them is encoded, and the ids are spread back by index
+    arithmetic. Without ``nested`` the ids of a row are one flat array.
     """
-    spark = tok.vocab.sparkSession
-    tokens = vocab_tokens(tok)
-    ids = {token: i for i, token in enumerate(tokens)}
-    tables = spark.sparkContext.broadcast((
-        {b: symbol(ids[char]) for b, char in enumerate(byte_alphabet())},
-        {symbol(m.left) + symbol(m.right): (m.rank, symbol(m.new_id))
-         for m in sorted(_bounded(tok.merges), key=lambda m: -m.rank)},
-        {s: symbol(ids[s]) for s in specials},
-    ))
+    tables = spark.sparkContext.broadcast(shared)
 
     @F.arrow_udf("array<array<int>>" if nested else "array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        of_byte, merges, memo = tables.value
-        memo = dict(memo)
+        memo, coded = start(*tables.value)
         fixed = len(memo) + MEMO_PIECES
         for lists in batches:
             found = pc.dictionary_encode(lists.flatten())
@@ -61,7 +63,7 @@ def piece_encoder(tok: Tokenizer, specials: Sequence[str] = SPECIAL_TOKENS,
             for piece in found.dictionary.to_pylist():
                 word = memo.get(piece)
                 if word is None:
-                    word = merge_symbols("".join(map(of_byte.get, piece.encode())), merges)
+                    word = coded(piece)
                     if len(memo) < fixed:
                         memo[piece] = word
                 words.append(word)
@@ -70,6 +72,42 @@ def piece_encoder(tok: Tokenizer, specials: Sequence[str] = SPECIAL_TOKENS,
     return encode
 
 
+def piece_encoder(tok: Tokenizer, specials: Sequence[str] | None = None,
+                  nested: bool = True) -> Callable:
+    """``_encoder`` for byte-level pieces, which are merged. Workers share the merges by broadcast."""
+    tokens = _checked(tok, BPE)
+    ids = {token: i for i, token in enumerate(tokens)}
+    shared = (
+        {b: symbol(ids[char]) for b, char in enumerate(byte_alphabet())},
+        {symbol(m.left) + symbol(m.right): (m.rank, symbol(m.new_id))
+         for m in sorted(_bounded(tok.merges), key=lambda m: -m.rank)},
+        {s: symbol(ids[s]) for s in (tok.specials if specials is None else specials)},
+    )
+
+    def start(of_byte: dict, merges: dict, memo: dict) -> tuple[dict, Callable]:
+        return dict(memo), lambda piece: merge_symbols("".join(map(of_byte.get, piece.encode())), merges)
+
+    return _encoder(tok.vocab.sparkSession, shared, start, nested)
+
+
+def wordpiece_encoder(tok: Tokenizer, max_chars: int, specials: Sequence[str]) -> Callable:
+    """``_encoder`` for whole segments by longest match; what has no match, or is too long, is unknown."""
+    tokens = _checked(tok, WORDPIECE)
+    ids = {token: i for i, token in enumerate(tokens)}
+    shared = (tokens, tok.prefix, {s: symbol(ids[s]) for s in specials}, symbol(ids[tok.unknown]), max_chars)
+
+    def start(tokens: list[str], prefix: str, memo: dict, unknown: str, max_chars: int) -> tuple[dict, Callable]:
+        match = LongestMatch(tokens, prefix)
+
+        def coded(segment: str) -> str:
+            found = match(segment) if len(segment) <= max_chars else None
+            return unknown if found is None else "".join(map(symbol, found))
+
+        return dict(memo), coded
+
+    return _encoder(tok.vocab.sparkSession, shared, start, nested=False)
+
+
 def _spread(lists: pa.ListArray, codes: np.ndarray, words: list[str],
             nested: bool) -> pa.ListArray:
     """Id lists for the pieces ``words[codes]``, grouped as in ``lists``."""
@@ -93,37 +131,55 @@ def _spread(lists: pa.ListArray, codes: np.ndarray, words: list[str],
 
 
 def encode(df: DataFrame, tok: Tokenizer, text: str = "text", out: str = "ids",
-           add_prefix_space: bool = False,
-           specials: Sequence[str] = SPECIAL_TOKENS) -> DataFrame:
+           add_prefix_space: bool = False, specials: Sequence[str] | None = None,
+           max_chars: int = MAX_UNIT_CHARS) -> DataFrame:
     """Add the token ids of ``text``. Literal special tokens become single ids; none are added.
 
-    Needs no shuffle: the JVM cuts the pieces and Arrow workers look them up.
+    Needs no shuffle: the JVM cuts the pieces and Arrow workers look them up. A WordPiece
+    model takes each segment between special tokens as one unit, of at most ``max_chars``
+    characters; a longer one, or one without a match, is the unknown token.
     """
+    specials = tok.specials if specials is None else specials
+    if tok.kind == WORDPIECE:
+        return df.withColumn(out, wordpiece_encoder(tok, max_chars, specials)(segments(F.col(text), specials)))
     cut = pieces_with_specials(F.col(text), add_prefix_space, specials)
     return df.withColumn(out, piece_encoder(tok, specials, nested=False)(cut))
 
 
 def _literal_list(items: Sequence[str]) -> Column:
-    """A constant array, folded once by the optimizer; items must hold no space."""
-    return F.split(F.lit(" ".join(items)), " ")
+    """A constant array, folded once by the optimizer, cut at a sign that no item holds."""
+    used = set("".join(items))
+    sign = next(c for c in map(chr, (32, *range(0xE000, 0xF8FF), *range(1, 32))) if c not in used)
+    return F.split(F.lit(sign.join(items)), re.escape(sign))
 
 
 def decode(df: DataFrame, tok: Tokenizer, ids: str = "ids", out: str = "text",
-           skip_special_tokens: bool = True,
-           specials: Sequence[str] = SPECIAL_TOKENS) -> DataFrame:
+           skip_special_tokens: bool = True, specials: Sequence[str] | None = None,
+           style: str = "text") -> DataFrame:
     """Add the text spelled by token ids.
 
     The vocabulary, one string per token, travels in the plan as a constant array, so the
-    lookup is by index and needs neither a join nor a regrouping of the tokens.
+    lookup is by index and needs neither a join nor a regrouping of the tokens. For a
+    WordPiece model ``style`` tells how tokens are joined: ``text`` without their prefixes, which is the
+    inverse of encoding, ``words`` with a space before tokens that have no prefix, and ``tokens`` with a space before each.
     """
-    tokens = vocab_tokens(tok)
+    if style not in ("text", "words", "tokens"):
+        raise ValueError(f"no style {style!r}")
+    tokens = _checked(tok, tok.kind)
+    specials = tok.specials if specials is None else specials
     kept = F.col(ids)
     if skip_special_tokens:
         special_ids = [i for i, token in enumerate(tokens) if token in set(specials)]
         kept = F.filter(kept, lambda i: ~i.isin(special_ids))
     names = _literal_list(tokens)
-    spelled = F.array_join(F.transform(kept, lambda i: F.get(names, i)), "")
-    return df.withColumn(out, from_byte_symbols(spelled))
+    spelled = F.transform(kept, lambda i: F.get(names, i))
+    if tok.kind == BPE:
+        return df.withColumn(out, from_byte_symbols(F.array_join(spelled, "")))
+    if style != "tokens":
+        gap = "" if style == "text" else " "
+        spelled = F.transform(spelled, lambda t, i: F.when(i == 0, t).when(
+            t.startswith(tok.prefix), F.substring(t, F.lit(len(tok.prefix) + 1), F.length(t))).otherwise(F.concat(F.lit(gap), t)))
+    return df.withColumn(out, F.array_join(spelled, " " if style == "tokens" else ""))
 
 
 def word_start_test(tok: Tokenizer) -> Callable[[Column], Column]:

@@ -24,7 +24,7 @@ def align_labels(tagged: DataFrame, tok: Tokenizer, words: str = "token", labels
     other tokens and the special tokens get the ignore label. ``max_len`` counts the
     special tokens too.
     """
-    nested = F.transform(words, lambda w: pieces_with_specials(w, add_prefix_space=True))
+    nested = F.transform(words, lambda w: pieces_with_specials(w, True, tok.specials))
     # Generators keep the pieces from being cut twice, for the encoder and for the labels.
     bound = tagged.select("*", F.inline(F.array(F.struct(
         nested.alias("_pieces"), map_labels(F.col(labels), label_ids).alias("_word_labels")
