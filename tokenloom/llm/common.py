@@ -80,13 +80,15 @@ def tidy(fn: Callable):
     return lambda rows: group(rows) if isinstance(rows, pa.Table) else batches(rows)
 
 
-def per_batch(fn: Callable[[pa.RecordBatch], pa.RecordBatch]):
-    """An Arrow function that maps one batch at a time."""
+def per_batch(fn: Callable[[pa.RecordBatch], pa.RecordBatch], memo: dict | None = None):
+    """An Arrow function that maps one batch at a time; a ``memo`` is emptied at the end, before memory is given back."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lean()
         for batch in batches:
             if batch.num_rows:
                 yield fn(batch)
+        if memo is not None:
+            memo.clear()
         trim()
     return run
 

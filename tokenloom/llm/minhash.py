@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import Memo, as_bytes, bounded_batches, drop, having, linked_components, mix64, per_batch, renamed, settle, settled
@@ -113,7 +114,7 @@ def _signatures(width: int):
         return pa.RecordBatch.from_arrays(
             [batch.column("id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
              pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.list_(pa.int64()))], schema=schema)
-    return per_batch(run)
+    return per_batch(run, memo)
 
 
 def _sets(width: int):
@@ -125,7 +126,7 @@ def _sets(width: int):
         return pa.RecordBatch.from_arrays(
             [pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
              pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], schema=schema)
-    return per_batch(run)
+    return per_batch(run, memo)
 
 
 def _digests(width: int):
@@ -137,7 +138,7 @@ def _digests(width: int):
         digests = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
         return pa.RecordBatch.from_arrays(
             [batch.column("id"), batch.column("text_hash"), pa.array(digests, pa.binary())], names=["id", "text_hash", "digest"])
-    return per_batch(run)
+    return per_batch(run, memo)
 
 
 def _differing(a: str, b: str) -> Column:
@@ -204,22 +205,24 @@ def prefix_lists(texts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     shingle that may be needed for a partner of size class ``low`` or ``high``, the other of which is its own ``class``.
     ``at`` is the shingle's place in that order, from 0.
     """
-    tokens = texts.join(sets, F.col("node.digest") == F.col("digest")).select("node", "score", "label", F.explode("items").alias("token"))
+    tokens = texts.join(sets, F.col("node.digest") == F.col("digest")).select(
+        "node", "score", "label", F.size("items").cast("bigint").alias("n"), F.explode("items").alias("token"))
     seen = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    ranked = tokens.join(seen, "token").groupBy("node", "score", "label").agg(
-        F.sort_array(F.collect_list(F.struct("df", "token"))).alias("ranked")) \
-        .withColumn("n", F.size("ranked").cast("bigint")).withColumn("class", size_class(F.col("n")))
+    at = F.row_number().over(W.partitionBy("node").orderBy("df", "token")) - 1
     least, most = F.ceil(F.col("n") * percent / 100), F.floor(F.col("n") * 100 / percent)
-    per_class = ranked.withColumn("least", least).withColumn(
+
+    def length(partner: Column) -> Column:
+        return F.col("n") - F.ceil(percent * (F.col("n") + partner) / (100 + percent)) + 1
+
+    # A text's rows are sorted, not gathered; beyond the longest of its prefixes they are dropped.
+    ranked = tokens.join(seen, "token").withColumn("at", at).where((F.col("df") > 1) & (F.col("at") < length(least)))
+    per_class = ranked.withColumn("class", size_class(F.col("n"))).withColumn(
         "partner", F.explode(F.sequence(size_class(least) - 1, size_class(most) + 1)))
     # One below the class's bound, so that rounding in the logarithm loses no size.
-    smallest = F.greatest(F.floor(F.pow(F.lit(SIZE_CLASS), F.col("partner"))) - 1, F.col("least"))
-    needed = F.ceil(percent * (F.col("n") + smallest) / (100 + percent))
-    length = (F.col("n") - needed + 1).cast("int")
-    return per_class.withColumn("length", length).where("length > 0").select(
-        F.least("class", "partner").alias("low"), F.greatest("class", "partner").alias("high"), "class", "node", "n", "score", "label",
-        F.posexplode(F.slice("ranked", F.lit(1), F.col("length"))).alias("at", "t")).where("t.df > 1").select(
-        F.col("t.token").alias("token"), "low", "high", "class", "at", "node", "n", "score", "label")
+    smallest = F.greatest(F.floor(F.pow(F.lit(SIZE_CLASS), F.col("partner"))) - 1, least)
+    return per_class.where(F.col("at") < length(smallest)).select(
+        "token", F.least("class", "partner").alias("low"), F.greatest("class", "partner").alias("high"), "class", "at", "node", "n",
+        "score", "label")
 
 
 def links_and_members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
