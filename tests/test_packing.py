@@ -106,3 +106,28 @@ def test_pack_chooses(spark):
         packing.pack(df, trim=0)
     with pytest.raises(ValueError):
         packing.pack(df, block=0)
+
+
+def test_packing_and_masking_of_a_long_document_take_linear_time(spark):
+    """Many blocks of segments give what one block after the other gives, and four times the ids about four times the time."""
+    import time
+
+    from tokenloom.operators import batches
+
+    def document(n):
+        ids = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.when(i % 7 == 6, 2).otherwise(i % 1000 + 5))
+        return spark.range(1).select(F.col("id").alias("doc_id"), ids.alias("ids"))
+
+    seconds = {}
+    for n in (80_000, 320_000):
+        best = []
+        for _ in range(2):
+            begun = time.time()
+            rows = packing.pack_trim(document(n), 16).orderBy("ex_idx").collect()
+            best.append(time.time() - begun)
+        seconds[n] = min(best)
+        assert all(len(r.ids) == 14 for r in rows[:-1])
+        assert [x for r in rows for x in r.ids] == [2 if i % 7 == 6 else i % 1000 + 5 for i in range(n)]
+    assert seconds[320_000] < 8 * seconds[80_000] + 1
+    masked = batches.whole_word_mask(document(80_000), 1100, ["doc_id"], lambda i: i % 3 == 0).first()
+    assert sum(x != -100 for x in masked.labels) == 12_000

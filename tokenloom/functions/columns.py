@@ -43,3 +43,37 @@ def positions_where(values: Column, test: Callable[[Column], Column]) -> Column:
     """0-based positions of the elements that satisfy ``test``."""
     marked = F.transform(values, lambda x, i: F.when(test(x), i))
     return F.filter(marked, lambda p: p.isNotNull())
+
+
+FOLD_BLOCK = 512
+
+
+def fold_gathering(items: Column, state: Column, step: Callable[[Column, Column], Column], kind: str, gathered: str) -> Column:
+    """Fold ``items`` over a struct state while gathering an array: struct(state, gathered).
+
+    ``kind`` and ``gathered`` are the types of the state and of the gathered array. ``step`` takes the state and an item
+    and returns struct(state, new), where ``new`` holds what is to be gathered. A fold copies its
+    whole accumulator at every step, so the items are folded in blocks: inside one only its
+    own gatherings are copied, and all of them only once per block.
+    """
+    inner_kind = f"struct<state:{kind},gathered:{gathered}>"
+    outer_kind = f"struct<state:{kind},gathered:array<{gathered}>>"
+
+    def pair(value: Column, more: Column) -> Column:
+        return F.struct(value.alias("state"), more.alias("gathered"))
+
+    def inner(acc: Column, item: Column) -> Column:
+        return let(step(acc["state"], item), lambda s: pair(s["state"], F.concat(acc["gathered"], s["new"])))
+
+    def outer(acc: Column, block: Column) -> Column:
+        folded = F.aggregate(block, pair(acc["state"], F.array()).cast(inner_kind), inner)
+        return let(folded, lambda f: pair(f["state"], F.concat(acc["gathered"], F.array(f["gathered"]))))
+
+    def in_blocks(all_: Column) -> Column:
+        number = F.ceil(F.size(all_) / F.lit(FOLD_BLOCK)).cast("int")
+        return F.transform(
+            F.when(number > 0, F.sequence(F.lit(0), number - 1)).otherwise(F.array().cast("array<int>")),
+            lambda b: F.slice(all_, b * FOLD_BLOCK + 1, F.lit(FOLD_BLOCK)))
+
+    start = pair(state, F.array()).cast(outer_kind)
+    return F.aggregate(let(items, in_blocks), start, outer, lambda acc: pair(acc["state"], F.flatten(acc["gathered"])))

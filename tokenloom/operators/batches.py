@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..constants import BATCH_SIZE, IGNORE_LABEL, MASK_ID, MASK_RATE, PAD_ID, SPECIAL_TOKENS
-from ..functions.columns import bounds_from_ends, let, positions_where
+from ..functions.columns import bounds_from_ends, fold_gathering, let, positions_where
 from ..functions.hashing import below, hash_int, seeded_hash
 
 MASKED_SHARE, RANDOM_SHARE = 0.8, 0.1  # of the chosen tokens; the others keep their id
@@ -130,17 +130,17 @@ def _chosen_words(ids: Column, starts: Callable[[Column], Column], key: Column,
             seeded_hash(seed, key, F.lit("w"), b["start"]).alias("h"), b["start"], b["len"]))
         return F.sort_array(keyed)
 
-    kind = "struct<n:int,taken:array<struct<start:int,len:int>>>"
+    span = "array<struct<start:int,len:int>>"
     share = F.greatest(F.rint(F.size(ids) * F.lit(float(p))).cast("int"), F.lit(1))
 
     def take(budget: Column) -> Column:
         def step(acc: Column, w: Column) -> Column:
-            more = F.concat(acc["taken"], F.array(F.struct(w["start"], w["len"])))
-            grown = F.struct((acc["n"] + w["len"]).alias("n"), more.alias("taken")).cast(kind)
-            return F.when(acc["n"] + w["len"] <= budget, grown).otherwise(acc)
+            fits = acc["n"] + w["len"] <= budget
+            new = F.when(fits, F.array(F.struct(w["start"], w["len"])).cast(span)).otherwise(F.array().cast(span))
+            count = F.when(fits, acc["n"] + w["len"]).otherwise(acc["n"])
+            return F.struct(F.struct(count.alias("n")).alias("state"), new.alias("new"))
 
-        empty = F.struct(F.lit(0).alias("n"), F.array().alias("taken")).cast(kind)
-        return F.aggregate(let(ids, words), empty, step, lambda acc: acc["taken"])
+        return fold_gathering(let(ids, words), F.struct(F.lit(0).alias("n")), step, "struct<n:int>", span)["gathered"]
 
     def flags(spans: Column) -> Column:
         def end(i: Column) -> Column:

@@ -6,11 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import EOS_ID
-from ..functions.columns import bounds_from_ends, cut, let, positions_where
+from ..functions.columns import bounds_from_ends, cut, fold_gathering, let, positions_where
 from .ordering import with_offsets
 
 _SPANS = "array<struct<start:int,len:int>>"
-_FOLD = f"struct<start:int,len:int,done:{_SPANS}>"
+_OPEN = "struct<start:int,len:int>"
 
 
 def _segments(ids: Column, eos: int) -> Column:
@@ -32,33 +32,19 @@ def _packed(ids: Column, trim: int, eos: int) -> Column:
     def span(start: Column, length: Column) -> Column:
         return F.struct(start.alias("start"), length.alias("len"))
 
-    def state(start: Column, length: Column, done: Column) -> Column:
-        return F.struct(start.alias("start"), length.alias("len"), done.alias("done")).cast(_FOLD)
-
-    nothing = F.lit(0)
+    def closing(open_: Column) -> Column:
+        return F.when(open_["len"] > 0, spans(span(open_["start"], open_["len"]))).otherwise(spans())
 
     def step(open_: Column, seg: Column) -> Column:
-        closed = F.when(
-            open_["len"] > 0, F.concat(open_["done"], spans(span(open_["start"], open_["len"])))
-        ).otherwise(open_["done"])
-        too_long = F.concat(closed, spans(span(seg["start"], F.lit(trim))))
-        return (
-            F.when(seg["len"] > trim, state(nothing, nothing, too_long))
-            .when(
-                open_["len"] + seg["len"] > trim, state(seg["start"], seg["len"], closed)
-            )
-            .when(open_["len"] == 0, state(seg["start"], seg["len"], open_["done"]))
-            .otherwise(state(open_["start"], open_["len"] + seg["len"], open_["done"]))
-        )
-
-    def finish(open_: Column) -> Column:
-        return F.when(
-            open_["len"] > 0, F.concat(open_["done"], spans(span(open_["start"], open_["len"])))
-        ).otherwise(open_["done"])
-
-    return F.aggregate(
-        _segments(ids, eos), state(nothing, nothing, F.array()), step, finish
-    )
+        too_long, fits = seg["len"] > trim, open_["len"] + seg["len"] <= trim
+        ready = F.when(too_long, F.concat(closing(open_), spans(span(seg["start"], F.lit(trim))))) \
+            .when(fits, spans()).otherwise(closing(open_))
+        start = F.when(fits & (open_["len"] > 0), open_["start"]).otherwise(seg["start"])
+        length = F.when(too_long, 0).when(fits, open_["len"] + seg["len"]).otherwise(seg["len"])
+        return F.struct(span(start, length).alias("state"), ready.alias("new"))
+
+    folded = fold_gathering(_segments(ids, eos), span(F.lit(0), F.lit(0)), step, _OPEN, _SPANS)
+    return let(folded, lambda f: F.concat(f["gathered"], closing(f["state"])))
 
 
 def _exploded(df: DataFrame, lists: Column, index: str, ids: str) -> DataFrame:
