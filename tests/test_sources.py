@@ -115,6 +115,27 @@ def test_encoded_parts_keep_line_order(spark, tmp_path):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+def test_sentence_files_are_shared_between_tasks(spark, tmp_path, split_sizes):
+    """Quotes, backslashes, brackets and names in the sentences, under every split size; damaged files are set aside."""
+    rng = random.Random(4)
+    awkward = ['', '"', '\\', '\\"', 'a\\\\', '], "sents": [', '{[', 'é\U0001f600', 'x\ny', '"sents"', 'sents', ': [', ',']
+    bodies = {f"g{i}.json": [rng.choice(awkward) * rng.choice([1, 2, 30]) for _ in range(n)] for i, n in enumerate([0, 1, 2, 900])}
+    for i, (name, sents) in enumerate(bodies.items()):
+        whole = [{"sents": sents}, {"meta": {"sents": ["no"], "q": '\\"'}, "sents": sents, "n": [1, {"a": []}]}][i % 2]
+        (tmp_path / name).write_text(json.dumps(whole, indent=[None, 1][i // 2], ensure_ascii=bool(i % 2)) + "\n")
+    good = json.dumps({"sents": ["a", 'b"', "c\\"]})
+    bad = {"cut": good[:-2], "open": good[:12], "trailing": good + " x", "two": good + good, "blank": " ", "other": '{"lines": ["a"]}', "plain": '"sents": ["a"]',
+           "number": '{"sents": ["a", 1]}', "null": '{"sents": null}', "nested": '{"sents": [["a"]]}', "comma": '{"sents": ["a" "b"]}',
+           "colon": '{"sents" ["a"]}', "deep": '{"m": {"sents": ["a"]}}', "escape": '{"sents": ["a\\q"]}', "control": '{"sents": ["a\tb"]}', "end": '{"sents": ["a",]}'}
+    for name, body in bad.items():
+        (tmp_path / f"{name}.json").write_text(body)
+    for _ in split_sizes():
+        sents, rejects, report = texts.read_tolerant(spark, str(tmp_path))
+        assert {r.file for r in rejects.collect()} == {f"{name}.json" for name in bad}
+        assert {(r.file, r.pos): r.sent for r in sents.collect()} == {(f, i): t for f, body in bodies.items() for i, t in enumerate(body)}
+        assert tuple(report.first()) == (len(bad) + 4, sum(map(len, bodies.values())))
+
+
 def test_tolerant_read(spark, tmp_path):
     (tmp_path / "good.json").write_text(json.dumps({"sents": ["x", "y"], "other": 1}, indent=1))
     (tmp_path / "cut.json").write_text('{"sents": ["x", "y"')

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .files import file_label, numbered_lines, require_files
+from .files import numbered_lines, require_files
+from .sentence_files import read_sentence_files
 
 
 def read_jsonl_attr(spark: SparkSession, paths: str | Sequence[str],
@@ -26,22 +27,14 @@ def read_jsonl_attr(spark: SparkSession, paths: str | Sequence[str],
     return lines.select("file", F.col("line").alias("doc_id"), F.coalesce(text, missing).alias("text"))
 
 
-def _whole_files(spark: SparkSession, paths: str | Sequence[str], attr: str) -> DataFrame:
-    df = spark.read.text(require_files(spark, paths), wholetext=True)
-    schema = T.StructType([T.StructField(attr, T.ArrayType(T.StringType()))])
-    return df.select(
-        file_label(df).alias("file"), F.from_json("value", schema)[attr].alias("items")
-    )
-
-
 def read_json_list_attr(spark: SparkSession, paths: str | Sequence[str],
                         attr: str = "sents") -> DataFrame:
-    """``sents(file, pos, sent)`` from one JSON object per file with a list attribute."""
-    wrong = F.raise_error(F.concat(F.lit(f"no list {attr!r} in file "), F.col("file")))
-    items = F.coalesce("items", wrong.cast("array<string>"))
-    return _whole_files(spark, paths, attr).select(
-        "file", F.posexplode(items).alias("pos", "sent")
-    )
+    """``sents(file, pos, sent)`` from one JSON object per file with a list of strings; any other file fails the job."""
+    sents, verdicts = read_sentence_files(spark, paths, attr)
+    broken = verdicts.where(~F.col("ok")).select("file").first()
+    if broken is not None:
+        raise ValueError(f"no list {attr!r} in file {broken.file}")
+    return sents
 
 
 def read_tolerant(spark: SparkSession, paths: str | Sequence[str],
@@ -51,15 +44,10 @@ def read_tolerant(spark: SparkSession, paths: str | Sequence[str],
     Returns the sentences, ``rejects(file)``, and ``report(files, sentences)`` where
     ``files`` counts every file and ``sentences`` those of the good ones.
     """
-    parsed = _whole_files(spark, paths, attr)
-    good = parsed.select("file", F.posexplode("items").alias("pos", "sent"))
-    rejects = parsed.filter(F.col("items").isNull()).select("file")
-    report = parsed.agg(
-        F.count(F.lit(1)).alias("files"),
-        F.coalesce(F.sum(F.size(F.coalesce("items", F.array().cast("array<string>")))),
-                   F.lit(0)).cast("bigint").alias("sentences"),
-    )
-    return good, rejects, report
+    sents, verdicts = read_sentence_files(spark, paths, attr)
+    report = verdicts.agg(
+        F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("sentences"), F.lit(0)).cast("bigint").alias("sentences"))
+    return sents, verdicts.where(~F.col("ok")).select("file"), report
 
 
 def read_labelled(spark: SparkSession, paths: str | Sequence[str], token_col: str = "token",
