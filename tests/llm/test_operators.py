@@ -2,7 +2,11 @@
 
 import hashlib
 import itertools
+import math
+import random
+import re
 import zlib
+from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -192,6 +196,89 @@ def test_urls(spark):
     assert urls.judge_pages(pages.limit(0), queries.URL_RULES).count() == 0
 
 
+def plain_templates(paths):
+    """``{(host, path): template}`` from ``{(host, path): (labelled, blocked)}``, one node after the other."""
+    def likelihood(n, hits):
+        return sum(p * math.log(p / n) for p in (hits, n - hits) if p)
+
+    found = {}
+
+    def grow(rows, prefix, level):
+        branches = defaultdict(lambda: [0, 0])
+        for key, segments in rows:
+            for k in (0, 1):
+                branches[segments[level]][k] += paths[key][k]
+        bins = {s: b * urls.BINS // n for s, (n, b) in branches.items() if n}
+        total, best = [sum(branches[s][k] for s in bins) for k in (0, 1)], (0.0, 0)
+        for cut in sorted(set(bins.values())):
+            low = [sum(branches[s][k] for s in bins if bins[s] <= cut) for k in (0, 1)]
+            high = [t - x for t, x in zip(total, low, strict=True)]
+            if high[0]:
+                best = max(best, (round(2 * (likelihood(*low) + likelihood(*high) - likelihood(*total)), 9), -cut))
+        side = {s: int(best[0] >= urls.CUT and bins[s] > -best[1]) for s in bins}
+        for key, segments in rows:
+            if segments[level] not in side:
+                found[key] = "".join("/" + s for s in segments)
+        for k in (0, 1):
+            names = [s for s in side if side[s] == k]
+            inside = [(key, segments) for key, segments in rows if segments[level] in names]
+            node = f"{prefix}/{names[0] if len(names) == 1 else f'?{k}'}"
+            n, b = (sum(branches[s][j] for s in names) for j in (0, 1))
+            deeper = []
+            for key, segments in inside:
+                if len(segments) == level + 1:
+                    found[key] = node
+                elif b in (0, n):
+                    found[key] = node + "/**"
+                else:
+                    deeper.append((key, segments))
+            if deeper:
+                grow(deeper, node, level + 1)
+
+    by_host = defaultdict(list)
+    for key in paths:
+        segments = ["*" if re.search("[0-9]", s) else s for s in key[1].split("/")[1:]]
+        if segments:
+            by_host[key[0]].append((key, segments))
+        else:
+            found[key] = ""
+    for rows in by_host.values():
+        grow(rows, "", 0)
+    return found
+
+
+def test_templates_against_a_plain_tree(spark):
+    rng = random.Random(6)
+    paths = {("h1", ""): (3, 1), ("h1", "/"): (2, 0), ("h2", "/" * 9 + "de"): (9, 9), ("h2", "/" * 9 + "fr"): (9, 0), ("h3", "/" + "x" * 50_000): (0, 0)}
+    for _ in range(1500):
+        segments = [rng.choice(["a", "b", "c", "p1", "p2", ""]) for _ in range(rng.randint(1, 5))]
+        n = rng.choice([0, 0, 1, 4])
+        share = 0.9 if segments[0] == "a" and segments[-1] == "b" else 0.5 if len(segments) > 3 else 0.1
+        paths[rng.choice(["h1", "h2", "h4"]), "/" + "/".join(segments)] = n, sum(rng.random() < share for _ in range(n))
+    df = spark.createDataFrame([(h, p, 1, *v) for (h, p), v in paths.items()], "host string, path string, n bigint, labelled bigint, blocked bigint")
+    got = {(r.host, r.path): r.template for r in urls.templates(df).collect()}
+    assert got == plain_templates(paths)
+    assert got["h2", "/" * 9 + "de"] != got["h2", "/" * 9 + "fr"] and any("?" in t for t in got.values())
+
+
+def test_an_unlabelled_branch_is_not_blocked_for_its_siblings(spark):
+    """Labels say to block one branch of a host; its other branches follow their own paths elsewhere."""
+    rows = [f"http://a.com/de/x{i}" for i in range(30)] + [f"http://a.com/es/y{i}" for i in range(9)] + [f"http://b.com/fr/z{i}" for i in range(40)]
+    pages = spark.createDataFrame(list(enumerate(rows)), "page_id bigint, url string")
+    got = {r.page_id: r.verdict for r in urls.judge_pages(pages, [("block", "com", "/de/"), ("allow", "com", "/fr/")]).collect()}
+    assert {got[i] for i in range(30)} == {"block"} and {got[i] for i in range(30, 79)} == {"allow"}
+
+
+def test_groups_that_fit_a_shard_stay_together(spark):
+    rows = [(100 * g + i, f"{g:02d}" * 500) for g in range(12) for i in range(8)] + [(5000 + i, str(i)) for i in range(400)] + [(9000 + i, "big" * 300) for i in range(80)]
+    got = sharding.shard_by_bytes(spark.createDataFrame(rows, "doc_id bigint, text string"), 8).collect()
+    shards = defaultdict(set)
+    for r in got:
+        shards[r.text_crc32].add(r.shard)
+    spread = [len(s) for s in shards.values()]
+    assert max(spread) > 1 and sum(n > 1 for n in spread) == 1 and len(got) == len(rows)
+
+
 def test_pivots_against_brute_force(spark):
     rng = np.random.default_rng(1)
     centres = rng.normal(size=(40, 16))

@@ -4,9 +4,10 @@ Groups are sorted by size and each enters the shard with the least room that sti
 over (room, shard) finds it. ``pack_groups`` opens as few shards of a fixed capacity as it can.
 For a given number of shards, the smallest capacity that needs no more is found by bisection.
 
-Groups of equal texts stay together unless one is larger than a share of a shard (``PARTS``): such a
-group is split by a hash of the id, because sizes must be near equal. Small groups are bundled by a hash of
-their text, so what is packed on the driver is bounded by the number of shards, not by the table.
+Groups of equal texts stay together unless one is larger than an equal share: the law ``bytes`` forces such a
+group apart, by a hash of the id. Few large groups that fit a shard can leave the shards as uneven as they
+are. Groups below 1 / ``PARTS`` of a shard are bundled by a hash of their text, so what is packed on the
+driver is bounded by the number of shards, not by the table.
 """
 
 from __future__ import annotations
@@ -132,7 +133,7 @@ def shard_by_bytes(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: st
     limit = max(1, total // (n * PARTS))
     # At most n * PARTS groups are larger than the limit.
     large = groups.where(F.col("bytes") > limit).select(
-        "digest", F.ceil(F.col("bytes") / F.lit(max(1, total // (4 * n)))).cast("int").alias("pieces"))
+        "digest", F.ceil(F.col("bytes") / F.lit(max(1, -(-total // n)))).cast("int").alias("pieces"))
     part = F.when(F.col("pieces") > 1, F.pmod(F.xxhash64("doc_id"), F.col("pieces"))).otherwise(0).cast("int")
     bundle = F.pmod(F.xxhash64("digest"), F.lit(BUNDLES))
     unit = F.when(F.col("pieces").isNull(), F.concat(F.lit("b"), bundle)).otherwise(F.concat(F.hex("digest"), F.lit(":"), part))

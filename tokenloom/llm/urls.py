@@ -1,21 +1,29 @@
 """URL filter by a tree of path templates, in DataFrame functions.
 
-Each host has a tree over the segments of its paths. Segments with a digit are variable and become a wildcard. At
-each node, branches whose labels do not differ from all of their node's by more than ``Z`` standard
-errors are statistically alike and merge into one wildcard branch; telling branches stay. A template, host and
-merged path, is judged by the labelled share to block, smoothed towards the same path over all hosts, which
-is smoothed towards the share over all pages. Templates at or above ``REJECT`` are blocked.
+Each host has a tree over the segments of its paths, in which segments with a digit are variable and become a
+wildcard. It grows level by level: the labelled branches of a node are ordered by their share to block and
+cut in two where the likelihood ratio of the two sides is largest, if it reaches ``CUT``; branches on one side are
+statistically alike and merge, and their children are pooled before the next level. A merged node whose labels
+agree is a leaf, for nothing below it could be told apart, so the tree has no depth limit and grows only as
+deep as labels differ. A branch without labels never merges with labelled ones: its template is the path with
+its wildcards, whatever the level.
+
+A template is judged by its labelled share to block, smoothed towards that of the same generalised paths over all hosts,
+which is smoothed towards the share over all pages. Templates at or above ``REJECT`` are blocked.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import renamed, settle
 
-DEPTH = 6
-Z = 2.0
+CUT = 6.63  # of a chi-squared statistic with one degree of freedom, one in a hundred is larger
+BINS = 1024
 PRIOR = 2.0
 REJECT = 0.5
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -40,30 +48,59 @@ def matching_rule(host: Column, path: Column, rules: list[tuple[str, str, str]])
     return rule, verdict
 
 
+def _likelihood(n: Column, hits: Column) -> Column:
+    """The largest log-likelihood of ``hits`` among ``n``."""
+    def term(part: Column) -> Column:
+        return F.when(part > 0, part * F.log(part / n)).otherwise(0.0)
+    return term(hits) + term(n - hits)
+
+
+def _merged(branches: DataFrame) -> DataFrame:
+    """``(host, node, segment, l, b)`` of labelled branches -> ``(host, node, segment, name, alike)``.
+
+    ``alike``: all labels under that name agree. Branches are ordered by their share in ``BINS`` steps, so that a window holds no more
+    rows than that per node. A branch that is alone on its side keeps its name.
+    """
+    binned = branches.withColumn("bin", F.floor(F.col("b") * BINS / F.col("l")))
+    bins = binned.groupBy("host", "node", "bin").agg(
+        F.sum("l").alias("l"), F.sum("b").alias("b"), F.count(F.lit(1)).alias("members"), F.min("segment").alias("only"))
+    node = W.partitionBy("host", "node")
+    upto = node.orderBy("bin").rowsBetween(W.unboundedPreceding, 0)
+    tl, tb, ul, ub = F.sum("l").over(node), F.sum("b").over(node), F.sum("l").over(upto), F.sum("b").over(upto)
+    ratio = F.round(2 * (_likelihood(ul, ub) + _likelihood(tl - ul, tb - ub) - _likelihood(tl, tb)), 9)
+    best = F.max(F.struct("ratio", (-F.col("bin")).alias("back"))).over(node)
+    sided = bins.withColumn("ratio", F.when(tl > ul, ratio).otherwise(0.0)).withColumn("best", best) \
+        .withColumn("side", F.when((F.col("best.ratio") >= CUT) & (F.col("bin") > -F.col("best.back")), "?1").otherwise("?0"))
+    side = W.partitionBy("host", "node", "side")
+    blocked, labelled = F.sum("b").over(side), F.sum("l").over(side)
+    named = sided.select(
+        "host", "node", "bin", F.when(F.sum("members").over(side) == 1, F.min("only").over(side)).otherwise(F.col("side")).alias("name"),
+        ((blocked == 0) | (blocked == labelled)).alias("alike"))
+    return binned.join(named, ["host", "node", "bin"]).select("host", "node", "segment", "name", "alike")
+
+
 def templates(paths: DataFrame) -> DataFrame:
-    """``(host, path, n, labelled, blocked)`` -> the same with ``template``.
+    """``(host, path, n, labelled, blocked)`` -> the same with ``template`` and ``shape``, the path with wildcards.
 
-    Deeper segments than ``DEPTH`` are one last wildcard.
+    In a template ``?0`` and ``?1`` stand for merged branches and ``**`` for all below a leaf; no path holds a question mark.
     """
-    segments = F.slice(F.split(F.col("path"), "/"), 2, DEPTH + 1)
-    variable = F.transform(segments, lambda s: F.when(s.rlike("[0-9]"), "*").otherwise(s))
-    current = settle(paths.withColumn("segments", variable), "paths")
-    level = F.posexplode(F.slice("segments", 1, DEPTH)).alias("level", "segment")
-    branch = current.select("host", "path", "segments", "labelled", "blocked", level) \
-        .withColumn("node", F.array_join(F.slice("segments", F.lit(1), F.col("level")), "/"))
-    branches = settle(branch.groupBy("host", "level", "node", "segment").agg(
-        F.sum("labelled").alias("l"), F.sum("blocked").alias("b")), "branches")
-    nodes = branches.groupBy("host", "level", "node").agg(F.sum("l").alias("nl"), F.sum("b").alias("nb"))
-    share = F.col("nb") / F.col("nl")
-    telling = branches.join(nodes, ["host", "level", "node"]).where(
-        (F.col("l") > 0) & (F.abs(F.col("b") / F.col("l") - share) > Z * F.sqrt(share * (1 - share) / F.col("l")))) \
-        .select("host", "level", "node", "segment", F.col("segment").alias("kept"))
-    named = branch.join(telling, ["host", "level", "node", "segment"], "left").groupBy("host", "path").agg(
-        F.array_sort(F.collect_list(F.struct("level", F.coalesce("kept", F.lit("*")).alias("name")))).alias("names"))
-    joined = F.array_join(F.transform("names", lambda x: F.concat(F.lit("/"), x["name"])), "")
-    deeper = F.when(F.size("segments") > DEPTH, "/**").otherwise("")
-    return current.join(named, ["host", "path"], "left").select(
-        "host", "path", "n", "labelled", "blocked", F.concat(F.coalesce(joined, F.lit("")), deeper).alias("template"))
+    segments = F.transform(F.slice(F.split("path", "/"), 2, 1 << 30), lambda s: F.when(s.rlike("[0-9]"), "*").otherwise(s))
+    shape = F.array_join(F.transform("segments", lambda s: F.concat(F.lit("/"), s)), "")
+    start = paths.withColumn("segments", segments).withColumn("shape", shape).withColumn("node", F.lit("")) \
+        .withColumn("template", F.when(F.size("segments") == 0, ""))
+    rounds, level = [settle(start, "tree")], 0
+    while not rounds[-1].where("template is null").isEmpty():
+        level += 1
+        active = rounds[-1].where("template is null").drop("template").withColumn("segment", F.element_at("segments", level))
+        branches = active.groupBy("host", "node", "segment").agg(F.sum("labelled").alias("l"), F.sum("blocked").alias("b")).where("l > 0")
+        grown = active.join(_merged(branches), ["host", "node", "segment"], "left") \
+            .withColumn("node", F.concat("node", F.lit("/"), "name"))
+        last = F.size("segments") == level
+        template = F.when(F.col("name").isNull(), F.col("shape")).when(last, F.col("node")) \
+            .when(F.col("alike"), F.concat("node", F.lit("/**")))
+        rounds.append(settle(grown.withColumn("template", template).select(*start.columns), "tree"))
+    done = [r.where("template is not null").select("host", "path", "n", "labelled", "blocked", "template", "shape") for r in rounds]
+    return functools.reduce(DataFrame.unionByName, done)
 
 
 def judge_pages(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -82,11 +119,9 @@ def judge_pages(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str
     named = settle(templates(paths), "templates")
     total = named.agg(F.sum("labelled"), F.sum("blocked")).first()
     overall = (total[1] or 0) / total[0] if total[0] else 0.0
-    shape = F.regexp_replace(F.col("path"), "[^/]*[0-9][^/]*", "*")
-    shaped = named.withColumn("shape", F.array_join(F.slice(F.split(shape, "/"), 1, DEPTH + 1), "/"))
-    pooled = shaped.groupBy("shape").agg(F.sum("labelled").alias("pl"), F.sum("blocked").alias("pb")).select(
+    pooled = named.groupBy("shape").agg(F.sum("labelled").alias("pl"), F.sum("blocked").alias("pb")).select(
         "shape", ((F.col("pb") + PRIOR * overall) / (F.col("pl") + PRIOR)).alias("prior"))
-    priors = shaped.join(pooled, "shape").groupBy("host", "template").agg(
+    priors = named.join(pooled, "shape").groupBy("host", "template").agg(
         F.sum("labelled").alias("l"), F.sum("blocked").alias("b"),
         (F.sum(F.col("prior") * F.col("n")) / F.sum("n")).alias("prior"))
     judged = priors.select("host", "template", F.round((F.col("b") + PRIOR * F.col("prior")) / (F.col("l") + PRIOR), 9).alias("purity"))
