@@ -136,6 +136,25 @@ def test_sentence_files_are_shared_between_tasks(spark, tmp_path, split_sizes):
         assert tuple(report.first()) == (len(bad) + 4, sum(map(len, bodies.values())))
 
 
+def test_matrix_dump_is_one_array_in_parts(spark, tmp_path):
+    """Parts joined by name are one JSON array for each file, and read back with the same keys."""
+    lists = {f"f{k}": [[i] * (i % 3) for i in range(n)] for k, n in enumerate([1, 2, 700])}
+    rows = [(f, 5 * i, ids) for f, each in lists.items() for i, ids in enumerate(each)] + [("f3", 2, None), ("f3", 1, [7])]
+    lists["f3"] = [[7], []]
+    random.Random(2).shuffle(rows)
+    df = spark.createDataFrame(rows, "file string, doc_id bigint, ids array<int>").repartition(9)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        root = tokens.write_token_matrix(df, str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = {f: sorted((tmp_path / "encoded" / f"file={f}").glob("part-*")) for f in lists}
+    assert len(parts["f2"]) > 1
+    assert {f: json.loads("".join(p.read_text() for p in each)) for f, each in parts.items()} == lists
+    got = {(r.file, r.doc_id): r.ids for r in tokens.read_token_matrix(spark, root).collect()}
+    assert got == {(f, i): ids for f, each in lists.items() for i, ids in enumerate(each)}
+
+
 def test_tolerant_read(spark, tmp_path):
     (tmp_path / "good.json").write_text(json.dumps({"sents": ["x", "y"], "other": 1}, indent=1))
     (tmp_path / "cut.json").write_text('{"sents": ["x", "y"')

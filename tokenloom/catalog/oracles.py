@@ -375,6 +375,8 @@ ORACLES: dict[str, str] = {
       row_number() OVER (PARTITION BY file ORDER BY doc_id) - 1 AS line FROM numbered"""),
     "write_token_lists": query(ENC, """SELECT file, array_to_string(ids, ' ') AS ids,
       row_number() OVER (PARTITION BY file ORDER BY doc_id) - 1 AS line FROM enc"""),
+    "write_token_matrix": query(ENC, """SELECT file, array_to_string(ids, ' ') AS ids,
+      row_number() OVER (PARTITION BY file ORDER BY doc_id) - 1 AS line FROM enc"""),
     "write_split": query(EX, f"""SELECT CASE WHEN pos < round_even(n * 0.01::DOUBLE, 0)
         THEN 'dev_trim' ELSE 'train_trim' END AS split, array_to_string(ids, ' ') AS ids
       FROM (SELECT ids, {FILE_POS} AS pos, count(*) OVER () AS n FROM ex)"""),

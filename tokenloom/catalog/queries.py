@@ -109,6 +109,11 @@ def write_token_lists(spark, sf):
     return flat(_lines(tokens.read_token_lists(spark, root)))
 
 
+def write_token_matrix(spark, sf):
+    root = tokens.write_token_matrix(inputs.encoded(spark, sf), scratch_path(spark, "matrices"))
+    return flat(_lines(tokens.read_token_matrix(spark, root)))
+
+
 def _matrix(spark, sf):
     """One array of arrays per file of at most ``DOCS_PER_FILE`` documents."""
     bucket = F.expr(f"doc_id div {inputs.DOCS_PER_FILE}")
@@ -411,7 +416,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         read_jsonl_attr, read_json_list_attr, read_tolerant_sents, read_tolerant_rejects,
         read_tolerant_report, select_files, read_token_lists, read_token_matrix,
-        write_token_lists, write_split, read_labelled, write_tokenizer, append_sample_log,
+        write_token_lists, write_token_matrix, write_split, read_labelled, write_tokenizer, append_sample_log,
         strip_blank, drop_source_columns, map_label_names, argmax_label, drop_ignored,
         format_pairs, word_counts, initial_vocab, pair_counts, bpe_train, wordpiece_train, encode_wordpiece, decode_wordpiece, read_tokenizer_json,
         encode, encode_bytes, decode, split_at_eos, pack_trim, pack_trim_short, chunk_block,

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .files import numbered_lines, require_files
+from ..session import scratch_path
+from .files import MAX_SPLITS, numbered_lines, require_files
 
 KEYWORD = "encoded"
 
@@ -32,13 +33,15 @@ def read_token_matrix(spark: SparkSession, paths: str | Sequence[str]) -> DataFr
     """``encoded(file, doc_id, ids)`` from files that hold one array of arrays each.
 
     The file is split at ``]``, so that several tasks share a large one. Each record then holds one list, but for
-    the signs that end the file. ``doc_id`` is the number of the list in its file.
+    the signs that end the file. ``doc_id`` is the number of the list in its file. In a folder ``file=<name>`` each part may hold an
+    array of its own, or go on with the array of the part before, as ``write_token_matrix`` leaves them.
     """
     df = spark.read.option("lineSep", "]").text(require_files(spark, paths))
     value = F.col("value")
     lists = numbered_lines(df, value.contains("["))
     # The first record of a file also opens the outer array; what follows the last list holds only its end.
-    opens = F.when(F.col("first"), value.rlike(r"^\s*\[\s*\[[^\[]*$")).otherwise(value.rlike(r"^\s*,\s*\[[^\[]*$"))
+    whole, follows = value.rlike(r"^\s*\[\s*\[[^\[]*$"), value.rlike(r"^\s*,\s*\[[^\[]*$")
+    opens = F.when(~F.col("first"), follows).when(F.col("line") == 0, whole).otherwise(whole | follows)
     ends = value.rlike(r"^\s*$") | (F.col("first") & value.rlike(r"^\s*\[\s*$"))
     wrong = F.raise_error(F.concat(F.lit("no array of arrays in file "), F.col("file"))).cast("boolean")
     is_list = F.when(opens, True).when(ends, False).otherwise(wrong)
@@ -62,6 +65,30 @@ def write_token_lists(df: DataFrame, path: str, keyword: str = KEYWORD,
     return target
 
 
+def write_token_matrix(df: DataFrame, path: str, keyword: str = KEYWORD, in_order: bool = False) -> str:
+    """Write ``encoded(file, doc_id, ids)`` as one array of arrays for each file, and return the root.
+
+    The part files of a directory ``file=<name>``, joined by name, are one JSON array, one list on each line. Only the first and the last
+    key of each file are gathered beforehand, from a pass over the keys; a null list is written as an empty
+    one, and a file without lists is not written. ``doc_id`` must be unique in its file. ``in_order`` as in ``write_token_lists``.
+    """
+    spark = df.sparkSession
+    bounds_path = scratch_path(spark, "matrix-ends")
+    df.groupBy("file").agg(F.min("doc_id").alias("_first"), F.max("doc_id").alias("_last")).write.parquet(bounds_path)
+    ends = spark.read.parquet(bounds_path)
+    if ends.count() > MAX_SPLITS:
+        raise ValueError(f"more than {MAX_SPLITS} matrix files at a time")
+    target = f"{path.rstrip('/')}/{keyword}"
+    keys = ("file", "doc_id")
+    bracketed = F.concat(
+        F.when(F.col("doc_id") == F.col("_first"), "[").otherwise(","), F.coalesce(F.to_json("ids"), F.lit("[]")),
+        F.when(F.col("doc_id") == F.col("_last"), "]").otherwise(""))
+    marked = df.join(F.broadcast(ends), "file")
+    lines = marked.sortWithinPartitions(*keys) if in_order else marked.orderBy(*keys)
+    lines.select("file", bracketed.alias("value")).write.partitionBy("file").text(target)
+    return target
+
+
 def write_split(df: DataFrame, path: str, name: str = "",
                 order_by: Sequence[str] | None = None) -> str:
     """Write dev and train examples from one pass over the data.
