@@ -196,6 +196,17 @@ def test_urls(spark):
     assert urls.judge_pages(pages.limit(0), queries.URL_RULES).count() == 0
 
 
+def test_rows_near_a_fingerprint(spark):
+    rng = random.Random(3)
+    base = [rng.getrandbits(64) for _ in range(6)]
+    prints = [(i, b ^ sum(1 << k for k in rng.sample(range(64), rng.randint(0, 5)))) for i, b in enumerate(base * 40)] + [(None, base[0]), (1000, 0), (1001, 0)]
+    df = spark.createDataFrame([(i, p - (1 << 64) if p >> 63 else p) for i, p in prints], "id bigint, fingerprint bigint")
+    got = simhash.rows_near(df, F.col("id") % 10 == 0).collect()
+    want = {i: sum((p ^ q).bit_count() <= 3 for _, q in prints) - 1 for i, p in prints if i is not None and i % 10 == 0}
+    assert len(got) == len(prints) and {r.id: r.near_rows for r in got if r.near_rows is not None} == want
+    assert simhash.rows_near(df.limit(0), F.col("id") % 10 == 0).count() == 0
+
+
 def plain_templates(paths):
     """``{(host, path): template}`` from ``{(host, path): (labelled, blocked)}``, one node after the other."""
     def likelihood(n, hits):

@@ -9,6 +9,8 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
+import xxhash
 from test_minhash import brute, shingles
 
 import corpus_pipeline
@@ -130,6 +132,18 @@ def test_op8_suffixes(spark, docs):
         assert r.n_spans == len([1 for g in bytes(gone).split(b"\0") if g])
 
 
+def plain_simhash(text):
+    """One vote after the other."""
+    words = [w for w in regex.split(r"[^\p{L}\p{N}]+", text.lower()) if w]
+    terms = [" ".join(words[i:i + 3]) for i in range(len(words) - 2)] if len(words) > 3 else [" ".join(words)] if words else []
+    votes = [0] * 64
+    for term in terms:
+        weight, h = min(8, 1 + len(term) // 8), xxhash.xxh64_intdigest(term.encode(), 42)
+        for i in range(64):
+            votes[i] += weight if h >> i & 1 else -weight
+    return sum(1 << i for i, v in enumerate(votes) if v > 0)
+
+
 def test_op9_simhash(spark, docs):
     got, order = by_id(queries.op9_simhash(spark, SF)), sorted(docs)
     prints = defaultdict(set)
@@ -140,6 +154,11 @@ def test_op9_simhash(spark, docs):
         assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
         prints[text].add(r.fingerprint)
     assert all(len(p) == 1 for p in prints.values())
+    numbers = {doc: int(r.fingerprint, 16) for doc, r in got.items()}
+    for doc, r in got.items():
+        assert numbers[doc] == plain_simhash(docs[doc])
+        near = sum((numbers[doc] ^ n).bit_count() <= 3 for n in numbers.values()) - 1
+        assert r.near_rows == (near if doc % 100 == 0 else None)
     assert np.mean([r.near_edited for r in got.values()]) > np.mean([r.near_next for r in got.values()])
 
 

@@ -18,6 +18,8 @@ WIDTH = 3
 MAX_WEIGHT = 8
 LANES = 0x0000000100000001
 BLOCKS = 5
+RADIUS = 3
+ASKED = 100
 RANGES = 4096
 
 
@@ -54,7 +56,7 @@ def likeness(a: Column, b: Column) -> Column:
     return 1 - F.bit_count(a.bitwiseXOR(b)) / 64.0
 
 
-def neighbours(queries: DataFrame, prints: DataFrame, radius: int = 3, blocks: int = BLOCKS) -> DataFrame:
+def neighbours(queries: DataFrame, prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
     """``(query_id, id, distance)``: all of ``prints`` within ``radius`` bits of a query's fingerprint, itself apart.
 
     Both have ``id`` and ``fingerprint``. The bits are cut into blocks; with at most ``radius`` differing bits,
@@ -106,9 +108,27 @@ def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         .where("NOT copy").select("id", "text", "next_id", "next_text", "repeat")
 
 
+def rows_near(prints: DataFrame, asked: Column, radius: int = RADIUS) -> DataFrame:
+    """``prints`` with ``near_rows``: how many other rows have a fingerprint within ``radius`` bits; null unless ``asked``.
+
+    Rows of one fingerprint are one entry of the block tables, with their number.
+    """
+    counted = settle(prints.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("rows")), "prints")
+    entries = counted.select(F.struct("fingerprint", "rows").alias("id"), "fingerprint")
+    asks = F.coalesce(asked, F.lit(False))
+    queries = entries.join(prints.where(asks).select("fingerprint").distinct(), "fingerprint", "left_semi")
+    others = neighbours(queries, entries, radius).groupBy(F.col("query_id.fingerprint").alias("fingerprint")).agg(F.sum("id.rows").alias("others"))
+    near = queries.join(others, "fingerprint", "left").select(
+        "fingerprint", (F.col("id.rows") - 1 + F.coalesce("others", F.lit(0))).alias("near_rows"))
+    return prints.where(asks).join(near, "fingerprint").unionByName(
+        prints.where(~asks).withColumn("near_rows", F.lit(None).cast("bigint")))
+
+
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: fingerprints of the text, of an edited text, and their likeness.
 
+    For ids divisible by ``ASKED``, ``near_rows`` counts the other rows whose text's fingerprint lies within ``RADIUS`` bits.
+
     The edited text has its last quarter of code points replaced by the first as many of the next document, in
     ascending id; after the last comes the first. Null texts count as empty; texts without words have
     fingerprint 0. Rows without an id come first. Rows that repeat id and text follow one another.
@@ -127,9 +147,9 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.max(F.when(F.col("kind") == 0, F.col("fingerprint"))).alias("fingerprint"),
         F.max(F.when(F.col("kind") == 1, F.col("fingerprint"))).alias("edited_fingerprint")), "fingerprints")
     by_text = own.groupBy("text_hash").agg(F.max("fingerprint").alias("next_fingerprint")).withColumnRenamed("text_hash", "next_hash")
-    return own.join(by_text, "next_hash", "left").select(
+    return rows_near(own, F.col("id") % ASKED == 0).join(by_text, "next_hash", "left").select(
         F.col("id").alias("doc_id"), "n_chars", "edited_sha256",
         F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"),
         F.lpad(F.lower(F.hex("edited_fingerprint")), 16, "0").alias("edited_fingerprint"),
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
+        likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"), "near_rows")
