@@ -155,10 +155,7 @@ def test_op9_simhash(spark, docs):
         prints[text].add(r.fingerprint)
     assert all(len(p) == 1 for p in prints.values())
     numbers = {doc: int(r.fingerprint, 16) for doc, r in got.items()}
-    for doc, r in got.items():
-        assert numbers[doc] == plain_simhash(docs[doc])
-        near = sum((numbers[doc] ^ n).bit_count() <= 3 for n in numbers.values()) - 1
-        assert r.near_rows == (near if doc % 100 == 0 else None)
+    assert all(n == plain_simhash(docs[doc]) for doc, n in numbers.items())
     assert np.mean([r.near_edited for r in got.values()]) > np.mean([r.near_next for r in got.values()])
 
 
