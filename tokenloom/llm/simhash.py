@@ -126,7 +126,6 @@ def rows_near(prints: DataFrame, asked: Column, radius: int = RADIUS) -> DataFra
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: fingerprints of the text, of an edited text, and their likeness.
 
-
     The edited text has its last quarter of code points replaced by the first as many of the next document, in
     ascending id; after the last comes the first. Null texts count as empty; texts without words have
     fingerprint 0. Rows without an id come first. Rows that repeat id and text follow one another.
