@@ -169,5 +169,14 @@ def pack(pieces: DataFrame, capacity: int = LENGTH, cell_pieces: int = CELL_PIEC
 
 def pack_documents(docs: DataFrame, path: str, length: int = LENGTH, final: int = 0, id_col: str = "doc_id",
                    text_col: str = "text", with_ids: bool = False) -> DataFrame:
-    """Token pieces of all texts with their place: ``sequence_id`` and ``offset``. Other columns are ignored."""
-    return pack(settle(token_pieces(docs, path, length, final, id_col, text_col, with_ids), "pieces"), length)
+    """Token pieces of all texts with their place: ``sequence_id`` and ``offset``. Other columns are ignored.
+
+    The ids stay out of the packing cells: keys and lengths are packed, and the ids are joined to their places by a row number
+    written with the pieces.
+    """
+    pieces = token_pieces(docs, path, length, final, id_col, text_col, with_ids)
+    if not with_ids:
+        return pack(settle(pieces, "pieces"), length)
+    numbered = settle(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")
+    places = pack(numbered.drop("ids"), length)
+    return places.join(numbered.select("_row", "ids"), "_row").select(*pieces.columns, "sequence_id", "offset")
