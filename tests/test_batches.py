@@ -1,8 +1,12 @@
 """Padding and masking."""
 
 
+import pytest
+
 from tokenloom.constants import IGNORE_LABEL
-from tokenloom.operators import batches
+from tokenloom.operators import batches, ordering
+from tokenloom.plans.pretraining import batches_of_files, training_batches
+from tokenloom.sources import tokens
 
 
 def frame(spark, lists):
@@ -85,3 +89,38 @@ def test_whole_words_of_long_examples_reach_the_rate(spark):
     r = batches.whole_word_mask(frame(spark, [ids]), 1000, KEYS, lambda i: i == 6).first()
     chosen = sum(x != -100 for x in r.labels)
     assert 1197 <= chosen <= 1200
+
+
+@pytest.mark.parametrize("objective", ["whole_word", "token", "causal"])
+def test_epoch_batches(spark, objective):
+    """Every example comes once; its ids can be put together from labels and masked ids; seeds give other orders."""
+    lists = [list(range(5, 6 + i)) for i in range(21)]
+    df = frame(spark, lists).drop("pos")
+
+    def epoch(seed, size=4):
+        got = training_batches(df, 1000, KEYS, objective, starts=lambda x: x % 2 == 0, size=size, seed=seed).collect()
+        rows = {(r.batch_id, r.row): r for r in got}
+        assert sorted(rows) == [divmod(i, size) for i in range(21)]
+        plain = []
+        for _, r in sorted(rows.items()):
+            n = sum(r.attention_mask)
+            width = max(sum(o.attention_mask) for o in got if o.batch_id == r.batch_id)
+            assert len(r.input_ids) == len(r.labels) == len(r.attention_mask) == width
+            assert set(r.input_ids[n:]) <= {1} and set(r.labels[n:]) <= {IGNORE_LABEL}
+            plain.append([x if y == IGNORE_LABEL else y for x, y in zip(r.input_ids[:n], r.labels[:n])])
+        return plain
+
+    first, second = epoch(0), epoch(1)
+    assert first != second and sorted(first) == sorted(second) == lists
+    assert epoch(None) == lists
+
+
+def test_batches_of_split_files(spark, tmp_path):
+    df = frame(spark, [[5, 6], [7], [8, 9, 10]]).drop("pos")
+    tokens.write_split(ordering.split_head(df, 0.0), str(tmp_path / "set"), order_by=KEYS)
+    got = batches_of_files(spark, str(tmp_path / "set" / "split=train"), 1000, objective="causal", seed=None, size=2)
+    assert [r.input_ids for r in got.orderBy("batch_id", "row").collect()] == [[5, 6], [7, 1], [8, 9, 10]]
+    with pytest.raises(ValueError):
+        training_batches(df, 1000, KEYS, "none")
+    with pytest.raises(ValueError):
+        training_batches(df, 1000, KEYS)

@@ -527,4 +527,14 @@ ORACLES: dict[str, str] = {
     "corpus_to_splits": query(EX, f"""SELECT CASE WHEN pos < round_even(n * 0.01::DOUBLE, 0)
           THEN 'dev' ELSE 'train' END AS split, count(*) AS examples, sum(len(ids))::BIGINT AS tokens
       FROM (SELECT ids, {HASH_POS} AS pos, count(*) OVER () AS n FROM ex) GROUP BY ALL"""),
+    "pretraining_batches": query(f"""{KEYED}, {whole_words('x % 3 <> 0')},
+      placed AS (
+        SELECT file, doc_id, ex_idx, {HASH_POS} AS pos FROM ex),
+      masked AS (SELECT file, doc_id, ex_idx, len(ids) AS n, {replaced("list_contains(hit, k - 1)")} FROM (
+        SELECT e.*, coalesce(h.hit, []) AS hit FROM keyed e LEFT JOIN hits h ON h.key = e.key)),
+      wide AS (SELECT pos // 8 AS batch_id, pos % 8 AS "row", n, input_ids, labels,
+        max(n) OVER (PARTITION BY pos // 8) AS width FROM masked JOIN placed USING (file, doc_id, ex_idx))""",
+      """SELECT batch_id, "row", input_ids || repeat(' 1', width - n) AS input_ids,
+        labels || repeat(' -100', width - n) AS labels,
+        substr(repeat(' 1', n) || repeat(' 0', width - n), 2) AS attention_mask FROM wide"""),
 }

@@ -13,6 +13,7 @@ from ..functions.labels import argmax, map_labels
 from ..functions.text import strip_blank_lines
 from ..operators import batches, bpe, codec, counts, ngrams, ordering, packing, tagging
 from ..plans.corpus import make_examples
+from ..plans.pretraining import training_batches
 from ..plans.tagging import evaluate
 from ..session import scratch_path, table
 from ..sources import files, texts, tokenizer_files, tokens
@@ -131,8 +132,8 @@ def read_token_matrix(spark, sf):
 
 def write_split(spark, sf):
     path = scratch_path(spark, "split")
-    examples = ordering.split_head(inputs.examples(spark, sf))
-    tokens.write_split(examples, path, "_trim", MASK_KEYS)
+    examples = ordering.file_parts(ordering.split_head(inputs.examples(spark, sf)), MASK_KEYS)
+    tokens.write_split(examples, path, "_trim", MASK_KEYS, in_order=True)
     return flat(tokens.read_token_lists(spark, path).select("split", "ids"))
 
 
@@ -307,11 +308,11 @@ def top_k(spark, sf):
 
 
 def batch_pad(spark, sf):
-    return flat(batches.batch_pad(ordering.file_positions(inputs.examples(spark, sf))))
+    return flat(batches.ordered_batches(inputs.examples(spark, sf), ordering.file_positions, MASK_KEYS))
 
 
 def clm_labels(spark, sf):
-    padded = batches.batch_pad(ordering.shuffle_rows(inputs.examples(spark, sf)))
+    padded = batches.ordered_batches(inputs.examples(spark, sf), ordering.shuffle_rows, MASK_KEYS)
     return flat(batches.clm_labels(padded))
 
 
@@ -337,7 +338,7 @@ def whole_word_mask_trained(spark, sf):
 
 def tokcls_pad(spark, sf):
     aligned = tagging.align_labels(inputs.tagged(spark, sf), bpe.byte_tokenizer(spark))
-    return flat(batches.tokcls_pad(ordering.shuffle_rows(aligned, ["sent_id"])))
+    return flat(batches.tokcls_pad(aligned, place=ordering.shuffle_rows))
 
 
 def fit_length(spark, sf):
@@ -411,6 +412,11 @@ def corpus_to_splits(spark, sf):
         F.count(F.lit(1)).alias("examples"), F.sum(F.size("ids")).alias("tokens"))
 
 
+def pretraining_batches(spark, sf):
+    """Examples -> whole-word masks -> shuffled, padded batches of one epoch."""
+    return flat(training_batches(inputs.examples(spark, sf), VOCAB_SIZE, MASK_KEYS, starts=lambda i: i % 3 != 0))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -424,6 +430,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         split_fraction, top_k, batch_pad, clm_labels, mlm_mask, whole_word_mask,
         whole_word_mask_trained, tokcls_pad, fit_length, align_labels, align_labels_bytes,
         entity_spans, span_scores, fill_slot_topk, next_token_distribution, sample_next,
-        repeated_ngrams, corpus_counts, map_batches, corpus_to_splits,
+        repeated_ngrams, corpus_counts, map_batches, corpus_to_splits, pretraining_batches,
     )
 }

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from ..constants import BATCH_SIZE, IGNORE_LABEL, MASK_ID, MASK_RATE, PAD_ID, SPECIAL_TOKENS
 from ..functions.columns import bounds_from_ends, fold_gathering, let, positions_where
 from ..functions.hashing import below, hash_int, seeded_hash
+from ..session import written
+from .ordering import join_places
 
 MASKED_SHARE, RANDOM_SHARE = 0.8, 0.1  # of the chosen tokens; the others keep their id
 
@@ -36,7 +38,27 @@ def batch_pad(examples: DataFrame, size: int = BATCH_SIZE, pad: int = PAD_ID, id
     """
     placed = examples.withColumn("batch_id", F.expr(f"pos div {int(size)}"))
     width = F.max(F.size(ids)).over(W.partitionBy("batch_id"))
-    padded = placed.withColumn("width", width)
+    return _padded(placed.withColumn("width", width), size, pad, ids, labels)
+
+
+def ordered_batches(examples: DataFrame, place: Callable[[DataFrame, Sequence[str]], DataFrame], keys: Sequence[str],
+                    size: int = BATCH_SIZE, pad: int = PAD_ID, ids: str = "ids", labels: str | None = None,
+                    lengths_of: tuple[DataFrame, str] | None = None) -> DataFrame:
+    """``batch_pad`` of the examples in the order of ``place``, which adds ``pos`` to rows of ``keys``.
+
+    ``place`` is ``file_positions``, ``shuffle_files`` or ``shuffle_rows``, for a given seed perhaps. Keys and lengths alone
+    are written once, numbered and measured by batch; the ids are shuffled once, to meet their place. The keys identify
+    a row. ``lengths_of``, a table with the same keys and lengths and the name of its ids, spares the work that made ``examples``.
+    """
+    source, name = lengths_of or (examples, ids)
+    narrow = written(source.select(*keys, F.size(name).alias("_n")), "lengths")
+    placed = place(narrow, keys).withColumn("batch_id", F.expr(f"pos div {int(size)}"))
+    width = F.max("_n").over(W.partitionBy("batch_id"))
+    places = placed.select(*keys, "pos", "batch_id", width.alias("width"))
+    return _padded(join_places(examples, places, keys), size, pad, ids, labels)
+
+
+def _padded(padded: DataFrame, size: int, pad: int, ids: str, labels: str | None) -> DataFrame:
     columns = [
         "batch_id",
         (F.col("pos") % size).cast("int").alias("row"),
@@ -54,9 +76,17 @@ def clm_labels(batches: DataFrame, pad: int = PAD_ID) -> DataFrame:
     return batches.withColumn("labels", labels)
 
 
-def tokcls_pad(aligned: DataFrame, size: int = BATCH_SIZE, pad: int = PAD_ID) -> DataFrame:
-    """Batches of label-aligned sentences: ids padded with ``pad``, labels with the ignore label."""
-    return batch_pad(aligned, size, pad, ids="input_ids", labels="labels")
+def tokcls_pad(aligned: DataFrame, size: int = BATCH_SIZE, pad: int = PAD_ID,
+               place: Callable[[DataFrame, Sequence[str]], DataFrame] | None = None,
+               keys: Sequence[str] = ("sent_id",)) -> DataFrame:
+    """Batches of label-aligned sentences: ids padded with ``pad``, labels with the ignore label.
+
+    In the order of ``pos``, or of ``place`` as in ``ordered_batches``; then the aligned rows, which cost a tokenizer's
+    work, are written once and read twice.
+    """
+    if place is None:
+        return batch_pad(aligned, size, pad, ids="input_ids", labels="labels")
+    return ordered_batches(written(aligned, "aligned"), place, keys, size, pad, ids="input_ids", labels="labels")
 
 
 def fit_length(df: DataFrame, max_len: int, pad: int = PAD_ID, ids: str = "ids") -> DataFrame:

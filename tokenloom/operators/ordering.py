@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..constants import DEV_RATIO, TEST_FRACTION
 from ..functions.hashing import PREFIX_DIGITS, seeded_hash
+from ..session import written
 
 EXAMPLE_KEYS = ("file", "doc_id", "ex_idx")
 
@@ -18,6 +21,8 @@ EXAMPLE_KEYS = ("file", "doc_id", "ex_idx")
 # 2**26 sums.
 RANGE_BITS, GROUP_BITS = 12, 26
 
+ORDER_BLOCKS = 65_536  # rows of the table that deals ordered rows to partitions
+
 
 def _before(value: Column | str, within: Sequence[str], order: Sequence) -> Column:
     """The sum of ``value`` over the earlier rows."""
@@ -26,60 +31,71 @@ def _before(value: Column | str, within: Sequence[str], order: Sequence) -> Colu
 
 
 def _ranged(df: DataFrame, file: str, key: str) -> DataFrame:
-    """Add ``_range``, the key range of a row.
+    """Add ``_file``, which orders like the file and is never null, and ``_range``, the key range of a row.
 
-    The grouping columns are made non-nullable: for nullable ones the joins below would add
-    their own null filters to each branch, and no branch could reuse another's shuffle.
+    For nullable grouping columns the joins below would add their own null filters to each branch, and no branch
+    could reuse another's shuffle. A null file comes first.
     """
-    return df.withColumn(file, F.coalesce(file, F.lit(""))).withColumn(
+    return df.withColumn("_file", F.coalesce(F.concat(F.lit("/"), file), F.lit(""))).withColumn(
         "_range", F.coalesce(F.shiftright(F.col(key).cast("bigint"), RANGE_BITS), F.lit(0))
     )
 
 
-def _range_starts(ranged: DataFrame, file: str, value: Column) -> DataFrame:
-    """``(file, _range, n, start)``: what lies in each key range and before it in the file.
+def _range_starts(ranged: DataFrame, value: Column) -> DataFrame:
+    """``(_file, _range, n, start)``: what lies in each key range and before it in the file.
 
     The rows are read once, into one sum per range; the rest works on those sums.
     """
-    sums = ranged.groupBy(file, "_range").agg(F.sum(value).cast("bigint").alias("n"))
+    sums = ranged.groupBy("_file", "_range").agg(F.sum(value).cast("bigint").alias("n"))
     sums = sums.withColumn("n", F.coalesce("n", F.lit(0)))
     sums = sums.withColumn("_group", F.shiftright("_range", GROUP_BITS))
-    groups = sums.groupBy(file, "_group").agg(F.sum("n").alias("m")).select(
-        file, "_group", _before("m", [file], ["_group"]).alias("base"))
-    inner = sums.withColumn("start", _before("n", [file, "_group"], ["_range"]))
-    return inner.join(groups, [file, "_group"]).select(
-        file, "_range", "n", (F.col("base") + F.col("start")).alias("start")
+    groups = sums.groupBy("_file", "_group").agg(F.sum("n").alias("m")).select(
+        "_file", "_group", _before("m", ["_file"], ["_group"]).alias("base"))
+    inner = sums.withColumn("start", _before("n", ["_file", "_group"], ["_range"]))
+    return inner.join(groups, ["_file", "_group"]).select(
+        "_file", "_range", "n", (F.col("base") + F.col("start")).alias("start")
     )
 
 
-def _overall_starts(ranged: DataFrame, file: str, file_order: Callable[[str], Column]) -> DataFrame:
-    """``(file, _range, n, start, total)`` over all files; one row per file is ordered."""
-    ranges = _range_starts(ranged, file, F.lit(1))
-    files = ranges.groupBy(file).agg(F.sum("n").alias("m"))
+def _overall_starts(ranged: DataFrame, file_order: Callable[[str], Column]) -> DataFrame:
+    """``(_file, _range, n, start, total)`` over all files; one row per file is ordered."""
+    ranges = _range_starts(ranged, F.lit(1))
+    files = ranges.groupBy("_file").agg(F.sum("n").alias("m")).withColumn(
+        "_name", F.when(F.col("_file") != "", F.substr("_file", F.lit(2))))
     bases = files.select(
-        file,
-        _before("m", [], [file_order(file), file]).alias("base"),
+        "_file",
+        _before("m", [], [file_order("_name"), "_file"]).alias("base"),
         F.sum("m").over(W.partitionBy()).alias("total"),
     )
-    return ranges.join(bases, file).select(
-        file, "_range", "n", (F.col("base") + F.col("start")).alias("start"), "total"
+    return ranges.join(bases, "_file").select(
+        "_file", "_range", "n", (F.col("base") + F.col("start")).alias("start"), "total"
     )
 
 
+def join_places(df: DataFrame, places: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add the columns that ``places`` holds for the keys, which identify a row; null keys are equal.
+
+    The rows of ``df`` are shuffled once, by their keys.
+    """
+    mine = {k: f"_{k}_of_place" for k in keys}
+    other = places.withColumnsRenamed(mine)
+    same = reduce(and_, (df[k].eqNullSafe(other[mine[k]]) for k in keys))
+    return df.join(other, same).drop(*mine.values())
+
+
 def with_offsets(df: DataFrame, file: str, key: str, value: Column, out: str) -> DataFrame:
     """Add ``out``: the sum of ``value`` over the rows of the file with a smaller key.
 
-    ``key`` is a bigint, unique within the file. Sums per key range are added up first, so
-    a file that holds most of the rows still spreads over many tasks, and the rows
-    themselves are shuffled once.
+    ``key`` is a bigint, unique within the file. Keys and values alone are written once and added up, first per key
+    range, so a file that holds most of the rows still spreads over many tasks; the rows
+    themselves are shuffled once, to meet their offsets.
     """
-    ranged = _ranged(df, file, key)
-    within = ranged.withColumn(out, _before(value, [file, "_range"], [key]))
-    starts = _range_starts(ranged, file, value).select(file, "_range", "start")
-    return (
-        within.join(starts, [file, "_range"])
-        .withColumn(out, F.col(out) + F.col("start")).drop("_range", "start")
-    )
+    narrow = written(df.select(file, key, value.cast("bigint").alias("_value")), "offsets")
+    ranged = _ranged(narrow, file, key)
+    within = ranged.withColumn(out, _before("_value", ["_file", "_range"], [key]))
+    starts = _range_starts(ranged, F.col("_value")).select("_file", "_range", "start")
+    places = within.join(starts, ["_file", "_range"]).select(file, key, (F.col(out) + F.col("start")).alias(out))
+    return join_places(df, places, [file, key])
 
 
 def file_positions(examples: DataFrame, keys: Sequence[str] = EXAMPLE_KEYS,
@@ -87,14 +103,59 @@ def file_positions(examples: DataFrame, keys: Sequence[str] = EXAMPLE_KEYS,
     """Add ``pos``, 0-based, in file, document and example order."""
     file, doc, index = keys
     ranged = _ranged(examples, file, doc)
-    rank = F.row_number().over(W.partitionBy(file, "_range").orderBy(doc, index))
-    starts = _overall_starts(ranged, file, file_order).select(file, "_range", "start")
+    rank = F.row_number().over(W.partitionBy("_file", "_range").orderBy(doc, index))
+    starts = _overall_starts(ranged, file_order).select("_file", "_range", "start")
     return (
-        ranged.withColumn("rank", rank).join(starts, [file, "_range"])
-        .withColumn("pos", F.col("start") + F.col("rank") - 1).drop("_range", "start", "rank")
+        ranged.withColumn("rank", rank).join(starts, ["_file", "_range"])
+        .withColumn("pos", F.col("start") + F.col("rank") - 1).drop("_file", "_range", "start", "rank")
     )
 
 
+def file_parts(df: DataFrame, keys: Sequence[str], ids: str = "ids", parts: int | None = None) -> DataFrame:
+    """Deal the rows to numbered partitions that follow (file, document); ``keys`` begin with these two.
+
+    A row's partition is looked up in the running sum of ids over at most ``ORDER_BLOCKS`` blocks of keys, so nothing
+    is sampled and the rows are shuffled once. The keys of a block are as many as that bound asks for; one
+    document always stays whole. Inside a partition the rows are in any order.
+    """
+    file, doc = keys[:2]
+    parts = parts or _partitions(df)
+    key = F.coalesce(F.col(doc).cast("bigint"), F.lit(0))
+    placed = _ranged(df, file, doc).drop("_range").withColumn("_key", key)
+    narrow = written(placed.select("_file", "_key", (F.coalesce(F.size(ids), F.lit(0)) + 1).alias("n")), "weights")
+    shifts = range(0, 64, 4)
+    numbers = narrow.agg(*[
+        F.hll_sketch_estimate(F.hll_sketch_agg(F.xxhash64("_file", F.shiftright("_key", s)))).alias(f"s{s}")
+        for s in shifts]).first()
+    shift = next((s for s in shifts if numbers[f"s{s}"] <= ORDER_BLOCKS // 2), shifts[-1])
+    sums = written(narrow.groupBy("_file", F.shiftright("_key", shift).alias("_block")).agg(F.sum("n").alias("n")), "blocks")
+    before, total = _before("n", [], ["_file", "_block"]), F.sum("n").over(W.partitionBy())
+    starts = sums.select("_file", "_block", before.alias("before"), total.alias("total"))
+    parted = starts.select("_file", "_block", F.expr(f"cast(before * {parts} div total as int)").alias("_part"))
+    few = sums.count() <= ORDER_BLOCKS  # more only where there are more files than that
+    placed = placed.withColumn("_block", F.shiftright("_key", shift)).drop("_key")
+    joined = placed.join(F.broadcast(parted) if few else parted, ["_file", "_block"])
+    return joined.repartitionById(parts, "_part").drop("_file", "_block", "_part")
+
+
+def seeded_parts(df: DataFrame, keys: Sequence[str] = EXAMPLE_KEYS, seed: int = 0,
+                 parts: int | None = None) -> DataFrame:
+    """Deal the rows to numbered partitions that follow the order of ``shuffle_rows``; adds ``shuffle_key``.
+
+    Hash prefixes are spread evenly, so nothing is counted or sampled and the rows are shuffled once. Sorted by
+    ``(shuffle_key, *keys)`` inside the partitions they are in that order.
+    """
+    parts = min(parts or _partitions(df), 16 ** PREFIX_DIGITS)
+    hashed = df.withColumn("shuffle_key", seeded_hash(seed, *keys))
+    prefix = F.conv(F.substring("shuffle_key", 1, PREFIX_DIGITS), 16, 10).cast("bigint")
+    part = F.shiftright(prefix * parts, 4 * PREFIX_DIGITS).cast("int")
+    return hashed.withColumn("_part", part).repartitionById(parts, "_part").drop("_part")
+
+
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _histogram(hashes: DataFrame) -> DataFrame:
     """``(prefix, n, before, total)`` over at most 16**4 hash prefixes."""
     counts = hashes.groupBy("prefix").agg(F.count(F.lit(1)).alias("n"))
@@ -132,45 +193,45 @@ def shuffle_files(examples: DataFrame, keys: Sequence[str] = EXAMPLE_KEYS,
     return file_positions(examples, keys, lambda name: seeded_hash(seed, name))
 
 
-def _cut_at(df: DataFrame, key: Column, buckets: DataFrame, bucket: Sequence[str],
+def _cut_at(df: DataFrame, narrow: DataFrame, key: Column, buckets: DataFrame, bucket: Sequence[str],
             names: tuple[str, str]) -> DataFrame:
     """Label rows up to the ``wanted``-th one by comparing keys; the rows stay where they are.
 
     ``buckets(*bucket, n, before, wanted)`` tells in which bucket the cut falls, and only
-    the keys of that bucket are ranked.
+    the keys of that bucket are ranked. ``narrow`` holds the keys and buckets of all rows.
     """
     edge = buckets.filter("before < wanted and wanted <= before + n").select(
         F.struct(*bucket, (F.col("wanted") - F.col("before")).alias("wanted"))).scalar()
-    inside = df.filter(F.struct(*bucket) == F.struct(*[edge[b].alias(b) for b in bucket]))
+    inside = narrow.filter(F.struct(*bucket) == F.struct(*[edge[b].alias(b) for b in bucket]))
     rank = F.row_number().over(W.partitionBy(*bucket).orderBy("k"))
     last = inside.select(*bucket, key.alias("k")).withColumn("rank", rank)
     limit = last.filter(F.col("rank") == edge["wanted"]).select("k").scalar()
     first, rest = names
     upto = F.coalesce(key <= limit, F.lit(False))
-    return df.withColumn("split", F.when(upto, first).otherwise(rest)).drop(*bucket)
+    return df.withColumn("split", F.when(upto, first).otherwise(rest))
 
 
 def _hash_cut(df: DataFrame, keys: Sequence[str], seed: int, wanted: Callable[[Column], Column],
               names: tuple[str, str]) -> DataFrame:
-    """Label the first ``wanted(n)`` rows of the seeded order."""
+    """Label the first ``wanted(n)`` rows of the seeded order; the keys are written once, to be counted and ranked."""
     hash_ = seeded_hash(seed, *keys)
-    hashed = df.withColumn("_prefix", F.substring(hash_, 1, PREFIX_DIGITS))
-    buckets = _histogram(hashed.select(F.col("_prefix").alias("prefix"))).select(
+    narrow = written(df.select(*keys), "keys").withColumn("_prefix", F.substring(hash_, 1, PREFIX_DIGITS))
+    buckets = _histogram(narrow.select(F.col("_prefix").alias("prefix"))).select(
         F.col("prefix").alias("_prefix"), "n", "before",
         wanted(F.col("total")).cast("bigint").alias("wanted"))
     key = F.struct(hash_.alias("h"), *keys)
-    return _cut_at(hashed, key, buckets, ["_prefix"], names)
+    return _cut_at(df, narrow, key, buckets, ["_prefix"], names)
 
 
 def _head_cut(df: DataFrame, keys: Sequence[str], wanted: Callable[[Column], Column],
               names: tuple[str, str]) -> DataFrame:
-    """Label the first ``wanted(n)`` rows in file order."""
+    """Label the first ``wanted(n)`` rows in file order; the keys are written once, to be counted and ranked."""
     file, doc, _ = keys
-    ranged = _ranged(df, file, doc).withColumn("_file", F.col(file))
-    buckets = _overall_starts(ranged, file, F.col).select(
-        F.col(file).alias("_file"), "_range", "n", F.col("start").alias("before"),
+    narrow = _ranged(written(df.select(*keys), "keys"), file, doc)
+    buckets = _overall_starts(narrow, F.col).select(
+        "_file", "_range", "n", F.col("start").alias("before"),
         wanted(F.col("total")).cast("bigint").alias("wanted"))
-    return _cut_at(ranged, F.struct(*keys), buckets, ["_file", "_range"], names)
+    return _cut_at(df, narrow, F.struct(*keys), buckets, ["_file", "_range"], names)
 
 
 def _share(ratio: float) -> Callable[[Column], Column]:

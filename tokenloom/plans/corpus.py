@@ -11,7 +11,7 @@ from ..constants import DEV_RATIO, EOS_ID, MIN_FREQUENCY, VOCAB_SIZE
 from ..functions.text import strip_blank_lines
 from ..operators.bpe import Tokenizer, bpe_train, word_counts, wordpiece_train
 from ..operators.codec import encode
-from ..operators.ordering import EXAMPLE_KEYS, shuffle_and_split, split_head
+from ..operators.ordering import EXAMPLE_KEYS, file_parts, seeded_parts, shuffle_and_split, split_head
 from ..operators.packing import pack
 from ..sources.files import select_files
 from ..sources.texts import read_jsonl_attr, read_tolerant
@@ -60,7 +60,14 @@ def make_dataset(spark: SparkSession, paths: str | Sequence[str], out: str,
                  trim: int | None = None, block: int | None = None,
                  dev_ratio: float = DEV_RATIO, shuffle: bool = False, seed: int = 0,
                  eos: int = EOS_ID, name: str = "") -> str:
-    """Pack encoded files, split them and write dev and train lists below ``out``."""
+    """Pack encoded files, split them and write dev and train lists below ``out``, in order.
+
+    Examples are labelled where they are and shuffled once, to the partition that their place in the order names.
+    """
     encoded = read_token_lists(spark, paths).select("file", "doc_id", "ids")
-    examples = make_examples(encoded, trim, block, dev_ratio, shuffle, seed, eos)
-    return write_split(examples, out, name, ["pos"] if shuffle else EXAMPLE_KEYS)
+    labelled = split_head(pack(encoded, trim, block, eos), dev_ratio, shuffle, seed)
+    if shuffle:
+        laid, order = seeded_parts(labelled, EXAMPLE_KEYS, seed), ("shuffle_key", *EXAMPLE_KEYS)
+    else:
+        laid, order = file_parts(labelled, EXAMPLE_KEYS), EXAMPLE_KEYS
+    return write_split(laid, out, name, order, in_order=True)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.ordering import file_parts
 from ..session import scratch_path
 from .files import MAX_SPLITS, numbered_lines, require_files
 
@@ -56,11 +57,11 @@ def write_token_lists(df: DataFrame, path: str, keyword: str = KEYWORD,
 
     The part files of a directory, taken by name, give the original line order. With
     ``in_order`` the partitions already follow (file, doc_id), as they do after a plain
-    read, and nothing is shuffled; else a range sort spreads a large file over tasks.
+    read, and nothing is shuffled; else the rows are dealt to partitions in order, so that a large file is spread over tasks.
     """
     target = f"{path.rstrip('/')}/{keyword}"
     keys = ("file", "doc_id")
-    lines = df.sortWithinPartitions(*keys) if in_order else df.orderBy(*keys)
+    lines = (df if in_order else file_parts(df, keys)).sortWithinPartitions(*keys)
     lines.select("file", F.to_json("ids").alias("value")).write.partitionBy("file").text(target)
     return target
 
@@ -83,21 +84,22 @@ def write_token_matrix(df: DataFrame, path: str, keyword: str = KEYWORD, in_orde
     bracketed = F.concat(
         F.when(F.col("doc_id") == F.col("_first"), "[").otherwise(","), F.coalesce(F.to_json("ids"), F.lit("[]")),
         F.when(F.col("doc_id") == F.col("_last"), "]").otherwise(""))
-    marked = df.join(F.broadcast(ends), "file")
-    lines = marked.sortWithinPartitions(*keys) if in_order else marked.orderBy(*keys)
+    lines = (df if in_order else file_parts(df, keys)).join(F.broadcast(ends), "file").sortWithinPartitions(*keys)
     lines.select("file", bracketed.alias("value")).write.partitionBy("file").text(target)
     return target
 
 
-def write_split(df: DataFrame, path: str, name: str = "",
-                order_by: Sequence[str] | None = None) -> str:
+def write_split(df: DataFrame, path: str, name: str = "", order_by: Sequence[str] | None = None,
+                in_order: bool = False) -> str:
     """Write dev and train examples from one pass over the data.
 
     The outputs are ``split=dev<name>`` and ``split=train<name>``. With ``order_by`` their
-    part files, read in name order, give the rows in that order.
+    part files, read in name order, give the rows in that order. With ``in_order`` the partitions already follow it, as
+    ``file_parts`` and ``seeded_parts`` leave them; then each is sorted on its own and nothing is shuffled.
     """
     labelled = df.withColumn("split", F.concat("split", F.lit(name)))
     if order_by:
-        labelled = labelled.orderBy("split", *order_by)
+        columns = ["split", *order_by]
+        labelled = labelled.sortWithinPartitions(*columns) if in_order else labelled.orderBy(*columns)
     labelled.select("split", F.to_json("ids").alias("value")).write.partitionBy("split").text(path)
     return path
