@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tokenloom.llm import minhash, packing, suffixes, toxicity
 from tokenloom.llm.common import settle
@@ -20,7 +19,7 @@ from tokenloom.session import table
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score below the threshold. Null and empty texts score 0 and stay."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where(F.col("_score") < toxicity.THRESHOLD).select(*docs.columns)
+    return toxicity.below(docs, model)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

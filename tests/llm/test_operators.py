@@ -413,3 +413,24 @@ def test_pipeline_stages_keep_clean_documents(spark):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "minhash", "suffixes", "packing"]
     rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert rows.where(F.col("length") > 2048).count() == 0 and rows.count() > 0
+
+
+CLASHING = ("_score", "_sentence", "_first", "_windows", "_text_hash", "_kept_id", "_row", "digest", "id", "ids", "rows", "stays",
+            "component", "text_hash", "head", "piece", "sequence_id", "n_chars")
+
+
+@pytest.mark.parametrize("some", [True, False])
+def test_pipeline_stages_on_awkward_rows(spark, awkward, none, some):
+    """Nulls, repeats, two rows of one id and columns named like those that the stages make, or no rows at all."""
+    import corpus_pipeline
+
+    docs = (awkward if some else none).select("*", *[F.lit(i).alias(n) for i, n in enumerate(CLASHING)])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, "/root/testdata/sf0.001")
+        assert docs.columns == ["doc_id", "text", "component_id", "shard", *CLASHING]
+    rows = docs.collect()
+    assert all(r[n] == i for r in rows for i, n in enumerate(CLASHING[:-1]))
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, "/root/testdata/sf0.001").collect()
+    assert {r.doc_id for r in packed} == {r.doc_id for r in rows}
+    # Text 1 stands for 2, 3 and 12; repeats of 8 become one; a row without an id is never a copy.
+    assert {r.doc_id for r in rows} == ({None, 1, 4, 5, 6, 7, 9, 10, 11} if some else set())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -80,6 +80,14 @@ def tidy(fn: Callable):
     return lambda rows: group(rows) if isinstance(rows, pa.Table) else batches(rows)
 
 
+def fresh(name: str, taken: Iterable[str]) -> str:
+    """``name``, with underscores at its end until no column in ``taken`` is called so, in either case of letters."""
+    used = {t.lower() for t in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 def per_batch(fn: Callable[[pa.RecordBatch], pa.RecordBatch], memo: dict | None = None):
     """An Arrow function that maps one batch at a time; a ``memo`` is emptied at the end, before memory is given back."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

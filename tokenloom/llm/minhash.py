@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Memo, as_bytes, bounded_batches, drop, having, linked_components, mix64, per_batch, renamed, settle, settled
+from .common import Memo, as_bytes, bounded_batches, drop, fresh, having, linked_components, mix64, per_batch, renamed, settle, settled
 
 ROWS = 5
 BANDS = 38
@@ -330,23 +330,24 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Of rows with one id and one text, or texts of one group, one stays; different texts under one id that are in no
     group together all stay. Rows without an id stay.
     """
+    kept_id, kept_hash, hash_col = (fresh(n, docs.columns) for n in ("_kept_id", "_kept_hash", "_text_hash"))
     rows, classes = _classes(docs, id_col, text_col, width, percent)
     heads = classes.where(F.col("component.digest") == F.col("digest")).select("digest", F.col("component.id").alias("head"))
     found = rows.where("id IS NOT NULL").join(heads, "digest", "left")
     stays = F.col("digest").isNull() | F.coalesce(F.col("id") == F.col("head"), F.lit(False))
     ids = settle(found.groupBy("id").agg(F.count(F.lit(1)).alias("rows"), F.max(stays).alias("stays")).where("stays"), "kept")
     key = docs[id_col].cast("bigint")
-    single = docs.join(ids.where("rows = 1").select(F.col("id").alias("_kept_id")), key == F.col("_kept_id"), "left_semi")
+    single = docs.join(ids.where("rows = 1").select(F.col("id").alias(kept_id)), key == F.col(kept_id), "left_semi")
     if ids.where("rows > 1").isEmpty():
         return single.union(docs.where(key.isNull()))
-    often = ids.where("rows > 1").select(F.col("id").alias("_kept_id"))
+    often = ids.where("rows > 1").select(F.col("id").alias(kept_id))
     # An id with several rows: one row for each of its classes that stays, found by the hash of the text.
-    repeated = docs.join(often, key == F.col("_kept_id"), "left_semi")
+    repeated = docs.join(often, key == F.col(kept_id), "left_semi")
     text_hash = F.md5(F.coalesce(F.col(text_col), F.lit("")))
     hashed = repeated.select(key.alias("id"), F.col(text_col).alias("text"), text_hash.alias("text_hash")) \
         .dropDuplicates(["id", "text_hash"]).mapInArrow(_digests(width), "id bigint, text_hash string, digest binary")
-    chosen = hashed.join(heads, "digest", "left").where(stays).groupBy("id", "digest").agg(F.min("text_hash").alias("_kept_hash")) \
-        .select(F.col("id").alias("_kept_id"), "_kept_hash")
-    matching = repeated.join(chosen, (key == F.col("_kept_id")) & (text_hash == F.col("_kept_hash")), "left_semi")
-    one = matching.withColumn("_text_hash", text_hash).dropDuplicates([id_col, "_text_hash"]).drop("_text_hash")
+    chosen = hashed.join(heads, "digest", "left").where(stays).groupBy("id", "digest").agg(F.min("text_hash").alias(kept_hash)) \
+        .select(F.col("id").alias(kept_id), kept_hash)
+    matching = repeated.join(chosen, (key == F.col(kept_id)) & (text_hash == F.col(kept_hash)), "left_semi")
+    one = matching.withColumn(hash_col, text_hash).dropDuplicates([id_col, hash_col]).drop(hash_col)
     return single.union(one).union(docs.where(key.isNull()))

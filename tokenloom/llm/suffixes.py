@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, bounded_batches, mix64, per_batch, renamed, settle, tidy
+from .common import as_bytes, bounded_batches, fresh, mix64, per_batch, renamed, settle, tidy
 
 SPAN = 50
 GRAM = 16
@@ -582,15 +582,16 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Rules as in ``remove_repeats``. Characters cut in two are dropped, an integer column ``n_chars`` is
     counted anew where the text changed, and rows that lost their whole text go.
     """
-    found = repeated_spans(docs, id_col, text_col, span, gram, hot).select(
-        F.col("text_hash").alias("_text_hash"), F.col("first").alias("_first"), F.col("windows").alias("_windows"))
-    joined = docs.join(found, F.xxhash64(docs[text_col]) == F.col("_text_hash"), "left").drop("_text_hash")
     names = docs.columns
+    digest, first, windows = (fresh(n, names) for n in ("_text_hash", "_first", "_windows"))
+    found = repeated_spans(docs, id_col, text_col, span, gram, hot).select(
+        F.col("text_hash").alias(digest), F.col("first").alias(first), F.col("windows").alias(windows))
+    joined = docs.join(found, F.xxhash64(docs[text_col]) == F.col(digest), "left").drop(digest)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         before = batch.column(text_col).to_pylist()
         text = [b if not spans else kept.decode("utf-8", "ignore") for b, (_, spans, kept) in zip(
-            before, _split(batch, id_col, text_col, "_first", "_windows", span, gram), strict=True)]
+            before, _split(batch, id_col, text_col, first, windows, span, gram), strict=True)]
         columns = [batch.column(n) for n in names]
         columns[names.index(text_col)] = pa.array(text, batch.column(text_col).type)
         if "n_chars" in names and pa.types.is_integer(batch.column("n_chars").type):

@@ -172,8 +172,9 @@ def fit(sample: DataFrame, size: int = VOCABULARY, steps: int = STEPS) -> Model:
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """All columns of ``docs`` and ``_score`` (0 to 1), ``_sentence`` and ``_sentence_score`` of the worst sentence.
 
-    Null, empty and wordless texts score 0 and have no sentence.
+    Null, empty and wordless texts score 0 and have no sentence. Columns of ``docs`` with one of these names give way.
     """
+    docs = docs.drop("_score", "_sentence", "_sentence_score")
     bounded_batches(docs.sparkSession)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -191,6 +192,17 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     return docs.mapInArrow(per_batch(run), fields + ", _score double, _sentence int, _sentence_score double")
 
 
+def below(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` whose score is below the threshold, with their own columns alone, whatever those are called."""
+    bounded_batches(docs.sparkSession)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = as_bytes(batch.column(text_col))
+        return batch.filter(pa.array([noisy_or(sentence_scores(text, model)) < threshold for text in texts], pa.bool_()))
+
+    return docs.mapInArrow(per_batch(run), docs.schema)
+
+
 def locate(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
            threshold: float = THRESHOLD) -> DataFrame:
     """``(doc_id, sentence, score, text)``: the sentences that alone reach the threshold."""
