@@ -229,6 +229,9 @@ def test_folder_to_dataset(spark, tmp_path, texts, options):
     root = encode_folder(spark, str(tmp_path / "in*.jsonl"), bpe.byte_tokenizer(spark), str(tmp_path))
     out = make_dataset(spark, root, str(tmp_path / "set"), dev_ratio=0.25, name="_x", **options)
     rows = tokens.read_token_lists(spark, out).orderBy("split", "doc_id").collect()
+    for name in ("dev_x", "train_x"):  # the parts of a split are one file, numbered from 0
+        own = [(r.file, r.doc_id) for r in rows if r.split == name]
+        assert own == [(f"split={name}", i) for i in range(len(own))]
     dev = [r.ids for r in rows if r.split == "dev_x"]
     train = [r.ids for r in rows if r.split == "train_x"]
     assert len(dev) == round(0.25 * len(rows)) and len(dev) + len(train) == len(rows)

@@ -15,10 +15,21 @@ class NoInputFiles(ValueError):
     """A listed input has no file that Spark would read."""
 
 
-def file_label(df: DataFrame) -> Column:
-    """The file a row came from: the ``file`` partition value where the layout has one,
-    else the plain file name."""
-    return F.col("file") if "file" in df.columns else F.col("_metadata.file_name")
+PART_NAME = r"^part-(\d+)-"  # how Spark calls the files of a folder that it writes
+
+
+def file_label(df: DataFrame, join_parts: bool = True) -> Column:
+    """The file a row came from: the ``file`` partition value where the layout has one, else the plain file name.
+
+    With ``join_parts`` the parts of a folder that Spark wrote are one file, called like the folder.
+    """
+    if "file" in df.columns:
+        return F.col("file")
+    name = F.col("_metadata.file_name")
+    if not join_parts:
+        return name
+    folder = F.element_at(F.split("_metadata.file_path", "/"), -2)
+    return F.when(name.rlike(PART_NAME), F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))).otherwise(name)
 
 
 MAX_SPLITS = 2_000_000  # proven bound on the table of line counts that is broadcast
@@ -29,7 +40,7 @@ def numbered_lines(lines: DataFrame, counted: Column | None = None, per_file: bo
 
     ``line`` counts 0, 1, 2, ... in each file, or over all files without ``per_file``, however the files
     are split and dealt over tasks. ``first`` tells the first line of a physical file. Files follow
-    each other by name, and those that Spark wrote in several parts by part number. With ``counted`` only lines
+    each other by folder and name, and those that Spark wrote in several parts by part number. With ``counted`` only lines
     for which it holds count, and all lines without it must come at the end of a file.
 
     The lines are read once to count them by split, as a narrow table that is written to the shared folder. A line's
@@ -45,8 +56,10 @@ def numbered_lines(lines: DataFrame, counted: Column | None = None, per_file: bo
         F.monotonically_increasing_id().alias("_row"))
     splits = placed.withColumn("_held", held).groupBy("file", "_path", "_start").agg(
         F.min("_row").alias("_first_row"), F.sum("_held").alias("_lines"))
-    part = F.regexp_extract(F.element_at(F.split("_path", "/"), -1), r"^part-(\d+)", 1).try_cast("bigint")
-    order = [F.coalesce(part, F.lit(0)), "_path", "_start"]
+    name = F.element_at(F.split("_path", "/"), -1)
+    part = F.regexp_extract(name, PART_NAME, 1).try_cast("bigint")
+    order = [F.expr("left(_path, length(_path) - length(substring_index(_path, '/', -1)))"),
+             F.coalesce(part, F.lit(0)), "_path", "_start"]
     window = W.partitionBy("file").orderBy(*order) if per_file else W.orderBy("file", *order)
     before = F.sum("_lines").over(window.rowsBetween(W.unboundedPreceding, -1))
     path = scratch_path(spark, "line-counts")

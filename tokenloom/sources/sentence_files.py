@@ -25,7 +25,7 @@ _SPACE = "[ \\t\\n\\r]*"
 
 def _key(df: DataFrame) -> Column:
     """Label and path: files with one label in a partitioned folder are objects of their own."""
-    return F.concat(file_label(df), F.lit("\n"), F.col("_metadata.file_path"))
+    return F.concat(file_label(df, join_parts=False), F.lit("\n"), F.col("_metadata.file_path"))
 
 
 def _label(key: Column) -> Column:
