@@ -317,3 +317,44 @@ def test_foreign_tokenizer_file(spark, corpus, texts):
         assert row.ids == lib.encode(texts[row.doc_id], add_special_tokens=False).ids, repr(texts[row.doc_id])
     with pytest.raises(ValueError):
         tokenizer_files.read_tokenizer_json(spark, public_tokenizers.path("word_bpe_49k.json"))
+
+
+def test_laid_merges_equal_plain_replace():
+    """Merges of words end to end, and the changes of the counts, against str.replace and plain counts."""
+    import random
+    from collections import Counter
+
+    import pyarrow as pa
+
+    def counted(words):
+        found = Counter()
+        for w, n in words:
+            for a, b in zip(w, w[1:]):
+                found[bpe.pair_key(a + b)] += n
+        return found
+
+    for seed in range(40):
+        rng = random.Random(seed)
+        words = [("".join(rng.choices("abc\U0001F600", k=rng.randint(1, 12))), rng.randint(1, 9)) for _ in range(rng.randint(1, 30))]
+        codes, weights = bpe.lay(pa.array([w for w, _ in words]), pa.array([n for _, n in words]))
+        for k in range(6):
+            pair, made = "".join(rng.choices("abc\U0001F600xy", k=2)), "xyzuvw"[k]
+            before = counted(words)
+            words = [(w.replace(pair, made), n) for w, n in words]
+            codes, weights, keys, changes = bpe.merge_laid(codes, weights, pair, made)
+            assert codes.astype("<u4").tobytes().decode("utf-32-le").split("\0")[1:-1] == [w for w, _ in words]
+            after = counted(words)
+            want = {p: after[p] - before[p] for p in before | after if after[p] != before[p]}
+            assert {p: d for p, d in zip(keys.tolist(), changes.tolist()) if d} == want
+
+
+def test_a_round_takes_many_merges_of_whole_lines(spark):
+    """Lines of words share most pairs, so that merges touch each other; a round takes them one after the other all the same."""
+    rows = [(" ".join(f"{a}{b}" for a in ("ne", "so", "ti") for b in ("ra", "lu", "ko", str(i % 7))[: 2 + i % 3]), 3 + i % 5) for i in range(60)]
+    tokens = sorted({c for text, _ in rows for c in text})
+    spelled = [("".join(bpe.symbol(tokens.index(c)) for c in text), n) for text, n in rows]
+    want = one_at_a_time(rows, list(tokens), len(tokens) + 30)
+    report = {}
+    mine = bpe.learn_merges(spark.createDataFrame(spelled, "word string, n bigint"), tokens, len(tokens) + 30, report=report)
+    assert [(m.left, m.right, m.new_id) for m in mine.merges.orderBy("rank").collect()] == want
+    assert len(want) >= 30 and report["rounds"] <= 6
