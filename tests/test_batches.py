@@ -124,3 +124,45 @@ def test_batches_of_split_files(spark, tmp_path):
         training_batches(df, 1000, KEYS, "none")
     with pytest.raises(ValueError):
         training_batches(df, 1000, KEYS)
+
+
+def test_word_masks_of_awkward_lists(spark):
+    """Null, empty and long lists, null ids, and keys of more than one hash block, against plain Python; no hash is drawn for other tokens."""
+    import hashlib
+    import random
+
+    rng = random.Random(5)
+    long_key = "k" * 80
+    rows = [("a", 1, None), ("a", 2, []), ("b", 3, [None, 7, None, 9]), (long_key, 4, [9] * 7), (None, 5, [3, 3]),
+            *((rng.choice("ab"), 10 + i, [rng.randrange(30) for _ in range(rng.randrange(1, 90))]) for i in range(40)),
+            ("c", 99, [rng.randrange(5, 30) for _ in range(3000)])]
+    df = spark.createDataFrame(rows, "file string, doc_id bigint, ids array<int>")
+    out = batches.whole_word_mask(df, 1000, ("file", "doc_id"), lambda i: i % 3 != 0)
+    assert out.columns == ["file", "doc_id", "input_ids", "labels"]
+    assert "md5(" not in out._jdf.queryExecution().toString()
+    found = {r.doc_id: (r.input_ids, r.labels) for r in out.collect()}
+
+    def h(*parts):
+        return hashlib.md5(":".join(str(p) for p in parts if p is not None).encode()).hexdigest()
+
+    for file, doc, ids in rows:
+        if ids is None:
+            assert found[doc] == (None, None)
+            continue
+        special = [x is not None and x < 5 for x in ids]
+        starts = [i for i, x in enumerate(ids) if i == 0 or special[i] or special[i - 1] or (x is not None and x % 3 != 0)]
+        words = sorted((h(0, file, doc, "w", a), a, b - a) for a, b in zip(starts, [*starts[1:], len(ids)])
+                       if ids[a] is not None and not special[a])
+        left, hits = max(round(len(ids) * 0.15), 1), set()
+        for _, start, length in words:
+            if length <= left:
+                left -= length
+                hits.update(range(start, start + length))
+        new, labels = list(ids), [-100] * len(ids)
+        for i in hits:
+            d, labels[i] = h(0, file, doc, i), ids[i]
+            if int(d[8:16], 16) < round(0.8 * 2**32):
+                new[i] = 4
+            elif int(d[8:16], 16) < round(0.9 * 2**32):
+                new[i] = int(d[16:24], 16) % 1000
+        assert found[doc] == (new, labels), doc

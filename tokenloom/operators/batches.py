@@ -4,17 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..constants import BATCH_SIZE, IGNORE_LABEL, MASK_ID, MASK_RATE, PAD_ID, SPECIAL_TOKENS
-from ..functions.columns import bounds_from_ends, fold_gathering, let, positions_where
+from ..functions.columns import let
 from ..functions.hashing import below, hash_int, seeded_hash
+from ..functions.md5 import md5_numbered
 from ..session import written
 from .ordering import join_places
 
 MASKED_SHARE, RANDOM_SHARE = 0.8, 0.1  # of the chosen tokens; the others keep their id
+MASKED_AT_A_TIME = 1 << 18  # tokens
 
 
 def pad_to(values: Column, width: Column | int, fill: int) -> Column:
@@ -141,48 +146,59 @@ def mlm_mask(df: DataFrame, vocab_size: int, keys: Sequence[str], p: float = MAS
     )
 
 
-def _chosen_words(ids: Column, starts: Callable[[Column], Column], key: Column, p: float,
-                  seed: int, specials: int) -> Column:
-    """For each token whether a chosen word covers it.
-
-    A special token stands alone and is never chosen. The other words are visited in
-    hash order and taken while they fit the budget.
-    """
-    def words(v: Column) -> Column:
-        def begins(i: Column) -> Column:
-            after_special = F.get(v, i - 1) < specials
-            return (i > 0) & ((F.get(v, i) < specials) | after_special | starts(F.get(v, i)))
-
-        ends = F.filter(F.transform(v, lambda _, i: i), begins)
-        spans = bounds_from_ends(F.concat(ends, F.array(F.size(v))))
-        usable = F.filter(spans, lambda b: F.get(v, b["start"]) >= specials)
-        keyed = F.transform(usable, lambda b: F.struct(
-            seeded_hash(seed, key, F.lit("w"), b["start"]).alias("h"), b["start"], b["len"]))
-        return F.sort_array(keyed)
-
-    span = "array<struct<start:int,len:int>>"
-    share = F.greatest(F.rint(F.size(ids) * F.lit(float(p))).cast("int"), F.lit(1))
-
-    def take(budget: Column) -> Column:
-        def step(acc: Column, w: Column) -> Column:
-            fits = acc["n"] + w["len"] <= budget
-            new = F.when(fits, F.array(F.struct(w["start"], w["len"])).cast(span)).otherwise(F.array().cast(span))
-            count = F.when(fits, acc["n"] + w["len"]).otherwise(acc["n"])
-            return F.struct(F.struct(count.alias("n")).alias("state"), new.alias("new"))
-
-        return fold_gathering(let(ids, words), F.struct(F.lit(0).alias("n")), step, "struct<n:int>", span)["gathered"]
-
-    def flags(spans: Column) -> Column:
-        def end(i: Column) -> Column:
-            last = F.get(spans, i)
-            return F.coalesce(last["start"] + last["len"], F.lit(0))
-
-        runs = F.transform(spans, lambda w, i: F.concat(
-            F.array_repeat(F.lit(False), w["start"] - end(i - 1)), F.array_repeat(F.lit(True), w["len"])))
-        rest = F.array_repeat(F.lit(False), F.size(ids) - end(F.size(spans) - 1))
-        return F.concat(F.flatten(runs), rest)
-
-    return let(F.sort_array(let(share, take)), flags)
+def _taken(rows: np.ndarray, lengths: np.ndarray, budgets: np.ndarray) -> list[int]:
+    """The words that fit the budget of their row, which come first; words are sorted by row."""
+    bounds = np.searchsorted(rows, np.arange(len(budgets) + 1)).tolist()
+    sizes, taken = lengths.tolist(), []
+    for start, stop, left in zip(bounds, bounds[1:], budgets.tolist()):
+        for j in range(start, stop):
+            if sizes[j] <= left:
+                taken.append(j)
+                left -= sizes[j]
+                if not left:
+                    break
+    return taken
+
+
+def _mask_words(ids: pa.ListArray, starts: pa.ListArray, keys: pa.Array, vocab_size: int, p: float, seed: int,
+                specials: int) -> pa.StructArray:
+    """``whole_word_mask`` of some lists, laid end to end."""
+    sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    flat = ids.flatten()
+    known = flat.is_valid().to_numpy(zero_copy_only=False)
+    values = pc.fill_null(flat, specials).to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    at = np.arange(len(values)) - offsets[row]
+    special = values < specials
+    begins = (at == 0) | special | np.concatenate([[False], special[:-1]])[:len(special)]
+    begins |= pc.fill_null(starts.flatten(), False).to_numpy(zero_copy_only=False)
+    first = np.flatnonzero(begins)
+    length = np.diff(np.append(first, len(values)))
+    usable = known[first] & ~special[first]
+    first, length = first[usable], length[usable]
+    names = [f"{seed}:{key}:".encode() for key in keys.to_pylist()]
+    h = md5_numbered([name + b"w:" for name in names], row[first], at[first])
+    order = np.lexsort((first, *h[::-1], row[first]))
+    first, length = first[order], length[order]
+    taken = _taken(row[first], length, np.maximum(np.rint(sizes * float(p)), 1).astype(np.int64))
+    edges = np.zeros(len(values) + 1, np.int8)  # words are apart, so that an end and a start may meet
+    np.add.at(edges, first[taken], 1)
+    np.add.at(edges, first[taken] + length[taken], -1)
+    hits = np.flatnonzero(np.cumsum(edges[:-1]))
+    h = md5_numbered(names, row[hits], at[hits])
+    masked, drawn = h[1] < round(MASKED_SHARE * 2**32), h[1] < round((MASKED_SHARE + RANDOM_SHARE) * 2**32)
+    new = values.copy()
+    new[hits] = np.where(masked, MASK_ID, np.where(drawn, h[2].astype(np.int64) % vocab_size, values[hits]))
+    labels = np.full_like(values, IGNORE_LABEL)
+    labels[hits] = values[hits]
+    kept = known.copy()
+    kept[hits] |= drawn
+    told = np.ones(len(values), bool)
+    told[hits] = known[hits]
+    lists = [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(v, flat.type, mask=~valid), mask=ids.is_null())
+             for v, valid in ((new, kept), (labels, told))]
+    return pa.StructArray.from_arrays(lists, ["input_ids", "labels"])
 
 
 def whole_word_mask(df: DataFrame, vocab_size: int, keys: Sequence[str],
@@ -191,13 +207,24 @@ def whole_word_mask(df: DataFrame, vocab_size: int, keys: Sequence[str],
     """Choose whole words until ``max(1, round(n * p))`` tokens are chosen, skipping a word
     that would overshoot; then replace as in ``mlm_mask``.
 
-    ``starts`` tells from a token id whether a word begins there; position 0 always does.
+    ``starts`` tells from a token id whether a word begins there; position 0 always does. A special token stands alone
+    and is never chosen. The other words are visited in hash order and taken while they fit the budget. Hashes
+    are drawn only for words, and for the tokens of chosen ones.
     """
+    kind = df.schema[ids].dataType.elementType.simpleString()
+
+    @F.arrow_udf(f"struct<input_ids: array<{kind}>, labels: array<{kind}>>")
+    def masked(lists: pa.Array, flags: pa.Array, names: pa.Array) -> pa.Array:
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        parts, start = [], 0
+        while start < len(lists) or not parts:
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + MASKED_AT_A_TIME, "right")))
+            part = (column.slice(start, stop - start) for column in (lists, flags, names))
+            parts.append(_mask_words(*part, vocab_size, p, seed, specials))
+            start = stop
+        return pa.concat_arrays(parts)
+
     key = F.concat_ws(":", *[F.col(k).cast("string") for k in keys])
-    chosen = _chosen_words(F.col(ids), starts, key, p, seed, specials)
-    # The explode keeps the optimizer from computing the word choice again per token.
-    bound = df.select(*df.columns, F.explode(F.array(chosen)).alias("_hits"))
-    masked = _masked(
-        bound, lambda x, i, h: F.get("_hits", i), keys, ids, vocab_size, seed
-    )
-    return masked.drop("_hits")
+    columns = [c for c in df.columns if c != ids]
+    return df.select(*columns, F.inline(F.array(masked(F.col(ids), F.transform(ids, starts), key))))
