@@ -358,3 +358,20 @@ def test_a_round_takes_many_merges_of_whole_lines(spark):
     mine = bpe.learn_merges(spark.createDataFrame(spelled, "word string, n bigint"), tokens, len(tokens) + 30, report=report)
     assert [(m.left, m.right, m.new_id) for m in mine.merges.orderBy("rank").collect()] == want
     assert len(want) >= 30 and report["rounds"] <= 6
+
+
+def test_batches_of_long_texts_are_encoded_in_parts(spark, monkeypatch):
+    """No part holds more than its bound of bytes but for a single row; null and empty rows keep their place."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(codec, "PART_BYTES", 40)
+    lists = pa.array([["a" * 30], None, [], ["b"] * 9, ["c" * 90], ["é"] * 15, ["d"], None])
+    parts = list(codec._bounded_parts(lists.slice(0, 8)))
+    assert pa.concat_arrays(parts).to_pylist() == lists.to_pylist() and len(parts) == 3
+    assert all(len(p) == 1 or sum(len(w.encode()) for row in p.to_pylist() for w in row or []) <= 40 for p in parts)
+    assert list(codec._bounded_parts(lists.slice(0, 0))) == []
+    monkeypatch.undo()
+    rows = [(i, None if i == 3 else "" if i == 4 else "né " * (40_000 * i)) for i in range(9)] + [(9, "x" * 3_000_000)]
+    texts = spark.createDataFrame(rows, "k int, text string").coalesce(1)
+    sizes = {r.k: r.n for r in codec.encode(texts, bpe.byte_tokenizer(spark)).select("k", F.size("ids").alias("n")).collect()}
+    assert sizes == {k: -1 if t is None else len(t.encode()) for k, t in rows}

@@ -20,6 +20,8 @@ from .wordpiece import LongestMatch
 MAX_VOCAB = 1_000_000  # proven bound on what is broadcast: one entry per token or merge
 MAX_UNIT_CHARS = 100  # of a WordPiece unit, as in the usual models
 MEMO_PIECES = 500_000  # pieces a worker remembers; more are encoded again
+MEMO_CHARS = 16_000_000  # of those pieces and their ids
+PART_BYTES = 2 << 20  # of pieces encoded at a time
 
 
 def _bounded(df: DataFrame) -> list:
@@ -49,22 +51,24 @@ def _encoder(spark, shared: tuple, start: Callable, nested: bool) -> Callable:
 
     ``start`` makes, from the broadcast ``shared``, what is known from the outset and the function for another piece. Each
     Arrow batch is reduced to its distinct pieces before any of them is encoded, and the ids are spread back by index
-    arithmetic. Without ``nested`` the ids of a row are one flat array.
+    arithmetic; a batch of long texts is taken in parts of bounded size, and a worker remembers pieces up to a bound of
+    characters too. Without ``nested`` the ids of a row are one flat array.
     """
     tables = spark.sparkContext.broadcast(shared)
 
     @F.arrow_udf("array<array<int>>" if nested else "array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         memo, coded = start(*tables.value)
-        fixed = len(memo) + MEMO_PIECES
-        for lists in batches:
+        fixed, room = len(memo) + MEMO_PIECES, MEMO_CHARS
+        for lists in (part for batch in batches for part in _bounded_parts(batch)):
             found = pc.dictionary_encode(lists.flatten())
             words = []
             for piece in found.dictionary.to_pylist():
                 word = memo.get(piece)
                 if word is None:
                     word = coded(piece)
-                    if len(memo) < fixed:
+                    room -= len(piece) + len(word)
+                    if len(memo) < fixed and room > 0:
                         memo[piece] = word
                 words.append(word)
             yield _spread(lists, found.indices.to_numpy(zero_copy_only=False), words, nested)
@@ -72,6 +76,19 @@ def _encoder(spark, shared: tuple, start: Callable, nested: bool) -> Callable:
     return encode
 
 
+def _bounded_parts(lists: pa.ListArray) -> Iterator[pa.ListArray]:
+    """Runs of rows with at most ``PART_BYTES`` of pieces each, and at least one row."""
+    sizes = pc.fill_null(pc.binary_length(lists.flatten()), 0).to_numpy(zero_copy_only=False)
+    per_row = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])[np.cumsum(per_row, dtype=np.int64)]
+    start = 0
+    while start < len(ends):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + PART_BYTES, "right")))
+        yield lists.slice(start, stop - start)
+        start = stop
+
+
 def piece_encoder(tok: Tokenizer, specials: Sequence[str] | None = None,
                   nested: bool = True) -> Callable:
     """``_encoder`` for byte-level pieces, which are merged. Workers share the merges by broadcast."""
