@@ -128,6 +128,21 @@ def test_packing_equals_the_library(spark, awkward, none, texts):
     assert len(places) <= -(-sum(r.length for r in rows) // 64) + 1
 
 
+def test_latin_words_are_cut_before_the_model(texts, monkeypatch):
+    """The whole pipeline of the library sees only words with other letters; the parts of the rest go to its model."""
+    encode = packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    expected = [encode.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    asked = []
+    plain = packing.WordEncoder._library
+    monkeypatch.setattr(packing.WordEncoder, "_library", lambda self, parts: asked.extend(parts) or plain(self, parts))
+    assert [encode(t) for t in texts] == expected
+    latin = "Größe, NAÏVE's ÿx×÷ ª²¼ x1\x7f\x01 \x0b_"
+    assert encode(latin) == encode.tokenizer.encode(latin, add_special_tokens=False).ids
+    assert not [w for w in asked if packing._LATIN.fullmatch(w) and "<|" not in w]
+    encode.cuts, encode.words = False, {}
+    assert encode(latin) == encode.tokenizer.encode(latin, add_special_tokens=False).ids
+
+
 def test_word_encoder_outlives_its_memo(texts):
     path = public_tokenizers.path("word_bpe_49k.json")
     small, large = packing.WordEncoder(path, limit=5), packing.WordEncoder(path)

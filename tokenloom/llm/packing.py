@@ -9,10 +9,13 @@ after that only if no gap is large enough. Pieces are dealt to packing cells of
 
 from __future__ import annotations
 
+import json
 import math
 import os
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -21,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..constants import byte_alphabet
 from .common import MEMO_ENTRIES, bounded_batches, renamed, settle, tidy
 
 LENGTH = 2048
@@ -52,16 +56,31 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
     return bins, offsets
 
 
-_ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII)
+_PIECES = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"  # how the tokenizer cuts a text
+_LATIN = re.compile("[\\x00-\\x7fÀ-ÖØ-öø-ÿ]*")
+_LATIN_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+", re.ASCII)
+_SPELLED = dict(enumerate(byte_alphabet()))
 CHUNK = 400
 
 
+class _Parts(dict):
+    """Ids of what the tokenizer cuts a word into, by the library's model alone once a part is new."""
+
+    def __init__(self, model) -> None:
+        self.tokenize = model.tokenize
+
+    def __missing__(self, part: str) -> bytes:
+        ids = array("I", [t.id for t in self.tokenize(part.encode().decode("latin-1").translate(_SPELLED))])
+        found = self[part] = (ids if sys.byteorder == "little" else ids.byteswap() or ids).tobytes()
+        return found
+
+
 class WordEncoder:
     """Ids of whole texts from memoised words, for a tokenizer that lowers letters and drops white space.
 
     Such a tokenizer never joins what white space parts, so a text is the sum of its words. New words of a batch
-    are encoded together; those in ASCII are first cut where the tokenizer cuts them, since
-    most differ from a known word in signs only.
+    are encoded together; those in ASCII and Latin letters with accents are first cut where the tokenizer cuts them, since
+    most differ from a known word in signs only, and their parts go to its model as they are. A tokenizer that cuts in another way gets whole words.
     """
 
     def __init__(self, path: str, limit: int = 2 * MEMO_ENTRIES) -> None:
@@ -69,8 +88,9 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.cuts = _cuts_alike(json.loads(self.tokenizer.to_str()))
         self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.parts = _Parts(self.tokenizer.model)
         self.limit = limit
 
     def _library(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
@@ -83,10 +103,14 @@ class WordEncoder:
             yield from ((p, ids[4 * a:4 * b]) for p, a, b in zip(chunk, cuts[:-1], cuts[1:], strict=True))
 
     def _learn(self, missing: set[str]) -> None:
-        cut = {w: _ASCII_PIECES.findall(w.lower()) if w.isascii() and "<|" not in w else (w,) for w in missing}
-        self.parts.update(self._library(list({p for ps in cut.values() for p in ps} - self.parts.keys())))
-        part = self.parts.__getitem__
-        self.words.update((w, b"".join(map(part, ps))) for w, ps in cut.items())
+        part, cut, latin = self.parts.__getitem__, _LATIN_PIECES.findall, _LATIN.fullmatch
+        whole = []
+        for w in missing:
+            if self.cuts and latin(w) and "<|" not in w:
+                self.words[w] = b"".join(map(part, cut(w.lower())))
+            else:
+                whole.append(w)
+        self.words.update(self._library(whole))
 
     def encode_batch(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
@@ -107,6 +131,15 @@ class WordEncoder:
         return np.frombuffer(next(self.encode_batch([text])), "<u4").tolist()
 
 
+def _cuts_alike(spec: dict) -> bool:
+    """Whether a tokenizer file normalises and cuts as ``_LATIN_PIECES`` does, and spells the parts by bytes."""
+    steps = [(s["type"], s.get("pattern"), s.get("content")) for s in (spec["normalizer"] or {}).get("normalizers", [])]
+    return steps == [("NFC", None, None), ("Replace", {"Regex": r"\s+"}, " "), ("Lowercase", None, None)] and \
+        (spec["pre_tokenizer"] or {}).get("pretokenizers") == [
+            {"type": "Split", "pattern": {"Regex": _PIECES}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> WordEncoder:
     """One per Python worker, so that its words serve later tasks."""
