@@ -44,3 +44,21 @@ def test_samples_follow_the_distribution(spark):
     assert abs(share - 0.75) < 0.08
     again = ngrams.sample_next(df, n=400, temp=1.0).collect()
     assert sorted(rows) == sorted(again)
+
+
+def test_word_ids_equal_the_column_formula(spark, monkeypatch):
+    """Null, empty and blank texts, runs of spaces and other white space; one worker remembers only a few words."""
+    from pyspark.sql import functions as F
+
+    from tokenloom.catalog import inputs
+    from tokenloom.functions.hashing import hash_int
+
+    monkeypatch.setattr(inputs, "MEMO_WORDS", 3)
+    texts = [None, "", " ", "\n", "a  b\n\nb a ", "\t\u00a0x é\r\n漢", "a b c d e f g a\n" * 50]
+    rows = spark.createDataFrame([("f", i, t) for i, t in enumerate(texts)], "file string, doc_id bigint, text string").coalesce(1)
+    monkeypatch.setattr(inputs, "corpus", lambda *_: rows)
+    words = F.transform(F.split("text", "\n"), lambda x: F.concat(F.transform(
+        F.filter(F.split(x, " "), lambda w: w != ""), lambda w: (hash_int(F.md5(w), 0) % inputs.WORD_IDS + 5).cast("int")), F.array(F.lit(2))))
+    found = inputs.encoded(spark, "")
+    assert found.collect() == rows.select("file", "doc_id", F.flatten(words).alias("ids")).collect()
+    assert "conv(" not in found._jdf.queryExecution().optimizedPlan().toString()  # no hash of each word as a string expression

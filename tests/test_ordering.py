@@ -153,3 +153,19 @@ def test_parts_follow_the_seeded_order(spark):
         want = sorted(ordering.shuffle_rows(df, seed=seed).collect(), key=lambda r: r.pos)
         assert [r.ids for r in got] == [r.ids for r in want]
     assert shuffles_of_ids(lambda: ordering.seeded_parts(df)) == 1
+
+
+def test_examples_of_a_written_split_are_made_once(spark, monkeypatch):
+    from tokenloom.catalog import queries
+
+    made = spark.sparkContext.accumulator(0)
+    rows = spark.createDataFrame([(f"f{i % 3}", i, 0, [i, 2]) for i in range(40)], "file string, doc_id bigint, ex_idx int, ids array<int>")
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(queries.inputs, "examples", lambda *_: rows.mapInArrow(counted, rows.schema))
+    assert queries.write_split(spark, "").count() == 40
+    assert made.value == 40
