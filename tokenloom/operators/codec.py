@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import byte_alphabet
-from ..functions.text import from_byte_symbols, pieces_with_specials, segments
+from ..functions.text import pieces_with_specials, segments
 from .bpe import BPE, SURROGATES, WORDPIECE, Tokenizer, merge_symbols, symbol
 from .wordpiece import LongestMatch
 
@@ -76,9 +76,13 @@ def _encoder(spark, shared: tuple, start: Callable, nested: bool) -> Callable:
     return encode
 
 
-def _bounded_parts(lists: pa.ListArray) -> Iterator[pa.ListArray]:
-    """Runs of rows with at most ``PART_BYTES`` of pieces each, and at least one row."""
-    sizes = pc.fill_null(pc.binary_length(lists.flatten()), 0).to_numpy(zero_copy_only=False)
+def _piece_bytes(lists: pa.ListArray) -> np.ndarray:
+    return pc.fill_null(pc.binary_length(lists.flatten()), 0).to_numpy(zero_copy_only=False)
+
+
+def _bounded_parts(lists: pa.ListArray, sizes: np.ndarray | None = None) -> Iterator[pa.ListArray]:
+    """Runs of rows with at most ``PART_BYTES`` each, and at least one row; ``sizes`` has the bytes of each item, by default those of strings."""
+    sizes = _piece_bytes(lists) if sizes is None else sizes
     per_row = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
     ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])[np.cumsum(per_row, dtype=np.int64)]
     start = 0
@@ -170,14 +174,45 @@ def _literal_list(items: Sequence[str]) -> Column:
     return F.split(F.lit(sign.join(items)), re.escape(sign))
 
 
+def _speller(spark, tokens: list[str]) -> Callable:
+    """A column function: ids -> the bytes that byte-level tokens of these ids stand for.
+
+    Nulls and ids out of range spell nothing. A character that stands for no byte spells its code, below U+0100; a token with another
+    one is an error where it occurs.
+    """
+    of_char = {**{chr(b): b for b in range(256)}, **{char: b for b, char in enumerate(byte_alphabet())}}
+    shared = spark.sparkContext.broadcast(
+        [bytes(map(of_char.get, token)) if of_char.keys() >= set(token) else None for token in tokens])
+
+    @F.arrow_udf("binary")
+    def spell(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        names = pa.array([*shared.value, b""], pa.binary())
+        last = len(names) - 1
+        lengths = pc.fill_null(pc.binary_length(names), 0).to_numpy(zero_copy_only=False)
+        for lists in batches:
+            ids = pc.fill_null(lists.flatten(), -1).to_numpy(zero_copy_only=False)
+            ids = np.where((ids >= 0) & (ids < last), ids, last)
+            start = 0
+            for part in _bounded_parts(lists, lengths[ids]):
+                sizes = pc.fill_null(pc.list_value_length(part), 0).to_numpy(zero_copy_only=False)
+                ends = np.concatenate([[0], np.cumsum(sizes)])
+                items = names.take(pa.array(ids[start:start + ends[-1]]))
+                if items.null_count:
+                    raise ValueError("a token holds characters that stand for no byte")
+                start += ends[-1]
+                spelled = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), items), b"")
+                yield pc.if_else(part.is_valid(), spelled, pa.scalar(None, pa.binary()))
+
+    return spell
+
+
 def decode(df: DataFrame, tok: Tokenizer, ids: str = "ids", out: str = "text",
            skip_special_tokens: bool = True, specials: Sequence[str] | None = None,
            style: str = "text") -> DataFrame:
     """Add the text spelled by token ids.
 
-    The vocabulary, one string per token, travels in the plan as a constant array, so the
-    lookup is by index and needs neither a join nor a regrouping of the tokens. For a
-    WordPiece model ``style`` tells how tokens are joined: ``text`` without their prefixes, which is the
+    The lookup is by index, in the broadcast bytes of the tokens or, for a WordPiece model, in a constant array of the plan, and needs
+    neither a join nor a regrouping of the tokens. For a WordPiece model ``style`` tells how tokens are joined: ``text`` without their prefixes, which is the
     inverse of encoding, ``words`` with a space before tokens that have no prefix, and ``tokens`` with a space before each.
     """
     if style not in ("text", "words", "tokens"):
@@ -188,10 +223,10 @@ def decode(df: DataFrame, tok: Tokenizer, ids: str = "ids", out: str = "text",
     if skip_special_tokens:
         special_ids = [i for i, token in enumerate(tokens) if token in set(specials)]
         kept = F.filter(kept, lambda i: ~i.isin(special_ids))
+    if tok.kind == BPE:
+        return df.withColumn(out, F.make_valid_utf8(_speller(tok.vocab.sparkSession, tokens)(kept).cast("string")))
     names = _literal_list(tokens)
     spelled = F.transform(kept, lambda i: F.get(names, i))
-    if tok.kind == BPE:
-        return df.withColumn(out, from_byte_symbols(F.array_join(spelled, "")))
     if style != "tokens":
         gap = "" if style == "text" else " "
         spelled = F.transform(spelled, lambda t, i: F.when(i == 0, t).when(
