@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tokenloom.functions.text import strip_blank_lines
 from tokenloom.operators import bpe, codec, ordering, packing
 from tokenloom.plans.corpus import encode_folder, make_dataset, train_tokenizer
-from tokenloom.sources import files, texts, tokens
+from tokenloom.sources import files, sentence_files, texts, tokens
 from tokenloom.streaming.encode import encode_new_files
 
 
@@ -259,3 +259,38 @@ def test_streaming_encode_takes_new_files_once(spark, tmp_path):
         assert query.awaitTermination(60)
     rows = tokens.read_token_lists(spark, out + "/encoded").collect()
     assert {r.file: len(r.ids) for r in rows} == {"part0.jsonl": 2, "part1.jsonl": 3}
+
+
+def test_small_sentence_files_are_parsed_whole(spark, tmp_path, monkeypatch):
+    """Small files need no shuffle and no table on the way; the way of the large ones gives the same rows."""
+    bodies = {
+        "plain": json.dumps({"sents": ["a", 'b"', "c\\", "é\U0001f600", ""], "n": [1, {"sents": ["x"]}]}), "empty": '{"sents": []}',
+        "half": r'{"sents": ["\ud83d", "😀", "a\udc80b"]}', "again": '{"sents": ["a"], "sents": ["b", "c"]}',
+        "name": r'{"sents": ["a\/b"]}', "number": '{"sents": ["a", 1]}', "cut": '{"sents": ["a"', "list": '["sents", ["a"]]',
+        "other": '{"lines": ["a"]}', "after": '{"sents": ["a"], "sents": 5}', "deep": "[" * 100_000, "trailing": '{"sents": ["a"]} x'}
+    for name, body in bodies.items():
+        folder = tmp_path / f"file={name}"
+        folder.mkdir()
+        (folder / "part-0.txt").write_text(body, encoding="utf-8")
+    (tmp_path / "file=broken").mkdir()
+    (tmp_path / "file=broken" / "part-0.txt").write_bytes(b'{"sents": ["a\xff", "\xe2\x82 b"]}')
+    (tmp_path / "file=none").mkdir()
+    (tmp_path / "file=none" / "part-0.txt").write_bytes(b"")
+
+    def found(bound):
+        monkeypatch.setattr(sentence_files, "WHOLE_BYTES", bound)
+        sents, rejects, report = texts.read_tolerant(spark, str(tmp_path))
+        return sents, sorted(map(tuple, sents.collect())), sorted(r.file for r in rejects.collect()), tuple(report.first())
+
+    whole, *small = found(sentence_files.WHOLE_BYTES)
+    assert "Exchange" not in whole._jdf.queryExecution().toString()
+    assert [sent for file, _, sent in small[0] if file in ("half", "again", "name", "broken")] == [
+        "b", "c", "a�", "� b", "?", "\U0001f600", "a?b", "a/b"]
+    assert small[1] == ["after", "cut", "deep", "list", "number", "other", "trailing"]
+    assert small[2] == (13, 13)
+    assert tuple(small) == found(0)[1:] == found(40)[1:]
+
+
+def test_large_sentence_files_are_shared_between_tasks(spark, tmp_path, split_sizes, monkeypatch):
+    monkeypatch.setattr(sentence_files, "WHOLE_BYTES", 0)
+    test_sentence_files_are_shared_between_tasks(spark, tmp_path, split_sizes)
