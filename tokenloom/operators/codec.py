@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -13,8 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import byte_alphabet
-from ..functions.text import from_byte_symbols, pieces_with_specials, segments
-from .bpe import BPE, SURROGATES, WORDPIECE, Tokenizer, merge_symbols, symbol
+from ..functions.cutting import character_classes, cut_parts, readable
+from ..functions.text import from_byte_symbols, segments
+from .bpe import BPE, WORDPIECE, PieceMerger, Tokenizer
 from .wordpiece import LongestMatch
 
 MAX_VOCAB = 1_000_000  # proven bound on what is broadcast: one entry per token or merge
@@ -46,36 +48,59 @@ def _checked(tok: Tokenizer, kind: str) -> list[str]:
     return [token for _, token in rows]
 
 
-def _encoder(spark, shared: tuple, start: Callable, nested: bool) -> Callable:
-    """A column function: array of pieces -> array of id arrays, one per piece.
+def _encoder(spark, shared: tuple, start: Callable, nested: bool, cutting: tuple | None = None) -> Callable:
+    """A column function: array of pieces -> array of id arrays, one per piece. With ``cutting``, the arguments of
+    ``cut_parts``, it takes texts instead and cuts them first.
 
-    ``start`` makes, from the broadcast ``shared``, what is known from the outset and the function for another piece. Each
+    ``start`` makes, from the broadcast ``shared``, the ids known from the outset and the function for other pieces. Each
     Arrow batch is reduced to its distinct pieces before any of them is encoded, and the ids are spread back by index
     arithmetic; a batch of long texts is taken in parts of bounded size, and a worker remembers pieces up to a bound of
     characters too. Without ``nested`` the ids of a row are one flat array.
     """
-    tables = spark.sparkContext.broadcast(shared)
+    tables = spark.sparkContext.broadcast((shared, cutting))
 
     @F.arrow_udf("array<array<int>>" if nested else "array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        memo, coded = start(*tables.value)
-        fixed, room = len(memo) + MEMO_PIECES, MEMO_CHARS
-        for lists in (part for batch in batches for part in _bounded_parts(batch)):
+        shared, cutting = tables.value
+        memo = _Memo(*start(*shared))
+        for lists in (part for batch in batches for part in (cut_parts(batch, *cutting) if cutting else _bounded_parts(batch))):
             found = pc.dictionary_encode(lists.flatten())
-            words = []
-            for piece in found.dictionary.to_pylist():
-                word = memo.get(piece)
-                if word is None:
-                    word = coded(piece)
-                    room -= len(piece) + len(word)
-                    if len(memo) < fixed and room > 0:
-                        memo[piece] = word
-                words.append(word)
-            yield _spread(lists, found.indices.to_numpy(zero_copy_only=False), words, nested)
+            at, ids, starts = memo.coded(found.dictionary.cast(pa.string()))
+            yield _spread(lists, at[found.indices.to_numpy(zero_copy_only=False)], ids, starts, nested)
 
     return encode
 
 
+class _Memo:
+    """The ids of pieces, of which those seen first are remembered, up to a number and a bound of characters."""
+
+    def __init__(self, known: dict[str, int], encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]):
+        self.pieces = pa.array(list(known), pa.string())
+        self.ids = np.array(list(known.values()), np.int32)
+        self.starts = np.arange(len(known) + 1)  # of each piece in ``ids``, and their end
+        self.encode, self.left, self.room = encode, MEMO_PIECES, MEMO_CHARS
+
+    def coded(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each of the distinct pieces a place in ``starts``, and ``ids`` and ``starts`` themselves."""
+        at = pc.fill_null(pc.index_in(pieces, value_set=self.pieces), -1).to_numpy(zero_copy_only=False).copy()
+        unseen = np.flatnonzero(at < 0)
+        if not len(unseen):
+            return at, self.ids, self.starts
+        new = pieces.take(pa.array(unseen))
+        found, sizes = self.encode(new)
+        at[unseen] = len(self.pieces) + np.arange(len(unseen))
+        ids = np.concatenate([self.ids, found])
+        starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes)])
+        used = np.cumsum(pc.utf8_length(new).to_numpy(zero_copy_only=False) + sizes)
+        kept = min(self.left, int(np.searchsorted(used, self.room, "right")))
+        if kept:
+            self.left, self.room = self.left - kept, self.room - int(used[kept - 1])
+            self.pieces = pa.concat_arrays([self.pieces, new.slice(0, kept)])
+            self.starts = starts[:len(self.starts) + kept]
+            self.ids = ids[:self.starts[-1]]
+        return at, ids, starts
+
+
 def _bounded_parts(lists: pa.ListArray) -> Iterator[pa.ListArray]:
     """Runs of rows with at most ``PART_BYTES`` of pieces each, and at least one row."""
     sizes = pc.fill_null(pc.binary_length(lists.flatten()), 0).to_numpy(zero_copy_only=False)
@@ -90,53 +115,59 @@ def _bounded_parts(lists: pa.ListArray) -> Iterator[pa.ListArray]:
 
 
 def piece_encoder(tok: Tokenizer, specials: Sequence[str] | None = None,
-                  nested: bool = True) -> Callable:
+                  nested: bool = True, cutting: tuple | None = None) -> Callable:
     """``_encoder`` for byte-level pieces, which are merged. Workers share the merges by broadcast."""
     tokens = _checked(tok, BPE)
     ids = {token: i for i, token in enumerate(tokens)}
+    merges = sorted((m.rank, m.left, m.right, m.new_id) for m in _bounded(tok.merges))
     shared = (
-        {b: symbol(ids[char]) for b, char in enumerate(byte_alphabet())},
-        {symbol(m.left) + symbol(m.right): (m.rank, symbol(m.new_id))
-         for m in sorted(_bounded(tok.merges), key=lambda m: -m.rank)},
-        {s: symbol(ids[s]) for s in (tok.specials if specials is None else specials)},
+        np.array([ids[char] for char in byte_alphabet()], np.int32),
+        np.array(merges, np.int64).reshape(-1, 4),
+        {s: ids[s] for s in (tok.specials if specials is None else specials)},
     )
 
-    def start(of_byte: dict, merges: dict, memo: dict) -> tuple[dict, Callable]:
-        return dict(memo), lambda piece: merge_symbols("".join(map(of_byte.get, piece.encode())), merges)
+    def start(of_byte: np.ndarray, merges: np.ndarray, known: dict) -> tuple[dict, Callable]:
+        merger = PieceMerger(merges)
+
+        def coded(pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+            sizes = pc.binary_length(pieces).to_numpy(zero_copy_only=False).astype(np.int64)
+            return merger(of_byte[np.frombuffer(b"".join(pieces.cast(pa.binary()).to_pylist()), np.uint8)], sizes)
+
+        return known, coded
 
-    return _encoder(tok.vocab.sparkSession, shared, start, nested)
+    return _encoder(tok.vocab.sparkSession, shared, start, nested, cutting)
 
 
 def wordpiece_encoder(tok: Tokenizer, max_chars: int, specials: Sequence[str]) -> Callable:
     """``_encoder`` for whole segments by longest match; what has no match, or is too long, is unknown."""
     tokens = _checked(tok, WORDPIECE)
     ids = {token: i for i, token in enumerate(tokens)}
-    shared = (tokens, tok.prefix, {s: symbol(ids[s]) for s in specials}, symbol(ids[tok.unknown]), max_chars)
+    shared = (tokens, tok.prefix, {s: ids[s] for s in specials}, ids[tok.unknown], max_chars)
 
-    def start(tokens: list[str], prefix: str, memo: dict, unknown: str, max_chars: int) -> tuple[dict, Callable]:
+    def start(tokens: list[str], prefix: str, known: dict, unknown: int, max_chars: int) -> tuple[dict, Callable]:
         match = LongestMatch(tokens, prefix)
 
-        def coded(segment: str) -> str:
-            found = match(segment) if len(segment) <= max_chars else None
-            return unknown if found is None else "".join(map(symbol, found))
+        def coded(segments: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+            ids, sizes = array("i"), []
+            for segment in segments.to_pylist():
+                found = match(segment) if len(segment) <= max_chars else None
+                found = [unknown] if found is None else found
+                ids.extend(found)
+                sizes.append(len(found))
+            return np.array(ids, np.int32), np.array(sizes, np.int64)
 
-        return dict(memo), coded
+        return known, coded
 
     return _encoder(tok.vocab.sparkSession, shared, start, nested=False)
 
 
-def _spread(lists: pa.ListArray, codes: np.ndarray, words: list[str],
+def _spread(lists: pa.ListArray, at: np.ndarray, ids: np.ndarray, starts: np.ndarray,
             nested: bool) -> pa.ListArray:
-    """Id lists for the pieces ``words[codes]``, grouped as in ``lists``."""
-    first, width = SURROGATES
-    points = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4").astype(np.int32)
-    values = np.where(points < first, points - 1, points - 1 - width)
-    sizes = np.array([len(w) for w in words], dtype=np.int64)
-    starts = np.cumsum(sizes) - sizes
-    lens = sizes[codes]
+    """Id lists for the pieces whose ids lie from ``starts[at]`` on, grouped as in ``lists``."""
+    lens = (starts[1:] - starts[:-1])[at]
     ends = np.cumsum(lens)
-    source = np.repeat(starts[codes] - (ends - lens), lens) + np.arange(lens.sum())
-    items = pa.array(values[source], pa.int32())
+    source = np.repeat(starts[at] - (ends - lens), lens) + np.arange(lens.sum())
+    items = pa.array(ids[source], pa.int32())
     stops = np.concatenate([[0], ends])
     per_row = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
     rows = np.concatenate([[0], np.cumsum(per_row)])
@@ -152,15 +183,15 @@ def encode(df: DataFrame, tok: Tokenizer, text: str = "text", out: str = "ids",
            max_chars: int = MAX_UNIT_CHARS) -> DataFrame:
     """Add the token ids of ``text``. Literal special tokens become single ids; none are added.
 
-    Needs no shuffle: the JVM cuts the pieces and Arrow workers look them up. A WordPiece
+    Needs no shuffle: Arrow workers cut the pieces and look them up. A WordPiece
     model takes each segment between special tokens as one unit, of at most ``max_chars``
     characters; a longer one, or one without a match, is the unknown token.
     """
     specials = tok.specials if specials is None else specials
     if tok.kind == WORDPIECE:
         return df.withColumn(out, wordpiece_encoder(tok, max_chars, specials)(segments(F.col(text), specials)))
-    cut = pieces_with_specials(F.col(text), add_prefix_space, specials)
-    return df.withColumn(out, piece_encoder(tok, specials, nested=False)(cut))
+    cutting = character_classes(df.sparkSession), tuple(specials), add_prefix_space
+    return df.withColumn(out, piece_encoder(tok, specials, nested=False, cutting=cutting)(readable(F.col(text))))
 
 
 def _literal_list(items: Sequence[str]) -> Column:
