@@ -99,3 +99,33 @@ def test_new_pieces_are_merged_together(spark, monkeypatch):
         at, ids, starts = memo.coded(pa.array(batch))
         assert ids[starts[at]].tolist() == want
     assert calls == [["a", "bb"], ["ccc", "dddd"], ["ccc"]]
+
+
+def test_linked_merges_equal_merges_one_after_the_other():
+    """The same words and the same changes of every pair, also where a pair comes twice or symbols come again."""
+    rng = random.Random(3)
+    for trial in range(60):
+        words = ["".join(rng.choices("abc", weights=(4, 2, 1), k=rng.randrange(1, 14))) for _ in range(60)]
+        codes, weights = bpe.lay(pa.array(words), pa.array([rng.randrange(1, 9) for _ in words], pa.int64()))
+        known, steps = list("abc"), []
+        for k in range(rng.randrange(12)):
+            made = rng.choice(known) if rng.random() < 0.1 else chr(0x100 + k)
+            steps.append((rng.choice(known) + rng.choice(known), made))
+            known = [*known, made]
+        silent = rng.randrange(len(steps) + 1)
+        got_codes, got_weights, got = bpe.merge_steps(codes, weights, steps, silent)
+        want = []
+        for pair, made in steps:
+            codes, weights, *change = bpe.merge_laid(codes, weights, pair, made)
+            want.append({k: n for k, n in zip(*map(np.ndarray.tolist, change)) if n})
+        assert got_codes.tolist() == codes.tolist() and got_weights.tolist() == weights.tolist()
+        assert [{k: n for k, n in zip(*map(np.ndarray.tolist, change)) if n} for change in got] == want[silent:]
+
+
+def test_a_step_costs_what_it_merges(monkeypatch):
+    """No pass over all words for each merge."""
+    codes, weights = bpe.lay(pa.array(["abcabc"] * 1000), pa.array([1] * 1000, pa.int64()))
+    monkeypatch.setattr(bpe, "merge_laid", None)
+    steps = [("ab", "Ā"), ("Āc", "ā"), ("āā", "Ă")]
+    got, _, found = bpe.merge_steps(codes, weights, steps, 0)
+    assert got[got > 0].tolist() == [0x102] * 1000 and len(found) == 3
