@@ -129,3 +129,19 @@ def test_a_step_costs_what_it_merges(monkeypatch):
     steps = [("ab", "Ā"), ("Āc", "ā"), ("āā", "Ă")]
     got, _, found = bpe.merge_steps(codes, weights, steps, 0)
     assert got[got > 0].tolist() == [0x102] * 1000 and len(found) == 3
+
+
+def test_many_pairs_are_not_searched_one_by_one(spark, monkeypatch):
+    """Beyond a number of pairs every word is laid out; the changes are the same."""
+    sought, contains = [], F.contains
+    monkeypatch.setattr(bpe.F, "contains", lambda word, s: sought.append(s) or contains(word, s))
+    words = spark.createDataFrame([("abcabc", 5), ("cab", 7), ("bbbb", 2), ("xyz", 9)], "word string, n bigint")
+    state = bpe.Words(words)
+    try:
+        steps = [("ab", "Ā"), ("Āc", "ā"), ("bb", "Ă")]
+        few = state.changes(steps)
+        assert len(sought) == 3
+        monkeypatch.setattr(bpe, "MOST_SOUGHT", 2)
+        assert state.changes(steps) == few and len(sought) == 3 and all(few)
+    finally:
+        state.drop()
