@@ -166,3 +166,22 @@ def test_word_masks_of_awkward_lists(spark):
             elif int(d[8:16], 16) < round(0.9 * 2**32):
                 new[i] = int(d[16:24], 16) % 1000
         assert found[doc] == (new, labels), doc
+
+
+def test_tokcls_pad_writes_and_moves_what_it_returns_only(spark, monkeypatch):
+    rows = [("a", ["x"], ["O"], [0, 300, 2], [-100, 7, -100]), ("b", ["y"], ["O"], [0, 2], [-100, -100]), ("c", None, None, [], []),
+            ("d", ["z"], ["O"], [0, 9, 9, 2], None), (None, ["w"], ["O"], [0, 8, 2], [-100, None, -100])]
+    aligned = spark.createDataFrame(
+        rows, "sent_id string, token array<string>, ner array<string>, input_ids array<int>, labels array<int>")
+    kept = []
+
+    def written(df, name, **options):
+        kept.append(set(df.columns))
+        return df
+
+    monkeypatch.setattr(batches, "written", written)
+    key = ("batch_id", "row")
+    got = batches.tokcls_pad(aligned, 2, place=ordering.shuffle_rows).sort(*key).collect()
+    assert kept == [{"sent_id", "_n", "input_ids", "labels"}]
+    plain = batches.ordered_batches(aligned, ordering.shuffle_rows, ["sent_id"], 2, ids="input_ids", labels="labels")
+    assert got == plain.sort(*key).collect() and len(got) == 5

@@ -10,9 +10,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..constants import BATCH_SIZE, IGNORE_LABEL, MASK_ID, MASK_RATE, PAD_ID, SPECIAL_TOKENS
 from ..functions.columns import let
+from ..functions.compact import compact, spread_out
 from ..functions.hashing import below, hash_int, seeded_hash
 from ..functions.md5 import md5_numbered
 from ..session import written
@@ -57,10 +59,15 @@ def ordered_batches(examples: DataFrame, place: Callable[[DataFrame, Sequence[st
     """
     source, name = lengths_of or (examples, ids)
     narrow = written(source.select(*keys, F.size(name).alias("_n")), "lengths")
+    return _padded(_with_places(examples, narrow, place, keys, size), size, pad, ids, labels)
+
+
+def _with_places(examples: DataFrame, narrow: DataFrame, place: Callable[[DataFrame, Sequence[str]], DataFrame],
+                 keys: Sequence[str], size: int) -> DataFrame:
+    """Add ``pos``, ``batch_id`` and ``width``, the longest of the batch, from ``narrow``, the keys and their lengths ``_n``."""
     placed = place(narrow, keys).withColumn("batch_id", F.expr(f"pos div {int(size)}"))
     width = F.max("_n").over(W.partitionBy("batch_id"))
-    places = placed.select(*keys, "pos", "batch_id", width.alias("width"))
-    return _padded(join_places(examples, places, keys), size, pad, ids, labels)
+    return join_places(examples, placed.select(*keys, "pos", "batch_id", width.alias("width")), keys)
 
 
 def _padded(padded: DataFrame, size: int, pad: int, ids: str, labels: str | None) -> DataFrame:
@@ -87,11 +94,16 @@ def tokcls_pad(aligned: DataFrame, size: int = BATCH_SIZE, pad: int = PAD_ID,
     """Batches of label-aligned sentences: ids padded with ``pad``, labels with the ignore label.
 
     In the order of ``pos``, or of ``place`` as in ``ordered_batches``; then the aligned rows, which cost a tokenizer's
-    work, are written once and read twice.
+    work, are written once and read twice. Only keys, lengths, ids and labels are written and shuffled; the lists are shuffled as short binary values.
     """
     if place is None:
         return batch_pad(aligned, size, pad, ids="input_ids", labels="labels")
-    return ordered_batches(written(aligned, "aligned"), place, keys, size, pad, ids="input_ids", labels="labels")
+    lists = ("input_ids", "labels")
+    short = [name for name in lists if aligned.schema[name].dataType == T.ArrayType(T.IntegerType(), aligned.schema[name].dataType.containsNull)]
+    rows = written(aligned.select(*keys, F.size("input_ids").alias("_n"), *lists), "aligned", compression="zstd")
+    packed = rows.drop("_n").withColumns({n: compact(n) for n in short})
+    placed = _with_places(packed, rows.select(*keys, "_n"), place, keys, size)
+    return _padded(placed.withColumns({n: spread_out(n) for n in short}), size, pad, *lists)
 
 
 def fit_length(df: DataFrame, max_len: int, pad: int = PAD_ID, ids: str = "ids") -> DataFrame:
