@@ -1,5 +1,9 @@
 """Training, encoding and decoding against the public tokenizers library."""
 
+import random
+
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer as Library
@@ -375,3 +379,74 @@ def test_batches_of_long_texts_are_encoded_in_parts(spark, monkeypatch):
     texts = spark.createDataFrame(rows, "k int, text string").coalesce(1)
     sizes = {r.k: r.n for r in codec.encode(texts, bpe.byte_tokenizer(spark)).select("k", F.size("ids").alias("n")).collect()}
     assert sizes == {k: None if t is None else len(t.encode()) for k, t in rows}
+
+
+def _uncut(rows, monkeypatch, **how):
+    """The vocabulary learned from whole units."""
+    with monkeypatch.context() as m:
+        def whole(cuts, least):
+            cuts.least = cuts.min_frequency
+            return bpe._fragments(cuts.lines, cuts.symbols, None)
+
+        m.setattr(bpe._Cuts, "words", whole)
+        m.setattr(bpe, "CUT_MERGES", 1 << 30)
+        return bpe.wordpiece_train(rows, **how)
+
+
+@pytest.mark.parametrize("alphabet, share, after", [("abcdefgh ", 0.8, 5), ("a##", 3.0, 1), ("é漢😀a ", 3.0, 2)])
+def test_wordpiece_trains_on_fragments_as_on_whole_units(spark, monkeypatch, alphabet, share, after):
+    """A bound that is foretold too high makes it cut anew; with "#" tokens come again."""
+    r = random.Random(len(alphabet))
+    units = ["".join(r.choice(alphabet) for _ in range(r.randrange(60))) for _ in range(80)]
+    rows = spark.createDataFrame([(u,) for u in [*units, None, ""]], "text string").coalesce(2)
+    whole = _uncut(rows, monkeypatch, size=300)
+    monkeypatch.setattr(bpe, "FORETOLD_SHARE", share)
+    monkeypatch.setattr(bpe, "CUT_MERGES", after)
+    mine = bpe.wordpiece_train(rows, size=300)
+    assert mine.vocab.collect() == whole.vocab.collect()
+    assert mine.merges.collect() == whole.merges.collect() != []
+
+
+def test_wordpiece_keeps_no_whole_units(spark, monkeypatch):
+    """Long units that are all different are cut where neighbours are rare, and their fragments repeat."""
+    r = random.Random(8)
+    units = [" ".join(r.choice(["the", "cat", "sat", f"{r.randrange(10**6)}"]) for _ in range(40)) for _ in range(200)]
+    longest = []
+
+    class Seen(bpe.Words):
+        def __init__(self, words):
+            longest.append(words.agg(F.max(F.length("word"))).first()[0] or 0)
+            super().__init__(words)
+
+    monkeypatch.setattr(bpe, "Words", Seen)
+    bpe.wordpiece_train(spark.createDataFrame([(u,) for u in units], "text string"), size=290)
+    assert longest[0] < min(map(len, units)) / 2
+
+
+def test_wordpiece_encodes_fragments_as_whole_units(spark):
+    from tokenloom.functions.fragments import Joints
+    from tokenloom.functions.text import segments
+    from tokenloom.operators.wordpiece import LongestMatch
+
+    names = [*SPECIAL_TOKENS, "a", "b", "<", "s", "##a", "##b", "##é", "##s", "##>", "ab", "##ba", "##b#", "aé😀", "##😀a", "##<s"]
+    tok = bpe.Tokenizer(spark.createDataFrame(list(enumerate(names)), "id int, token string"),
+                        spark.createDataFrame([], "rank int, left int, right int, new_id int"), kind=bpe.WORDPIECE)
+    r = random.Random(9)
+    parts = ["a", "b", "a", "b", "#", "é", "😀", "<s>", "</s>", "<mask>", "<", "s", ">", "0"]
+    rows = [("".join(r.choice(parts) for _ in range(r.randrange(9))),) for _ in range(500)] + [(None,), ("",)]
+    df = spark.createDataFrame(rows, "text string").coalesce(3)
+    match, unknown = LongestMatch(names), names.index(tok.unknown)
+    for specials in (SPECIAL_TOKENS, ()):
+        for most in (5, 100):
+            got = codec.encode(df, tok, specials=specials, max_chars=most)
+            for row in got.withColumn("segments", segments(F.col("text"), specials)).collect():
+                want = None if row.text is None else []
+                for s in row.segments or ():
+                    found = [names.index(s)] if s in specials else match(s) if len(s) <= most else None
+                    want += [unknown] if found is None else found
+                assert row.ids == want, row.text
+    pairs = [(ord(x), ord(y)) for name in names for x, y in zip(name, name[1:])]
+    joints = Joints(*(np.array(side, np.int32) for side in zip(*pairs)))
+    found, heads, chars, per_row = codec._fragments(pa.array(["abbbab", None, "ss<s>a"]), joints, SPECIAL_TOKENS)
+    assert found.to_pylist() == ["0ab", "1b", "1bab", "0s", "1s", "0<s>", "0a"]
+    assert heads.sum() == 4 and chars.tolist() == [6, 2, 3, 1] and per_row.tolist() == [3, 0, 4]

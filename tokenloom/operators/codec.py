@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import byte_alphabet
-from ..functions.cutting import character_classes, cut_parts, readable
-from ..functions.text import from_byte_symbols, segments
+from ..functions.cutting import CUT_BYTES, _mark_specials, _places, bounded, character_classes, cut_parts, readable
+from ..functions.fragments import Joints, strings
+from ..functions.text import from_byte_symbols
 from .bpe import BPE, WORDPIECE, PieceMerger, Tokenizer
 from .wordpiece import LongestMatch
 
@@ -24,6 +25,7 @@ MAX_UNIT_CHARS = 100  # of a WordPiece unit, as in the usual models
 MEMO_PIECES = 500_000  # pieces a worker remembers; more are encoded again
 MEMO_CHARS = 16_000_000  # of those pieces and their ids
 PART_BYTES = 2 << 20  # of pieces encoded at a time
+HEAD_MARK, INNER_MARK, NO_MATCH = "0", "1", -1  # of WordPiece fragments that begin a unit and of others; the id of what no token matches
 
 
 def _bounded(df: DataFrame) -> list:
@@ -139,26 +141,72 @@ def piece_encoder(tok: Tokenizer, specials: Sequence[str] | None = None,
 
 
 def wordpiece_encoder(tok: Tokenizer, max_chars: int, specials: Sequence[str]) -> Callable:
-    """``_encoder`` for whole segments by longest match; what has no match, or is too long, is unknown."""
+    """A column function: texts -> ids by longest match of each segment between special tokens; a segment
+    that has no match, or is too long, is unknown.
+
+    No token lies across two characters that stand side by side in no token. Segments are cut there, the distinct fragments
+    of many texts are matched, and a worker remembers them up to a bound.
+    """
     tokens = _checked(tok, WORDPIECE)
     ids = {token: i for i, token in enumerate(tokens)}
-    shared = (tokens, tok.prefix, {s: ids[s] for s in specials}, ids[tok.unknown], max_chars)
+    known = {**{HEAD_MARK + s: ids[s] for s in specials}, HEAD_MARK: ids[tok.unknown]}
+    tables = tok.vocab.sparkSession.sparkContext.broadcast((tokens, tok.prefix, tuple(specials), known, max_chars))
 
-    def start(tokens: list[str], prefix: str, known: dict, unknown: int, max_chars: int) -> tuple[dict, Callable]:
+    @F.arrow_udf("array<int>")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tokens, prefix, specials, known, max_chars = tables.value
         match = LongestMatch(tokens, prefix)
+        pairs = {pair for token in tokens for pair in zip(token, token[1:])}
+        joints = Joints(*(np.array([ord(pair[side]) for pair in pairs], np.int32) for side in (0, 1)))
 
-        def coded(segments: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        def coded(fragments: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             ids, sizes = array("i"), []
-            for segment in segments.to_pylist():
-                found = match(segment) if len(segment) <= max_chars else None
-                found = [unknown] if found is None else found
+            for fragment in fragments.to_pylist():
+                found = match(fragment[1:], fragment[0] != HEAD_MARK)
+                found = [NO_MATCH] if found is None else found
                 ids.extend(found)
                 sizes.append(len(found))
             return np.array(ids, np.int32), np.array(sizes, np.int64)
 
-        return known, coded
+        memo = _Memo(known, coded)
+        unknown = list(known).index(HEAD_MARK)
+        for part in (part for batch in batches for part in bounded(batch, PART_BYTES)):
+            cut = [_fragments(few, joints, specials) for few in bounded(part, CUT_BYTES)]
+            found = pc.dictionary_encode(pa.concat_arrays([c[0] for c in cut]))
+            heads, long, per_row = (np.concatenate([c[k] for c in cut]) for k in (1, 2, 3))
+            at, ids, starts = memo.coded(found.dictionary)
+            at = at[found.indices.to_numpy(zero_copy_only=False)]
+            segment = np.cumsum(heads) - 1
+            bad = long > max_chars
+            bad[segment[at < len(known)]] = False  # special tokens
+            bad[segment[ids[starts[at]] == NO_MATCH]] = True
+            at[heads & bad[segment]] = unknown
+            kept = heads | ~bad[segment]
+            rows = np.concatenate([[0], np.cumsum(kept)])[np.concatenate([[0], np.cumsum(per_row)])]
+            lists = pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.nulls(int(rows[-1])), mask=part.is_null())
+            yield _spread(lists, at[kept], ids, starts, nested=False)
+
+    return encode
+
 
-    return _encoder(tok.vocab.sparkSession, shared, start, nested=False)
+def _fragments(texts: pa.Array, joints: Joints, specials: Sequence[str]) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """The fragments of the texts, with a mark before each; whether they begin a segment; the characters of each
+    segment; the number of fragments of each text."""
+    blobs = pc.fill_null(texts.cast(pa.binary()), b"")
+    rows = np.concatenate([[0], np.cumsum(pc.binary_length(blobs).to_numpy(zero_copy_only=False), dtype=np.int64)])
+    raw = b"".join(blobs.to_pylist())
+    codes = np.frombuffer(raw.decode().encode("utf-32-le"), "<u4")
+    if len(codes) < len(raw):
+        rows = np.searchsorted(_places(codes), rows)
+    first = np.zeros(len(codes) + 1, bool)
+    first[rows] = True
+    _mark_specials(codes, first, specials)
+    begins = first[:-1].copy()
+    begins[1:] |= ~joints(codes[:-1], codes[1:])
+    starts, heads = np.flatnonzero(begins), np.flatnonzero(first[:-1])
+    marks = np.where(first[starts], ord(HEAD_MARK), ord(INNER_MARK))
+    found = strings(np.insert(codes, starts, marks), starts + np.arange(len(starts)))
+    return found, first[starts], np.diff(heads, append=len(codes)), np.diff(np.searchsorted(starts, rows))
 
 
 def _spread(lists: pa.ListArray, at: np.ndarray, ids: np.ndarray, starts: np.ndarray,
@@ -189,7 +237,7 @@ def encode(df: DataFrame, tok: Tokenizer, text: str = "text", out: str = "ids",
     """
     specials = tok.specials if specials is None else specials
     if tok.kind == WORDPIECE:
-        return df.withColumn(out, wordpiece_encoder(tok, max_chars, specials)(segments(F.col(text), specials)))
+        return df.withColumn(out, wordpiece_encoder(tok, max_chars, specials)(readable(F.col(text))))
     cutting = character_classes(df.sparkSession), tuple(specials), add_prefix_space
     return df.withColumn(out, piece_encoder(tok, specials, nested=False, cutting=cutting)(readable(F.col(text))))
 
